@@ -5,8 +5,9 @@ least rank, delete that boundary, refresh the two neighbouring ranks, until no p
 go through a heap instead, where scanning would take quadratic time; the result is the same.
 
 Defined results: a null text is an empty text and has no ids; special tokens written out in a text become their ids;
-repeated rows and ids stay; an empty table gives an empty table; other columns pass through (clashing output names are
-the caller's to avoid).
+repeated rows and ids stay; an empty table gives an empty table; other columns pass through, but those named as an
+output are replaced. Letters are those of the regex library's Unicode version; code points that only newer or older
+versions assign may be split otherwise than by the library.
 """
 
 from __future__ import annotations
@@ -14,15 +15,13 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from gridclim.llm.common import slices, texts
+from gridclim.llm.common import map_texts
 
 #: Fixed: how byte-level tokenizers split text before merging.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -128,33 +127,22 @@ def load(path: str) -> ByteBPE:
         return ByteBPE(json.load(f))
 
 
-def _map(docs: DataFrame, row: Callable[[str], tuple], names: list[str], types: str, column: str) -> DataFrame:
-    kept = [c for c in docs.columns if c != column]
-
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = texts(pdf, column)
-            for a, b in slices(found):
-                made = [row(t) for t in found[a:b]]
-                yield pdf[kept].iloc[a:b].assign(**{n: list(v) for n, v in zip(names, zip(*made))})
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept), types])
-    return docs.mapInPandas(apply, schema)
-
-
 def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     """docs without `column`, with `ids` (binary, little-endian unsigned 32-bit) in its place."""
-    return _map(docs, lambda t: (load(path).encode(t),), ["ids"], "ids binary", column)
+    return map_texts(docs, lambda batch: [[load(path).encode(t) for t in batch]], {"ids": "binary"}, column)
 
 
 def round_trip_digests(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     """Encode each text, decode the ids, and give the digests of both: n_tokens, ids_sha256, decoded_sha256."""
 
-    def row(text: str) -> tuple:
+    def make(batch: list[str]) -> list:
         codec = load(path)
-        ids = codec.encode(text)
-        back = codec.decode(ids)
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
-
-    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    return _map(docs, row, names, "n_tokens long, ids_sha256 string, decoded_sha256 string", column)
+        n_tokens, ids_digest, text_digest = [], [], []
+        for text in batch:
+            ids = codec.encode(text)
+            n_tokens.append(len(ids) // 4)
+            ids_digest.append(hashlib.sha256(ids).hexdigest())
+            text_digest.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+        return [n_tokens, ids_digest, text_digest]
+
+    return map_texts(docs, make, {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}, column)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +80,32 @@ def segment_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     """Sums of values[start:end] for each pair, empty ranges included."""
     total = np.concatenate([np.zeros((1, *values.shape[1:]), np.float64), np.cumsum(values, axis=0, dtype=np.float64)])
     return total[ends] - total[starts]
+
+
+#: Types that map_texts() can add.
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def map_texts(docs: DataFrame, make: Callable, added: dict[str, str], column: str = "text", inputs: tuple[str, ...] = ()) -> DataFrame:
+    """Apply make() to slices of the texts, inside tasks; null is an empty text.
+
+    make(texts, *inputs) returns the added columns in order, or a tuple (indices, columns) where one document gives
+    any number of rows: indices say which text each row comes from. Other columns pass through as they are; where
+    one has the name of an added column, the added one takes its place. `inputs` are handed to make() and dropped.
+    """
+    kept = [f for f in docs.schema if f.name not in {column, *added, *inputs}]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x or "" for x in batch.column(column).to_pylist()]
+            for a, b in slices(found):
+                made = make(found[a:b], *(batch.column(x)[a:b].to_pylist() for x in inputs))
+                rest = batch.select([f.name for f in kept]).slice(a, b - a)
+                if isinstance(made, tuple):
+                    at, made = made
+                    rest = rest.take(pa.array(at, pa.int64()))
+                new = [pa.array(v, _ARROW[t]) for v, t in zip(made, added.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*rest.columns, *new], [*rest.schema.names, *added])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{n} {t}" for n, t in added.items())])
+    return docs.select(*(f.name for f in kept), column, *inputs).mapInArrow(apply, schema)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclim.llm.common import slices, texts
+from gridclim.llm.common import map_texts, slices, texts
 
 BUCKETS = 1 << 16
 #: Languages that the matrix may have; this bounds what is broadcast (256 x 65536 floats are 64 MB).
@@ -108,14 +108,5 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: floa
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False) -> DataFrame:
     """docs with lang_pred and score; the text itself stays only if asked for. Nothing but the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c != text or keep_text]
-
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = texts(pdf, text)
-            for a, b in slices(found):
-                names, scores = shared.value.predict(found[a:b])
-                yield pdf[kept].iloc[a:b].assign(lang_pred=names, score=scores)
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept), "lang_pred string, score double"])
-    return docs.mapInPandas(apply, schema)
+    done = map_texts(docs.withColumn("_read", F.col(text)), lambda batch: [*shared.value.predict(batch)], {"lang_pred": "string", "score": "double"}, "_read")
+    return done if keep_text else done.drop(text)
