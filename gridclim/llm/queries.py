@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclim.llm import bpe, chat, langid, linededup, packing, simhash
+from gridclim.llm import bpe, chat, chunks, langid, linededup, packing, simhash
 from gridclim.llm.common import fold
 
 
@@ -98,13 +98,18 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op8_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return chunks.read(chunks.store(docs))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_simhash, op3_bpe, op4_line_dedup, op7_chat_format, op9_packing)}
+    return {f.__name__: f for f in (op1_language_id, op2_simhash, op3_bpe, op4_line_dedup, op7_chat_format, op8_media_chunks, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
