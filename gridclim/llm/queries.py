@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclim.llm import bpe, chat, chunks, langid, linededup, packing, quality, simhash, toxicity
+from gridclim.llm import bpe, chat, chunks, langid, linededup, packing, quality, simhash, suffixes, toxicity
 from gridclim.llm.common import fold
 
 
@@ -122,8 +122,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    done = suffixes.cut_repeats(docs)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_simhash, op3_bpe, op4_line_dedup, op5_quality, op6_toxicity, op7_chat_format, op8_media_chunks, op9_packing)}
+    return {f.__name__: f for f in (op1_language_id, op2_simhash, op3_bpe, op4_line_dedup, op5_quality, op6_toxicity, op7_chat_format, op8_media_chunks, op9_packing, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
