@@ -1,13 +1,77 @@
-"""A corpus pipeline of four or five stages; each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""From raw documents to packed training sequences in five stages.
 
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+stage's docs. All but the last return the columns of documents; where a stage changes a text, n_chars follows it.
+"""
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridclim.llm import langid, linededup, packing, simhash, suffixes
+from gridclim.llm.common import fold, stage
+
+#: A language below this score is no language that was learned.
+LEAST_SCORE = 0.5
+
+
+def _like(done: DataFrame, docs: DataFrame) -> DataFrame:
+    """done with the columns of docs and the length of its own texts."""
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done.select(*docs.columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a language that the labelled two thirds of the documents teach stay; those without a letter, of
+    an unsure language, or without a doc_id go."""
+    docs = docs.where(F.col("doc_id").isNotNull())
+    model = langid.fit(docs.where(fold(F.col("doc_id"), 3) != 1))
+    names = {c: c for c in docs.columns if c in ("lang_pred", "score")}
+    held = docs.withColumnsRenamed({c: f"_{c}" for c in names})
+    found = langid.predict(held, model, keep_text=True)
+    sure = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).drop("lang_pred", "score")
+    return sure.withColumnsRenamed({f"_{c}": c for c in names}).select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that many documents share stay in one of them."""
+    return _like(linededup.dedup_lines(docs), docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays, once."""
+    found = simhash.near_duplicates(docs.select("doc_id", "text"))
+    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes covered by strings that occur more than once go."""
+    return _like(suffixes.cut_repeats(docs, as_text=True), docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rest is tokenised and packed: a row per piece."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_lines),
+    ("simhash", drop_near_duplicates),
+    ("suffix_dedup", drop_repeats),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: SimHash fingerprints, tokens and packing have no SQL; tests/llm compares the result with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, step in STAGES:
+        docs = step(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs, _ = stage(docs, f"pipeline-{name}")
     return docs

@@ -280,8 +280,9 @@ def marks(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
     return whole.unionByName(parts).groupBy("doc_id").agg(F.collect_list(place).alias("marks"))
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
-    """docs without `text`, with kept (binary: the bytes that no repeated window covers), n_bytes, n_removed, n_spans."""
+def cut_repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER, as_text: bool = False) -> DataFrame:
+    """docs without `text`, with kept (binary: the bytes that no repeated window covers), n_bytes, n_removed, n_spans.
+    as_text: `text` in place of `kept`; characters of which only a part is left go."""
     joined = docs.join(marks(docs, length, k).withColumnRenamed("marks", "_marks"), "doc_id", "left")
 
     def make(batch: list[str], lists: list) -> list:
@@ -297,10 +298,12 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFra
                 np.add.at(change, at, 1)
                 np.add.at(change, at + length, -1)
             gone = np.cumsum(change[:-1]) > 0
-            kept.append(np.frombuffer(data, np.uint8)[~gone].tobytes() if parts else data)
+            rest = np.frombuffer(data, np.uint8)[~gone].tobytes() if parts else data
+            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
             n_bytes.append(len(data))
             n_removed.append(int(gone.sum()))
             n_spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
         return [kept, n_bytes, n_removed, n_spans]
 
-    return map_texts(joined, make, {"kept": "binary", "n_bytes": "long", "n_removed": "long", "n_spans": "long"}, "text", ("_marks",))
+    first = {"text": "string"} if as_text else {"kept": "binary"}
+    return map_texts(joined, make, first | {"n_bytes": "long", "n_removed": "long", "n_spans": "long"}, "text", ("_marks",))
