@@ -13,6 +13,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,43 +27,85 @@ from gridclim.llm.common import map_texts, stage
 #: Pieces that one shard packs; the padding that shards cost is a part of a window each.
 SHARD_PIECES = 20_000
 #: Words whose ids a task remembers; the memory is emptied when full.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+
+
+def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(length)
+    return np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class WordIds:
-    """A tokenizer that never merges across ASCII white space: ids of single words, remembered, make up a text's."""
+    """A lower-casing tokenizer that never merges across white space or from letters into signs: remembered ids of
+    single words make up a text's. An unknown word is reduced to its stem, in lower case and without a closing comma
+    or full stop, so that fewer words need the tokenizer."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.mark, self.mark_id = next((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items())
+        self.sign = {s: self.tokenizer.encode(s.decode(), add_special_tokens=False).ids for s in (b",", b".")}
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
         self.flat, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, words: set[bytes]) -> None:
-        new = sorted(words)
-        ids = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-        length = np.array([len(x) for x in ids], np.int64)
+    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
+        # marks and letters that compose may depend on case: such words stay whole
+        if b"<|" in word or b"\xcc" in word or b"\xcd" in word:
+            return word, b""
+        low = word.lower()
+        if low[-1:] in self.sign and b"a" <= low[-2:-1] <= b"z":
+            return low[:-1], low[-1:]
+        return low, b""
+
+    def _add(self, words: list[bytes], flat: np.ndarray, length: np.ndarray) -> None:
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.flat = np.concatenate([self.flat, flat])
+        self.index.update(zip(words, range(len(self.length) - len(words), len(self.length))))
+
+    def _learn(self, words: set[bytes]) -> None:
+        stems = {w: self._stem(w) for w in words}
+        new = {stem for stem, _ in stems.values()} - self.index.keys()
+        marked = sorted(w for w in new if b"<|" in w)
+        plain = sorted(w for w in new if b"<|" not in w)
+        if plain:  # one call for all, each closed by a special token, which nothing merges across
+            joined = self.mark.join([w.decode() for w in plain]) + self.mark
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == self.mark_id)
+            length = np.diff(ends, prepend=-1) - 1
+            self._add(plain, ids[ids != self.mark_id], length)
+        for w in marked:
+            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
+            self._add([w], ids, np.array([len(ids)], np.int64))
+        for sign, sign_ids in self.sign.items():
+            closed = [w for w, (_, tail) in stems.items() if tail == sign]
+            at = np.array([self.index[stems[w][0]] for w in closed], np.int64)
+            length = self.length[at]
+            ends = np.cumsum(length)
+            self._add(closed, np.insert(self.flat[_ragged(self.start[at], length)], np.repeat(ends, len(sign_ids)), np.tile(sign_ids, len(at))), length + len(sign_ids))
+        self.index.update((w, self.index[stem]) for w, (stem, tail) in stems.items() if not tail)
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         words = [t.encode().split() for t in batch]
         if len(self.index) > REMEMBERED:
             self.forget()
-        if missing := {w for x in words for w in x if w not in self.index}:
-            self._learn(missing)
-        at = np.fromiter((self.index[w] for x in words for w in x), np.int64)
+        flat_words = list(chain.from_iterable(words))
+        at = np.fromiter(map(self.index.get, flat_words, repeat(-1)), np.int64, len(flat_words))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            missing = [flat_words[i] for i in unknown]
+            self._learn(set(missing))
+            at[unknown] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(missing))
         length = self.length[at]
-        ends = np.cumsum(length)
-        flat = self.flat[np.repeat(self.start[at] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
-        word_ends = np.concatenate([[0], np.cumsum([len(x) for x in words])]).astype(np.int64)
-        return np.split(flat, np.concatenate([[0], ends])[word_ends][1:-1])
+        flat = self.flat[_ragged(self.start[at], length)]
+        word_ends = np.cumsum([len(x) for x in words])
+        ends = np.concatenate([[0], np.cumsum(length)])
+        return np.split(flat, ends[word_ends][:-1])
 
 
 @lru_cache(maxsize=2)
