@@ -119,9 +119,11 @@ def store(docs: DataFrame) -> DataFrame:
             digests = [_digest(c) for c in chunks]
             recipes.append(_recipe(digests, [len(c) for c in chunks]))
             away = {bytes(x) for x in away or ()}
-            first = dict(zip(reversed(digests), reversed(chunks)))  # a chunk that the document repeats is kept once
-            own = [c for d, c in first.items() if d not in away]
-            owns.append(_squeeze(b"".join(reversed(own))) if away or len(first) < len(chunks) else data)
+            held: dict[bytes, bytes] = {}
+            for d, c in zip(digests, chunks):
+                if d not in away:
+                    held.setdefault(d, c)  # a chunk that the document repeats is kept once
+            owns.append(_squeeze(b"".join(held.values())) if len(held) < len(chunks) else data)
         return [recipes, owns]
 
     packed = packed.withColumns({"_lent": F.col("lent"), "_borrowed": F.col("borrowed")})
