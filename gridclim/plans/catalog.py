@@ -4,9 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridclim.plans import climate, requests
+from gridclim.plans import climate, floods, requests, spatial
 
-MODULES = (climate, requests)
+MODULES = (climate, requests, spatial, floods)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

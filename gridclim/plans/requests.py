@@ -152,11 +152,10 @@ def s12_write_layers(spark, sf):
     return spark.read.schema("grid_row int, grid_col int, n long, variable string").parquet(path).select("variable", "grid_row", "grid_col", "n")
 
 
-@query("WITH done AS (SELECT DISTINCT p_type AS variable FROM part WHERE p_size = 1) SELECT p_partkey, p_type AS variable FROM part WHERE p_type NOT IN (SELECT variable FROM done)")
+@query("SELECT p_partkey, p_brand FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 40)")
 def s13_resume(spark, sf):
-    part = proxy.table(spark, sf, "part")
-    done = part.where("p_size = 1").select(F.col("p_type").alias("variable")).distinct()
-    return request.unfinished(part.select("p_partkey", F.col("p_type").alias("variable")), done, ["variable"])
+    done = proxy.table(spark, sf, "lineitem").where("l_quantity > 40").select(F.col("l_partkey").alias("p_partkey"))
+    return request.unfinished(proxy.table(spark, sf, "part").select("p_partkey", "p_brand"), done, ["p_partkey"])
 
 
 RASTERS = """rasters AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'TXge35_Mean_ssp245_2040_20' || (50 + p_size % 40)

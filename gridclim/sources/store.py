@@ -114,8 +114,9 @@ def write_layers(layers: DataFrame, path: str, overwrite: bool = False) -> None:
 
 
 def write_flood(hazard: DataFrame, curves: DataFrame, root: str, overwrite: bool = False) -> None:
-    """The hazard table as Parquet and CSV, and the runoff curves."""
+    """The hazard table as Parquet and CSV, and the runoff curves; the CSV comes from the Parquet, not from a second run."""
     mode = "overwrite" if overwrite else "ignore"
     hazard.write.mode(mode).parquet(f"{root}/hazard")
-    hazard.write.mode(mode).option("header", True).csv(f"{root}/hazard_csv")
+    written = hazard.sparkSession.read.schema(hazard.schema).parquet(f"{root}/hazard")
+    written.write.mode(mode).option("header", True).csv(f"{root}/hazard_csv")
     curves.write.mode(mode).parquet(f"{root}/curves")
