@@ -10,6 +10,7 @@ their own; an empty table gives an empty table; other columns of the input are i
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,7 +28,12 @@ from gridclim.llm.common import map_texts, stage
 #: Pieces that one shard packs; the padding that shards cost is a part of a window each.
 SHARD_PIECES = 20_000
 #: Words whose ids a task remembers; the memory is emptied when full.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
+#: A comma or full stop between a letter and a blank is a word of its own for the tokenizer.
+WORD_END = re.compile(rb"(?<=[a-z])([,.])(?=[\t-\r ])")
+#: Byte-level vocabularies write each byte as a printable letter: itself if printable, else 256 and on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*PRINTABLE}))}
 
 
 def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -37,31 +43,22 @@ def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class WordIds:
-    """A lower-casing tokenizer that never merges across white space or from letters into signs: remembered ids of
-    single words make up a text's. An unknown word is reduced to its stem, in lower case and without a closing comma
-    or full stop, so that fewer words need the tokenizer."""
+    """A lower-casing byte-level tokenizer that never merges across white space or from letters into signs: remembered
+    ids of single words make up a text's. Texts are lower-cased and freed of commas and full stops at word ends first,
+    so that fewer words are unknown; unknown words of plain letters go straight to the tokenizer's merges."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges = self.tokenizer.model.tokenize
         self.mark, self.mark_id = next((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items())
-        self.sign = {s: self.tokenizer.encode(s.decode(), add_special_tokens=False).ids for s in (b",", b".")}
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
         self.flat, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
-        # marks and letters that compose may depend on case: such words stay whole
-        if b"<|" in word or b"\xcc" in word or b"\xcd" in word:
-            return word, b""
-        low = word.lower()
-        if low[-1:] in self.sign and b"a" <= low[-2:-1] <= b"z":
-            return low[:-1], low[-1:]
-        return low, b""
-
     def _add(self, words: list[bytes], flat: np.ndarray, length: np.ndarray) -> None:
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
@@ -69,29 +66,36 @@ class WordIds:
         self.index.update(zip(words, range(len(self.length) - len(words), len(self.length))))
 
     def _learn(self, words: set[bytes]) -> None:
-        stems = {w: self._stem(w) for w in words}
-        new = {stem for stem, _ in stems.values()} - self.index.keys()
-        marked = sorted(w for w in new if b"<|" in w)
-        plain = sorted(w for w in new if b"<|" not in w)
-        if plain:  # one call for all, each closed by a special token, which nothing merges across
-            joined = self.mark.join([w.decode() for w in plain]) + self.mark
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(ids == self.mark_id)
-            length = np.diff(ends, prepend=-1) - 1
-            self._add(plain, ids[ids != self.mark_id], length)
+        plain, joined, marked = [], [], []
+        flat, length = [], []
+        for w in words:
+            text = w.decode()
+            if text.isalpha() and (text.isascii() or max(text) < "\u0180") and text == text.lower():
+                ids = [t.id for t in self.merges(w.decode("latin-1").translate(BYTE_LETTERS))]
+                plain.append(w)
+                flat += ids
+                length.append(len(ids))
+            else:
+                (marked if "<|" in text else joined).append(w)
+        self._add(plain, np.array(flat, np.uint32), np.array(length, np.int64))
+        if joined:  # one call for all, each closed by a special token, which nothing merges across
+            whole = self.mark.join([w.decode() for w in joined]) + self.mark
+            ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.uint32)
+            self._add(joined, ids[ids != self.mark_id], np.diff(np.flatnonzero(ids == self.mark_id), prepend=-1) - 1)
         for w in marked:
             ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
             self._add([w], ids, np.array([len(ids)], np.int64))
-        for sign, sign_ids in self.sign.items():
-            closed = [w for w, (_, tail) in stems.items() if tail == sign]
-            at = np.array([self.index[stems[w][0]] for w in closed], np.int64)
-            length = self.length[at]
-            ends = np.cumsum(length)
-            self._add(closed, np.insert(self.flat[_ragged(self.start[at], length)], np.repeat(ends, len(sign_ids)), np.tile(sign_ids, len(at))), length + len(sign_ids))
-        self.index.update((w, self.index[stem]) for w, (stem, tail) in stems.items() if not tail)
+
+    @staticmethod
+    def _words(text: str) -> list[bytes]:
+        raw = text.encode()
+        # special tokens, and marks that compose with some small letters only, need the text as it is
+        if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
+            raw = WORD_END.sub(rb" \1", raw.lower())
+        return raw.split()
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        words = [t.encode().split() for t in batch]
+        words = [self._words(t) for t in batch]
         if len(self.index) > REMEMBERED:
             self.forget()
         flat_words = list(chain.from_iterable(words))
