@@ -61,11 +61,8 @@ def representative_year_floor(start_year: Column, end_year: Column) -> Column:
 
 def horizon_label(name: Column, start_year: Column, end_year: Column) -> Column:
     """name (year); the name alone where the years are unknown."""
-    return F.coalesce(F.format_string("%s (%d)", name, _known(representative_year(start_year, end_year))), name)
-
-
-def _known(year: Column) -> Column:
-    return F.when(year.isNotNull(), year)
+    year = representative_year(start_year, end_year)
+    return F.when(year.isNotNull(), F.format_string("%s (%d)", name, year)).otherwise(name)
 
 
 def horizon_label_long(name: Column, start_year: Column, end_year: Column) -> Column:
@@ -103,7 +100,7 @@ def analysis_time(frequency: str, year: Column, month: Column | None = None, sea
 
 def parse_number(text: Column) -> Column:
     """The first signed number, commas aside."""
-    return F.expr("try_cast(null as double)") if text is None else _try_double(F.regexp_extract(F.replace(text, F.lit(","), F.lit("")), r"(-?\d+(?:\.\d+)?)", 1))
+    return _try_double(F.regexp_extract(F.replace(text, F.lit(","), F.lit("")), r"(-?\d+(?:\.\d+)?)", 1))
 
 
 def _try_double(text: Column) -> Column:
@@ -155,5 +152,5 @@ def map_title(variable: Column, stat: Column, scenario: Column, start_year: Colu
 def period_label(start_year: Column, end_year: Column) -> Column:
     """2050s and 2090s for the usual horizons, else the years."""
     return F.when(start_year.between(2035, 2059), "2050s").when(start_year >= 2070, "2090s").otherwise(
-        F.coalesce(F.format_string("%d–%d", _known(start_year), _known(end_year)), F.lit("future projection"))
+        F.when(start_year.isNotNull() & end_year.isNotNull(), F.format_string("%d–%d", start_year, end_year)).otherwise("future projection")
     )
