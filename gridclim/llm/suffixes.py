@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclim.llm.common import delete, map_texts, stage
+from gridclim.llm.common import map_texts, stage
 
 LENGTH, KMER = 200, 48
 MOST_SNIPPETS = 2_000
@@ -117,17 +117,20 @@ def _ranks(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 class RunIndex:
     """Burrows-Wheeler runs of a text with the suffix positions at both ends of each run."""
 
-    PACKED = 7
-
     def __init__(self, text: np.ndarray):
-        """text: symbols from 0 to 256."""
-        self.text, n = text, len(text)
+        """text: symbols from 0 to 256. The suffix order comes from sorting by packed symbols, then by twice as many."""
+        used = np.zeros(257, bool)
+        used[text] = True
+        used[0] = True
+        text = (np.cumsum(used) - 1)[text]
+        bits = int(text.max(initial=1)).bit_length()
+        self.text, n, self.packed = text, len(text), 63 // bits
         key = np.zeros(n, np.uint64)
-        padded = np.concatenate([text, np.zeros(self.PACKED, text.dtype)]).astype(np.uint64)
-        for i in range(self.PACKED):
-            key = key << np.uint64(9) | padded[i : n + i]
+        padded = np.concatenate([text, np.zeros(self.packed, text.dtype)]).astype(np.uint64)
+        for i in range(self.packed):
+            key = key << np.uint64(bits) | padded[i : n + i]
         order = np.argsort(key)
-        self.levels = [(self.PACKED, _ranks(order, key))]
+        self.levels = [(self.packed, _ranks(order, key))]
         while self.levels[-1][1].max(initial=0) < n - 1:
             width, rank = self.levels[-1]
             later = np.zeros(n, np.int64)  # 0: the end of the text comes first
@@ -145,7 +148,7 @@ class RunIndex:
     def common(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Length of the longest common prefix of the suffixes at p and q."""
         n, got = len(self.text), np.zeros(len(p), np.int64)
-        steps = [(w, r) for w, r in reversed(self.levels)] + [(1, self.text)] * (self.PACKED - 1)
+        steps = [(w, r) for w, r in reversed(self.levels)] + [(1, self.text)] * (self.packed - 1)
         for width, rank in steps:
             a, b = p + got, q + got
             inside = (a + width <= n) & (b + width <= n)
@@ -253,57 +256,67 @@ def _count_windows(data: DataFrame, length: int) -> DataFrame:
 
 
 def marks(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
-    """doc_id, marks array<struct<first, windows, bits>>: snippets with repeated windows; null bits mean all."""
-    spark = docs.sparkSession
+    """doc_id, whole, parts: snippets all of whose windows repeat, and the windows of others; a snippet is written as its
+    first window, moved up by 32 bits, and its number of windows."""
     found = occurrences(docs, length, k)
     # smallest and largest digest tell whether all snippets of an anchor are equal
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-    repeated = anchors.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
-    rows, rows_path = stage(found.join(repeated, "anchor"), "repeated-anchors")
+    # both tables that meet frequent anchors are written first: then Spark can split the frequent ones in the joins
+    repeated, _ = stage(anchors.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchors")
+    rows, _ = stage(found.join(repeated, "anchor"), "repeated-anchors")
     mixed = rows.where("mixed").groupBy("anchor", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "first", "windows")).alias("at")
     )
+    mixed, _ = stage(mixed, "snippets")
     kinds = mixed.groupBy("anchor").agg((F.count(F.lit(1)) > MOST_SNIPPETS).alias("many"))
     wanted = mixed.join(kinds, "anchor").select("at.*", "anchor", "digest", (F.col("n") == 1).alias("alone"), "many")
-    few = _snippet_bytes(docs, wanted.where("not many").drop("many"), length)
-    many = _snippet_bytes(docs, wanted.where("many").drop("many"), length)
-    decided = _index_anchors(few, length)
-    if wanted.where("many").limit(1).count():
-        decided = decided.unionByName(_count_windows(many, length))
-    decided, _ = stage(decided, "repeated-windows")
+    decided = _index_anchors(_snippet_bytes(docs, wanted.where("not many").drop("many"), length), length)
+    if kinds.where("many").limit(1).count():
+        decided = decided.unionByName(_count_windows(_snippet_bytes(docs, wanted.where("many").drop("many"), length), length))
     # a snippet found twice repeats as a whole, whatever the index says of its windows
     twice = mixed.where("n > 1").select("anchor", "digest", F.lit(True).alias("twice"))
-    verdict = twice.join(decided, ["anchor", "digest"], "full").select("anchor", "digest", "twice", F.when(F.col("twice").isNull(), F.col("bits")).alias("bits"))
-    place = F.struct("first", "windows", "bits")
+    verdict = twice.join(decided, ["anchor", "digest"], "full").select("anchor", "digest", F.when(F.col("twice").isNull(), F.col("bits")).alias("bits"))
+    verdict, _ = stage(verdict, "repeated-windows")
     whole = rows.where("not mixed").select("doc_id", "first", "windows", F.lit(None).cast("binary").alias("bits"))
     parts = rows.where("mixed").join(verdict, ["anchor", "digest"]).select("doc_id", "first", "windows", "bits")
-    return whole.unionByName(parts).groupBy("doc_id").agg(F.collect_list(place).alias("marks"))
+    place = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("windows").cast("long"))
+    return whole.unionByName(parts).groupBy("doc_id").agg(
+        F.collect_list(F.when(F.col("bits").isNull(), place)).alias("whole"),
+        F.collect_list(F.when(F.col("bits").isNotNull(), F.struct(place.alias("place"), "bits"))).alias("parts"),
+    )
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER, as_text: bool = False) -> DataFrame:
     """docs without `text`, with kept (binary: the bytes that no repeated window covers), n_bytes, n_removed, n_spans.
     as_text: `text` in place of `kept`; characters of which only a part is left go."""
-    joined = docs.join(marks(docs, length, k).withColumnRenamed("marks", "_marks"), "doc_id", "left")
+    found = marks(docs, length, k).select("doc_id", F.col("whole").alias("_whole"), F.col("parts").alias("_parts"))
+    joined = docs.join(found, "doc_id", "left")
 
-    def make(batch: list[str], lists: list) -> list:
+    def make(batch: list[str], wholes: list, lists: list) -> list:
         kept, n_bytes, n_removed, n_spans = [], [], [], []
-        for text, parts in zip(batch, lists):
-            data = text.encode()
-            change = np.zeros(len(data) + 1, np.int64)
-            for x in parts or ():
-                windows = x["windows"]
-                bits = np.ones(windows, bool) if x["bits"] is None else np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=windows).astype(bool)
-                at = x["first"] + np.flatnonzero(bits)
-                at = at[at + length <= len(data)]
-                np.add.at(change, at, 1)
-                np.add.at(change, at + length, -1)
-            gone = np.cumsum(change[:-1]) > 0
-            rest = np.frombuffer(data, np.uint8)[~gone].tobytes() if parts else data
+        for text, whole, parts in zip(batch, wholes, lists):
+            rest = data = text.encode()
+            removed = spans = 0
+            if whole or parts:
+                change = np.zeros(len(data) + 1, np.int64)
+                place = np.array(whole, np.int64)
+                np.add.at(change, place >> 32, 1)
+                np.add.at(change, np.minimum((place >> 32) + (place & 0xFFFFFFFF) - 1 + length, len(data)), -1)
+                for x in parts:
+                    bits = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=x["place"] & 0xFFFFFFFF)
+                    at = (x["place"] >> 32) + np.flatnonzero(bits)
+                    change[at] += 1
+                    change[at + length] -= 1
+                gone = np.cumsum(change[:-1]) > 0
+                removed = int(np.count_nonzero(gone))
+                spans = int(gone[:1].sum() + np.count_nonzero(gone[1:] & ~gone[:-1]))
+                if removed:
+                    rest = np.frombuffer(data, np.uint8)[~gone].tobytes()
             kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
             n_bytes.append(len(data))
-            n_removed.append(int(gone.sum()))
-            n_spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
+            n_removed.append(removed)
+            n_spans.append(spans)
         return [kept, n_bytes, n_removed, n_spans]
 
     first = {"text": "string"} if as_text else {"kept": "binary"}
-    return map_texts(joined, make, first | {"n_bytes": "long", "n_removed": "long", "n_spans": "long"}, "text", ("_marks",))
+    return map_texts(joined, make, first | {"n_bytes": "long", "n_removed": "long", "n_spans": "long"}, "text", ("_whole", "_parts"))
