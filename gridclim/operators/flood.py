@@ -5,8 +5,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridclim.functions import labels
-from gridclim.operators.interp import interpolate
+from gridclim.operators.interp import curves, interpolate, value_at
 from gridclim.plans.request import flood_window_valid
+from gridclim.sources import store
 
 RUNOFF_MATCH_MM = 0.1
 STEPS = 60
@@ -144,6 +145,7 @@ def shortfall(threshold: Column, depth: Column) -> Column:
     return F.greatest(F.lit(0.0), threshold - depth)
 
 
+KINDS = {"delta_t": "delta_t_degC", "il": "_il", "cl": "_cl"}
 REGIME = ["point_id", "duration_hr", "scenario", "horizon"]
 
 
@@ -163,33 +165,28 @@ def match_event_rate(events: DataFrame, curve: DataFrame, keys: list[str] = REGI
     both as straight lines between logarithms."""
     on_runoff = F.col("current_runoff_mm") >= RUNOFF_MATCH_MM
 
-    def side(measure: str, tag: str) -> tuple[DataFrame, DataFrame]:
-        w = W.partitionBy(*keys, measure).orderBy("event_rate_per_year")
-        once = curve.where((F.col("event_rate_per_year") > 0) & (F.col(measure) > 0)).withColumn("_n", F.row_number().over(w)).where("_n = 1")
-        logs = once.select(*keys, F.log10(measure).alias(f"_x_{tag}"), F.log10("event_rate_per_year").alias(f"_y_{tag}"))
-        return logs, once.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n_{tag}"))
+    def side(measure: str, name: str) -> DataFrame:
+        logs = curve.where((F.col("event_rate_per_year") > 0) & (F.col(measure) > 0))
+        return curves(logs.withColumns({"_x": F.log10(measure), "_y": F.log10("event_rate_per_year")}), keys, "_x", "_y", name)
 
-    runoff, n_runoff = side("future_runoff_mm", "r")
-    short, n_short = side("future_rainfall_shortfall_mm", "s")
-    asked = events.withColumns({
-        "_at_r": F.when(on_runoff, F.log10("current_runoff_mm")),
+    found = events.join(side("future_runoff_mm", "_r"), keys, "left").join(side("future_rainfall_shortfall_mm", "_s"), keys, "left").withColumns({
         "_at_s": F.when(~on_runoff & (F.col("current_rainfall_shortfall_mm") > 0), F.log10("current_rainfall_shortfall_mm")),
     })
-    found = interpolate(asked, runoff, keys, "_at_r", "_x_r", "_y_r", "_log_r")
-    found = interpolate(found, short, keys, "_at_s", "_x_s", "_y_s", "_log_s")
-    found = found.join(n_runoff, keys, "left").join(n_short, keys, "left")
-    few = lambda c: F.coalesce(c, F.lit(0)) < 2
+    found = found.withColumns({
+        "_log_r": F.when(on_runoff, value_at(F.col("_r"), F.log10("current_runoff_mm"))), "_log_s": value_at(F.col("_s"), F.col("_at_s")),
+    })
+    few = lambda c: c.isNull() | (F.size(c) < 2)
     status = (
         F.when(F.col("current_runoff_mm").isNull() | F.isnan("current_runoff_mm"), "invalid_current_runoff")
-        .when(on_runoff & few(F.col("_n_r")), "insufficient_positive_future_runoff_curve")
+        .when(on_runoff & few(F.col("_r")), "insufficient_positive_future_runoff_curve")
         .when(on_runoff & F.col("_log_r").isNull(), "current_runoff_outside_future_curve")
         .when(on_runoff, "matched_loglog_runoff")
         .when(F.col("_at_s").isNull(), "invalid_current_rainfall_shortfall")
-        .when(few(F.col("_n_s")), "insufficient_positive_future_shortfall_curve")
+        .when(few(F.col("_s")), "insufficient_positive_future_shortfall_curve")
         .when(F.col("_log_s").isNull(), "current_shortfall_outside_future_curve").otherwise("matched_loglog_shortfall")
     )
     rate = F.pow(F.lit(10.0), F.coalesce("_log_r", "_log_s"))
-    return found.withColumns({"match_status": status, "future_event_rate_per_year": rate}).drop("_at_r", "_at_s", "_log_r", "_log_s", "_n_r", "_n_s")
+    return found.withColumns({"match_status": status, "future_event_rate_per_year": rate}).drop("_at_s", "_log_r", "_log_s", "_r", "_s")
 
 
 def frequency_change(rate: str = "future_event_rate_per_year", current: str = "current_event_rate_per_year") -> dict[str, Column]:
@@ -222,8 +219,11 @@ def future_regimes(events: DataFrame, factors: DataFrame, windows: DataFrame, sc
     sites = events.select("point_id", "context", "duration_hr", "current_initial_loss_mm", "current_continuing_loss_mm_per_hr").distinct()
     made = sites.crossJoin(windows).crossJoin(scenarios.where("scenario <> 'historical'")).where(flood_window_valid(F.col("scenario"), F.col("end_year")))
     made = made.withColumn("horizon_year", labels.representative_year(F.col("start_year"), F.col("end_year")))
-    for kind, name in (("delta_t", "delta_t_degC"), ("il", "_il"), ("cl", "_cl")):
-        made = factor_at_year(made, factors, kind, "horizon_year", name)
+    found = curves(factors, ["point_id", "scenario", "kind"], "year", "value", "_curve").groupBy("point_id", "scenario").agg(
+        *(F.max_by("_curve", F.when(F.col("kind") == kind, 1)).alias(f"_{kind}_curve") for kind in KINDS))
+    made = made.join(found, ["point_id", "scenario"], "left").withColumns({
+        name: value_at(F.col(f"_{kind}_curve"), F.col("horizon_year")) for kind, name in KINDS.items()
+    }).drop(*(f"_{kind}_curve" for kind in KINDS))
     urban, dt, hours = F.col("context") == "urban", F.col("delta_t_degC"), F.col("duration_hr")
     made = made.withColumns({
         "rainfall_alpha_pct_per_degC": rainfall_alpha(hours), "rainfall_factor": rainfall_factor(hours, dt),
@@ -250,9 +250,11 @@ def historical_rows(events: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def flood_hazard(sites: DataFrame, ifd: DataFrame, factors: DataFrame, losses: DataFrame, windows: DataFrame, scenarios: DataFrame, durations: DataFrame, aris: DataFrame, steps: int = STEPS) -> DataFrame:
-    """The whole screening: a row per site, duration, event, scenario and horizon, rounded."""
-    events = current_events(sites, ifd, losses, durations, aris, steps)
-    regimes = future_regimes(events, factors, windows, scenarios, steps)
+    """The whole screening: a row per site, duration, event, scenario and horizon, rounded. Design tables, events and regimes
+    are used more than once, so they are written in between."""
+    ifd = store.settle(ifd, "ifd")
+    events = store.settle(current_events(sites, ifd, losses, durations, aris, steps), "events")
+    regimes = store.settle(future_regimes(events, factors, windows, scenarios, steps), "regimes")
     curve = future_runoff_curve(regimes, ifd, steps)
     shared = [c for c in ("context", "current_initial_loss_mm", "current_continuing_loss_mm_per_hr") if c in regimes.columns]
     asked = events.join(regimes.drop(*shared), ["point_id", "duration_hr"])

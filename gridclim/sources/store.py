@@ -1,5 +1,6 @@
 """The partitioned store of observations, feature tables, sites, and the sinks."""
 
+import atexit
 import uuid
 from collections.abc import Sequence
 
@@ -99,8 +100,26 @@ def retain_source(derived: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the warehouse, which all executors share."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder that all executors share: below spark.checkpoint.dir, or in the warehouse where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001  the session may be gone already
+        pass
+
+
+def settle(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written once and read again: for what several later steps use. The folder goes when the program ends."""
+    spark = rows.sparkSession
+    path = scratch(spark, name)
+    rows.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def write_series(series: DataFrame, path: str, keys: Sequence[str], overwrite: bool = False) -> None:
