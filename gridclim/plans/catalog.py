@@ -4,9 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridclim.plans import climate, floods, requests, spatial
+from gridclim.plans import climate, floods, requests, spatial, workflows
 
-MODULES = (climate, requests, spatial, floods)
+MODULES = (climate, requests, spatial, floods, workflows)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

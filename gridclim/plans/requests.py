@@ -23,8 +23,8 @@ def query(sql: str | None = None):
 
 @query(f"""WITH {OBS} SELECT scenario, horizon, gcm, 'R' || rcm AS rcm, source, value::DOUBLE AS value FROM obs WHERE scenario = 'ssp245' AND gcm IN ('1-URGENT', '2-HIGH') AND rcm IN ('F', 'O')""")
 def s1_scan_obs(spark, sf):
-    rows = proxy.obs(spark, sf).withColumn("rcm", F.concat(F.lit("NARCliM2-0-WRF412R"), "rcm"))
-    found = store.select_obs(rows, scenarios=["ssp245"], gcms=["1-URGENT", "2-HIGH"], rcms=["RF", "NARCliM2-0-WRF412RO"])
+    rows = proxy.obs(spark, sf).withColumn("rcm", F.concat(F.lit("long-name-R"), "rcm"))
+    found = store.select_obs(rows, scenarios=["ssp245"], gcms=["1-URGENT", "2-HIGH"], rcms=["RF", "long-name-RO"], rcm_prefix="long-name-")
     return found.select("scenario", "horizon", "gcm", "rcm", "source", F.col("value").cast("double").alias("value"))
 
 

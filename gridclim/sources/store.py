@@ -12,20 +12,20 @@ from gridclim.functions.labels import safe_name
 
 #: Partition columns of the store, outermost first.
 LAYOUT = ("variable", "scenario", "horizon", "gcm", "rcm", "feature_id")
-#: Fixed: what the long names of regional models begin with; the rest is their alias.
-RCM_PREFIX = "NARCliM2-0-WRF412"
 
 
-def select_obs(obs: DataFrame, variables=None, scenarios=None, gcms=None, rcms=None, feature_ids=None) -> DataFrame:
-    """Rows of the wanted keys (None: all); long and short names of regional models are equal. The filters are plain
-    comparisons of partition columns, so that Spark reads only the matching partitions."""
-    short = lambda names: [x.removeprefix(RCM_PREFIX) for x in names]
+def select_obs(obs: DataFrame, variables=None, scenarios=None, gcms=None, rcms=None, feature_ids=None, rcm_prefix: str = "") -> DataFrame:
+    """Rows of the wanted keys (None: all). rcm_prefix is what the long names of regional models begin with: long and short
+    names are equal, and the result has the short ones. The filters are plain comparisons of partition columns, so that
+    Spark reads only the matching partitions."""
+    short = lambda names: [x.removeprefix(rcm_prefix) for x in names]
     for column, wanted in (("variable", variables), ("scenario", scenarios), ("gcm", gcms), ("feature_id", feature_ids)):
         if wanted is not None:
             obs = obs.where(F.col(column).isin(*wanted))
     if rcms is not None:
-        obs = obs.where(F.col("rcm").isin(*short(rcms), *(RCM_PREFIX + x for x in short(rcms))))
-    return obs.withColumn("rcm", F.regexp_replace("rcm", f"^{RCM_PREFIX}", ""))
+        obs = obs.where(F.col("rcm").isin(*short(rcms), *(rcm_prefix + x for x in short(rcms))))
+    cut = F.substr("rcm", F.lit(len(rcm_prefix) + 1))
+    return obs.withColumn("rcm", F.when(F.startswith("rcm", F.lit(rcm_prefix)), cut).otherwise(F.col("rcm")))
 
 
 def scan_obs(spark: SparkSession, root: str, **wanted) -> DataFrame:
