@@ -129,7 +129,7 @@ def load(path: str) -> ByteBPE:
 
 def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     """docs without `column`, with `ids` (binary, little-endian unsigned 32-bit) in its place."""
-    return map_texts(docs, lambda batch: [[load(path).encode(t) for t in batch]], {"ids": "binary"}, column)
+    return map_texts(docs, lambda batch: [[load(path).encode(t) for t in batch]], {"ids": "binary"}, column, done=lambda: load(path).known.clear())
 
 
 def round_trip_digests(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
@@ -145,4 +145,4 @@ def round_trip_digests(docs: DataFrame, path: str, column: str = "text") -> Data
             text_digest.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
         return [n_tokens, ids_digest, text_digest]
 
-    return map_texts(docs, make, {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}, column)
+    return map_texts(docs, make, {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}, column, done=lambda: load(path).known.clear())

@@ -10,11 +10,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are worked on in slices of about so many characters, which bounds the memory of a task.
 SLICE_CHARS = 1_000_000
+#: Rows that Spark hands to Python at once, unless the session has its own setting: rows of text are long.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's batch size for long rows, where the user has set none."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -66,14 +76,18 @@ def texts(pdf: pd.DataFrame, column: str = "text") -> list[str]:
 
 def slices(items: list, most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of the list whose lengths sum to about `most`; a longer item stands alone."""
+    return _ranges([len(x) for x in items], most)
+
+
+def _ranges(lengths: list[int], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     start = held = 0
-    for i, x in enumerate(items):
-        if held and held + len(x) > most:
+    for i, n in enumerate(lengths):
+        if held and held + n > most:
             yield start, i
             start, held = i, 0
-        held += len(x)
-    if start < len(items):
-        yield start, len(items)
+        held += n
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def segment_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -86,26 +100,32 @@ def segment_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
 
 
-def map_texts(docs: DataFrame, make: Callable, added: dict[str, str], column: str = "text", inputs: tuple[str, ...] = ()) -> DataFrame:
+def map_texts(
+    docs: DataFrame, make: Callable, added: dict[str, str], column: str = "text", inputs: tuple[str, ...] = (), done: Callable[[], None] | None = None
+) -> DataFrame:
     """Apply make() to slices of the texts, inside tasks; null is an empty text.
 
     make(texts, *inputs) returns the added columns in order, or a tuple (indices, columns) where one document gives
     any number of rows: indices say which text each row comes from. Other columns pass through as they are; where
     one has the name of an added column, the added one takes its place. `inputs` are handed to make() and dropped.
+    done() is called when a task has no more texts: Python processes outlive tasks, and so does what they remember.
     """
+    small_batches(docs.sparkSession)
     kept = [f for f in docs.schema if f.name not in {column, *added, *inputs}]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x or "" for x in batch.column(column).to_pylist()]
-            for a, b in slices(found):
-                made = make(found[a:b], *(batch.column(x)[a:b].to_pylist() for x in inputs))
+            found = batch.column(column)
+            for a, b in _ranges(pc.fill_null(pc.binary_length(found), 0).to_pylist()):
+                made = make([x or "" for x in found[a:b].to_pylist()], *(batch.column(x)[a:b].to_pylist() for x in inputs))
                 rest = batch.select([f.name for f in kept]).slice(a, b - a)
                 if isinstance(made, tuple):
                     at, made = made
                     rest = rest.take(pa.array(at, pa.int64()))
                 new = [pa.array(v, _ARROW[t]) for v, t in zip(made, added.values(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*rest.columns, *new], [*rest.schema.names, *added])
+        if done is not None:
+            done()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{n} {t}" for n, t in added.items())])
     return docs.select(*(f.name for f in kept), column, *inputs).mapInArrow(apply, schema)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclim.llm.common import map_texts, slices, texts
+from gridclim.llm.common import map_texts, slices, small_batches, texts
 
 BUCKETS = 1 << 16
 #: Languages that the matrix may have; this bounds what is broadcast (256 x 65536 floats are 64 MB).
@@ -92,6 +92,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: floa
             at = np.flatnonzero(counts)
             yield pd.DataFrame({"lang": name, "bucket": at, "n": counts[at]})
 
+    small_batches(docs.sparkSession)
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     counted = rows.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # at most MOST_LANGUAGES x BUCKETS rows come back, whatever the input

@@ -27,8 +27,8 @@ from gridclim.llm.common import map_texts, stage
 
 #: Pieces that one shard packs; the padding that shards cost is a part of a window each.
 SHARD_PIECES = 20_000
-#: Words whose ids a task remembers; the memory is emptied when full.
-REMEMBERED = 600_000
+#: Words whose ids a task remembers; the memory is emptied when full, and after the task.
+REMEMBERED = 1_000_000
 #: A comma or full stop between a letter and a blank is a word of its own for the tokenizer.
 WORD_END = re.compile(rb"(?<=[a-z])([,.])(?=[\t-\r ])")
 #: Byte-level vocabularies write each byte as a printable letter: itself if printable, else 256 and on.
@@ -136,7 +136,7 @@ def pieces(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, with
         return at, [start, length, crc, tokens, *([kept] if with_ids else [])]
 
     added = {"start": "long", "length": "long", "ids_crc32": "long", "doc_tokens": "long"}
-    return map_texts(docs.select("doc_id", "text"), cut, added | ({"ids": "binary"} if with_ids else {}))
+    return map_texts(docs.select("doc_id", "text"), cut, added | ({"ids": "binary"} if with_ids else {}), done=lambda: load(path).forget())
 
 
 class OpenWindows:

@@ -32,7 +32,7 @@ from gridclim.llm.common import map_texts, stage
 LENGTH, KMER = 200, 48
 MOST_SNIPPETS = 2_000
 #: An index takes so many bytes of snippets, and the rest of its last anchor.
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 19
 PLACE_BITS = np.uint64(28)
 LETTER = np.random.Generator(np.random.PCG64(10)).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
@@ -109,7 +109,7 @@ def _ranks(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     for key in keys:
         k = key[order]
         new[1:] |= k[1:] != k[:-1]
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.cumsum(new)
     return rank
 
@@ -135,7 +135,7 @@ class RunIndex:
             width, rank = self.levels[-1]
             later = np.zeros(n, np.int64)  # 0: the end of the text comes first
             later[: max(0, n - width)] = rank[width:] + 1
-            pair = rank * (n + 1) + later
+            pair = rank.astype(np.int64) * (n + 1) + later
             order = np.argsort(pair)
             self.levels.append((2 * width, _ranks(order, pair)))
             if width > n:
