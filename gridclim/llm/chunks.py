@@ -72,7 +72,7 @@ def _digest(chunk: bytes) -> bytes:
 
 
 def _squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=6).compress(data)
 
 
 def _recipe(digests: list[bytes], lengths: list[int]) -> bytes:
