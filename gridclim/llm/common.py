@@ -97,7 +97,7 @@ def segment_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 
 
 #: Types that map_texts() can add.
-_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
 def map_texts(

@@ -189,6 +189,44 @@ def test_perplexity_rejects_text_unlike_the_rest(spark):
     assert not got[900] and all(got[i] for i in range(80))
 
 
+def test_model_of_true_characters_equals_numpy(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abAB ,.\u00e9\u6f22\U0001f600\x00") for _ in range(rng.randrange(60))) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    alphabet = sorted(set("".join(texts)))
+    packed = [[sum(alphabet.index(c) << 4 * (4 - k) for k, c in enumerate(t[i : i + 5])) for i in range(len(t) - 4)] for t in texts]
+    grams, counts = np.unique(np.array(sum(packed, []), np.int64), return_counts=True)
+    model = quality.KneserNey(grams, counts, order=5, bits=4, base=1 / 0x110000)
+    want = {i: -model.log_prob(np.array(p)).mean() for i, p in enumerate(packed) if p}
+    fitted = quality.fit(docs)
+    assert fitted.count() == len(grams)
+    for head in (1 << 20, len(grams) // 50, 0):  # all broadcast, some, none
+        got = {r.doc_id: r.log_ppl for r in quality.score(docs, fitted, head).collect() if r.log_ppl is not None}
+        assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], rel=1e-9) for i in want)
+
+
+def test_counts_beyond_one_tasks_alphabet(spark):
+    texts = ["".join(chr(0x4E00 + (k * 7 + i) % 5000) for k in range(5000)) for i in range(3)] + ["abcdef" * 3]
+    got = {(r.hi, r.lo): r.n for r in quality.count_grams(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).collect()}
+    want = collections.Counter(t[i : i + 5] for t in texts for i in range(len(t) - 4))
+    unpack = lambda hi, lo: "".join(map(chr, (hi >> 21, hi & 0x1FFFFF, lo >> 42, lo >> 21 & 0x1FFFFF, lo & 0x1FFFFF)))
+    assert {unpack(*g): n for g, n in got.items()} == want
+
+
+def test_shuffled_and_garbled_texts_are_rejected(spark):
+    rng = random.Random(9)
+    docs = pd.read_parquet(f"{LARGER}/documents.parquet")
+    long = docs[(docs.lang == "en") & docs.text.str.len().between(1000, 4000)].head(20)
+    shuffled = lambda x: "".join(rng.sample(x, len(x)))
+    spoil = [shuffled, lambda t: " ".join(map(shuffled, t.split())), lambda t: "".join(rng.choice("qxzjkvw") if rng.random() < 0.2 else c for c in t)]
+    rows = [(10**6 * (k + 1) + int(i), "en", f(t)) for i, t in zip(long.doc_id, long.text) for k, f in enumerate(spoil)]
+    whole = spark.createDataFrame(docs[["doc_id", "lang", "text"]].values.tolist() + [list(r) for r in rows], "doc_id long, lang string, text string")
+    got = quality.judge(whole).toPandas()
+    planted = (got.doc_id >= 10**6) & ~got.base_failed
+    assert planted.sum() >= 50 and got[planted].kept.mean() < 0.1
+    assert got[(got.doc_id < 10**6) & ~got.base_failed].kept.mean() > 0.95
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     got = run(spark, "op6_toxicity", sf)
