@@ -224,7 +224,10 @@ def g17_sample_point(spark, sf):
 @query()
 def g18_bilinear_regrid(spark, sf):
     source = pixels(spark, sf).where("stat = 'mean'")
-    target = spark.range(40 * 30).select((F.col("id") % 40).cast("int").alias("px"), F.floor(F.col("id") / 40).cast("int").alias("py"), F.lit(WEST + 0.007).alias("west"), F.lit(NORTH - 0.007).alias("north"), F.lit(0.015).alias("res"))
+    fine = F.explode(F.sequence(F.lit(0), F.lit(1)))
+    # a finer grid over the whole of the source: four pixels, shifted, for each of its own
+    target = source.select("px", "py", "west", "north", "res").withColumn("_i", fine).withColumn("_j", fine).select(
+        (2 * F.col("px") + F.col("_i")).alias("px"), (2 * F.col("py") + F.col("_j")).alias("py"), (F.col("west") + 0.003).alias("west"), (F.col("north") - 0.003).alias("north"), (F.col("res") / 2).alias("res"))
     return grid.bilinear(source, target)
 
 

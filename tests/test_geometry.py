@@ -1,9 +1,11 @@
 """Polygon, cell and raster operators against dense sampling."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gridclim.operators import geometry, grid, zonal
+from gridclim.plans import spatial
 
 
 def rotated(spark, n=8):
@@ -94,3 +96,19 @@ def test_no_pixels_give_null_and_zero(spark):
     pixels = spark.createDataFrame([(0, 0, 1.0, 0.0, 1.0, 1.0), (1, 0, None, 0.0, 1.0, 1.0)], "px int, py int, value double, west double, north double, res double")
     got = {r.feature_id: (r.value, r.n_pixels) for r in zonal.zonal_mean(pixels.withColumn("variable", F.lit("v")), polygon(spark, far=[FAR], near=[[(0.2, 0.2), (1.5, 0.2), (1.5, 0.8)]])).collect()}
     assert got == {"far": (None, 0), "near": (1.0, 1)}
+
+
+def test_the_whole_raster_is_regridded(spark):
+    sf = "/root/testdata/sf0.001"
+    source = spatial.pixels(spark, sf).where("stat = 'mean'").toPandas()
+    have = {(r.px, r.py): r.value for r in source.itertuples() if not np.isnan(r.value)}
+    want = {}
+    for px, py in {(2 * r.px + i, 2 * r.py + j) for r in source.itertuples() for i in (0, 1) for j in (0, 1)}:
+        x, y = (0.003 + (px + 0.5) * 0.01) / 0.02 - 0.5, (0.003 + (py + 0.5) * 0.01) / 0.02 - 0.5
+        x0, y0 = int(np.floor(x)), int(np.floor(y))
+        near = [((1 - abs(x - a)) * (1 - abs(y - b)), have[a, b]) for a in (x0, x0 + 1) for b in (y0, y0 + 1) if (a, b) in have]
+        if near:
+            want[px, py] = sum(w * v for w, v in near) / sum(w for w, _ in near)
+    got = {(r.px, r.py): r.value for r in spatial.g18_bilinear_regrid(spark, sf).collect()}
+    assert got.keys() == want.keys() and max(py for _, py in got) >= 2 * source.py.max()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
