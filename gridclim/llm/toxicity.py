@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Learning takes a bounded sample of labelled rows (PER_CLASS of each label, by hash of the id). Spark counts in how many
-sampled texts of each label a term occurs; terms are words and word beginnings, of which the VOCABULARY most telling
-ones by chi-square are weighed by TF-IDF. Examples stand in blocks; a term's largest weight in each block bounds what
+Learning takes a bounded sample of labelled rows (PER_CLASS of each label, by hash of the id). Terms are words and word
+beginnings; every term of every example is in the index, weighed by TF-IDF, with the number of all documents that have
+the term, counted on Spark. Words that no example has are in no vector. Examples stand in blocks; a term's largest weight in each block bounds what
 the block can reach, so that blocks below the K-th best cosine are skipped and the K nearest are still exact. Their
 votes, weighted by nearness, are calibrated by a logistic curve fitted on the sample with each example left out.
 
@@ -25,11 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclim.llm.common import map_texts, slices
+from gridclim.llm.common import map_texts, slices, small_batches
 
-PER_CLASS, VOCABULARY = 2_000, 4_096
-#: A term tells enough if its chi-square reaches this, and this share of the number of examples.
-LEAST_CHI2, LEAST_SHARE = 20.0, 0.01
+PER_CLASS = 2_000
 BLOCK, K, SEED_BLOCKS = 64, 10, 4
 BEGINNINGS = (4, 5, 6)
 WORDS = re.compile(r"\w+")
@@ -166,17 +164,29 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxic
         return at, [names, counts]
 
     listed_terms = map_texts(sample, listed, {"term": "string", "n": "int"})
-    toxic = F.count(F.when(F.col("toxic") == 1, 1))
-    by_term = listed_terms.groupBy("term").agg(toxic.alias("a"), (F.count(F.lit(1)) - toxic).alias("b"))
     n1, n0 = (rows.where(F.col("toxic") == y).count() for y in (1, 0))
     if not n1 or not n0:
         return index
-    a, b = F.col("a"), F.col("b")
-    spread = (a + b) * (n1 + n0 - a - b) * n1 * n0
-    chi2 = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2)) / F.greatest(spread.cast("double"), F.lit(1.0))
-    telling = by_term.withColumn("chi2", chi2).where(F.col("chi2") >= max(LEAST_CHI2, LEAST_SHARE * (n1 + n0))).orderBy(F.desc("chi2"), "term").limit(VOCABULARY).collect()
-    index.vocabulary = {r["term"]: i for i, r in enumerate(telling)}
-    index.idf = np.log((n1 + n0 + 1) / (np.array([r["a"] + r["b"] for r in telling], np.float64) + 1)) + 1
+    # bounded by the examples, not by the documents
+    index.vocabulary = {r["term"]: i for i, r in enumerate(listed_terms.select("term").distinct().orderBy("term").collect())}
+    size, shared = len(index.vocabulary), spark.sparkContext.broadcast(index.vocabulary)
+
+    def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each term, in how many of the task's documents it occurs; at -1 the number of these."""
+        held, seen = np.zeros(size, np.int64), 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = _features(terms_of(text), shared.value)
+                held[np.fromiter((shared.value[t] for t in found), np.int64, len(found))] += 1
+            seen += batch.num_rows
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(held[at], seen))], ["term", "n"])
+
+    small_batches(spark)
+    counted = docs.where("text is not null").select("text").mapInArrow(occur, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(size + 1)
+    n[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    index.idf = np.log((n[-1] + 1) / (n[:-1] + 1)) + 1
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxic
                 columns = [batch.column("doc_id")[s:e], batch.column("toxic")[s:e], pa.array([t.tolist() for t, _ in made], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in made], pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "terms", "weights"])
 
-    # a row per sampled document, each with at most VOCABULARY entries
+    # a row per sampled document, with the terms of its text
     got = sample.mapInArrow(weigh, "doc_id long, toxic int, terms array<long>, weights array<double>").collect()
     # alike examples stand in the same blocks: by label, then by their heaviest term
     heaviest = lambda r: r["terms"][int(np.argmax(r["weights"]))] if r["terms"] else -1

@@ -260,6 +260,19 @@ def test_nearest_examples_are_exact():
         assert np.allclose(got, cosine[order][cosine[order] > 0][: len(got)]) and len(ids) == (cosine[order] > 0).sum()
 
 
+def test_every_term_of_the_examples_is_weighed_by_all_documents(spark):
+    rng = random.Random(11)
+    common = [f"word{k}" for k in range(200)]
+    rows = [(i, " ".join(rng.sample(common, 30)) + f" mark{i // 2}" * (i < 60)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, toxic int")
+    index = toxicity.fit(docs, labels)
+    terms = {i: set(toxicity._features(toxicity.terms_of(t))) for i, t in rows}
+    assert set(index.vocabulary) == set().union(*(terms[i] for i in range(120)))
+    for t in ("mark3", "word7", "word*"):
+        assert index.idf[index.vocabulary[t]] == pytest.approx(np.log(301 / (sum(t in x for x in terms.values()) + 1)) + 1)
+
+
 def test_media_are_rebuilt(spark, docs):
     got = run(spark, "op8_media_chunks")
     for i, text in zip(docs.doc_id, docs.text):
