@@ -1,5 +1,7 @@
 """Ensemble operators: members are (gcm, rcm); statistics run over members, per cell or per area."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,19 @@ def _keys(df: DataFrame, *names: str) -> list[str]:
     return [c for c in names if c in df.columns]
 
 
+def select_layers(stats: DataFrame, variables: list[str] | None = None, scenarios: list[str] | None = None, horizons: list[str] | None = None, stat_names: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows of the wanted variables (by what their names begin with), scenarios and horizons, all without regard to case, and of
+    the statistics' columns the wanted ones; None takes all."""
+    if variables is not None:
+        begins = [F.startswith(F.lower("variable"), F.lit(v.lower())) for v in variables]
+        stats = stats.where(reduce(lambda a, b: a | b, begins, F.lit(False)))
+    for column, wanted in (("scenario", scenarios), ("horizon", horizons)):
+        if wanted is not None:
+            stats = stats.where(F.lower(column).isin([w.lower() for w in wanted]))
+    every = [f"{a}{b}" for a in ("", "baseline_", "change_") for b in ("min", "mean", "max")]
+    return stats.drop(*(c for c in every if c not in stat_names)) if stat_names is not None else stats
+
+
 def duplicate_periods(series: DataFrame) -> DataFrame:
     """Member, period and cell of values that occur more than once."""
     keys = _keys(series, *SERIES, *MEMBER, "period", *CELL)

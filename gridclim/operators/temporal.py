@@ -69,10 +69,21 @@ def aggregate(obs: DataFrame, frequency: str, how: str = "sum") -> DataFrame:
     return done.withColumns({"period": labels.analysis_period(frequency, *parts), "time": labels.analysis_time(frequency, *parts)})
 
 
-def horizon_mean(obs: DataFrame) -> DataFrame:
-    """Mean of all time steps of a horizon for each member and cell, nulls aside."""
+def horizon_mean(obs: DataFrame, file: str | None = None) -> DataFrame:
+    """Mean of all time steps of a horizon for each member and cell, nulls aside.
+
+    file: the column that names the file of each row. Where it is given, the files of a member must have exactly the same
+    cells, or an error is raised.
+    """
     keys = [c for c in (*SERIES, *MEMBER, *CELL) if c in obs.columns]
-    return obs.groupBy(*keys).agg(mean("value").alias("value"))
+    done = obs.groupBy(*keys).agg(mean("value").alias("value"))
+    if file is None:
+        return done
+    own = [k for k in keys if k not in CELL]
+    held = obs.groupBy(*own, file).agg(F.count_distinct(*CELL).alias("_cells")).groupBy(*own).agg(F.min("_cells").alias("_least"))
+    total = obs.groupBy(*own).agg(F.count_distinct(*CELL).alias("_total")).join(held, own)
+    wrong = F.raise_error(F.lit("the files of a member don't share their cells")).cast("double")
+    return done.join(total, own).withColumn("value", F.when(F.col("_least") < F.col("_total"), wrong).otherwise(F.col("value"))).drop("_least", "_total")
 
 
 def period_metadata(obs: DataFrame) -> DataFrame:

@@ -341,5 +341,5 @@ def p20_map_labels(spark, sf):
 
 @query(f"WITH {OBS}, {MEANS}, {HORIZON} SELECT {KEYS}, grid_row, grid_col, min, max FROM stats WHERE lower(variable) LIKE 'pr%' AND lower(scenario) = 'ssp245'")
 def p21_ensemble_filters(spark, sf):
-    stats = _stats(spark, sf).where(F.lower("variable").startswith("pr") & (F.lower("scenario") == "ssp245"))
-    return stats.select(*KEYS.split(", "), "grid_row", "grid_col", "min", "max")
+    wanted = ensemble.select_layers(_stats(spark, sf), variables=["PR"], scenarios=["SSP245"], stat_names=("min", "max"))
+    return wanted.select(*KEYS.split(", "), "grid_row", "grid_col", "min", "max")

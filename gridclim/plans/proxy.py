@@ -17,7 +17,6 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("time")
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .where(year.between(1995, 2000))
         .select(
             F.lit("prAdjust").alias("variable"),
             F.when(year <= 1997, "historical").otherwise("ssp245").alias("scenario"),
@@ -37,7 +36,7 @@ OBS = """obs AS (
     CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
     CAST(c_nationkey // 5 AS INT) AS grid_row, CAST(c_nationkey % 5 AS INT) AS grid_col,
     CAST(o_totalprice AS DECIMAL(18,2)) AS value, o_orderkey AS source
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) BETWEEN 1995 AND 2000)"""
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 
 def wind(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,11 +19,10 @@ def unknown_choices(wanted: DataFrame, known: DataFrame, column: str) -> DataFra
 
 
 def assign_window(rows: DataFrame, windows: DataFrame) -> DataFrame:
-    """Each row under every window that holds its year; windows is a dimension of a few rows, checked before it is broadcast."""
-    few = windows.limit(10_001)
-    if few.count() > 10_000:
-        return rows.join(windows, F.col("year").between(F.col("start_year"), F.col("end_year")))
-    return rows.join(F.broadcast(few), F.col("year").between(F.col("start_year"), F.col("end_year")))
+    """Each row under every window that holds its year: windows(start_year, end_year, ...) give a row for each of their years,
+    and the years are joined."""
+    years = windows.withColumn("year", F.explode(F.sequence(F.col("start_year").cast("int"), F.col("end_year").cast("int"))))
+    return rows.join(years, "year")
 
 
 def window_available(scenario: Column, start_year: Column, end_year: Column) -> Column:
@@ -60,17 +59,60 @@ def plan_matrix(variables: DataFrame, scenarios: DataFrame, windows: DataFrame,
     return planned.unionByName(lacking.unionByName(refused.where("status <> 'data_not_available'")).withColumns(none))
 
 
-def manifest(plan: DataFrame, found: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+def failure_status(error: Column) -> Column:
+    """data_not_available where a catalogue's error says that something is missing, catalog_error for other errors."""
+    missing = error.contains("404") | error.contains("No NetCDF files found") | F.lower(error).contains("not found")
+    return F.when(error.isNotNull(), F.when(missing, "data_not_available").otherwise("catalog_error"))
+
+
+def manifest(plan: DataFrame, found: DataFrame, done: DataFrame, keys: list[str], errors: DataFrame | None = None) -> DataFrame:
     """The plan's status after a run: skipped_existing where done has it, no_matching_files or empty_subset where
-    found(keys, n_files, n_rows) lacks it, else saved; refused units keep their status."""
+    found(keys, n_files, n_rows) lacks it, else saved; refused units keep their status.
+
+    errors(keys, catalog_message, processing_message): what the catalogue said, and what went wrong later, null where nothing did;
+    it comes before all but the refusals.
+    """
     held = plan.join(found, keys, "left").join(done.select(*keys).distinct().withColumn("_done", F.lit(True)), keys, "left")
+    failed = F.lit(None).cast("string")
+    if errors is not None:
+        held = held.join(errors.select(*keys, "catalog_message", "processing_message"), keys, "left")
+        failed = F.coalesce(failure_status(F.col("catalog_message")), F.when(F.col("processing_message").isNotNull(), "processing_error"))
     status = (
-        F.when(F.col("status") != "planned", F.col("status")).when(F.col("_done"), "skipped_existing")
+        F.when(F.col("status") != "planned", F.col("status")).when(failed.isNotNull(), failed).when(F.col("_done"), "skipped_existing")
         .when(F.coalesce("n_files", F.lit(0)) == 0, "no_matching_files").when(F.coalesce("n_rows", F.lit(0)) == 0, "empty_subset").otherwise("saved")
     )
     return held.withColumn("status", status).drop("_done")
 
 
+def ensemble_manifest(plan: DataFrame, members: DataFrame, statistics: DataFrame, changes: DataFrame) -> DataFrame:
+    """Status rows of an ensemble run: a planned combination without members, each member's layer, each statistic, each change.
+
+    plan(variable, scenario, horizon, status), members(variable, scenario, horizon, gcm, rcm, feature_id, message),
+    statistics and changes(variable, scenario, horizon, feature_id, stat[, message]); a message that is not null tells an error.
+    """
+    keys = ["variable", "scenario", "horizon"]
+    planned = plan.where("status = 'planned'").select(*keys).distinct()
+    refused = plan.where("status <> 'planned'").select(*keys, "status")
+    lacking = planned.join(members.select(*keys).distinct(), keys, "left_anti").withColumn("status", F.lit("no_input_files"))
+    failed = F.col("message").isNotNull()
+    layers = members.join(planned, keys, "left_semi").withColumn("status", F.when(failed, "model_layer_error").otherwise("model_layer_saved"))
+    rasters = statistics.join(planned, keys, "left_semi").withColumn("status", F.when(failed, "ensemble_error").otherwise("ensemble_raster_saved"))
+    changed = changes.join(planned, keys, "left_semi").withColumn("status", F.lit("ensemble_change_raster_saved"))
+    done = layers
+    for rows in (rasters, changed, refused, lacking):
+        done = done.unionByName(rows, allowMissingColumns=True)
+    return done
+
+
+def series_manifest(wanted: DataFrame, made: DataFrame, done: DataFrame) -> DataFrame:
+    """wanted(variable, scenario, horizon, frequency), made(the same, feature_id, n_rows) and done(the same, feature_id) -> a row
+    for each feature's series: skipped_existing, saved, or no_data; a variable without any series has one row without feature."""
+    keys = ["variable", "scenario", "horizon", "frequency"]
+    found = made.join(done.select(*keys, "feature_id").distinct().withColumn("_done", F.lit(True)), [*keys, "feature_id"], "left")
+    status = F.when(F.col("_done"), "skipped_existing").when(F.coalesce("n_rows", F.lit(0)) > 0, "saved").otherwise("no_data")
+    return wanted.join(found, keys, "left").select(*keys, "feature_id", status.alias("status"))
+
+
 def unfinished(plan: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """What a resumed run still has to do."""
     return plan.join(done, keys, "left_anti")
@@ -85,18 +127,33 @@ def error_preview(rows: DataFrame, order: list[str], n: int = 10) -> DataFrame:
     return rows.where(F.col("status").rlike("error$")).orderBy(*order).limit(n)
 
 
-def discover_scenarios(obs: DataFrame) -> DataFrame:
-    """Scenarios with their rank: historical first, then by name."""
-    found = obs.select("scenario").distinct()
-    rank = F.concat((F.col("scenario") != "historical").cast("int").cast("string"), F.col("scenario"))
-    # a scenario table has a few rows; ranks come from a self-count, not from one ordered partition
-    other = found.select(rank.alias("_other"))
-    return found.withColumn("_rank", rank).join(other, F.col("_other") <= F.col("_rank")).groupBy("scenario").agg(F.count(F.lit(1)).alias("position"))
+#: Variables that are made of others, and so have no data of their own.
+SOURCES = {"tasmeanAdjust": ("tasmaxAdjust", "tasminAdjust")}
+
+
+def source_variables(variables: list[str]) -> list[str]:
+    """The variables with data of their own that the wanted ones need, each once."""
+    return [*dict.fromkeys(source for v in variables for source in SOURCES.get(v, (v,)))]
+
+
+def _of_variables(obs: DataFrame, variables: list[str] | None) -> DataFrame:
+    return obs if variables is None else obs.where(F.col("variable").isin(source_variables(variables)))
+
+
+def discover_scenarios(obs: DataFrame, variables: list[str] | None = None) -> DataFrame:
+    """Scenarios of the wanted variables with their rank: historical first, then by name."""
+    found = _of_variables(obs, variables).select("scenario").distinct()
+    order = F.array_sort(F.collect_list(F.struct((F.col("scenario") != "historical").alias("later"), "scenario")))  # a few names
+    return found.agg(order.alias("all")).select(F.posexplode("all.scenario").alias("position", "scenario")).select("scenario", (F.col("position") + 1).cast("long").alias("position"))
 
 
-def discover_windows(obs: DataFrame) -> DataFrame:
-    """Each horizon with its first and last year; years that differ between its scenarios raise an error."""
-    each = obs.groupBy("horizon", "scenario").agg(F.min("year").alias("start_year"), F.max("year").alias("end_year"))
+def discover_windows(obs: DataFrame, variables: list[str] | None = None) -> DataFrame:
+    """Each horizon with its first and last year; years that differ between its scenarios or variables raise an error. Where obs has
+    requested_start_year and requested_end_year, these count, else the years that there are."""
+    held = _of_variables(obs, variables)
+    asked = [F.max(c).cast("int") if c in obs.columns else F.lit(None).cast("int") for c in ("requested_start_year", "requested_end_year")]
+    by = ["horizon", "scenario", *(["variable"] if "variable" in obs.columns else [])]
+    each = held.groupBy(*by).agg(F.coalesce(asked[0], F.min("year")).alias("start_year"), F.coalesce(asked[1], F.max("year")).alias("end_year"))
     found = each.groupBy("horizon").agg(F.min("start_year").alias("start_year"), F.max("end_year").alias("end_year"), F.count_distinct("start_year", "end_year").alias("_n"))
     checked = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("conflicting years of "), "horizon")).cast("int")).otherwise(F.col("start_year"))
     return found.withColumn("start_year", checked).drop("_n")

@@ -23,8 +23,10 @@ def query(sql: str | None = None):
 
 @query(f"""WITH {OBS} SELECT scenario, horizon, gcm, 'R' || rcm AS rcm, source, value::DOUBLE AS value FROM obs WHERE scenario = 'ssp245' AND gcm IN ('1-URGENT', '2-HIGH') AND rcm IN ('F', 'O')""")
 def s1_scan_obs(spark, sf):
-    rows = proxy.obs(spark, sf).withColumn("rcm", F.concat(F.lit("long-name-R"), "rcm"))
-    found = store.select_obs(rows, scenarios=["ssp245"], gcms=["1-URGENT", "2-HIGH"], rcms=["RF", "long-name-RO"], rcm_prefix="long-name-")
+    """From a partitioned store: only the folders of the wanted keys are read."""
+    path = store.scratch(spark, "store")
+    store.write_obs(proxy.obs(spark, sf).withColumn("rcm", F.concat(F.lit("long-name-R"), "rcm")), path)
+    found = store.scan_obs(spark, path, scenarios=["ssp245"], gcms=["1-URGENT", "2-HIGH"], rcms=["RF", "long-name-RO"], rcm_prefix="long-name-")
     return found.select("scenario", "horizon", "gcm", "rcm", "source", F.col("value").cast("double").alias("value"))
 
 
@@ -38,10 +40,10 @@ def s2_scan_features(spark, sf):
     return store.scan_features(features, "name").select("pos", "feature_id", "geom_type")
 
 
-@query("SELECT row_number() OVER (ORDER BY s_suppkey) AS feature_id, s_suppkey, s_name FROM supplier")
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) AS feature_id, o_orderkey, o_orderpriority FROM orders")
 def s3_summary_features(spark, sf):
-    rows = proxy.table(spark, sf, "supplier").select("s_suppkey", "s_name", F.lit("Point").alias("geom_type"))
-    return store.summary_features(rows, "s_suppkey").select("feature_id", "s_suppkey", "s_name")
+    rows = proxy.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.lit("Point").alias("geom_type"))
+    return store.summary_features(rows, "o_orderkey").select(F.col("feature_id").cast("long").alias("feature_id"), "o_orderkey", "o_orderpriority")
 
 
 @query("""SELECT 'F' || s_suppkey || '_' || trim(regexp_replace(s_name, '[^A-Za-z0-9._-]+', '_', 'g'), '_') AS point_id, s_name AS name,
@@ -60,6 +62,18 @@ def s5_discover_windows(spark, sf):
     return request.discover_windows(proxy.obs(spark, sf))
 
 
+@query(f"""WITH {OBS}, {proxy.TEMPERATURES}, every AS (SELECT 'prAdjust' AS variable, scenario, horizon, year FROM obs UNION ALL SELECT 'tasmaxAdjust', scenario, horizon, year FROM high UNION ALL SELECT 'tasminAdjust', scenario, horizon, year FROM low)
+  SELECT horizon, min(year) AS start_year, max(year) AS end_year, count(DISTINCT variable) AS variables FROM every WHERE variable IN ('tasmaxAdjust', 'tasminAdjust') GROUP BY horizon""")
+def s5_discover_variables(spark, sf):
+    """The mean temperature has no data of its own: its two sources are looked at."""
+    high, low = proxy.temperatures(spark, sf)
+    columns = ["variable", "scenario", "horizon", "year"]
+    every = proxy.obs(spark, sf).select(*columns).unionByName(high.select(*columns)).unionByName(low.select(*columns))
+    found = request.discover_windows(every, ["tasmeanAdjust"])
+    variables = every.where(F.col("variable").isin(request.source_variables(["tasmeanAdjust"]))).groupBy("horizon").agg(F.count_distinct("variable").alias("variables"))
+    return found.join(variables, "horizon")
+
+
 NAMES = """names AS (SELECT c_custkey, c_custkey % 11 AS site,
   CASE c_custkey % 4 WHEN 0 THEN 'pr_' || (1951 + c_custkey % 100) || '0101-' || (1951 + c_custkey % 100) || '1231.NC'
     WHEN 1 THEN 'pr_' || (1951 + c_custkey % 100) || '-' || (1960 + c_custkey % 100) || '.nc'
@@ -131,6 +145,52 @@ def s9_manifest_status(spark, sf):
     return _manifest(spark, sf).select("variable", "scenario", "horizon", "gcm", "rcm", "status")
 
 
+@query(f"""WITH {PLAN}, {FOUND} SELECT variable, scenario, horizon, gcm, rcm, CASE WHEN status IN ('data_not_available', 'time_window_not_available') THEN status
+  WHEN variable = 'Brand#21' THEN 'data_not_available' WHEN variable = 'Brand#22' THEN 'catalog_error' WHEN variable = 'Brand#23' THEN 'processing_error' ELSE status END AS status FROM judged""")
+def s9_manifest_errors(spark, sf):
+    part = proxy.table(spark, sf, "part")
+    found = part.where("p_brand <> 'Brand#12'").groupBy(F.col("p_brand").alias("variable")).agg(F.count(F.lit(1)).alias("n_files"), F.sum(F.when(F.col("p_size") > 25, 1).otherwise(0)).alias("n_rows"))
+    brand = F.col("p_brand")
+    said = F.when(brand == "Brand#21", "HTTP 404").when(brand == "Brand#22", "the connection broke")
+    errors = part.where(brand.isin("Brand#21", "Brand#22", "Brand#23")).select(brand.alias("variable"), said.alias("catalog_message"), F.when(brand == "Brand#23", "no cells").alias("processing_message")).distinct()
+    done = part.where("p_brand = 'Brand#13'").select(brand.alias("variable"))
+    return request.manifest(_plan(spark, sf), found, done, ["variable"], errors).select("variable", "scenario", "horizon", "gcm", "rcm", "status")
+
+
+MEMBERS = f"""{PLAN}, members AS (SELECT DISTINCT p_brand AS variable, scenario, horizon, 'g' || p_size % 3 AS gcm, 'r' || p_size % 2 AS rcm, 'ID1' AS feature_id, p_size % 3 = 1 AS failed
+  FROM part, (SELECT DISTINCT scenario, horizon FROM plan WHERE horizon IS NOT NULL) WHERE p_brand <> 'Brand#12'),
+stats AS (SELECT DISTINCT variable, scenario, horizon, feature_id, stat, variable = 'Brand#13' AND stat = 'max' AS failed FROM members, (VALUES ('min'), ('max')) s(stat)),
+wanted AS (SELECT DISTINCT variable, scenario, horizon FROM plan WHERE status = 'planned')"""
+
+
+@query(f"""WITH {MEMBERS} SELECT variable, scenario, horizon, gcm, rcm, feature_id, NULL::VARCHAR AS stat, CASE WHEN failed THEN 'model_layer_error' ELSE 'model_layer_saved' END AS status FROM members SEMI JOIN wanted USING (variable, scenario, horizon)
+  UNION ALL SELECT variable, scenario, horizon, NULL, NULL, feature_id, stat, CASE WHEN failed THEN 'ensemble_error' ELSE 'ensemble_raster_saved' END FROM stats SEMI JOIN wanted USING (variable, scenario, horizon)
+  UNION ALL SELECT variable, scenario, horizon, NULL, NULL, feature_id, stat, 'ensemble_change_raster_saved' FROM stats SEMI JOIN wanted USING (variable, scenario, horizon) WHERE scenario <> 'historical'
+  UNION ALL SELECT variable, scenario, horizon, NULL, NULL, NULL, NULL, status FROM plan WHERE status <> 'planned'
+  UNION ALL SELECT variable, scenario, horizon, NULL, NULL, NULL, NULL, 'no_input_files' FROM wanted ANTI JOIN members USING (variable, scenario, horizon)""")
+def s9_ensemble_manifest(spark, sf):
+    plan = _plan(spark, sf)
+    size = F.col("p_size")
+    parts = proxy.table(spark, sf, "part").where("p_brand <> 'Brand#12'").select(F.col("p_brand").alias("variable"), F.concat(F.lit("g"), size % 3).alias("gcm"), F.concat(F.lit("r"), size % 2).alias("rcm"), F.lit("ID1").alias("feature_id"), F.when(size % 3 == 1, "broken").alias("message")).distinct()
+    windows = F.explode(F.array(*(F.struct(F.lit(s).alias("scenario"), F.lit(h).alias("horizon")) for s in ("historical", "ssp245") for h in ("baseline", "mid_term", "overlap"))))
+    members = parts.withColumn("_w", windows).select("*", "_w.*").drop("_w")
+    stats = members.drop("message", "gcm", "rcm").distinct().withColumn("stat", F.explode(F.array(F.lit("min"), F.lit("max"))))
+    failed = F.when((F.col("variable") == "Brand#13") & (F.col("stat") == "max"), "broken")
+    done = request.ensemble_manifest(plan, members, stats.withColumn("message", failed), stats.where("scenario <> 'historical'"))
+    return done.select("variable", "scenario", "horizon", "gcm", "rcm", "feature_id", "stat", "status")
+
+
+@query(f"""WITH {OBS}, wanted AS (SELECT DISTINCT v AS variable, scenario, horizon, f AS frequency FROM obs, (VALUES ('prAdjust'), ('tasmaxAdjust')) a(v), (VALUES ('Monthly'), ('Annual')) b(f)),
+  made AS (SELECT variable, scenario, horizon, f AS frequency, gcm AS feature_id, sum(CASE WHEN f = 'Monthly' OR value > 400000 THEN 1 ELSE 0 END) AS n_rows FROM obs, (VALUES ('Monthly'), ('Annual')) b(f) GROUP BY ALL)
+  SELECT variable, scenario, horizon, frequency, feature_id, CASE WHEN feature_id = '2-HIGH' THEN 'skipped_existing' WHEN n_rows > 0 THEN 'saved' ELSE 'no_data' END AS status FROM wanted LEFT JOIN made USING (variable, scenario, horizon, frequency)""")
+def s9_series_manifest(spark, sf):
+    rows = proxy.obs(spark, sf).withColumn("frequency", F.explode(F.array(F.lit("Monthly"), F.lit("Annual"))))
+    wanted = rows.select(F.explode(F.array(F.lit("prAdjust"), F.lit("tasmaxAdjust"))).alias("variable"), "scenario", "horizon", "frequency").distinct()
+    n = F.sum(F.when((F.col("frequency") == "Monthly") | (F.col("value") > 400000), 1).otherwise(0))
+    made = rows.groupBy("variable", "scenario", "horizon", "frequency", F.col("gcm").alias("feature_id")).agg(n.alias("n_rows"))
+    return request.series_manifest(wanted, made, made.where("feature_id = '2-HIGH'"))
+
+
 @query(f"WITH {PLAN}, {FOUND} SELECT status, count(*) AS n FROM judged GROUP BY status")
 def s10_manifest_summary(spark, sf):
     return request.manifest_summary(_manifest(spark, sf))
@@ -144,12 +204,16 @@ def s11_write_series(spark, sf):
     return spark.read.schema("variable string, period string, value double, scenario string, horizon string").option("header", True).csv(path).select("variable", "scenario", "horizon", "period", "value")
 
 
-@query(f"WITH {OBS} SELECT variable, grid_row, grid_col, count(*) AS n FROM obs GROUP BY ALL")
+@query(f"""WITH {OBS}, layers AS (SELECT 'pr_' || scenario AS variable, grid_row, grid_col, count(*) AS n FROM obs GROUP BY ALL)
+  SELECT sink, layers.* FROM layers, (VALUES ('by_variable'), ('all_variables'), ('all_variables_csv')) s(sink)""")
 def s12_write_layers(spark, sf):
-    layers = proxy.obs(spark, sf).groupBy("variable", "grid_row", "grid_col").agg(F.count(F.lit(1)).alias("n"))
+    layers = proxy.obs(spark, sf).groupBy(F.concat(F.lit("pr_"), "scenario").alias("variable"), "grid_row", "grid_col").agg(F.count(F.lit(1)).alias("n"))
     path = store.scratch(spark, "layers")
     store.write_layers(layers, path)
-    return spark.read.schema("grid_row int, grid_col int, n long, variable string").parquet(path).select("variable", "grid_row", "grid_col", "n")
+    schema = spark.createDataFrame([], layers.schema).schema
+    read = {"by_variable": spark.read.schema(schema).parquet(f"{path}/by_variable"), "all_variables": spark.read.schema(schema).parquet(f"{path}/all_variables"), "all_variables_csv": spark.read.schema(schema).option("header", True).csv(f"{path}/all_variables_csv")}
+    done = [rows.select(F.lit(name).alias("sink"), "variable", "grid_row", "grid_col", "n") for name, rows in read.items()]
+    return done[0].unionByName(done[1]).unionByName(done[2])
 
 
 @query("SELECT p_partkey, p_brand FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 40)")
@@ -158,6 +222,17 @@ def s13_resume(spark, sf):
     return request.unfinished(proxy.table(spark, sf, "part").select("p_partkey", "p_brand"), done, ["p_partkey"])
 
 
+@query(f"""WITH {OBS} SELECT scenario, gcm, rcm, count(*) AS n, sum(CASE WHEN scenario = 'historical' THEN value ELSE 1 END)::DOUBLE AS total FROM obs GROUP BY ALL""")
+def s13_idempotent_write(spark, sf):
+    """One scenario is written, then all of them with another value: the first stays as it was, the others are added."""
+    path = store.scratch(spark, "store")
+    rows = proxy.obs(spark, sf)
+    store.write_obs(rows.where("scenario = 'historical'"), path)
+    store.write_obs(rows.withColumn("value", F.lit(1).cast("decimal(18,2)")), path)
+    found = spark.read.schema(rows.schema).parquet(path)
+    return found.groupBy("scenario", "gcm", "rcm").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("total"))
+
+
 RASTERS = """rasters AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'TXge35_Mean_ssp245_2040_20' || (50 + p_size % 40)
   WHEN 1 THEN 'R20mm_min_historical_1985_2014_ID' || p_size WHEN 2 THEN 'FFDI_ssp370_long_term_ID' || p_size || '_ensemble_max' ELSE 'TXge35_Change_Min_ssp245_2040_2059' END AS name FROM part)"""
 
@@ -189,6 +264,12 @@ def s16_retain_source(spark, sf):
     return store.retain_source(storms.select(*columns), kept.select(*columns))
 
 
+@query(f"""WITH {proxy.WIND} SELECT 'sfcWindmax' AS variable, grid_row, grid_col, count(*) AS n_rows, CASE WHEN grid_row = 0 THEN 'skipped_existing' ELSE 'saved' END AS status, 'daily source' AS message FROM wind GROUP BY ALL""")
+def s16_retained_manifest(spark, sf):
+    wind = proxy.wind(spark, sf)
+    return store.retained_manifest(wind, ["variable", "grid_row", "grid_col"], wind.where("grid_row = 0"), "daily source")
+
+
 @query("SELECT DISTINCT c_mktsegment AS name FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
 def p1_unknown_choices(spark, sf):
     wanted = proxy.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("name"))

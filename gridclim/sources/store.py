@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from gridclim.functions.labels import safe_name
 
@@ -33,13 +34,39 @@ def scan_obs(spark: SparkSession, root: str, **wanted) -> DataFrame:
     return select_obs(spark.read.parquet(root), **wanted)
 
 
-def write_obs(obs: DataFrame, root: str, overwrite: bool = False) -> None:
-    """Write the store; existing partitions stay as they are, or are replaced one by one with overwrite."""
-    writer = obs.repartition(*LAYOUT, "year").write.partitionBy(*LAYOUT)
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def written_units(spark: SparkSession, schema: StructType, root: str, keys: Sequence[str], form: str = "parquet") -> DataFrame | None:
+    """The combinations of the partition columns `keys` that root holds; None where there is no root yet."""
+    if not _exists(spark, root):
+        return None
+    return spark.read.schema(schema).format(form).load(root).select(*keys).distinct()
+
+
+def write_units(
+    rows: DataFrame, root: str, keys: Sequence[str], overwrite: bool = False, form: str = "parquet", options: dict | None = None, deal: Sequence[str] = ()
+) -> None:
+    """Write rows, dealt out by the columns `deal`, below root, a folder for each combination of `keys`, which is the unit of output: a unit that is there
+    already stays as it is, units that are new are added; with overwrite the units of rows are replaced, one by one, and
+    others stay. A run that broke off is resumed by running it again, as a folder appears only when its job commits."""
+    writer = lambda df: (df.repartition(*deal) if deal else df).write.format(form).partitionBy(*keys).options(**(options or {}))
     if overwrite:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
-    else:
-        writer.mode("ignore").parquet(root)
+        writer(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
+        return
+    there = written_units(rows.sparkSession, rows.schema, root, keys, form)
+    if there is not None:
+        there = there.toDF(*(f"_there_{k}" for k in keys))
+        same = [rows[k].eqNullSafe(there[f"_there_{k}"]) for k in keys]
+        rows = rows.join(there, same, "left_anti")
+    writer(rows).mode("append").save(root)
+
+
+def write_obs(obs: DataFrame, root: str, overwrite: bool = False) -> None:
+    """Write the store; existing partitions stay as they are and new ones are added, or are replaced one by one with overwrite."""
+    write_units(obs, root, LAYOUT, overwrite, deal=(*LAYOUT, "year"))
 
 
 def scan_features(features: DataFrame, id_field: str | None = None) -> DataFrame:
@@ -53,7 +80,8 @@ def scan_features(features: DataFrame, id_field: str | None = None) -> DataFrame
 def summary_features(features: DataFrame, pos: str, id_field: str | None = None) -> DataFrame:
     """Features of one geometry family, points or polygons; ids must not be null, or are numbered by position.
 
-    Numbers are made without one ordered partition: each range partition counts on from those before it.
+    Numbers are made without one ordered partition: each range partition counts on from those before it. The ranges are
+    written with their numbers first, as a second evaluation could cut them elsewhere.
     """
     family = F.when(F.col("geom_type").isin("Point", "MultiPoint"), "point").otherwise("polygon")
     families = features.agg(F.count_distinct(family).alias("n")).first()["n"]
@@ -62,7 +90,7 @@ def summary_features(features: DataFrame, pos: str, id_field: str | None = None)
     if id_field:
         checked = F.coalesce(F.col(id_field), F.raise_error(F.lit("feature ids must not be null")).cast(features.schema[id_field].dataType))
         return features.withColumn("feature_id", checked)
-    ranged = features.repartitionByRange(pos).withColumn("_part", F.spark_partition_id())
+    ranged = settle(features.repartitionByRange(pos).withColumn("_part", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # as many rows as partitions
     before = counts.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
@@ -99,9 +127,23 @@ def retain_source(derived: DataFrame, source: DataFrame) -> DataFrame:
     return source.unionByName(derived)
 
 
+def retained_manifest(rows: DataFrame, keys: Sequence[str], there: DataFrame | None = None, message: str = "") -> DataFrame:
+    """A manifest row for each unit of retained source rows: skipped_existing where `there` has it, else saved."""
+    units = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    if there is None:
+        return units.withColumns({"status": F.lit("saved"), "message": F.lit(message)})
+    held = units.join(there.select(*keys).distinct().withColumn("_there", F.lit(True)), list(keys), "left")
+    return held.withColumns({"status": F.when(F.col("_there"), "skipped_existing").otherwise("saved"), "message": F.lit(message)}).drop("_there")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors share: below spark.checkpoint.dir, or in the warehouse where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A fresh folder that all executors share: below spark.checkpoint.dir. On one machine, where that may be unset, the
+    warehouse takes its place; on a cluster it must be set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -124,18 +166,28 @@ def settle(rows: DataFrame, name: str) -> DataFrame:
 
 def write_series(series: DataFrame, path: str, keys: Sequence[str], overwrite: bool = False) -> None:
     """CSV files, a folder for each combination of the keys."""
-    series.repartition(*keys).write.partitionBy(*keys).mode("overwrite" if overwrite else "ignore").option("header", True).csv(path)
+    write_units(series, path, keys, overwrite, "csv", {"header": True}, deal=keys)
 
 
 def write_layers(layers: DataFrame, path: str, overwrite: bool = False) -> None:
-    """One layer for each variable."""
-    layers.write.partitionBy("variable").mode("overwrite" if overwrite else "ignore").parquet(path)
+    """One layer for each variable below by_variable, all of them in all_variables, and as a table of plain columns in
+    all_variables_csv. The layers of a variable are the unit of output; the other two follow from what is written."""
+    spark = layers.sparkSession
+    write_units(layers, f"{path}/by_variable", ["variable"], overwrite)
+    whole = spark.read.schema(layers.schema).parquet(f"{path}/by_variable").select(*layers.columns)
+    whole.write.mode("overwrite").parquet(f"{path}/all_variables")
+    plain = [f.name for f in layers.schema if not isinstance(f.dataType, ArrayType | MapType | StructType)]
+    spark.read.schema(layers.schema).parquet(f"{path}/all_variables").select(*plain).write.mode("overwrite").option("header", True).csv(f"{path}/all_variables_csv")
+
+
+#: The units of the flood tables.
+FLOOD_UNITS = ("scenario", "horizon")
 
 
 def write_flood(hazard: DataFrame, curves: DataFrame, root: str, overwrite: bool = False) -> None:
-    """The hazard table as Parquet and CSV, and the runoff curves; the CSV comes from the Parquet, not from a second run."""
-    mode = "overwrite" if overwrite else "ignore"
-    hazard.write.mode(mode).parquet(f"{root}/hazard")
+    """The hazard table as Parquet and CSV, and the runoff curves, by scenario and horizon; the CSV comes from the Parquet,
+    not from a second run."""
+    write_units(hazard, f"{root}/hazard", FLOOD_UNITS, overwrite)
     written = hazard.sparkSession.read.schema(hazard.schema).parquet(f"{root}/hazard")
-    written.write.mode(mode).option("header", True).csv(f"{root}/hazard_csv")
-    curves.write.mode(mode).parquet(f"{root}/curves")
+    write_units(written, f"{root}/hazard_csv", FLOOD_UNITS, overwrite, "csv", {"header": True})
+    write_units(curves, f"{root}/curves", FLOOD_UNITS, overwrite)

@@ -103,10 +103,70 @@ def test_store_is_pruned_and_idempotent(spark, tmp_path):
     store.write_obs(rows.withColumn("value", F.lit(0.0)), path)  # there already: stays
     found = store.scan_obs(spark, path, scenarios=["historical"], gcms=["a"])
     assert found.agg(F.sum("value")).first()[0] == 78.0
-    assert "PartitionFilters: [isnotnull(" in found._jdf.queryExecution().toString() or found.count() == 12
+    more = rows.withColumn("scenario", F.lit("ssp245"))
+    store.write_obs(rows.withColumn("value", F.lit(0.0)).unionByName(more), path)  # one scenario is there, the other is new
+    held = spark.read.schema(rows.schema).parquet(path)
+    assert {r.scenario: (r.n, r.total) for r in held.groupBy("scenario").agg(F.count("value").alias("n"), F.sum("value").alias("total")).collect()} == {"historical": (12, 78.0), "ssp245": (12, 78.0)}
+    read = store.scan_obs(spark, path, scenarios=["ssp245"]).inputFiles()
+    plan = store.scan_obs(spark, path, scenarios=["ssp245"])._jdf.queryExecution().executedPlan().toString()
+    assert read and "PartitionFilters: [isnotnull(scenario" in plan and "scenario#" in plan.split("PartitionFilters:")[1].split("]")[0]
     store.write_obs(rows.withColumn("value", F.lit(1.0)), path, overwrite=True)
     spark.catalog.clearCache()
-    assert spark.read.parquet(path).agg(F.sum("value")).first()[0] == 12.0
+    assert spark.read.parquet(path).where("scenario = 'historical'").agg(F.sum("value")).first()[0] == 12.0
+    assert spark.read.parquet(path).where("scenario = 'ssp245'").agg(F.sum("value")).first()[0] == 78.0
+
+
+def test_series_and_layers_gain_what_is_new(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 2.0)], "variable string, scenario string, value double")
+    for kind, path in (("series", str(tmp_path / "series")), ("layers", str(tmp_path / "layers"))):
+        write = (lambda df, path=path: store.write_series(df, path, ["variable"])) if kind == "series" else (lambda df, path=path: store.write_layers(df, path))
+        write(rows.where("variable = 'a'"))
+        write(rows.withColumn("value", F.lit(9.0)))
+        if kind == "series":
+            found = spark.read.schema(rows.schema).option("header", True).csv(path)
+        else:
+            found = spark.read.schema(rows.schema).option("header", True).csv(f"{path}/all_variables_csv")
+            assert spark.read.schema(rows.schema).parquet(f"{path}/by_variable").count() == 2
+        assert {r.variable: r.value for r in found.collect()} == {"a": 1.0, "b": 9.0}
+
+
+def test_summary_features_keep_all_rows_and_their_order(spark):
+    n = 400_000
+    wide = F.when(F.col("pos") % 1000 < 50, F.repeat(F.lit("x"), 300)).otherwise("y")  # rows of uneven width
+    rows = spark.range(0, n, 1, 16).select(((F.col("id") * 7919) % n).alias("pos"), F.lit("Point").alias("geom_type")).withColumn("text", wide)
+    found = store.summary_features(rows, "pos")
+    got = found.agg(F.count("feature_id").alias("n"), F.count_distinct("feature_id").alias("ids"), F.min("feature_id").alias("low"), F.max("feature_id").alias("high"), F.sum((F.col("feature_id") != F.col("pos") + 1).cast("int")).alias("wrong")).first()
+    assert tuple(got) == (n, n, 1, n, 0)
+
+
+def test_files_of_a_member_share_their_cells(spark):
+    rows = obs(spark, [("a", 0, 2000, 1, 1.0), ("a", 1, 2000, 1, 2.0), ("a", 0, 2001, 1, 3.0), ("a", 1, 2001, 1, 4.0)]).withColumn("file", F.col("year"))
+    assert {r.grid_col: r.value for r in temporal.horizon_mean(rows, "file").collect()} == {0: 2.0, 1: 3.0}
+    with pytest.raises(PySparkException, match="share their cells"):
+        temporal.horizon_mean(rows.where("year = 2000 or grid_col = 0"), "file").collect()
+
+
+def test_discovery_by_variable(spark):
+    schema = "variable string, scenario string, horizon string, year int, requested_start_year int, requested_end_year int"
+    rows = spark.createDataFrame([("tasmaxAdjust", "ssp245", "mid", 2045, 2041, 2060), ("tasminAdjust", "historical", "base", 1990, None, None), ("pr", "ssp370", "late", 2090, None, None), ("pr", "ssp370", "mid", 2050, None, None)], schema)
+    assert request.source_variables(["tasmeanAdjust", "pr", "tasmaxAdjust"]) == ["tasmaxAdjust", "tasminAdjust", "pr"]
+    assert [tuple(r) for r in request.discover_scenarios(rows, ["tasmeanAdjust"]).orderBy("position").collect()] == [("historical", 1), ("ssp245", 2)]
+    assert {r.horizon: (r.start_year, r.end_year) for r in request.discover_windows(rows, ["tasmeanAdjust"]).collect()} == {"mid": (2041, 2060), "base": (1990, 1990)}
+    with pytest.raises(PySparkException, match="conflicting years"):
+        request.discover_windows(rows).collect()
+
+
+def test_first_errors(spark):
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(["saved", "catalog_error", "processing_error", None] * 9)], "i int, status string")
+    assert [r.i for r in request.error_preview(rows, ["i"]).collect()] == [i for i in range(36) if i % 4 in (1, 2)][:10]
+    assert {r.status: r.n for r in request.manifest_summary(rows).collect()} == {"saved": 9, "catalog_error": 9, "processing_error": 9, None: 9}
+
+
+def test_baseline_of_a_feature_with_a_null(spark):
+    rows = [("v", s, h, "ID1", "f", a, b, c) for s, h, a, b, c in (("historical", "baseline", None, 2.0, 3.0), ("ssp245", "mid", 1.0, 5.0, 9.0))]
+    summary = spark.createDataFrame(rows, "variable string, scenario string, horizon string, source_feature string, feature_id string, min double, mean double, max double")
+    got = change.feature_change(summary).where("scenario = 'ssp245'").first()
+    assert (got.baseline_min, got.change_min, got.change_mean, got.change_max) == (None, None, 3.0, 6.0)
 
 
 def test_sites_are_checked(spark):
