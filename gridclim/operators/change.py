@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclim.functions.labels import round_output, safe_name
+from gridclim.operators.grid import PIXEL, bilinear
 from gridclim.operators.temporal import CELL
 
 
@@ -51,10 +52,27 @@ def feature_change(summary: DataFrame, names: tuple[str, ...] = ("min", "mean",
     """Feature summaries with baseline and change; the baseline is one row for each feature, source and variable."""
     keys = ["variable", "feature_id", "source_feature"]
     base_rows = (F.col("scenario") == scenario) & (F.col("horizon") == horizon)
-    base = summary.where(base_rows).groupBy(*keys).agg(*(F.min_by(n, "min").alias(f"baseline_{n}") for n in names))
+    # of several rows one is taken whole, the first by its values, null before others
+    first = F.min(F.struct(*names)).alias("_base")
+    base = summary.where(base_rows).groupBy(*keys).agg(first).select(*keys, *(F.col(f"_base.{n}").alias(f"baseline_{n}") for n in names))
     return summary.join(base, keys, "left").withColumns({f"change_{n}": round_output(F.col(n) - F.col(f"baseline_{n}"), F.col("variable")) for n in names})
 
 
+def spi_change(pixels: DataFrame, scenario: str = "historical") -> DataFrame:
+    """pixels(variable, scenario, horizon, source_feature, stat, px, py, value, west, north, res) -> the future pixels that have a
+    baseline of the same variable, feature and statistic, with value: future less baseline, null where either is missing.
+
+    The baseline is brought to the future's grid bilinearly, which leaves its values as they are where both grids agree. A future
+    without a baseline is left out.
+    """
+    keys = ("variable", "source_feature", "stat")
+    future = pixels.where(F.col("scenario") != scenario)
+    base = pixels.where(F.col("scenario") == scenario)
+    moved = bilinear(base, future, keys).withColumnRenamed("value", "_base").drop("source_west", "source_north", "source_res")
+    held = future.join(moved, [*keys, *PIXEL])
+    return held.withColumn("value", F.col("value") - F.col("_base")).drop("_base").select(*(c for c in pixels.columns))
+
+
 def wide_change_layer(changes: DataFrame, features: DataFrame, field: str = "change_mean", layers: list[str] | None = None) -> DataFrame:
     """A row for each feature, a column for each variable, scenario, year and source with the first change found.
 

@@ -5,6 +5,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 KEYS = ("variable", "scenario", "horizon", "source_feature")
+#: What makes a raster's grid, and what makes a pixel: its place is nothing without the grid.
+GRID = ("west", "north", "res")
+PIXEL = ("px", "py", *GRID)
 
 
 def cell_corners(grid: DataFrame) -> DataFrame:
@@ -20,8 +23,9 @@ def cell_corners(grid: DataFrame) -> DataFrame:
     flat = held.where("n < 4").join(inner, ["domain", "ir", "ic"])
     edges = flat.where("n = 2").select("domain", "r", "c", *((2 * F.col(x) - F.col(f"i{x}")).alias(x) for x in ("lon", "lat")))
     beside = edges.select("domain", F.col("r").alias("er"), F.col("c").alias("ec"), F.col("lon").alias("elon"), F.col("lat").alias("elat"))
-    ends = flat.where("n = 1").alias("f").join(beside, (F.col("f.domain") == beside["domain"]) & (((F.col("r") == F.col("er")) & (F.col("ic") == F.col("ec"))) | ((F.col("ir") == F.col("er")) & (F.col("c") == F.col("ec")))))
-    outer = ends.groupBy("f.domain", "r", "c").agg(*((F.sum(f"e{x}") - F.first(f"i{x}")).alias(x) for x in ("lon", "lat")))
+    two = F.explode(F.array(F.struct(F.col("r").alias("er"), F.col("ic").alias("ec")), F.struct(F.col("ir").alias("er"), F.col("c").alias("ec"))))
+    ends = flat.where("n = 1").withColumn("_e", two).select("*", "_e.er", "_e.ec").join(beside, ["domain", "er", "ec"])
+    outer = ends.groupBy("domain", "r", "c").agg(*((F.sum(f"e{x}") - F.first(f"i{x}")).alias(x) for x in ("lon", "lat")))
     done = mid.where("n = 4").drop("n").unionByName(edges).unionByName(outer)
     return done.withColumnsRenamed({"r": "corner_row", "c": "corner_col"})
 
@@ -36,13 +40,26 @@ def quads(corners: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), *(at("lon", k).alias(f"x{k}") for k in range(4)), *(at("lat", k).alias(f"y{k}") for k in range(4))).where("_n = 4").drop("_n")
 
 
-def candidate_window(grid: DataFrame, boxes: DataFrame) -> DataFrame:
-    """boxes(feature_id, west, south, east, north) -> feature_id, first and last row and column of the cells within the
-    box and a margin of two cell spacings (0.05 at least), one more cell on each side."""
+#: Side of the tiles by which cells and boxes are matched, in degrees, so that the join has an equality.
+TILE = 0.5
+
+
+def tiles(low: Column, high: Column, side: float) -> Column:
+    """The numbers of all tiles that an interval meets."""
+    return F.sequence(F.floor(low / side), F.floor(high / side))
+
+
+def candidate_window(grid: DataFrame, boxes: DataFrame, tile: float = TILE) -> DataFrame:
+    """boxes(feature_id, west, south, east, north) -> domain, feature_id, first and last row and column of the cells within the
+    box and a margin of two cell spacings (0.05 at least), one more cell on each side. Cells stand in the tiles that their own margin
+    meets, boxes in all of theirs; only what shares a tile is compared."""
     across, down = W.partitionBy("domain", "grid_row").orderBy("grid_col"), W.partitionBy("domain", "grid_col").orderBy("grid_row")
     steps = grid.select("domain", F.abs(F.col("lon") - F.lag("lon").over(across)).alias("dx"), F.abs(F.col("lat") - F.lag("lat").over(down)).alias("dy"))
     pads = steps.groupBy("domain").agg(*(F.greatest(2 * F.median(s), F.lit(0.05)).alias(p) for s, p in (("dx", "pad_x"), ("dy", "pad_y"))))
-    near = grid.join(pads, "domain").join(boxes, F.col("lon").between(F.col("west") - F.col("pad_x"), F.col("east") + F.col("pad_x")) & F.col("lat").between(F.col("south") - F.col("pad_y"), F.col("north") + F.col("pad_y")))
+    lon, lat, pad_x, pad_y = map(F.col, ("lon", "lat", "pad_x", "pad_y"))
+    cells = grid.join(pads, "domain").withColumn("_tx", F.explode(tiles(lon - pad_x, lon + pad_x, tile))).withColumn("_ty", F.explode(tiles(lat - pad_y, lat + pad_y, tile)))
+    placed = boxes.select("feature_id", "west", "south", "east", "north").withColumn("_tx", F.explode(tiles(F.col("west"), F.col("east"), tile))).withColumn("_ty", F.explode(tiles(F.col("south"), F.col("north"), tile)))
+    near = cells.join(placed, ["_tx", "_ty"]).where(lon.between(F.col("west") - pad_x, F.col("east") + pad_x) & lat.between(F.col("south") - pad_y, F.col("north") + pad_y))
     found = near.groupBy("domain", "feature_id").agg(*(f(c).alias(n) for f, c, n in ((F.min, "grid_row", "row0"), (F.max, "grid_row", "row1"), (F.min, "grid_col", "col0"), (F.max, "grid_col", "col1"))))
     ends = grid.groupBy("domain").agg(F.max("grid_row").alias("rows"), F.max("grid_col").alias("cols"))
     zero = F.lit(0)
@@ -134,18 +151,25 @@ def value_range(pixels: DataFrame, change: bool = False) -> DataFrame:
     return found.select("variable", (-limit).alias("low"), limit.alias("high")) if change else found
 
 
-def bilinear(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Values of source(px, py, value, west, north, res) at the centres of target(px, py, west, north, res), weighed over the
-    four pixels around; missing ones are left out of the weights."""
-    grid = source.select("west", "north", "res").distinct()
-    s = grid.select(F.col("west").alias("sw"), F.col("north").alias("sn"), F.col("res").alias("sr")).limit(2)
-    placed = target.crossJoin(s)  # one row: the source's grid
-    x = (F.col("west") + (F.col("px") + 0.5) * F.col("res") - F.col("sw")) / F.col("sr") - 0.5
-    y = (F.col("sn") - F.col("north") + (F.col("py") + 0.5) * F.col("res")) / F.col("sr") - 0.5
-    placed = placed.withColumns({"_x": x, "_y": y})
+def bilinear(source: DataFrame, target: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Values of source(keys, px, py, value, west, north, res) at the centres of target([keys,] px, py, west, north, res), weighed
+    over the four pixels around; missing ones are left out of the weights, and without any the value is null.
+
+    A source raster is known by its keys and its grid. Where the target has the keys too, only rasters of the same keys meet, else
+    every raster is brought to every target pixel. The result has the keys, the target's pixel, and the source's grid as source_west,
+    source_north and source_res.
+    """
+    own = {"west": "source_west", "north": "source_north", "res": "source_res"}
+    rasters = source.select(*keys, *GRID).distinct().withColumnsRenamed(own)
+    shared = [k for k in keys if k in target.columns]
+    places = target.select(*shared, *PIXEL).distinct()
+    placed = places.join(rasters, shared) if shared else places.crossJoin(rasters)  # rasters x target pixels: the result's own rows
+    x = (F.col("west") + (F.col("px") + 0.5) * F.col("res") - F.col("source_west")) / F.col("source_res") - 0.5
+    y = (F.col("source_north") - F.col("north") + (F.col("py") + 0.5) * F.col("res")) / F.col("source_res") - 0.5
     around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1))))
-    near = placed.withColumn("_s", around).withColumns({"_px": F.floor("_x") + F.col("_s.i"), "_py": F.floor("_y") + F.col("_s.j")})
+    near = placed.withColumns({"_x": x, "_y": y}).withColumn("_s", around).withColumns({"_px": F.floor("_x") + F.col("_s.i"), "_py": F.floor("_y") + F.col("_s.j")})
     weight = (1 - F.abs(F.col("_x") - F.col("_px"))) * (1 - F.abs(F.col("_y") - F.col("_py")))
-    values = source.where("value is not null").select(F.col("px").alias("_px"), F.col("py").alias("_py"), F.col("value").alias("_v"))
-    joined = near.withColumn("_w", weight).join(values, ["_px", "_py"])
-    return joined.groupBy("px", "py").agg((F.sum(F.col("_w") * F.col("_v")) / F.nullif(F.sum("_w"), F.lit(0.0))).alias("value"))
+    values = source.where("value is not null and not isnan(value)").withColumnsRenamed(own | {"px": "_px", "py": "_py", "value": "_v"})
+    joined = near.withColumn("_w", weight).join(values.select(*keys, *own.values(), "_px", "_py", "_v"), [*keys, *own.values(), "_px", "_py"], "left")
+    weights = F.sum(F.when(F.col("_v").isNotNull(), F.col("_w")))
+    return joined.groupBy(*keys, *PIXEL, *own.values()).agg((F.sum(F.col("_w") * F.col("_v")) / F.nullif(weights, F.lit(0.0))).alias("value"))

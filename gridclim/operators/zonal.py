@@ -4,51 +4,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridclim.functions.labels import round_output
-from gridclim.operators.geometry import edges, ray_crosses, touching
-from gridclim.operators.grid import KEYS
+from gridclim.operators.geometry import holding, touching
+from gridclim.operators.grid import GRID, KEYS, PIXEL
 from gridclim.operators.temporal import mean
 
 
 def pixel_quads(pixels: DataFrame) -> DataFrame:
-    """Each place of a pixel once, as a quad."""
+    """Each place of a pixel once, as a quad. A place is known by its grid as well: px and py of two grids don't meet."""
     west, north, res = F.col("west") + F.col("px") * F.col("res"), F.col("north") - F.col("py") * F.col("res"), F.col("res")
     made = {"x0": west, "y0": north, "x1": west + res, "y1": north, "x2": west + res, "y2": north - res, "x3": west, "y3": north - res}
-    return pixels.select("px", "py", "west", "north", "res").distinct().withColumns(made)
+    return pixels.select(*PIXEL).distinct().withColumns(made)
 
 
 def pixels_of(pixels: DataFrame, polygons: DataFrame, all_touched: bool = True) -> DataFrame:
-    """feature_id, px, py: pixels that a polygon touches, or whose centre it holds."""
+    """feature_id, px, py and the pixel's grid: pixels that a polygon touches, or whose centre it holds."""
     quads = pixel_quads(pixels)
-    touched = touching(quads, polygons, ["px", "py"])
     if all_touched:
-        return touched
-    centre = quads.select("px", "py", ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y3")) / 2).alias("cy"))
-    tested = touched.join(centre, ["px", "py"]).join(edges(polygons), "feature_id")
-    crossed = F.sum(ray_crosses(F.col("cx"), F.col("cy"), *map(F.col, ("ax", "ay", "bx", "by"))).cast("int")) % 2 == 1
-    return tested.groupBy("feature_id", "px", "py").agg(crossed.alias("inside")).where("inside").drop("inside")
+        return touching(quads, polygons, list(PIXEL))
+    return holding(quads.select(*PIXEL, ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y3")) / 2).alias("y")), polygons, list(PIXEL))
+
+
+def _finite(pixels: DataFrame) -> DataFrame:
+    return pixels.where("value is not null and not isnan(value)")
 
 
 def zonal_mean(pixels: DataFrame, polygons: DataFrame, all_touched: bool = True) -> DataFrame:
-    """The unweighted mean of each polygon's pixels with a value, and their number; null and 0 where there are none."""
+    """The unweighted mean of each polygon's pixels with a value, and their number; null and 0 where there are none. The rasters
+    may lie on grids of their own."""
     keys = [k for k in (*KEYS, "stat") if k in pixels.columns]
-    valid = pixels.where("value is not null and not isnan(value)")
-    held = valid.join(pixels_of(pixels, polygons, all_touched), ["px", "py"]).groupBy(*keys, "feature_id").agg(mean("value").alias("value"), F.count(F.lit(1)).alias("n_pixels"))
+    held = _finite(pixels).join(pixels_of(pixels, polygons, all_touched), list(PIXEL)).groupBy(*keys, "feature_id").agg(mean("value").alias("value"), F.count(F.lit(1)).alias("n_pixels"))
     every = pixels.select(*keys).distinct().crossJoin(polygons.select("feature_id"))  # groups x features: the result's own rows
     return every.join(held, [*keys, "feature_id"], "left").withColumn("n_pixels", F.coalesce("n_pixels", F.lit(0)))
 
 
 def zonal_stats(pixels: DataFrame, polygons: DataFrame) -> DataFrame:
     """Mean, smallest and largest value and number of cells of each polygon, to one decimal."""
-    valid = pixels.where("value is not null and not isnan(value)").join(pixels_of(pixels, polygons), ["px", "py"])
+    valid = _finite(pixels).join(pixels_of(pixels, polygons), list(PIXEL))
     return valid.groupBy("feature_id").agg(F.bround(mean("value"), 1).alias("mean"), F.bround(F.min("value"), 1).alias("min"), F.bround(F.max("value"), 1).alias("max"), F.count(F.lit(1)).alias("valid_cells"))
 
 
-def sample_point(pixels: DataFrame, points: DataFrame, west: float, north: float, res: float) -> DataFrame:
-    """points(feature_id, lon, lat) with the pixel's value at each, null outside or without a value."""
-    placed = points.withColumns({"px": F.floor((F.col("lon") - west) / res).cast("int"), "py": F.floor((north - F.col("lat")) / res).cast("int")})
+def first_points(features: DataFrame) -> DataFrame:
+    """features(feature_id, rings) of points -> feature_id, lon, lat; of several points the first counts."""
+    first = F.get(F.get("rings", F.lit(0)), F.lit(0))
+    return features.select("feature_id", first["x"].alias("lon"), first["y"].alias("lat"))
+
+
+def sample_point(pixels: DataFrame, points: DataFrame) -> DataFrame:
+    """points(feature_id, lon, lat) with the pixel's value at each point in every raster, null outside or without a value.
+
+    A raster is a group of keys and statistic; its pixels bring their grid along, so that rasters may lie on different grids."""
     keys = [k for k in (*KEYS, "stat") if k in pixels.columns]
-    values = pixels.select(*keys, "px", "py", F.when(~F.isnan("value"), F.col("value")).alias("value"))
-    return placed.join(values, ["px", "py"], "left").drop("px", "py")
+    rasters = pixels.select(*keys, *GRID).distinct()
+    placed = points.crossJoin(rasters).withColumns({  # rasters x points: the result's own rows
+        "px": F.floor((F.col("lon") - F.col("west")) / F.col("res")).cast("int"), "py": F.floor((F.col("north") - F.col("lat")) / F.col("res")).cast("int"),
+    })
+    values = pixels.select(*keys, *PIXEL, F.when(~F.isnan("value"), F.col("value")).alias("value"))
+    if not keys:
+        return placed.join(values, list(PIXEL), "left").drop(*PIXEL)
+    same = [placed[k].eqNullSafe(values[k]) for k in keys] + [placed[k] == values[k] for k in PIXEL]
+    joined = placed.join(values, same, "left")
+    return joined.select(*(placed[c] for c in points.columns), *(placed[k] for k in keys), values["value"])
 
 
 def feature_summary(values: DataFrame, variable: str = "variable") -> DataFrame:

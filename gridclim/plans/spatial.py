@@ -24,7 +24,7 @@ def query(sql: str | None = None):
 def cells(spark, sf):
     """Nations as a slightly skewed grid of five by five."""
     row, col = F.floor(F.col("n_nationkey") / 5).cast("int"), (F.col("n_nationkey") % 5).cast("int")
-    made = proxy.table(spark, sf, "nation").select(F.lit("aus_18").alias("domain"), row.alias("grid_row"), col.alias("grid_col"))
+    made = proxy.table(spark, sf, "nation").select(F.when(F.col("n_nationkey").isNotNull(), "aus_18").alias("domain"), row.alias("grid_row"), col.alias("grid_col"))
     r, c = F.col("grid_row"), F.col("grid_col")
     return made.withColumns({"lon": 140 + 0.18 * c + 0.01 * r, "lat": -35 + 0.18 * r - 0.01 * c, "rlon": 0.1825 * c - 1.0, "rlat": 0.1775 * r + 2.0})
 
@@ -33,6 +33,32 @@ GRID = """grid AS (SELECT 'aus_18' AS domain, CAST(n_nationkey // 5 AS INT) AS g
   140 + 0.18::DOUBLE * (n_nationkey % 5) + 0.01::DOUBLE * (n_nationkey // 5) AS lon, -35 + 0.18::DOUBLE * (n_nationkey // 5) - 0.01::DOUBLE * (n_nationkey % 5) AS lat FROM nation)"""
 
 
+#: Columns of the curved grid: the customers fill its rows.
+COLS = 50
+
+
+def curved(spark, sf):
+    """Customers as the cells of a slightly skewed grid, 50 to a row; it grows with the table."""
+    key = F.col("c_custkey")
+    # a column of the table, not a literal, which would turn joins by domain into products
+    domain = F.when(key.isNotNull(), "aus_18").alias("domain")
+    made = proxy.table(spark, sf, "customer").select(domain, F.floor(key / COLS).cast("int").alias("grid_row"), (key % COLS).cast("int").alias("grid_col"), F.col("c_acctbal").alias("value"))
+    r, c = F.col("grid_row"), F.col("grid_col")
+    return made.withColumns({"lon": 140 + 0.02 * c + 0.001 * r, "lat": -35 + 0.02 * r - 0.001 * c, "rlon": 0.1825 * c - 1.0, "rlat": 0.1775 * r + 2.0})
+
+
+CURVED = f"""grid AS (SELECT *, 140 + 0.02::DOUBLE * grid_col + 0.001::DOUBLE * grid_row AS lon, -35 + 0.02::DOUBLE * grid_row - 0.001::DOUBLE * grid_col AS lat,
+  0.1825::DOUBLE * grid_col - 1.0 AS rlon, 0.1775::DOUBLE * grid_row + 2.0 AS rlat FROM (SELECT 'aus_18' AS domain, CAST(c_custkey // {COLS} AS INT) AS grid_row, CAST(c_custkey % {COLS} AS INT) AS grid_col, c_acctbal AS value FROM customer))"""
+
+
+def _corner(name, dr, dc):
+    """SQL of a corner of a curved cell."""
+    return f"140 + 0.02::DOUBLE * (grid_col + {dc}) + 0.001::DOUBLE * (grid_row + {dr}) AS x{name}, -35 + 0.02::DOUBLE * (grid_row + {dr}) - 0.001::DOUBLE * (grid_col + {dc}) AS y{name}"
+
+
+QUADS = f"quads AS (SELECT domain, grid_row, grid_col, value, {', '.join(_corner(k, r, c) for k, (r, c) in enumerate(((-0.5, -0.5), (-0.5, 0.5), (0.5, 0.5), (0.5, -0.5))))} FROM grid)"
+
+
 def points(spark, sf):
     key = F.col("s_suppkey")
     return proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), key).alias("feature_id"), (140 + (key * 37 % 90) / F.lit(100.0)).alias("lon"), (-35 + (key * 53 % 90) / F.lit(100.0)).alias("lat"))
@@ -42,71 +68,104 @@ POINTS = "points AS (SELECT 'P' || s_suppkey AS feature_id, 140 + (s_suppkey * 3
 
 
 def polygons(spark, sf):
-    """Regions as rectangles that lie across the pixels' borders."""
-    k = F.col("r_regionkey")
-    w, e, s, n = 140.005 + 0.1 * k, 140.215 + 0.1 * k, -34.195 - 0.05 * k, -34.025 - 0.05 * k
+    """Suppliers as rectangles that lie across the pixels' borders."""
+    k = F.col("s_suppkey")
+    w, n = 140.0053 + (k * 37 % 60) / F.lit(100.0), -34.0251 - (k * 53 % 50) / F.lit(100.0)
+    e, s = w + 0.21, n - 0.17
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    return proxy.table(spark, sf, "region").select(F.col("r_name").alias("feature_id"), F.array(F.array(corner(w, s), corner(e, s), corner(e, n), corner(w, n))).alias("rings"))
+    return proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), k).alias("feature_id"), F.array(F.array(corner(w, s), corner(e, s), corner(e, n), corner(w, n))).alias("rings"))
 
 
-POLYGONS = "polygons AS (SELECT r_name AS feature_id, 140.005 + 0.1::DOUBLE * r_regionkey AS w, 140.215 + 0.1::DOUBLE * r_regionkey AS e, -34.195 - 0.05::DOUBLE * r_regionkey AS s, -34.025 - 0.05::DOUBLE * r_regionkey AS n FROM region)"
+POLYGONS = """polygons AS (SELECT *, w + 0.21::DOUBLE AS e, n - 0.17::DOUBLE AS s FROM (
+  SELECT 'P' || s_suppkey AS feature_id, 140.0053::DOUBLE + (s_suppkey * 37 % 60) / 100.0::DOUBLE AS w, -34.0251::DOUBLE - (s_suppkey * 53 % 50) / 100.0::DOUBLE AS n FROM supplier))"""
 WEST, NORTH, RES = 140.0, -34.0, 0.02
 
 
 def pixels(spark, sf):
-    """Customers as pixels of three statistics: one pixel for each key, 40 to a row."""
+    """Customers as pixels of three statistics, 40 to a row, in two rasters on grids that are shifted against each other."""
     key = F.col("c_custkey")
     made = proxy.table(spark, sf, "customer").select((key % 40).cast("int").alias("px"), F.floor(key / 40).cast("int").alias("py"), F.col("c_acctbal").cast("decimal(12,2)").alias("bal"), (key % 17 == 0).alias("empty"))
     stat = F.explode(F.array(F.lit("min"), F.lit("mean"), F.lit("max"))).alias("stat")
     shift = F.when(F.col("stat") == "min", -10).when(F.col("stat") == "mean", 0).otherwise(10)
-    made = made.select("px", "py", "bal", "empty", stat).withColumn("value", F.when(~F.col("empty"), (F.col("bal") + shift).cast("double")))
-    keys = {"variable": F.lit("TXge35"), "scenario": F.lit("ssp245"), "horizon": F.lit("mid_term"), "source_feature": F.lit("ID1")}
-    return made.drop("bal", "empty").withColumns({**keys, "west": F.lit(WEST), "north": F.lit(NORTH), "res": F.lit(RES)})
+    made = made.select("px", "py", "bal", "empty", stat).withColumn("scenario", F.explode(F.array(F.lit("ssp245"), F.lit("ssp370"))))
+    other = F.col("scenario") == "ssp370"
+    made = made.withColumn("value", F.when(~F.col("empty"), (F.col("bal") + shift + F.when(other, 100).otherwise(0)).cast("double")))
+    grid_of = {"west": F.lit(WEST) + F.when(other, 0.013).otherwise(0.0), "north": F.lit(NORTH) - F.when(other, 0.007).otherwise(0.0), "res": F.lit(RES)}
+    return made.drop("bal", "empty").withColumns({"variable": F.lit("TXge35"), "horizon": F.lit("mid_term"), "source_feature": F.lit("ID1"), **grid_of})
 
 
-PIXELS = """pixels AS (SELECT CAST(c_custkey % 40 AS INT) AS px, CAST(c_custkey // 40 AS INT) AS py, stat, CASE WHEN c_custkey % 17 <> 0 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) + shift AS DOUBLE) END AS value,
-  'TXge35' AS variable, 'ssp245' AS scenario, 'mid_term' AS horizon, 'ID1' AS source_feature FROM customer, (VALUES ('min', -10), ('mean', 0), ('max', 10)) s(stat, shift))"""
+PIXELS = """pixels AS (SELECT CAST(c_custkey % 40 AS INT) AS px, CAST(c_custkey // 40 AS INT) AS py, stat, CASE WHEN c_custkey % 17 <> 0 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) + shift + more AS DOUBLE) END AS value,
+  'TXge35' AS variable, scenario, 'mid_term' AS horizon, 'ID1' AS source_feature, 140.0::DOUBLE + dx AS west, -34.0::DOUBLE - dy AS north, 0.02::DOUBLE AS res
+  FROM customer, (VALUES ('min', -10), ('mean', 0), ('max', 10)) s(stat, shift), (VALUES ('ssp245', 0, 0.0::DOUBLE, 0.0::DOUBLE), ('ssp370', 100, 0.013::DOUBLE, 0.007::DOUBLE)) r(scenario, more, dx, dy))"""
 K = "variable, scenario, horizon, source_feature"
 
 
-@query("""SELECT 'aus_18' AS domain, CAST(r AS INT) AS corner_row, CAST(c AS INT) AS corner_col, round(140 + 0.18::DOUBLE * (c - 0.5) + 0.01::DOUBLE * (r - 0.5), 9) AS lon, round(-35 + 0.18::DOUBLE * (r - 0.5) - 0.01::DOUBLE * (c - 0.5), 9) AS lat
-  FROM range(6) a(r), range(6) b(c) WHERE (SELECT count(*) FROM nation) = 25""")
+@query(f"""SELECT 'aus_18' AS domain, CAST(r AS INT) AS corner_row, CAST(c AS INT) AS corner_col, round(140 + 0.02::DOUBLE * (c - 0.5) + 0.001::DOUBLE * (r - 0.5), 9) AS lon, round(-35 + 0.02::DOUBLE * (r - 0.5) - 0.001::DOUBLE * (c - 0.5), 9) AS lat
+  FROM (SELECT unnest(range(count(*) // {COLS} + 1)) AS r FROM customer), range({COLS} + 1) b(c)""")
 def g1_cell_corners(spark, sf):
-    return grid.cell_corners(cells(spark, sf)).select("domain", F.col("corner_row").cast("int"), F.col("corner_col").cast("int"), F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"))
+    return grid.cell_corners(curved(spark, sf)).select("domain", F.col("corner_row").cast("int"), F.col("corner_col").cast("int"), F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"))
 
 
-@query(f"""WITH {GRID}, {POINTS}, near AS (SELECT feature_id, grid_row, grid_col FROM points p JOIN grid g ON g.lon BETWEEN p.lon - 0.36 AND p.lon + 0.36 AND g.lat BETWEEN p.lat - 0.36 AND p.lat + 0.36)
-  SELECT feature_id, greatest(0, min(grid_row) - 1)::INT AS row0, least(4, max(grid_row) + 1)::INT AS row1, greatest(0, min(grid_col) - 1)::INT AS col0, least(4, max(grid_col) + 1)::INT AS col1 FROM near GROUP BY feature_id""")
+@query(f"""WITH {CURVED}, {POINTS}, near AS (SELECT feature_id, grid_row, grid_col FROM points p JOIN grid g ON g.lon BETWEEN p.lon - 0.05 AND p.lon + 0.05 AND g.lat BETWEEN p.lat - 0.05 AND p.lat + 0.05)
+  SELECT feature_id, greatest(0, min(grid_row) - 1)::INT AS row0, least((SELECT max(grid_row) FROM grid), max(grid_row) + 1)::INT AS row1, greatest(0, min(grid_col) - 1)::INT AS col0, least({COLS} - 1, max(grid_col) + 1)::INT AS col1 FROM near GROUP BY feature_id""")
 def g2_candidate_window(spark, sf):
     box = points(spark, sf).select("feature_id", F.col("lon").alias("west"), F.col("lat").alias("south"), F.col("lon").alias("east"), F.col("lat").alias("north"))
-    return grid.candidate_window(cells(spark, sf), box).drop("domain")
+    return grid.candidate_window(curved(spark, sf), box).drop("domain")
 
 
 def _quads(spark, sf):
-    return grid.quads(grid.cell_corners(cells(spark, sf)))
+    return grid.quads(grid.cell_corners(curved(spark, sf)))
 
 
-@query()
-def g3_cells_intersecting(spark, sf):
-    return geometry.cells_intersecting(_quads(spark, sf), _rows_as_polygons(spark, sf))
+def _shapes(spark, sf):
+    """Suppliers as concave shapes of five corners, with a triangle as a hole."""
+    k = F.col("s_suppkey")
+    w, s = 140.0037 + (k * 37 % 90) / F.lit(100.0), -35.0041 + (k * 53 % 90) / F.lit(100.0)
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    ring = F.array(*(corner(w + x, s + y) for x, y in SHAPE))
+    hole = F.array(*(corner(w + x, s + y) for x, y in HOLE))
+    return proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), k).alias("feature_id"), F.array(ring, hole).alias("rings"))
 
 
-def _rows_as_polygons(spark, sf):
-    k = F.col("r_regionkey")
-    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    w, s = 139.95 + 0.1 * k, -35.05 + 0.13 * k
-    ring = F.array(corner(w, s), corner(w + 0.5, s), corner(w + 0.5, s + 0.4), corner(w + 0.25, s + 0.1), corner(w, s + 0.4))
-    return proxy.table(spark, sf, "region").select(F.col("r_name").alias("feature_id"), F.array(ring).alias("rings"))
+SHAPE = ((0.0, 0.0), (0.151, 0.0), (0.151, 0.123), (0.077, 0.031), (0.0, 0.123))
+HOLE = ((0.0021, 0.0022), (0.0823, 0.0025), (0.0024, 0.0717))
+SHAPES = f"""shapes AS (SELECT 'P' || s_suppkey AS feature_id, 140.0037::DOUBLE + (s_suppkey * 37 % 90) / 100.0::DOUBLE AS w, -35.0041::DOUBLE + (s_suppkey * 53 % 90) / 100.0::DOUBLE AS s FROM supplier),
+sides AS (SELECT feature_id, w + x1 AS ax, s + y1 AS ay, w + x2 AS ex, s + y2 AS ey FROM shapes, (VALUES {", ".join(f"({a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for ring in (SHAPE, HOLE) for a, b in zip(ring, ring[1:] + ring[:1]))}) t(x1, y1, x2, y2))"""
+
+
+def _turn(a, b, c):
+    """SQL: on which side of the line from a to b the point c lies."""
+    return f"(({b[0]} - {a[0]}) * ({c[1]} - {a[1]}) - ({b[1]} - {a[1]}) * ({c[0]} - {a[0]}))"
 
 
-NEAREST = f"""{GRID}, {POINTS}, near AS (SELECT feature_id, grid_row, grid_col, row_number() OVER (PARTITION BY feature_id ORDER BY
-  pow((g.lon - p.lon) * cos(radians(p.lat)), 2) + pow(g.lat - p.lat, 2), grid_row, grid_col) AS n FROM points p, grid g),
+def _meets():
+    """SQL: a side from ax, ay to ex, ey begins in the quad x0..y3, or cuts one of its sides."""
+    quad, a, b = [(f"x{k}", f"y{k}") for k in range(4)], ("ax", "ay"), ("ex", "ey")
+    turns = ", ".join(_turn(quad[k], quad[(k + 1) % 4], a) for k in range(4))
+    cuts = [f"({_turn(a, b, p)} * {_turn(a, b, q)} <= 0 AND {_turn(p, q, a)} * {_turn(p, q, b)} <= 0)" for p, q in zip(quad, quad[1:] + quad[:1])]
+    return f"(least({turns}) >= 0 OR greatest({turns}) <= 0 OR {' OR '.join(cuts)})"
+
+
+@query(f"""WITH {CURVED}, {QUADS}, {SHAPES}, boxed AS (SELECT feature_id, min(ax) AS w, max(ax) AS e, min(ay) AS s, max(ay) AS n FROM sides GROUP BY feature_id),
+  near AS (SELECT * FROM quads JOIN boxed ON least(x0, x1, x2, x3) <= e AND greatest(x0, x1, x2, x3) >= w AND least(y0, y1, y2, y3) <= n AND greatest(y0, y1, y2, y3) >= s)
+  SELECT domain, grid_row, grid_col, feature_id FROM near JOIN sides USING (feature_id) GROUP BY ALL
+  HAVING bool_or({_meets()}) OR count(*) FILTER (WHERE (ay > y0) <> (ey > y0) AND x0 < ax + (y0 - ay) * (ex - ax) / nullif(ey - ay, 0)) % 2 = 1""")
+def g3_cells_intersecting(spark, sf):
+    return geometry.cells_intersecting(_quads(spark, sf), _shapes(spark, sf))
+
+
+def _nearest(name):
+    return f"""near AS (SELECT feature_id, grid_row, grid_col, row_number() OVER (PARTITION BY feature_id ORDER BY
+  ((g.lon - p.lon) * cos(radians(p.lat))) * ((g.lon - p.lon) * cos(radians(p.lat))) + (g.lat - p.lat) * (g.lat - p.lat), grid_row, grid_col) AS n FROM points p, {name} g),
 nearest AS (SELECT feature_id, grid_row, grid_col FROM near WHERE n = 1)"""
 
 
-@query(f"WITH {NEAREST} SELECT feature_id, 'aus_18' AS domain, grid_row, grid_col FROM nearest")
+NEAREST = f"{GRID}, {POINTS}, {_nearest('grid')}"
+
+
+@query(f"WITH {CURVED}, {POINTS}, {_nearest('grid')} SELECT feature_id, 'aus_18' AS domain, grid_row, grid_col FROM nearest")
 def g4_nearest_cell(spark, sf):
-    return geometry.nearest_cell(cells(spark, sf), points(spark, sf))
+    return geometry.nearest_cell(curved(spark, sf), points(spark, sf))
 
 
 @query(f"WITH {OBS}, {NEAREST} SELECT n.feature_id, n.grid_row, n.grid_col, count(*) AS n_rows, sum(value)::DOUBLE AS total, 'nearest' AS method, 1::BIGINT AS n_cells FROM obs JOIN nearest n ON obs.grid_row = n.grid_row AND obs.grid_col = n.grid_col GROUP BY ALL")
@@ -135,17 +194,19 @@ def g7_full_grid_guard(spark, sf):
     return grid.full_grid_guard(_picked(spark, sf), cells(spark, sf))
 
 
-@query("SELECT 'aus_18' AS domain, 'outside: ' || string_agg(r_name, ', ' ORDER BY r_name) AS reason FROM region WHERE 140.215 + 0.1 * r_regionkey > 140.45")
+@query(f"""WITH {SHAPES}, {CURVED}, ends AS (SELECT min(lon) - 0.0113 AS w, max(lon) + 0.0113 AS e, min(lat) - 0.0113 AS s, max(lat) + 0.0113 AS n FROM grid),
+  beyond AS (SELECT DISTINCT feature_id FROM sides, ends WHERE ax NOT BETWEEN ends.w AND ends.e OR ay NOT BETWEEN ends.s AND ends.n ORDER BY feature_id LIMIT 10)
+  SELECT 'aus_18' AS domain, 'outside: ' || string_agg(feature_id, ', ' ORDER BY feature_id) AS reason FROM beyond""")
 def g8_select_domain(spark, sf):
-    corner = lambda x, y: f"named_struct('x', double({x}), 'y', double({y}))"
-    ring = f"array({corner(140, -35)}, {corner(140.45, -35)}, {corner(140.45, -34)}, {corner(140, -34)})"
-    footprint = spark.sql(f"select 'seaus_4km' as domain, array({ring}) as rings")
-    return geometry.select_domain(polygons(spark, sf), footprint)
+    ends = curved(spark, sf).agg(*((f(c) + by).alias(n) for f, c, by, n in ((F.min, "lon", -0.0113, "w"), (F.max, "lon", 0.0113, "e"), (F.min, "lat", -0.0113, "s"), (F.max, "lat", 0.0113, "n"))))
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ring = F.array(corner("w", "s"), corner("e", "s"), corner("e", "n"), corner("w", "n"))
+    return geometry.select_domain(_shapes(spark, sf), ends.select(F.lit("seaus_4km").alias("domain"), F.array(ring).alias("rings")))
 
 
-@query("SELECT 'aus_18' AS domain, 0.18::DOUBLE AS res_x, 0.18::DOUBLE AS res_y FROM nation WHERE n_nationkey = 0")
+@query(f"WITH {CURVED} SELECT domain, round_even(abs(regr_slope(rlon, grid_col)), 2) AS res_x, round_even(abs(regr_slope(rlat, grid_row)), 2) AS res_y FROM grid GROUP BY domain")
 def g9_native_resolution(spark, sf):
-    return grid.native_resolution(cells(spark, sf))
+    return grid.native_resolution(curved(spark, sf))
 
 
 @query("""WITH axis AS (SELECT c_nationkey AS name, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS idx, c_custkey AS k FROM customer),
@@ -162,15 +223,34 @@ def g10_regular_axis(spark, sf):
     return grid.regular_axis(line).select("name", F.round("origin", 6).alias("origin"), F.round("step", 6).alias("step"), "regular")
 
 
-@query()
+#: No pixel border of this resolution meets a cell corner, so that touching is never decided by rounding.
+FINE = 0.0073137
+
+
+def _apart():
+    """SQL: an axis of the quad x0..y3 separates it from the box l, b, r, t."""
+    tests = []
+    for k in range(4):
+        j = (k + 1) % 4
+        along = lambda x, y: f"(y{j} - y{k}) * {x} + (x{k} - x{j}) * {y}"  # noqa: E731, B023
+        quad, box = ", ".join(along(f"x{i}", f"y{i}") for i in range(4)), ", ".join(along(x, y) for x in "lr" for y in "bt")
+        tests.append(f"least({quad}) > greatest({box}) OR greatest({quad}) < least({box})")
+    return " OR ".join(tests)
+
+
+@query(f"""WITH {CURVED}, {QUADS}, ends AS (SELECT floor(min(least(x0, x1, x2, x3)) / {FINE}::DOUBLE) * {FINE}::DOUBLE AS west, ceil(max(greatest(y0, y1, y2, y3)) / {FINE}::DOUBLE) * {FINE}::DOUBLE AS north FROM quads),
+  wide AS (SELECT *, unnest(range(floor((least(x0, x1, x2, x3) - west) / {FINE}::DOUBLE)::BIGINT, floor((greatest(x0, x1, x2, x3) - west) / {FINE}::DOUBLE)::BIGINT + 1)) AS px FROM quads, ends),
+  boxed AS (SELECT *, unnest(range(floor((north - greatest(y0, y1, y2, y3)) / {FINE}::DOUBLE)::BIGINT, floor((north - least(y0, y1, y2, y3)) / {FINE}::DOUBLE)::BIGINT + 1)) AS py FROM wide),
+  placed AS (SELECT *, west + px * {FINE}::DOUBLE AS l, west + px * {FINE}::DOUBLE + {FINE}::DOUBLE AS r, north - py * {FINE}::DOUBLE AS t, north - py * {FINE}::DOUBLE - {FINE}::DOUBLE AS b FROM boxed)
+  SELECT 'balance' AS variable, px, py, west, north, {FINE}::DOUBLE AS res, arg_max(value, grid_row * {COLS} + grid_col) AS value FROM placed WHERE NOT ({_apart()}) GROUP BY ALL""")
 def g11_rasterise(spark, sf):
-    means = proxy.obs(spark, sf).groupBy("variable", "grid_row", "grid_col").agg(F.max("value").cast("double").alias("value"))
-    return grid.rasterise(means, _quads(spark, sf), 0.05)
+    values = curved(spark, sf).select(F.lit("balance").alias("variable"), "grid_row", "grid_col", "value")
+    return grid.rasterise(values, _quads(spark, sf), FINE)
 
 
-@query(f"WITH {PIXELS} SELECT px, py, stat, value, round(140 + (px + 0.5) * 0.02::DOUBLE, 9) AS longitude, round(-34 - (py + 0.5) * 0.02::DOUBLE, 9) AS latitude FROM pixels WHERE value IS NOT NULL")
+@query(f"WITH {PIXELS} SELECT px, py, stat, value, scenario, round(west + (px + 0.5) * 0.02::DOUBLE, 9) AS longitude, round(north - (py + 0.5) * 0.02::DOUBLE, 9) AS latitude FROM pixels WHERE value IS NOT NULL")
 def g12_pixels_to_points(spark, sf):
-    return grid.pixels_to_points(pixels(spark, sf)).select("px", "py", "stat", "value", F.round("longitude", 9).alias("longitude"), F.round("latitude", 9).alias("latitude"))
+    return grid.pixels_to_points(pixels(spark, sf)).select("px", "py", "stat", "value", "scenario", F.round("longitude", 9).alias("longitude"), F.round("latitude", 9).alias("latitude"))
 
 
 @query(f"WITH {PIXELS} SELECT {K}, px, py, max(value) FILTER (WHERE stat = 'min') AS min, max(value) FILTER (WHERE stat = 'mean') AS mean, max(value) FILTER (WHERE stat = 'max') AS max FROM pixels GROUP BY ALL HAVING count(value) > 0")
@@ -185,8 +265,9 @@ def g14_alignment(spark, sf):
     return grid.alignment(part.select(F.col("p_brand").alias("variable"), lit("s").alias("scenario"), lit("h").alias("horizon"), lit("ID1").alias("source_feature"), (F.col("p_size") % 2).alias("west"), lit(0).alias("north"), lit(1).alias("res"), lit(1).alias("width"), lit(1).alias("height")))
 
 
-TOUCHED = """touched AS (SELECT feature_id, pixels.* FROM pixels JOIN polygons ON 140 + px * 0.02::DOUBLE <= e AND 140 + px * 0.02::DOUBLE + 0.02 >= w AND -34 - py * 0.02::DOUBLE - 0.02 <= n AND -34 - py * 0.02::DOUBLE >= s WHERE value IS NOT NULL)"""
-ZONAL = f"zonal AS (SELECT {K}, stat, p.feature_id, round(sum(CAST(value AS DECIMAL(14,2)))::DOUBLE / count(value), 6) AS value, count(value) AS n_pixels FROM (SELECT DISTINCT {K}, stat FROM pixels) g, polygons p LEFT JOIN touched t USING ({K}, stat, feature_id) GROUP BY ALL)".replace("(SELECT DISTINCT " + K + ", stat FROM pixels) g, polygons p LEFT JOIN touched t", "(SELECT * FROM (SELECT DISTINCT " + K + ", stat FROM pixels), (SELECT feature_id FROM polygons)) p LEFT JOIN touched t")
+TOUCHED = """touched AS (SELECT feature_id, pixels.* FROM pixels JOIN polygons ON west + px * 0.02::DOUBLE <= e AND west + px * 0.02::DOUBLE + 0.02 >= w AND north - py * 0.02::DOUBLE - 0.02 <= n AND north - py * 0.02::DOUBLE >= s WHERE value IS NOT NULL)"""
+ZONAL = f"""zonal AS (SELECT {K}, stat, feature_id, round(sum(CAST(value AS DECIMAL(14,2)))::DOUBLE / count(value), 6) AS value, count(value) AS n_pixels
+  FROM (SELECT * FROM (SELECT DISTINCT {K}, stat FROM pixels), (SELECT feature_id FROM polygons)) LEFT JOIN touched USING ({K}, stat, feature_id) GROUP BY ALL)"""
 
 
 @query(f"WITH {PIXELS}, {POLYGONS}, {TOUCHED}, {ZONAL} SELECT * FROM zonal")
@@ -194,10 +275,11 @@ def g15_zonal_mean(spark, sf):
     return zonal.zonal_mean(pixels(spark, sf), polygons(spark, sf)).withColumn("value", F.round("value", 6))
 
 
-@query(f"""WITH {PIXELS}, {POLYGONS} SELECT feature_id, count(*) AS n FROM pixels JOIN polygons ON 140 + (px + 0.5) * 0.02::DOUBLE BETWEEN w AND e AND -34 - (py + 0.5) * 0.02::DOUBLE BETWEEN s AND n WHERE stat = 'mean' GROUP BY feature_id""")
+@query(f"""WITH {PIXELS}, {POLYGONS} SELECT feature_id, scenario, count(*) AS n FROM pixels JOIN polygons ON west + (px + 0.5) * 0.02::DOUBLE BETWEEN w AND e AND north - (py + 0.5) * 0.02::DOUBLE BETWEEN s AND n WHERE stat = 'mean' GROUP BY ALL""")
 def g15_centre_in_polygon(spark, sf):
-    found = zonal.pixels_of(pixels(spark, sf).where("stat = 'mean'"), polygons(spark, sf), all_touched=False)
-    return found.groupBy("feature_id").agg(F.count(F.lit(1)).alias("n"))
+    own = pixels(spark, sf).where("stat = 'mean'")
+    found = zonal.pixels_of(own, polygons(spark, sf), all_touched=False)
+    return own.join(found, list(grid.PIXEL)).groupBy("feature_id", "scenario").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {PIXELS}, {POLYGONS}, {TOUCHED} SELECT feature_id, round_even(sum(CAST(value AS DECIMAL(14,2)))::DOUBLE / count(*), 1) AS mean, round_even(min(value), 1) AS min, round_even(max(value), 1) AS max, count(*) AS valid_cells FROM touched WHERE stat = 'mean' GROUP BY feature_id")
@@ -205,15 +287,18 @@ def g16_zonal_stats(spark, sf):
     return zonal.zonal_stats(pixels(spark, sf).where("stat = 'mean'"), polygons(spark, sf))
 
 
-SAMPLED = f"""{PIXELS}, sites AS (SELECT 'P' || s_suppkey AS feature_id, 140 + (s_suppkey * 37 % 90) / 100.0::DOUBLE + 0.003 AS lon, -34.003 - (s_suppkey * 53 % 70) / 100.0::DOUBLE AS lat FROM supplier),
-placed AS (SELECT *, CAST(floor((lon - 140) / 0.02) AS INT) AS px, CAST(floor((-34 - lat) / 0.02) AS INT) AS py FROM sites),
-sampled AS (SELECT feature_id, lon, lat, {K}, stat, value FROM placed LEFT JOIN pixels USING (px, py))"""
+SAMPLED = f"""{PIXELS}, sites AS (SELECT 'P' || s_suppkey AS feature_id, 140 + (s_suppkey * 37 % 90) / 100.0::DOUBLE + 0.0033 AS lon, -34.0031 - (s_suppkey * 53 % 70) / 100.0::DOUBLE AS lat FROM supplier),
+placed AS (SELECT feature_id, lon, lat, {K}, stat, CAST(floor((lon - west) / 0.02) AS INT) AS px, CAST(floor((north - lat) / 0.02) AS INT) AS py FROM sites, (SELECT DISTINCT {K}, stat, west, north FROM pixels)),
+sampled AS (SELECT feature_id, lon, lat, {K}, stat, value FROM placed LEFT JOIN pixels USING ({K}, stat, px, py))"""
 
 
-def _sampled(spark, sf):
+def sample_sites(spark, sf):
     key = F.col("s_suppkey")
-    sites = proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), key).alias("feature_id"), (140 + (key * 37 % 90) / F.lit(100.0) + 0.003).alias("lon"), (-34.003 - (key * 53 % 70) / F.lit(100.0)).alias("lat"))
-    return zonal.sample_point(pixels(spark, sf), sites, WEST, NORTH, RES)
+    return proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), key).alias("feature_id"), (140 + (key * 37 % 90) / F.lit(100.0) + 0.0033).alias("lon"), (-34.0031 - (key * 53 % 70) / F.lit(100.0)).alias("lat"))
+
+
+def _sampled(spark, sf):
+    return zonal.sample_point(pixels(spark, sf), sample_sites(spark, sf))
 
 
 @query(f"WITH {SAMPLED} SELECT * FROM sampled")
@@ -221,14 +306,28 @@ def g17_sample_point(spark, sf):
     return _sampled(spark, sf)
 
 
-@query()
+def _regridded(name, source, target, keys):
+    """SQL of CTEs that bring the rasters of `source` to the pixels of `target` bilinearly: `name` has the keys, the target's pixel, the source's grid and the value."""
+    shared = [k for k in keys if k != "scenario"]
+    return f"""{name}_placed AS (SELECT {"".join(f"r.{k}, " for k in keys)}t.px, t.py, t.west, t.north, t.res, r.west AS source_west, r.north AS source_north, r.res AS source_res,
+  (t.west + (t.px + 0.5) * t.res - r.west) / r.res - 0.5 AS x, (r.north - t.north + (t.py + 0.5) * t.res) / r.res - 0.5 AS y
+  FROM (SELECT DISTINCT {"".join(f"{k}, " for k in shared)}px, py, west, north, res FROM {target}) t JOIN (SELECT DISTINCT {"".join(f"{k}, " for k in keys)}west, north, res FROM {source}) r ON {" AND ".join([f"t.{k} = r.{k}" for k in shared] or ["true"])}),
+{name}_near AS (SELECT p.*, CAST(floor(x) + i AS INT) AS nx, CAST(floor(y) + j AS INT) AS ny FROM {name}_placed p, range(2) a(i), range(2) b(j)),
+{name} AS (SELECT {"".join(f"n.{k}, " for k in keys)}n.px, n.py, n.west, n.north, n.res, source_west, source_north, source_res,
+  sum((1 - abs(x - nx)) * (1 - abs(y - ny)) * s.value) / nullif(sum((1 - abs(x - nx)) * (1 - abs(y - ny))) FILTER (WHERE s.value IS NOT NULL), 0) AS value
+  FROM {name}_near n LEFT JOIN {source} s ON s.px = nx AND s.py = ny AND s.west = source_west AND s.north = source_north{"".join(f" AND s.{k} = n.{k}" for k in keys)} GROUP BY ALL)"""
+
+
+@query(f"""WITH {PIXELS}, source AS (SELECT * FROM pixels WHERE stat = 'mean'),
+  target AS (SELECT 2 * px + i AS px, 2 * py + j AS py, west + 0.003 AS west, north - 0.003 AS north, res / 2 AS res FROM source, range(2) a(i), range(2) b(j) WHERE scenario = 'ssp245'), {_regridded("regridded", "source", "target", ["scenario"])}
+  SELECT * REPLACE (round(value, 6) AS value) FROM regridded""")
 def g18_bilinear_regrid(spark, sf):
     source = pixels(spark, sf).where("stat = 'mean'")
     fine = F.explode(F.sequence(F.lit(0), F.lit(1)))
     # a finer grid over the whole of the source: four pixels, shifted, for each of its own
-    target = source.select("px", "py", "west", "north", "res").withColumn("_i", fine).withColumn("_j", fine).select(
+    target = source.where("scenario = 'ssp245'").select("px", "py", "west", "north", "res").withColumn("_i", fine).withColumn("_j", fine).select(
         (2 * F.col("px") + F.col("_i")).alias("px"), (2 * F.col("py") + F.col("_j")).alias("py"), (F.col("west") + 0.003).alias("west"), (F.col("north") - 0.003).alias("north"), (F.col("res") / 2).alias("res"))
-    return grid.bilinear(source, target)
+    return grid.bilinear(source, target, ("scenario",)).withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {PIXELS} SELECT variable, -greatest(abs(min(value)), abs(max(value))) AS low, greatest(abs(min(value)), abs(max(value))) AS high FROM pixels GROUP BY variable")
@@ -242,11 +341,11 @@ def e9_feature_summary(spark, sf):
     return zonal.feature_summary(_sampled(spark, sf))
 
 
-@query()
+@query(f"""WITH {PIXELS}, past AS (SELECT * REPLACE (west + 0.004 AS west, value - 5 AS value, 'historical' AS scenario, 'baseline' AS horizon) FROM pixels WHERE scenario = 'ssp245' AND stat <> 'max'),
+  {_regridded("moved", "past", "pixels", ["variable", "source_feature", "stat"])}
+  SELECT pixels.* REPLACE (round(pixels.value - moved.value, 6) AS value) FROM pixels JOIN moved USING (variable, source_feature, stat, px, py, west, north, res)""")
 def e14_spi_change(spark, sf):
-    """The baseline lies on another grid and is brought to the future's first."""
-    future = pixels(spark, sf).where("stat = 'mean'").withColumns({"grid_row": F.col("py"), "grid_col": F.col("px"), "feature_id": F.lit("ID1"), "mean": F.col("value")})
-    moved = pixels(spark, sf).where("stat = 'mean'").withColumns({"west": F.col("west") + 0.004, "value": F.col("value") - 5})
-    base = grid.bilinear(moved, future.select("px", "py", "west", "north", "res"))
-    base = base.select(F.lit("TXge35").alias("variable"), F.lit("historical").alias("scenario"), F.lit("baseline").alias("horizon"), F.lit("ID1").alias("feature_id"), F.col("py").alias("grid_row"), F.col("px").alias("grid_col"), F.col("value").alias("mean"))
-    return change.change_raster(future.select(*base.columns).unionByName(base), names=("mean",))
+    """The baseline lies on another grid and is brought to the grids of both futures; for the maximum there is none."""
+    future = pixels(spark, sf)
+    past = future.where("scenario = 'ssp245' and stat <> 'max'").withColumns({"west": F.col("west") + 0.004, "value": F.col("value") - 5, "scenario": F.lit("historical"), "horizon": F.lit("baseline")})
+    return change.spi_change(future.unionByName(past)).withColumn("value", F.round("value", 6))

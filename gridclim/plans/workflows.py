@@ -25,11 +25,11 @@ def ensemble_summary(obs: DataFrame, include_mean: bool = True, exact: bool = Tr
     return change.change_points(stored, names) if calculate_change else stored
 
 
-def spatial_summary(pixels: DataFrame, features: DataFrame, point_grid: tuple[float, float, float] | None = None, all_touched: bool = True, calculate_change: bool = True) -> DataFrame:
-    """Statistics of ensemble pixels for each feature, polygons by zonal means or points by their pixel (point_grid: west, north,
-    resolution), and the change against the baseline."""
-    values = zonal.sample_point(pixels, features, *point_grid) if point_grid else zonal.zonal_mean(pixels, features, all_touched)
-    made = zonal.feature_summary(values.where("variable is not null"))
+def spatial_summary(pixels: DataFrame, features: DataFrame, geometry_mode: str = "polygon", all_touched: bool = True, calculate_change: bool = True) -> DataFrame:
+    """Statistics of ensemble pixels for each feature, polygons(feature_id, rings) by zonal means or points(feature_id, lon, lat) by the
+    pixel they lie in, and the change against the baseline. The rasters may lie on grids of their own."""
+    values = zonal.sample_point(pixels, features) if geometry_mode == "point" else zonal.zonal_mean(pixels, features, all_touched)
+    made = zonal.feature_summary(values)
     return change.feature_change(made) if calculate_change else made
 
 
@@ -65,20 +65,17 @@ def w2_ensemble_summary(spark, sf):
 
 
 def _horizons(pixels: DataFrame) -> DataFrame:
-    """The pixels as a future horizon, and less ten as the baseline."""
-    base = pixels.withColumns({"scenario": F.lit("historical"), "horizon": F.lit("baseline"), "value": F.col("value") - 10})
+    """The pixels as a future horizon, and less ten, of one scenario, as the baseline."""
+    base = pixels.where("scenario = 'ssp245'").withColumns({"scenario": F.lit("historical"), "horizon": F.lit("baseline"), "value": F.col("value") - 10})
     return pixels.unionByName(base)
 
 
-@query(f"""WITH {spatial.SAMPLED}, both_horizons AS (SELECT * FROM sampled WHERE stat IS NOT NULL UNION ALL SELECT feature_id, lon, lat, variable, 'historical', 'baseline', source_feature, stat, value - 10 FROM sampled WHERE stat IS NOT NULL),
+@query(f"""WITH {spatial.SAMPLED}, both_horizons AS (SELECT * FROM sampled UNION ALL SELECT feature_id, lon, lat, variable, 'historical', 'baseline', source_feature, stat, value - 10 FROM sampled WHERE scenario = 'ssp245'),
   summary AS (SELECT {spatial.K}, feature_id, {", ".join(f"round_even(max(value) FILTER (WHERE stat = '{s}'), 1) AS {s}" for s in climate.STATS)}, CAST(count(value) > 0 AS BIGINT) AS n_pixels FROM both_horizons GROUP BY ALL),
   base AS (SELECT variable, feature_id, source_feature, {", ".join(f"{s} AS baseline_{s}" for s in climate.STATS)} FROM summary WHERE scenario = 'historical')
   SELECT summary.*, {", ".join(f"baseline_{s}, round_even({s} - baseline_{s}, 1) AS change_{s}" for s in climate.STATS)} FROM summary LEFT JOIN base USING (variable, feature_id, source_feature)""")
 def w3_spatial_summary(spark, sf):
-    pixels = _horizons(spatial.pixels(spark, sf))
-    key = F.col("s_suppkey")
-    sites = proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), key).alias("feature_id"), (140 + (key * 37 % 90) / F.lit(100.0) + 0.003).alias("lon"), (-34.003 - (key * 53 % 70) / F.lit(100.0)).alias("lat"))
-    return spatial_summary(pixels, sites, point_grid=(spatial.WEST, spatial.NORTH, spatial.RES))
+    return spatial_summary(_horizons(spatial.pixels(spark, sf)), spatial.sample_sites(spark, sf), "point")
 
 
 @query(f"""WITH {OBS}, {climate.ANNUAL}, {climate.ALIGNED}, {climate.AREA} SELECT variable, scenario, horizon, feature_id, period, time, round(min(value), 4) AS min, round(avg(value), 4) AS mean, round(max(value), 4) AS max,
