@@ -11,7 +11,6 @@ from gridclim.sources import store
 
 RUNOFF_MATCH_MM = 0.1
 STEPS = 60
-EXPANSIONS, BISECTIONS = 60, 80
 RANGES = ("very_frequent", "ifds", "rare")
 # Decimals of the hazard table.
 DECIMALS = {
@@ -26,12 +25,19 @@ def ifd_unpivot(wide: DataFrame, keys: list[str], duration: str = "duration", ra
     """A wide design table -> keys, duration_hours, event_rate_per_year, rainfall_depth_mm, probability_label. Columns whose
     names are no probability go, and so do values that are no number or negative; of equal durations and rates the one of the lowest rank stays."""
     held = [c for c in wide.columns if c not in {*keys, duration, rank}]
-    long = wide.select(*keys, duration, *([rank] if rank else []), *(F.col(f"`{c}`").cast("string").alias(c) for c in held)).unpivot(
-        [*keys, duration, *([rank] if rank else [])], held, "probability_label", "depth")
+    spark = wide.sparkSession
+    # the headers are parsed once, not in every row: as many as the table has columns
+    named = spark.createDataFrame([(c,) for c in held], "name string").select("name", labels.parse_event_rate(F.col("name")).alias("rate"))
+    rates = {r["name"]: r["rate"] for r in named.collect() if r["rate"] is not None}
+    extra = [rank] if rank else []
+    if not rates:
+        raise ValueError("no column's name is a probability")
+    each = F.explode(F.array(*(F.struct(F.lit(rate).alias("rate"), F.lit(c).alias("label"), F.col(f"`{c}`").cast("string").alias("depth")) for c, rate in rates.items())))
+    long = wide.select(*keys, duration, *extra, each.alias("_e"))
     made = long.select(
-        *keys, labels.parse_duration_hours(F.col(duration)).alias("duration_hours"), labels.parse_event_rate(F.col("probability_label")).alias("event_rate_per_year"),
-        labels.parse_number(F.col("depth")).alias("rainfall_depth_mm"), "probability_label", *([rank] if rank else []),
-    ).where("duration_hours is not null and event_rate_per_year is not null and rainfall_depth_mm >= 0")
+        *keys, labels.parse_duration_hours(F.col(duration)).alias("duration_hours"), F.col("_e.rate").alias("event_rate_per_year"),
+        labels.parse_number(F.col("_e.depth")).alias("rainfall_depth_mm"), F.col("_e.label").alias("probability_label"), *extra,
+    ).where("duration_hours is not null and rainfall_depth_mm >= 0")
     w = W.partitionBy(*keys, "duration_hours", "event_rate_per_year").orderBy(*([rank] if rank else []), "probability_label")
     return made.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", *([rank] if rank else []))
 
@@ -127,17 +133,23 @@ def total_runoff(depth: Column, hours: Column, initial: Column, continuing: Colu
 
 
 def min_depth_for_runoff(hours: Column, initial: Column, continuing: Column, target: float = RUNOFF_MATCH_MM, steps: int = STEPS) -> Column:
-    """The least depth with that runoff, by doubling and bisection inside one expression."""
-    enough = lambda depth: total_runoff(depth, hours, initial, continuing, steps) >= target
-    first = F.greatest(F.lit(1.0), initial + continuing * hours + target)
-    top = F.aggregate(F.sequence(F.lit(1), F.lit(EXPANSIONS)), first, lambda hi, _: F.when(enough(hi), hi).otherwise(hi * 2))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = (s["lo"] + s["hi"]) / 2
-        return F.struct(F.when(enough(mid), s["lo"]).otherwise(mid).alias("lo"), F.when(enough(mid), mid).otherwise(s["hi"]).alias("hi"))
-
-    start = F.struct(F.lit(0.0).alias("lo"), top.alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(BISECTIONS)), start, halve, lambda s: s["hi"])
+    """The least depth with that runoff: total_runoff() solved for the depth.
+
+    With r the rain of a step, c its continuing loss and I the initial loss, runoff grows with r without jumps; where step k fills
+    the initial loss, it is max(0, k r - I - c) + (n - k) (r - c). At r = I / k it is (n - k) (I / k - c), which falls as k
+    rises; solving that for the target gives k, a quadratic's lesser root, and then one of the two straight pieces gives r.
+    """
+    n, t = float(steps), float(target)
+    il, c = F.when(initial < 0, 0.0).otherwise(initial), continuing * hours / n
+    b = il + n * c + t
+    # the lesser root in the form that holds for c = 0 too
+    root = 2 * n * il / (b + F.sqrt(F.greatest(F.lit(0.0), b * b - 4 * n * c * il)))
+    k = F.least(F.lit(n), F.greatest(F.lit(1.0), F.ceil(root - 1e-9)))
+    corner = (il + c) / k  # from here on the filling step itself runs off
+    late = (t + il + c * (n + 1 - k)) / n
+    early = c + t / F.nullif(n - k, F.lit(0.0))
+    rain = F.when(early <= corner, early).otherwise(late)
+    return n * F.when(il <= 0, c + t / n).otherwise(rain)
 
 
 def shortfall(threshold: Column, depth: Column) -> Column:
@@ -205,7 +217,9 @@ def current_events(sites: DataFrame, ifd: DataFrame, losses: DataFrame, duration
     il, cl = current_losses(F.col("context"), F.col("initial_loss_mm"), F.col("continuing_loss_mm_per_hr"))
     made = sites.join(durations, "context").join(losses, "point_id", "left").crossJoin(aris)
     made = made.withColumns({"current_event_rate_per_year": reference_rate(F.col("current_ari_year")), "current_initial_loss_mm": il, "current_continuing_loss_mm_per_hr": cl})
-    tables = ifd.withColumn("duration_hr", F.col("duration_hours"))
+    # a table's duration and an event's are matched once, within the tolerance; the event's is the key from here on
+    asked = made.select(F.col("point_id").alias("_p"), "duration_hr").distinct()
+    tables = ifd.join(asked, (F.col("point_id") == F.col("_p")) & (F.abs(F.col("duration_hours") - F.col("duration_hr")) < 1e-6)).drop("_p")
     made = depth_at_rate(made, tables, ["point_id", "duration_hr"], "current_event_rate_per_year", "current_rainfall_depth_mm")
     hours, il, cl = F.col("duration_hr"), F.col("current_initial_loss_mm"), F.col("current_continuing_loss_mm_per_hr")
     return made.drop("initial_loss_mm", "continuing_loss_mm_per_hr").withColumns({

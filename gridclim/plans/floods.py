@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gridclim.operators import flood
 from gridclim.plans import proxy
+from gridclim.sources import store
 
 QUERIES, SQL = {}, {}
 RATES = (12.0, 6.0, 4.0, 3.0, 2.0, 1.0, 0.5, 0.2, 0.11, 0.05, 0.02, 0.01, 0.005, 0.002)
@@ -44,9 +45,13 @@ def sites(spark, sf):
     return proxy.sites(spark, sf).withColumn("point_id", F.regexp_replace(F.regexp_extract("point_id", "^F([0-9]+)_", 1), "^", "P"))
 
 
+#: Keeps results away from halves of the last decimal, which the two engines might round apart.
+ODD = 0.0137331
+
+
 def losses(spark, sf):
     key = F.col("s_suppkey")
-    return proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), key).alias("point_id"), (key % 30).cast("double").alias("initial_loss_mm"), ((key % 9) / F.lit(2.0)).alias("continuing_loss_mm_per_hr"))
+    return proxy.table(spark, sf, "supplier").select(F.concat(F.lit("P"), key).alias("point_id"), (key % 30).cast("double").alias("initial_loss_mm"), ((key % 9) / F.lit(2.0) + ODD).alias("continuing_loss_mm_per_hr"))
 
 
 def factors(spark, sf):
@@ -60,16 +65,108 @@ def factors(spark, sf):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-def _hazard(spark, sf):
-    return flood.flood_hazard(
-        sites(spark, sf), ifd(spark, sf), factors(spark, sf), losses(spark, sf),
-        spark.createDataFrame([("baseline", 1985, 2014), ("mid_term", 2041, 2060), ("long_term", 2081, 2100)], "horizon string, start_year int, end_year int"),
-        spark.createDataFrame([("historical",), ("ssp245",), ("ssp370",)], "scenario string"),
-        spark.createDataFrame([("urban", 1.0), ("rural", 24.0)], "context string, duration_hr double"),
-        spark.createDataFrame([(1.0,), (10.0,), (100.0,), (50.0,)], "current_ari_year double"),
+WINDOWS = (("baseline", 1985, 2014), ("mid_term", 2041, 2060), ("long_term", 2081, 2100))
+SCENARIOS = (("historical",), ("ssp245",), ("ssp370",))
+DURATIONS = (("urban", 1.0), ("rural", 24.0))
+ARIS = ((1.0,), (10.0,), (100.0,), (50.0,))
+
+
+def _dimensions(spark):
+    return (
+        spark.createDataFrame(WINDOWS, "horizon string, start_year int, end_year int"), spark.createDataFrame(SCENARIOS, "scenario string"),
+        spark.createDataFrame(DURATIONS, "context string, duration_hr double"), spark.createDataFrame(ARIS, "current_ari_year double"),
     )
 
 
+def _hazard(spark, sf):
+    return flood.flood_hazard(sites(spark, sf), ifd(spark, sf), factors(spark, sf), losses(spark, sf), *_dimensions(spark))
+
+
+def _curve(spark, sf):
+    """The curves of all regimes that the hazard table has."""
+    windows, scenarios, durations, aris = _dimensions(spark)
+    table = ifd(spark, sf)
+    events = flood.current_events(sites(spark, sf), table, losses(spark, sf), durations, aris)
+    return flood.future_runoff_curve(flood.future_regimes(events, factors(spark, sf), windows, scenarios), table)
+
+
+def _values(*rows):
+    return "(VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}::DOUBLE" if isinstance(v, float) else str(v) for v in row) + ")" for row in rows) + ")"
+
+
+def _step_sum(depth, hours, il, cl):
+    """SQL: runoff, step by step."""
+    rain = f"({depth} / 60)"
+    taken = f"(least(k * {rain}, {il}) - least((k - 1) * {rain}, {il}))"
+    lost = f"least(CASE WHEN k * {rain} >= {il} THEN {cl} * {hours} / 60 ELSE 0 END, {rain} - {taken})"
+    return f"list_sum(list_transform(range(1, 61), lambda k: CASE WHEN {rain} - {taken} - {lost} < 1e-12 THEN 0 ELSE {rain} - {taken} - {lost} END))"
+
+
+def _least_depth(rows, keys, hours, il, cl):
+    """SQL: keys and the least depth with runoff 0.1 for each of `rows`: of the two straight pieces of each step, the least depth that is enough."""
+    c = f"({cl} * {hours} / 60)"
+    total = f"CASE WHEN {il} <= 0 THEN 60 * greatest(0, r - {c}) WHEN ceil({il} / r) > 60 THEN 0 ELSE greatest(0, ceil({il} / r) * r - {il} - {c}) + (60 - ceil({il} / r)) * greatest(0, r - {c}) END"
+    tried = f"SELECT *, unnest([{c} + 0.1::DOUBLE / nullif(60 - k, 0), (0.1::DOUBLE + greatest({il}, 0) + {c} * (61 - k)) / 60, {c} + 0.1::DOUBLE / 60]) AS r FROM {rows}, range(1, 61) t(k)"
+    return f"SELECT {keys}, 60 * min(r) AS least_depth FROM ({tried}) WHERE r > 0 AND {total} >= 0.1 - 1e-9 GROUP BY ALL"
+
+
+def _log_at(name, events, at, measure):
+    """SQL: `name` has the keys, how many points the curve has, and the logarithm of the rate where the curve's `measure` is `at`."""
+    keys = "point_id, duration_hr, scenario, horizon"
+    return f"""{name}_curve AS (SELECT {keys}, log10({measure}) AS x, min(log10(event_rate_per_year)) AS y FROM curve WHERE event_rate_per_year > 0 AND {measure} > 0 GROUP BY ALL),
+{name}_ends AS (SELECT *, lead(x) OVER w AS x1, lead(y) OVER w AS y1, count(*) OVER (PARTITION BY {keys}) AS n FROM {name}_curve WINDOW w AS (PARTITION BY {keys} ORDER BY x)),
+{name} AS (SELECT {keys}, current_ari_year, max(n) AS {name}_n, max(CASE WHEN {at} >= x AND {at} < x1 THEN y + ({at} - x) / (x1 - x) * (y1 - y) WHEN {at} = x AND x1 IS NULL THEN y END) AS {name}_log FROM {events} JOIN {name}_ends USING ({keys}) GROUP BY ALL)"""
+
+
+HAZARD = f"""{IFD}, sites AS (SELECT 'P' || s_suppkey AS point_id, s_suppkey, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'urban' ELSE 'rural' END AS context,
+  140 + (s_suppkey * 37 % 90) / 100.0::DOUBLE AS lon, -35 + (s_suppkey * 53 % 90) / 100.0::DOUBLE AS lat FROM supplier),
+asked AS (SELECT sites.*, duration_hr, current_ari_year, CASE current_ari_year WHEN 10 THEN 0.11 ELSE 1.0::DOUBLE / current_ari_year END::DOUBLE AS current_event_rate_per_year,
+  CASE context WHEN 'urban' THEN 2.0 ELSE s_suppkey % 30 END::DOUBLE AS il, CASE context WHEN 'urban' THEN 0.0 ELSE (s_suppkey % 9) / 2.0 + {ODD} END::DOUBLE AS cl
+  FROM sites JOIN {_values(*DURATIONS)} d(context, duration_hr) USING (context), {_values(*ARIS)} a(current_ari_year)),
+ends AS (SELECT point_id, duration_hours AS duration_hr, event_rate_per_year AS r0, rainfall_depth_mm AS d0, lead(event_rate_per_year) OVER w AS r1, lead(rainfall_depth_mm) OVER w AS d1
+  FROM ifd WINDOW w AS (PARTITION BY point_id, duration_hours ORDER BY event_rate_per_year)),
+rained AS (SELECT asked.*, CASE WHEN current_event_rate_per_year = r0 THEN d0 ELSE d0 + (ln(current_event_rate_per_year) - ln(r0)) / (ln(r1) - ln(r0)) * (d1 - d0) END AS depth
+  FROM asked JOIN ends USING (point_id, duration_hr) WHERE current_event_rate_per_year >= r0 AND (current_event_rate_per_year < r1)),
+event_least AS ({_least_depth("(SELECT DISTINCT point_id, duration_hr, il, cl FROM asked)", "point_id, duration_hr", "duration_hr", "il", "cl")}),
+events AS (SELECT rained.*, {_step_sum("depth", "duration_hr", "il", "cl")} AS runoff, least_depth, greatest(0, least_depth - depth) AS shortfall FROM rained JOIN event_least USING (point_id, duration_hr)),
+warmed AS (SELECT DISTINCT point_id, s_suppkey, context, duration_hr, il, cl, scenario, horizon, start_year, end_year, CAST(round_even((start_year + end_year) / 2.0, 0) AS INT) AS horizon_year, slope
+  FROM asked, {_values(*WINDOWS)} w(horizon, start_year, end_year), {_values(("ssp245", 0.02), ("ssp370", 0.035))} s(scenario, slope) WHERE end_year > 2014),
+heated AS (SELECT *, (horizon_year - 2000) * slope AS dt, 15 - 7 * (duration_hr - 1) / 23 AS alpha, CASE context WHEN 'urban' THEN 1 ELSE 1 + (s_suppkey % 5) / 100.0 END::DOUBLE AS il_factor,
+  CASE context WHEN 'urban' THEN 1 ELSE 1 + (s_suppkey % 4) / 100.0 END::DOUBLE AS cl_factor FROM warmed),
+lossy AS (SELECT *, pow(1 + alpha / 100, dt) AS rain_factor, il * pow(il_factor, dt) AS future_il, cl * pow(cl_factor, dt) AS future_cl FROM heated),
+regime_least AS ({_least_depth("lossy", "point_id, duration_hr, scenario, horizon", "duration_hr", "future_il", "future_cl")}),
+regimes AS (SELECT lossy.*, least_depth AS future_least FROM lossy JOIN regime_least USING (point_id, duration_hr, scenario, horizon)),
+wet AS (SELECT regimes.*, event_rate_per_year, rainfall_depth_mm, rainfall_depth_mm * rain_factor AS future_depth FROM regimes JOIN ifd ON ifd.point_id = regimes.point_id AND duration_hours = duration_hr),
+curve AS (SELECT *, {_step_sum("future_depth", "duration_hr", "future_il", "future_cl")} AS future_runoff, greatest(0, future_least - future_depth) AS future_shortfall FROM wet),
+pairs AS (SELECT e.* EXCLUDE (s_suppkey), r.* EXCLUDE (point_id, s_suppkey, context, duration_hr, il, cl) FROM events e JOIN regimes r ON e.point_id = r.point_id AND e.duration_hr = r.duration_hr),
+{_log_at("by_runoff", "(SELECT * FROM pairs WHERE runoff >= 0.1)", "log10(runoff)", "future_runoff")},
+{_log_at("by_shortfall", "(SELECT * FROM pairs WHERE runoff < 0.1 AND shortfall > 0)", "log10(shortfall)", "future_shortfall")},
+joined AS (SELECT * FROM pairs LEFT JOIN by_runoff USING (point_id, duration_hr, scenario, horizon, current_ari_year) LEFT JOIN by_shortfall USING (point_id, duration_hr, scenario, horizon, current_ari_year)),
+matched AS (SELECT *, pow(10, coalesce(by_runoff_log, by_shortfall_log)) AS future_rate, CASE
+  WHEN runoff >= 0.1 AND coalesce(by_runoff_n, 0) < 2 THEN 'insufficient_positive_future_runoff_curve' WHEN runoff >= 0.1 AND by_runoff_log IS NULL THEN 'current_runoff_outside_future_curve'
+  WHEN runoff >= 0.1 THEN 'matched_loglog_runoff' WHEN shortfall <= 0 THEN 'invalid_current_rainfall_shortfall' WHEN coalesce(by_shortfall_n, 0) < 2 THEN 'insufficient_positive_future_shortfall_curve'
+  WHEN by_shortfall_log IS NULL THEN 'current_shortfall_outside_future_curve' ELSE 'matched_loglog_shortfall' END AS match_status FROM joined),
+changed AS (SELECT *, 1 / future_rate AS future_ari, future_rate / current_event_rate_per_year AS ratio FROM matched),
+hazard AS (SELECT point_id, duration_hr, scenario, horizon, context, name, lon, lat, current_ari_year, current_event_rate_per_year, il, cl, depth, runoff, least_depth, shortfall, start_year, end_year, horizon_year,
+  dt, alpha, rain_factor, il_factor, cl_factor, future_il, future_cl, pow(il_factor, dt) AS il_change, pow(cl_factor, dt) AS cl_change, future_least, match_status, future_rate, future_ari, ratio, (ratio - 1) * 100 AS change_pct FROM changed
+  UNION ALL SELECT point_id, duration_hr, 'historical', horizon, context, name, lon, lat, current_ari_year, current_event_rate_per_year, il, cl, depth, runoff, least_depth, shortfall, start_year, end_year,
+  CAST(round_even((start_year + end_year) / 2.0, 0) AS INT), 0, 15 - 7 * (duration_hr - 1) / 23, 1, 1, 1, il, cl, 1, 1, least_depth, 'historical_reference', current_event_rate_per_year, current_ari_year, 1, 0
+  FROM events, {_values(*WINDOWS)} w(horizon, start_year, end_year) WHERE end_year <= 2014),
+rounded AS (SELECT point_id, round_even(duration_hr, 2) AS duration_hr, scenario, horizon, context, name, lon, lat, round_even(current_ari_year, 3) AS current_ari_year, round_even(current_event_rate_per_year, 6) AS current_event_rate_per_year,
+  round_even(il, 2) AS current_initial_loss_mm, round_even(cl, 3) AS current_continuing_loss_mm_per_hr, round_even(depth, 2) AS current_rainfall_depth_mm, round_even(runoff, 2) AS current_runoff_mm,
+  round(least_depth, 6) AS current_runoff_threshold_depth_mm, 0.1::DOUBLE AS current_runoff_threshold_mm, round(shortfall, 6) AS current_rainfall_shortfall_mm, CAST(start_year AS INT) AS start_year, CAST(end_year AS INT) AS end_year, horizon_year,
+  round_even(dt, 3) AS delta_t_degC, round_even(alpha, 3) AS rainfall_alpha_pct_per_degC, round_even(rain_factor, 6) AS rainfall_factor, round_even(il_factor, 6) AS initial_loss_per_degree_factor,
+  round_even(cl_factor, 6) AS continuing_loss_per_degree_factor, round_even(future_il, 2) AS future_initial_loss_mm, round_even(future_cl, 3) AS future_continuing_loss_mm_per_hr, round_even(il_change, 3) AS initial_loss_factor,
+  round_even(cl_change, 3) AS continuing_loss_factor, round(future_least, 6) AS future_runoff_threshold_depth_mm, match_status, round_even(future_rate, 6) AS future_event_rate_per_year, round_even(future_ari, 3) AS future_ari_year,
+  round_even(ratio, 3) AS frequency_ratio, round_even(change_pct, 1) AS frequency_change_pct FROM hazard)"""
+#: Columns of the hazard table that have no decimals of their own; rounded so that both engines give the same digits.
+PLAIN = ("current_runoff_threshold_depth_mm", "current_rainfall_shortfall_mm", "future_runoff_threshold_depth_mm")
+
+
+def _plain(table, *names):
+    return table.withColumns({c: F.round(c, 6) for c in names})
+
+
 @query(f"WITH {IFD} SELECT * FROM ifd")
 def h1_ifd_unpivot(spark, sf):
     return ifd(spark, sf)
@@ -129,7 +226,7 @@ def h7_reference_rate(spark, sf):
     return proxy.table(spark, sf, "part").select("p_partkey", flood.reference_rate(F.col("p_size").cast("double")).alias("rate"))
 
 
-@query("""SELECT 'P' || s_suppkey AS point_id, CASE WHEN s_suppkey % 2 = 0 THEN 2.0 ELSE s_suppkey % 30 END::DOUBLE AS il, CASE WHEN s_suppkey % 2 = 0 THEN 0.0 ELSE (s_suppkey % 9) / 2.0 END::DOUBLE AS cl,
+@query(f"""SELECT 'P' || s_suppkey AS point_id, CASE WHEN s_suppkey % 2 = 0 THEN 2.0 ELSE s_suppkey % 30 END::DOUBLE AS il, CASE WHEN s_suppkey % 2 = 0 THEN 0.0 ELSE (s_suppkey % 9) / 2.0 + {ODD} END::DOUBLE AS cl,
   round(CASE WHEN s_suppkey % 2 = 0 THEN 2.0 ELSE (s_suppkey % 30) * pow(1.05, 2) END::DOUBLE, 8) AS future_il FROM supplier""")
 def h8_h9_losses(spark, sf):
     il, cl = flood.current_losses(F.col("context"), F.col("initial_loss_mm"), F.col("continuing_loss_mm_per_hr"))
@@ -161,22 +258,22 @@ def h11_total_runoff(spark, sf):
     return _events(spark, sf).select("p_partkey", F.abs(F.round(flood.total_runoff(*c), 5)).alias("runoff"))
 
 
-@query("SELECT p_partkey, true AS reaches, true AS least FROM part")
+@query(f"WITH {EVENTS}, least AS ({_least_depth('events', 'p_partkey', 'hours', 'il', 'cl')}) SELECT p_partkey, round(least_depth, 6) AS least_depth, true AS reaches, true AS least FROM least")
 def h12_min_depth(spark, sf):
     hours, il, cl = (F.col(x) for x in ("hours", "initial_loss", "continuing_loss"))
     depth = F.col("least_depth")
     done = _events(spark, sf).withColumn("least_depth", flood.min_depth_for_runoff(hours, il, cl))
-    return done.select("p_partkey", (flood.total_runoff(depth, hours, il, cl) >= 0.1).alias("reaches"), (flood.total_runoff(depth - 1e-6, hours, il, cl) < 0.1).alias("least"))
+    return done.select("p_partkey", F.round(depth, 6).alias("least_depth"), (flood.total_runoff(depth, hours, il, cl) >= 0.1 - 1e-9).alias("reaches"), (flood.total_runoff(depth - 1e-6, hours, il, cl) < 0.1).alias("least"))
 
 
-@query()
+@query(f"""WITH {HAZARD} SELECT point_id, duration_hr, scenario, horizon, horizon_year, event_rate_per_year, round(rainfall_depth_mm, 6) AS current_ifd_depth_mm, round(future_least, 6) AS future_runoff_threshold_depth_mm,
+  round(future_depth, 6) AS future_rainfall_depth_mm, round(future_runoff, 6) AS future_runoff_mm, round(future_shortfall, 6) AS future_rainfall_shortfall_mm FROM curve""")
 def h13_h14_future_runoff_curve(spark, sf):
-    hazard_events = flood.current_events(sites(spark, sf), ifd(spark, sf), losses(spark, sf), spark.createDataFrame([("urban", 1.0), ("rural", 24.0)], "context string, duration_hr double"), spark.createDataFrame([(1.0,)], "current_ari_year double"))
-    regimes = flood.future_regimes(hazard_events, factors(spark, sf), spark.createDataFrame([("mid_term", 2041, 2060)], "horizon string, start_year int, end_year int"), spark.createDataFrame([("ssp245",)], "scenario string"))
-    return flood.future_runoff_curve(regimes, ifd(spark, sf))
+    measures = ("current_ifd_depth_mm", "future_runoff_threshold_depth_mm", "future_rainfall_depth_mm", "future_runoff_mm", "future_rainfall_shortfall_mm")
+    return _plain(_curve(spark, sf), *measures).select("point_id", "duration_hr", "scenario", "horizon", "horizon_year", "event_rate_per_year", *(F.abs(c).alias(c) for c in measures))
 
 
-@query()
+@query(f"WITH {HAZARD} SELECT point_id, duration_hr, current_ari_year, scenario, horizon, future_event_rate_per_year, match_status FROM rounded WHERE scenario <> 'historical'")
 def h15_match_event_rate(spark, sf):
     return _hazard(spark, sf).where("scenario <> 'historical'").select("point_id", "duration_hr", "current_ari_year", "scenario", "horizon", "future_event_rate_per_year", "match_status")
 
@@ -194,9 +291,9 @@ def h17_historical_reference(spark, sf):
     return _hazard(spark, sf).where("scenario = 'historical'").select("point_id", "current_ari_year", "future_ari_year", "frequency_ratio", "frequency_change_pct", "horizon_year", "horizon")
 
 
-@query()
+@query(f"WITH {HAZARD} SELECT * FROM rounded")
 def h18_flood_hazard(spark, sf):
-    return _hazard(spark, sf)
+    return _plain(_hazard(spark, sf), *PLAIN)
 
 
 @query("SELECT l_orderkey, l_linenumber, round_even(l_quantity / 64, 2) AS duration_hr, round_even(l_quantity / 64, 1) AS frequency_change_pct FROM lineitem")
@@ -205,16 +302,26 @@ def h19_round_map(spark, sf):
     return flood.round_hazard(proxy.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", value.alias("duration_hr"), value.alias("frequency_change_pct")))
 
 
-@query()
+@query(f"""WITH {HAZARD}, shown AS (SELECT * FROM rounded WHERE scenario <> 'historical' AND current_event_rate_per_year IS NOT NULL AND future_event_rate_per_year IS NOT NULL),
+  several AS (SELECT context, count(DISTINCT point_id) > 1 AS many FROM shown GROUP BY context)
+  SELECT shown.*, round((SELECT max(current_event_rate_per_year) * 1.05 FROM shown), 6) AS x_max, round((SELECT max(future_event_rate_per_year) * 1.05 FROM shown), 6) AS y_max,
+    CASE context WHEN 'urban' THEN 'Urban' ELSE 'Rural' END || CASE WHEN many THEN ' (' || name || ')' ELSE '' END AS label FROM shown JOIN several USING (context)""")
 def h20_flood_comparison(spark, sf):
-    return flood.flood_comparison(_hazard(spark, sf))
+    return _plain(flood.flood_comparison(_hazard(spark, sf)), *PLAIN, "x_max", "y_max")
 
 
-@query("SELECT count(*) AS n, count(DISTINCT s_suppkey) AS points FROM supplier, range(20) WHERE range < 20")
+@query(f"""WITH {HAZARD} SELECT 'hazard' AS sink, scenario, horizon, count(*) AS n, count(DISTINCT point_id) AS points, round(sum(future_event_rate_per_year), 4) AS total FROM rounded GROUP BY ALL
+  UNION ALL SELECT 'hazard_csv', scenario, horizon, count(*), count(DISTINCT point_id), round(sum(future_event_rate_per_year), 4) FROM rounded GROUP BY ALL
+  UNION ALL SELECT 'curves', scenario, horizon, count(*), count(DISTINCT point_id), round(sum(future_runoff), 4) FROM curve GROUP BY ALL""")
 def s14_flood_sinks(spark, sf):
-    from gridclim.sources import store
-
+    """The three sinks as they are read back. Writing them again with other values changes nothing."""
     path = store.scratch(spark, "flood")
-    hazard = _hazard(spark, sf)
-    store.write_flood(hazard, h13_h14_future_runoff_curve(spark, sf), path)
-    return spark.read.schema(hazard.schema).parquet(f"{path}/hazard").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("point_id").alias("points"))
+    hazard, curves = store.settle(_hazard(spark, sf), "hazard"), store.settle(_curve(spark, sf), "curves")
+    store.write_flood(hazard, curves, path)
+    store.write_flood(hazard.withColumn("future_event_rate_per_year", F.lit(0.0)), curves.withColumn("future_runoff_mm", F.lit(0.0)), path)
+    read = {"hazard": spark.read.schema(hazard.schema).parquet(f"{path}/hazard"), "hazard_csv": spark.read.schema(hazard.schema).option("header", True).csv(f"{path}/hazard_csv"), "curves": spark.read.schema(curves.schema).parquet(f"{path}/curves")}
+    done = [
+        rows.groupBy(F.lit(name).alias("sink"), "scenario", "horizon").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("point_id").alias("points"), F.round(F.sum("future_runoff_mm" if name == "curves" else "future_event_rate_per_year"), 4).alias("total"))
+        for name, rows in read.items()
+    ]
+    return done[0].unionByName(done[1]).unionByName(done[2])

@@ -63,6 +63,26 @@ def test_least_depth(spark):
         assert loop(r.x - 1e-6, r.hours, r.initial_loss, r.continuing_loss) < 0.1
 
 
+def test_durations_match_within_the_tolerance(spark):
+    sites = spark.createDataFrame([("P", "rural")], "point_id string, context string")
+    losses = spark.createDataFrame([("P", 5.0, 1.0)], "point_id string, initial_loss_mm double, continuing_loss_mm_per_hr double")
+    ifd = spark.createDataFrame([("P", h, r, d) for h in (1.0, 24.0000001) for r, d in ((1.0, 20.0 * h), (0.1, 40.0 * h), (0.01, 60.0 * h))], "point_id string, duration_hours double, event_rate_per_year double, rainfall_depth_mm double")
+    durations = spark.createDataFrame([("rural", 24.0)], "context string, duration_hr double")
+    event = flood.current_events(sites, ifd, losses, durations, spark.createDataFrame([(1.0,)], "current_ari_year double")).first()
+    assert event.duration_hr == 24.0 and event.current_rainfall_depth_mm == pytest.approx(480.0, abs=1e-4)
+    with pytest.raises(PySparkException, match="outside the design table"):
+        far = durations.withColumn("duration_hr", F.lit(24.01))
+        flood.current_events(sites, ifd, losses, far, spark.createDataFrame([(1.0,)], "current_ari_year double")).collect()
+
+
+def test_headers_are_parsed_once(spark):
+    wide = spark.createDataFrame([("P", "1 hr", "1,000.5", "-3", "x", "7", 1), ("P", "60 min", "5", "4", "2", "7", 0)], "point_id string, duration string, `1 EY` string, `10%` string, `1 in 200` string, remark string, rank int")
+    got = {(r.duration_hours, r.event_rate_per_year): (r.rainfall_depth_mm, r.probability_label) for r in flood.ifd_unpivot(wide, ["point_id"], rank="rank").collect()}
+    assert got == {(1.0, 1.0): (5.0, "1 EY"), (1.0, 0.11): (4.0, "10%"), (1.0, 0.005): (2.0, "1 in 200")}
+    with pytest.raises(ValueError):
+        flood.ifd_unpivot(wide.select("point_id", "duration", "remark"), ["point_id"])
+
+
 def test_factors_and_rates(spark):
     row = spark.range(1).select(
         flood.rainfall_alpha(F.lit(1.0)).alias("a1"), flood.rainfall_alpha(F.lit(24.0)).alias("a24"), flood.rainfall_alpha(F.lit(0.2)).alias("low"),

@@ -14,6 +14,5 @@ def test_same_rows_as_sql(spark, name):
     same_rows(spark, catalog.queries()[name], SQL[name], SF)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries().keys() - SQL.keys() - {"h15_match_event_rate", "h20_flood_comparison"}))
-def test_runs(spark, name):
-    assert catalog.queries()[name](spark, SF).count() > 0
+def test_every_query_has_sql():
+    assert catalog.queries().keys() == SQL.keys()
