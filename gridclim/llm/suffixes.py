@@ -5,16 +5,16 @@ its k-mer with the smallest hash, the leftmost if it occurs twice. Equal windows
 only windows whose anchor hash occurs elsewhere can repeat. The windows of one anchor occurrence form a snippet; each
 window lies in exactly one snippet, and two snippets share no window of a text.
 
-Spark counts anchors and groups equal snippets. Snippets that stand alone under a repeated anchor with others are
-gathered by anchor; for each batch of anchors a task builds the Burrows-Wheeler transform, keeps its runs with the
-suffix positions at the run ends, and streams through the text: the match length falls by one at each byte until the
-next sampled run end sets it anew. Windows with matches of `length` bytes or more are repeats. An anchor with
-more than MOST_SNIPPETS different snippets is never gathered: its windows are counted one by one on Spark instead.
+Spark counts anchors and groups equal snippets, which match over their whole length. Different snippets of one anchor are gathered by
+anchor; for each batch of anchors a task builds the Burrows-Wheeler transform, of which it keeps the runs with the suffix positions
+at their ends, and streams through the text: the match length falls by one at each byte until the next sampled run end sets it
+anew. Windows with matches of `length` bytes or more are repeats. An anchor with more than MOST_SNIPPETS different snippets is
+never gathered, as its group grows with the corpus: its windows are counted one by one on Spark instead, with the same result.
 
 Defined results: a null or empty text has no bytes; texts shorter than `length` stay; a row repeated as a whole is a
-repeat of itself; rows that share a doc_id must share their text; rows with a null doc_id match nothing and stay as
+repeat of itself; rows may share a doc_id, whatever their texts are; rows with a null doc_id match nothing and stay as
 they are; an empty table gives an empty table; other columns pass through, but `kept`, `n_bytes`, `n_removed`
-and `n_spans` are replaced.
+and `n_spans` are replaced. Texts may have up to 2^31 bytes.
 """
 
 from __future__ import annotations
@@ -33,7 +33,9 @@ LENGTH, KMER = 200, 48
 MOST_SNIPPETS = 2_000
 #: An index takes so many bytes of snippets, and the rest of its last anchor.
 INDEX_BYTES = 1 << 19
-PLACE_BITS = np.uint64(28)
+#: Anchors are found in pieces of so many windows, which bounds the memory for long texts.
+PIECE = 1 << 20
+PLACE_BITS = np.uint64(PIECE.bit_length() + 1)
 LETTER = np.random.Generator(np.random.PCG64(10)).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -69,9 +71,16 @@ def kmer_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 
 def snippets(data: bytes, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows, and anchor hash of each snippet of a text."""
-    if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """First window, number of windows, and anchor hash of each snippet of a text. An anchor depends on its window alone, so a long
+    text is taken in pieces; where two meet, a snippet may be cut in two."""
+    found = []
+    for start in range(0, max(0, len(data) - length + 1), PIECE):
+        first, windows, anchor = _snippets(data[start : start + PIECE + length - 1], length, k)
+        found.append((first + start, windows, anchor))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+
+
+def _snippets(data: bytes, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h = kmer_hashes(np.frombuffer(data, np.uint8), k)
     least = (h >> PLACE_BITS << PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
     width, step = length - k + 1, 1
@@ -85,8 +94,16 @@ def snippets(data: bytes, length: int, k: int) -> tuple[np.ndarray, np.ndarray,
     return first, np.diff(first, append=len(anchor)), h[anchor[first]].view(np.int64)
 
 
+#: A row is known by its id and its text, as ids may repeat.
+ROW = ["doc_id", "_text_hash"]
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_text_hash", F.xxhash64("text"))
+
+
 def occurrences(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, first, windows, anchor, digest: a row per snippet."""
+    """docs(doc_id, text) -> doc_id, _text_hash, first, windows, anchor, digest: a row per snippet."""
 
     def make(batch: list[str]) -> tuple:
         at, columns = [], []
@@ -101,60 +118,74 @@ def occurrences(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFra
         return np.concatenate(at), [first.astype(np.int32), windows.astype(np.int32), anchor, digest]
 
     added = {"first": "int", "windows": "int", "anchor": "long", "digest": "long"}
-    return map_texts(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), make, added)
+    return map_texts(_rows(docs.where(F.col("doc_id").isNotNull())).select(*ROW, "text"), make, added)
 
 
-def _ranks(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
-    new = np.zeros(len(order), bool)
-    for key in keys:
-        k = key[order]
-        new[1:] |= k[1:] != k[:-1]
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.cumsum(new)
+def _ranks(order: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Of each place the rank of its key; equal keys have equal ranks."""
+    k = key[order]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(np.concatenate([[False], k[1:] != k[:-1]]))
     return rank
 
 
+def suffix_order(text: np.ndarray, longest: int) -> np.ndarray:
+    """The places of `text` in order of their suffixes up to the snippet's end, equal ones in order of place. `longest`: the length
+    of the longest snippet with its separator. Ranks by as many symbols as fit 63 bits come first, then by three times as many
+    at each step."""
+    n, bits = len(text), int(text.max(initial=1)).bit_length()
+    width = 63 // bits
+    key = np.zeros(n, np.uint64)
+    padded = np.concatenate([text, np.zeros(width, text.dtype)]).astype(np.uint64)
+    for i in range(width):
+        key = key << np.uint64(bits) | padded[i : n + i]
+    rank = _ranks(np.argsort(key), key)
+    times = 3 if (n + 1) ** 3 < 1 << 63 else 2
+    while width < longest and rank.max(initial=0) < n - 1:
+        key = rank
+        for i in range(1, times):  # 0: the end of the text comes first
+            later = np.zeros(n, np.int64)
+            later[: max(0, n - i * width)] = rank[i * width :] + 1
+            key = key * (n + 1) + later
+        rank = _ranks(np.argsort(key), key)
+        width *= times
+    return np.argsort(rank * n + np.arange(n))
+
+
 class RunIndex:
-    """Burrows-Wheeler runs of a text with the suffix positions at both ends of each run."""
+    """The runs of a text's Burrows-Wheeler transform with the suffix positions at both ends of each run. Nothing as long as the text
+    is kept beside the text itself."""
 
-    def __init__(self, text: np.ndarray):
-        """text: symbols from 0 to 256. The suffix order comes from sorting by packed symbols, then by twice as many."""
+    def __init__(self, snippets: list[bytes]):
+        """The text is all snippets, each closed by a separator that comes before all bytes."""
+        self.longest = max(map(len, snippets), default=0) + 1
+        raw = np.concatenate([np.append(np.frombuffer(x, np.uint8).astype(np.int16) + 1, np.int16(0)) for x in snippets])
         used = np.zeros(257, bool)
-        used[text] = True
-        used[0] = True
-        text = (np.cumsum(used) - 1)[text]
-        bits = int(text.max(initial=1)).bit_length()
-        self.text, n, self.packed = text, len(text), 63 // bits
-        key = np.zeros(n, np.uint64)
-        padded = np.concatenate([text, np.zeros(self.packed, text.dtype)]).astype(np.uint64)
-        for i in range(self.packed):
-            key = key << np.uint64(bits) | padded[i : n + i]
-        order = np.argsort(key)
-        self.levels = [(self.packed, _ranks(order, key))]
-        while self.levels[-1][1].max(initial=0) < n - 1:
-            width, rank = self.levels[-1]
-            later = np.zeros(n, np.int64)  # 0: the end of the text comes first
-            later[: max(0, n - width)] = rank[width:] + 1
-            pair = rank.astype(np.int64) * (n + 1) + later
-            order = np.argsort(pair)
-            self.levels.append((2 * width, _ranks(order, pair)))
-            if width > n:
-                break
-        before = np.where(order > 0, text[order - 1], -1)  # nothing stands before the first place
+        used[raw] = used[0] = True
+        self.text = (np.cumsum(used) - 1)[raw].astype(np.uint8 if used.sum() <= 256 else np.uint16)  # UTF-8 never has all 256 bytes
+        order = suffix_order(self.text, self.longest)
+        before = self.text[order - 1].astype(np.int64)
+        # separators count as different, so that every snippet's start is sampled and no match is followed beyond it
+        before = np.where((order == 0) | (before == 0), -1 - order, before)
         change = np.flatnonzero(before[1:] != before[:-1]) + 1
         self.symbols = before[np.concatenate([[0], change])]
-        self.starts, self.ends = order[np.concatenate([[0], change])], order[np.concatenate([change - 1, [n - 1]])]
+        self.starts, self.ends = order[np.concatenate([[0], change])], order[np.concatenate([change - 1, [len(order) - 1]])]
 
     def common(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Length of the longest common prefix of the suffixes at p and q."""
-        n, got = len(self.text), np.zeros(len(p), np.int64)
-        steps = [(w, r) for w, r in reversed(self.levels)] + [(1, self.text)] * (self.packed - 1)
-        for width, rank in steps:
-            a, b = p + got, q + got
-            inside = (a + width <= n) & (b + width <= n)
-            same = inside & (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)])
-            got += np.where(same, width, 0)
-        return got
+        """Length of the longest common prefix of the suffixes at p and q, as far as snippets go: eight bytes at a time."""
+        size, n = self.text.itemsize, len(self.text)
+        step = 8 // size
+        padded = np.concatenate([self.text, np.zeros(self.longest + 8, self.text.dtype)])
+        eight = np.ndarray((len(padded) - step + 1,), "<u8", padded.tobytes(), strides=(size,))  # at each place what begins there
+        got, left = np.zeros(len(p), np.int64), np.arange(len(p))
+        while len(left):
+            differ = eight[p[left] + got[left]] ^ eight[q[left] + got[left]]
+            same = differ == 0
+            low = differ & (~differ + np.uint64(1))  # the lowest bit that differs
+            got[left] += np.where(same, step, np.bitwise_count(low - np.uint64(1)) // (8 * size))
+            left = left[same]
+            left = left[got[left] < self.longest]
+        return np.minimum(got, n - np.maximum(p, q))
 
     def _stream(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
         """Match lengths of all places from those sampled: one less at each place up to the next sample."""
@@ -175,15 +206,14 @@ class RunIndex:
 
 def repeated_windows(batch: list[bytes], length: int) -> list[np.ndarray]:
     """For each snippet, which of its windows start anywhere else in the batch."""
-    text = np.concatenate([np.append(np.frombuffer(x, np.uint8).astype(np.int16) + 1, np.int16(0)) for x in batch])
-    found = RunIndex(text).match_lengths() >= length
+    found = RunIndex(batch).match_lengths() >= length
     ends = np.cumsum([len(x) + 1 for x in batch])
     return [found[e - len(x) - 1 : e - length] for x, e in zip(batch, ends)]
 
 
 def _snippet_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted(doc_id, first, windows, anchor, digest, alone) -> anchor, digest, alone, data."""
-    listed = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("first", "windows", "anchor", "digest", "alone")).alias("_list"))
+    """wanted(doc_id, _text_hash, first, windows, anchor, digest, alone) -> anchor, digest, alone, data, each once."""
+    listed = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("first", "windows", "anchor", "digest", "alone")).alias("_list"))
 
     def make(batch: list[str], lists: list) -> tuple:
         at, anchor, digest, alone, data = [], [], [], [], []
@@ -197,8 +227,9 @@ def _snippet_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame
                 data.append(raw[x["first"] : x["first"] + x["windows"] + length - 1])
         return at, [anchor, digest, alone, data]
 
-    joined = docs.select("doc_id", "text").join(listed, "doc_id")
-    return map_texts(joined, make, {"anchor": "long", "digest": "long", "alone": "boolean", "data": "binary"}, "text", ("_list",)).drop("doc_id")
+    joined = _rows(docs).select(*ROW, "text").join(listed, ROW)
+    found = map_texts(joined, make, {"anchor": "long", "digest": "long", "alone": "boolean", "data": "binary"}, "text", ("_list",)).drop(*ROW)
+    return found.dropDuplicates(["anchor", "digest"])  # a row that is there twice gives its snippets twice
 
 
 def _index_anchors(data: DataFrame, length: int) -> DataFrame:
@@ -256,7 +287,7 @@ def _count_windows(data: DataFrame, length: int) -> DataFrame:
 
 
 def marks(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
-    """doc_id, whole, parts: snippets all of whose windows repeat, and the windows of others; a snippet is written as its
+    """doc_id, _text_hash, whole, parts: snippets all of whose windows repeat, and the windows of others; a snippet is written as its
     first window, moved up by 32 bits, and its number of windows."""
     found = occurrences(docs, length, k)
     # smallest and largest digest tell whether all snippets of an anchor are equal
@@ -265,22 +296,24 @@ def marks(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
     repeated, _ = stage(anchors.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchors")
     rows, _ = stage(found.join(repeated, "anchor"), "repeated-anchors")
     mixed = rows.where("mixed").groupBy("anchor", "digest").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "first", "windows")).alias("at")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*ROW, "first", "windows")).alias("at")
     )
     mixed, _ = stage(mixed, "snippets")
-    kinds = mixed.groupBy("anchor").agg((F.count(F.lit(1)) > MOST_SNIPPETS).alias("many"))
-    wanted = mixed.join(kinds, "anchor").select("at.*", "anchor", "digest", (F.col("n") == 1).alias("alone"), "many")
+    # anchors with too many snippets are few: a row for every MOST_SNIPPETS rows of mixed at most. They are written, so that Spark
+    # knows their size; the snippets of a frequent anchor are not gathered for the join
+    many, _ = stage(mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > MOST_SNIPPETS).select("anchor", F.lit(True).alias("many")), "frequent-anchors")
+    wanted = mixed.join(many, "anchor", "left").select("at.*", "anchor", "digest", (F.col("n") == 1).alias("alone"), F.coalesce("many", F.lit(False)).alias("many"))
     decided = _index_anchors(_snippet_bytes(docs, wanted.where("not many").drop("many"), length), length)
-    if kinds.where("many").limit(1).count():
+    if not many.isEmpty():
         decided = decided.unionByName(_count_windows(_snippet_bytes(docs, wanted.where("many").drop("many"), length), length))
     # a snippet found twice repeats as a whole, whatever the index says of its windows
     twice = mixed.where("n > 1").select("anchor", "digest", F.lit(True).alias("twice"))
     verdict = twice.join(decided, ["anchor", "digest"], "full").select("anchor", "digest", F.when(F.col("twice").isNull(), F.col("bits")).alias("bits"))
     verdict, _ = stage(verdict, "repeated-windows")
-    whole = rows.where("not mixed").select("doc_id", "first", "windows", F.lit(None).cast("binary").alias("bits"))
-    parts = rows.where("mixed").join(verdict, ["anchor", "digest"]).select("doc_id", "first", "windows", "bits")
+    whole = rows.where("not mixed").select(*ROW, "first", "windows", F.lit(None).cast("binary").alias("bits"))
+    parts = rows.where("mixed").join(verdict, ["anchor", "digest"]).select(*ROW, "first", "windows", "bits")
     place = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("windows").cast("long"))
-    return whole.unionByName(parts).groupBy("doc_id").agg(
+    return whole.unionByName(parts).groupBy(*ROW).agg(
         F.collect_list(F.when(F.col("bits").isNull(), place)).alias("whole"),
         F.collect_list(F.when(F.col("bits").isNotNull(), F.struct(place.alias("place"), "bits"))).alias("parts"),
     )
@@ -289,8 +322,8 @@ def marks(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
 def cut_repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER, as_text: bool = False) -> DataFrame:
     """docs without `text`, with kept (binary: the bytes that no repeated window covers), n_bytes, n_removed, n_spans.
     as_text: `text` in place of `kept`; characters of which only a part is left go."""
-    found = marks(docs, length, k).select("doc_id", F.col("whole").alias("_whole"), F.col("parts").alias("_parts"))
-    joined = docs.join(found, "doc_id", "left")
+    found = marks(docs, length, k).select(*ROW, F.col("whole").alias("_whole"), F.col("parts").alias("_parts"))
+    joined = _rows(docs).join(found, ROW, "left").drop("_text_hash")
 
     def make(batch: list[str], wholes: list, lists: list) -> list:
         kept, n_bytes, n_removed, n_spans = [], [], [], []
