@@ -1,28 +1,32 @@
 """Line dedup over levelled, sorted runs of line hashes.
 
-Documents are taken in batches from the largest doc_id down. The state is a few runs: tables of line hashes sorted
-within hash partitions. Each batch's lines are merge-anti-joined with the runs: a line that no run holds gets its
-keeper (the batch's largest doc_id), any other adds only its count; the batch then becomes a run of level 0. Where a
-level has FAN_IN runs they are compacted into one of the next level. The last run knows each line's number of
-documents and its keeper.
-
-Defined results: a null or empty text is one empty line; rows that share a doc_id each count as a document; rows with
-a null doc_id don't count and stay as they are; an empty table gives an empty table; other columns pass through,
-but `n_lines` and `n_dropped` are replaced.
+All lines are hashed once, into a table of (doc_id, hash). Documents are taken in batches from the largest doc_id down. The state is
+a few runs: tables bucketed and sorted by hash, so that a join with a run reads it as it lies, without moving it. Each batch's lines
+are merge-anti-joined with the runs: a line that no run holds gets its keeper (the batch's largest doc_id), any other adds only its
+count; the batch then becomes a run of level 0. Where a level has FAN_IN runs they are merged into one of the next level, bucket by
+bucket. The last run knows each line's number of documents and its keeper.
+
+Defined results: a null or empty text is one empty line; rows that share a doc_id are one document; a line that occurs more than
+once in a document counts once; rows with a null doc_id don't count and stay as they are; an empty table gives an empty table; other
+columns pass through, but `n_lines` and `n_dropped` are replaced.
 """
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclim.llm.common import delete, map_texts, stage
+from gridclim.llm.common import delete, map_texts, scratch_dir, stage
 
 #: Fixed: what is stripped from both ends of a line before comparing.
 BLANKS = " \t\n\x0b\x0c\r"
 BATCHES = 4
 FAN_IN = 2
+KEY = ["hi", "lo"]
 
 
 def line_key(line: str, least_chars: int) -> bytes | None:
@@ -32,7 +36,7 @@ def line_key(line: str, least_chars: int) -> bytes | None:
 
 
 def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, hi, lo: each long line of a document once."""
+    """docs(doc_id, text) -> doc_id, hi, lo: each long line of a row once."""
 
     def make(batch: list[str]) -> tuple:
         at, hi, lo = [], [], []
@@ -46,53 +50,77 @@ def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), make, {"hi": "long", "lo": "long"})
 
 
-def build_runs(docs: DataFrame, least_chars: int, batches: int = BATCHES) -> DataFrame:
-    """The compacted run of all documents: hi, lo, keeper (largest doc_id), docs (how many hold the line)."""
-    spark = docs.sparkSession
+def _drop_at_exit(spark: SparkSession, name: str, path: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(spark, path)
+    except Exception:  # noqa: BLE001  the session may be gone already
+        pass
+
+
+class Run:
+    """A table of lines, bucketed and sorted by hash, in the scratch space: hi, lo, keeper, docs."""
+
+    def __init__(self, rows: DataFrame, level: int):
+        self.spark, self.level = rows.sparkSession, level
+        self.name = f"line_run_{uuid.uuid4().hex}"
+        self.path = f"{scratch_dir(self.spark)}/{self.name}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # as joins deal rows out, so that each task writes whole buckets
+        rows.write.bucketBy(buckets, *KEY).sortBy(*KEY).option("path", self.path).option("compression", "zstd").saveAsTable(self.name)
+        atexit.register(_drop_at_exit, self.spark, self.name, self.path)
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.name}")
+        delete(self.spark, self.path)
+
+
+def _merge(runs: list[Run]) -> Run:
+    """One run of the next level: runs are joined bucket by bucket."""
+    rows = runs[0].rows()
+    for run in runs[1:]:
+        more = run.rows().withColumnsRenamed({"keeper": "_keeper", "docs": "_docs"})
+        rows = rows.join(more.hint("merge"), KEY, "full").select(*KEY, F.greatest("keeper", "_keeper").alias("keeper"), (F.coalesce("docs", F.lit(0)) + F.coalesce("_docs", F.lit(0))).alias("docs"))
+    made = Run(rows, runs[0].level + 1)
+    for run in runs:
+        run.drop()
+    return made
+
+
+def build_runs(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """lines(doc_id, hi, lo) -> the compacted run of all documents: hi, lo, keeper (largest doc_id), docs (how many hold the line)."""
     at = ", ".join(str(i / batches) for i in range(1, batches))
-    bounds = docs.agg(F.expr(f"percentile_approx(doc_id, array({at}))")).first()[0] or []
+    bounds = lines.agg(F.expr(f"percentile_approx(doc_id, array({at}))")).first()[0] or [] if batches > 1 else []
     edges = [None, *sorted(set(bounds)), None]
-    runs: list[tuple[int, DataFrame, str]] = []
-
-    def compact(chosen: list[tuple[int, DataFrame, str]]) -> tuple[int, DataFrame, str]:
-        rows = chosen[0][1]
-        for _, more, _ in chosen[1:]:
-            rows = rows.unionByName(more)
-        merged = rows.groupBy("hi", "lo").agg(F.max("keeper").alias("keeper"), F.sum("docs").alias("docs"))
-        made = stage(merged.sortWithinPartitions("hi", "lo"), "line-run")
-        for _, _, path in chosen:
-            delete(spark, path)
-        return (chosen[0][0] + 1, *made)
-
+    runs: list[Run] = []
     for low, high in zip(edges[-2::-1], edges[:0:-1]):
-        batch = docs.where(F.col("doc_id").isNotNull())
-        batch = batch if low is None else batch.where(F.col("doc_id") > low)
+        batch = lines if low is None else lines.where(F.col("doc_id") > low)
         batch = batch if high is None else batch.where(F.col("doc_id") <= high)
-        own = line_hashes(batch, least_chars).groupBy("hi", "lo").agg(F.max("doc_id").alias("keeper"), F.count(F.lit(1)).alias("docs"))
+        # a document in one batch only; its rows may share lines, and a line that many documents hold is counted in parts first
+        own = batch.distinct().groupBy(*KEY).agg(F.max("doc_id").alias("keeper"), F.count(F.lit(1)).alias("docs"))
+        for i, run in enumerate(runs):  # an anti-join that still lets the known lines add their counts
+            held = run.rows().where(F.col("keeper").isNotNull()).select(*KEY, F.lit(True).alias(f"_held_{i}"))
+            own = own.join(held.hint("merge"), KEY, "left")
         if runs:
-            held = runs[0][1]
-            for _, more, _ in runs[1:]:
-                held = held.unionByName(more)
-            held = held.where(F.col("keeper").isNotNull()).select("hi", "lo", F.lit(True).alias("held"))
-            # an anti-join that still lets the known lines add their counts
-            own = own.join(held, ["hi", "lo"], "left").select(
-                "hi", "lo", F.when(F.col("held").isNull(), F.col("keeper")).alias("keeper"), "docs"
-            )
-        runs.append((0, *stage(own.sortWithinPartitions("hi", "lo"), "line-run")))
-        while len(same := [r for r in runs if r[0] == runs[-1][0]]) >= FAN_IN:
-            runs = [r for r in runs if r[0] != same[0][0]] + [compact(same)]
-    return compact(runs)[1] if len(runs) > 1 else runs[0][1]
+            known = F.coalesce(*(F.col(f"_held_{i}") for i in range(len(runs))))
+            own = own.select(*KEY, F.when(known.isNull(), F.col("keeper")).alias("keeper"), "docs")
+        runs.append(Run(own, 0))
+        while len(same := [r for r in runs if r.level == runs[-1].level]) >= FAN_IN:
+            runs = [r for r in runs if r.level != same[0].level] + [_merge(same)]
+    return (_merge(runs) if len(runs) > 1 else runs[0]).rows()
 
 
 def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, batches: int = BATCHES) -> DataFrame:
     """docs with `text` stripped of lines that at least least_docs documents hold (the largest doc_id keeps its
     lines), n_lines (before) and n_dropped."""
-    runs = build_runs(docs, least_chars, batches)
-    common, _ = stage(runs.where(F.col("docs") >= least_docs).select("hi", "lo", "keeper"), "common-lines")
-    found = line_hashes(docs.where(F.col("doc_id").isNotNull()), least_chars).join(common, ["hi", "lo"])
-    key = F.concat(*(F.lpad(F.hex(c), 16, "0") for c in ("hi", "lo")))
+    lines, _ = stage(line_hashes(docs.where(F.col("doc_id").isNotNull()), least_chars), "line-hashes")
+    common, _ = stage(build_runs(lines, batches).where(F.col("docs") >= least_docs).select(*KEY, "keeper"), "common-lines")
+    key = F.concat(*(F.lpad(F.hex(c), 16, "0") for c in KEY))
     drops = (
-        found.where(F.col("doc_id") != F.col("keeper"))
+        lines.join(common, KEY)
+        .where(F.col("doc_id") != F.col("keeper"))
         .groupBy("doc_id")
         .agg(F.collect_set(key).alias("_drop"))
     )
