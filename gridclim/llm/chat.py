@@ -8,7 +8,9 @@ Defined results: a null text or role is empty; rows of one conversation are orde
 then text; repeated rows stay; conversations with a null id form one conversation; an empty table gives an empty
 table; other columns of the input are ignored.
 
-A conversation is one output row, so its rows meet in one task by nature; every step is linear in the turns.
+A conversation is one output row, so its rows meet in one task by nature; every step is linear in the turns: a turn looks at its
+neighbours by place in the one sorted array, runs of one role are slices of it, and strings are joined once. (Folding with
+`aggregate` would copy what has been gathered so far at each turn, be it a string or an array.)
 """
 
 from pyspark.sql import Column, DataFrame
@@ -44,22 +46,25 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     sorted_turns = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    role_at = lambda i: F.get(F.col("turns.role"), i)  # noqa: E731  null before the first and after the last turn
-
-    def pieces(t: Column, i: Column) -> Column:
-        opens = F.when(role_at(i - 1).eqNullSafe(t["role"]), F.lit(SEP)).otherwise(
-            F.concat(F.lit(START), _escape_role(t["role"]), F.lit("\n"))
-        )
-        closes = F.when(role_at(i + 1).eqNullSafe(t["role"]), F.lit("")).otherwise(F.lit(END + "\n"))
-        return F.array(
-            F.struct(opens.alias("piece"), F.lit(False).alias("loss")),
+    all_turns = F.col("turns")
+    # a run begins where the turn before has another role; get() takes one turn, whereas turns.role would build an array for each
+    starts = F.filter(F.sequence(F.lit(0), F.size(all_turns) - 1), lambda i: ~F.get(all_turns, i)["role"].eqNullSafe(F.get(all_turns, i - 1)["role"]))
+    begun = sorted_turns.withColumn("starts", starts)
+    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size(all_turns)))
+    bounds = begun.select("conv_id", "turns", F.zip_with("starts", ends, lambda a, e: F.struct(a.alias("start"), (e - a).alias("n"))).alias("runs"))
+    plain = lambda piece: F.struct(piece.alias("piece"), F.lit(False).alias("loss"))
+
+    def block(run: Column) -> Column:
+        """A run of one role: its opening, its texts with separators between them, its end."""
+        texts = F.slice(all_turns, run["start"] + 1, run["n"])
+        said = F.transform(texts, lambda t, i: F.array(
+            plain(F.when(i == 0, F.concat(F.lit(START), _escape_role(t["role"]), F.lit("\n"))).otherwise(F.lit(SEP))),
             F.struct(escape(t["text"]).alias("piece"), (t["role"] == loss_role).alias("loss")),
-            F.struct(closes.alias("piece"), F.lit(False).alias("loss")),
-        )
+        ))
+        return F.concat(F.flatten(said), F.array(plain(F.lit(END + "\n"))))
 
-    return sorted_turns.select("conv_id", F.flatten(F.transform("turns", pieces)).alias("segments")).select(
-        "conv_id", F.array_join("segments.piece", "").alias("formatted"), "segments"
-    )
+    done = bounds.select("conv_id", F.flatten(F.transform("runs", block)).alias("segments"))
+    return done.select("conv_id", F.array_join("segments.piece", "").alias("formatted"), "segments")
 
 
 def read_turns(formatted: Column) -> Column:
