@@ -1,10 +1,11 @@
 """Media columns: payloads stored as content-defined chunks.
 
-A payload is wrapped as 8-bit mono WAV. Its samples are cut where a rolling gear hash of the last 32 bytes has its
-upper bits clear. Spark joins on chunk digests choose one owner for each chunk (the smallest doc_id, then the first
-place); the store keeps a row per document: its recipe (ordered digests and lengths) and, compressed, the chunks that
-it owns. Reading back takes own chunks from the row and fetches the borrowed ones by digest, in recipe order; every
-chunk and the whole are verified.
+A payload is wrapped as 8-bit mono WAV; the WAV, header and all, is what is stored. It is cut where a rolling gear hash of the last
+32 bytes has its upper bits clear. A medium is cut once: the recipe, its chunks' digests and lengths in order, is kept under the
+medium's own digest. Spark joins on chunk digests choose one owner for each chunk (the smallest doc_id, then medium, then place);
+the store keeps a row per document: its recipe, the digest of the whole and, compressed, the chunks that it owns. Reading back takes
+own chunks from the row and fetches the borrowed ones by digest, in recipe order; every chunk and the whole are verified by their
+digests, and the samples are found by parsing the WAV that was put together.
 
 Defined results: a null or empty text is 64 zero bytes; equal texts give equal media; rows that share a doc_id are stored
 and read each for itself; rows with a null doc_id never lend or borrow; an empty table gives an empty table; other
@@ -43,6 +44,24 @@ def wav(samples: bytes) -> bytes:
     return head + samples
 
 
+def samples_of(media: bytes) -> bytes:
+    """The samples of 8-bit mono WAV: the RIFF chunks are walked through to the data."""
+    if media[:4] != b"RIFF" or media[8:12] != b"WAVE" or struct.unpack_from("<I", media, 4)[0] != len(media) - 8:
+        raise ValueError("no whole WAV")
+    at, plain = 12, False
+    while at + 8 <= len(media):
+        name, size = struct.unpack_from("<4sI", media, at)
+        if name == b"fmt ":
+            form, channels, _, _, _, bits = struct.unpack_from("<HHIIHH", media, at + 8)
+            plain = (form, channels, bits) == (1, 1, 8)
+        if name == b"data":
+            if not plain or at + 8 + size > len(media):
+                raise ValueError("no 8-bit mono samples")
+            return media[at + 8 : at + 8 + size]
+        at += 8 + size + size % 2
+    raise ValueError("a WAV without samples")
+
+
 def cuts(payload: bytes) -> list[int]:
     """Ends of the payload's chunks."""
     h = GEAR[np.frombuffer(payload, np.uint8)]
@@ -85,51 +104,66 @@ def _read_recipe(recipe: bytes) -> list[tuple[bytes, int]]:
 
 
 def store(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> the chunk store, written: doc_id, n_bytes, recipe, own (compressed), lent, borrowed
-    (digests of own chunks that others use, and of chunks that others own)."""
+    """docs(doc_id, text) -> the chunk store, written: doc_id, n_bytes, whole (the medium's digest), recipe, own (compressed), lent,
+    borrowed (digests of own chunks that others use, and of chunks that others own)."""
     docs = docs.select("doc_id", "text")
 
-    def digests_of(batch: list[str]) -> tuple:
-        at, digests, seqs = [], [], []
-        for i, text in enumerate(batch):
-            for k, chunk in enumerate(_split(payload_of(text))):
-                at.append(i)
-                digests.append(_digest(chunk))
-                seqs.append(k)
-        return at, [digests, seqs]
+    def plan(batch: list[str]) -> list:
+        wholes, recipes = [], []
+        for text in batch:
+            media = wav(payload_of(text))
+            chunks = _split(media)
+            wholes.append(_digest(media))
+            recipes.append(_recipe([_digest(c) for c in chunks], [len(c) for c in chunks]))
+        return [wholes, recipes]
+
+    plans, _ = stage(map_texts(docs, plan, {"whole": "binary", "recipe": "binary"}), "recipes")
+
+    def digests_of(recipes: list[bytes]) -> tuple:
+        listed = [_read_recipe(r) for r in recipes]
+        return np.repeat(np.arange(len(listed)), [len(x) for x in listed]), [[d for x in listed for d, _ in x], [k for x in listed for k in range(len(x))]]
 
-    uses = map_texts(docs.where(F.col("doc_id").isNotNull()), digests_of, {"digest": "binary", "seq": "int"})
-    place = F.struct("doc_id", "seq")
+    uses = map_texts(plans.where(F.col("doc_id").isNotNull()), digests_of, {"digest": "binary", "seq": "int"}, "recipe")
+    place = F.struct("doc_id", "whole", "seq")
     used = uses.groupBy("digest").agg(F.min(place).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
     used, _ = stage(used.select("digest", "owner"), "shared-chunks")
-    shared = uses.join(used, "digest").groupBy("doc_id").agg(
-        F.collect_set(F.when(F.col("owner") == place, F.col("digest"))).alias("lent"),
-        F.collect_set(F.when(F.col("owner.doc_id") != F.col("doc_id"), F.col("digest"))).alias("borrowed"),
+    row = ["doc_id", "whole"]
+    mine = (F.col("owner.doc_id") == F.col("doc_id")) & (F.col("owner.whole") == F.col("whole"))
+    shared = uses.join(used, "digest").groupBy(*row).agg(
+        F.collect_set(F.when(mine & (F.col("owner.seq") == F.col("seq")), F.col("digest"))).alias("lent"),
+        F.collect_set(F.when(~mine, F.col("digest"))).alias("borrowed"),
     )
+    # equal rows have one recipe; a row without an id is told by its medium alone
+    known = plans.groupBy(*row).agg(F.first("recipe").alias("recipe")).join(shared, row, "left").withColumnsRenamed({c: f"_{c}" for c in row})
 
     def squeezed(batch: list[str]) -> list:
-        return [[len(t.encode()) for t in batch], [_squeeze(payload_of(t)) for t in batch]]
-
-    packed = map_texts(docs, squeezed, {"n_bytes": "long", "payload": "binary"}).join(shared, "doc_id", "left")
-
-    def keep_own(payloads: list[bytes], lent: list, borrowed: list) -> list:
-        recipes, owns = [], []
-        for data, _, away in zip(payloads, lent, borrowed):
-            chunks = _split(zstandard.decompress(data))
-            digests = [_digest(c) for c in chunks]
-            recipes.append(_recipe(digests, [len(c) for c in chunks]))
-            away = {bytes(x) for x in away or ()}
-            held: dict[bytes, bytes] = {}
-            for d, c in zip(digests, chunks):
-                if d not in away:
-                    held.setdefault(d, c)  # a chunk that the document repeats is kept once
-            owns.append(_squeeze(b"".join(held.values())) if len(held) < len(chunks) else data)
-        return [recipes, owns]
-
-    packed = packed.withColumns({"_lent": F.col("lent"), "_borrowed": F.col("borrowed")})
-    done = map_texts(packed, keep_own, {"recipe": "binary", "own": "binary"}, "payload", ("_lent", "_borrowed"))
+        media = [wav(payload_of(t)) for t in batch]
+        return [[len(t.encode()) for t in batch], [_digest(m) for m in media], [_squeeze(m) for m in media]]
+
+    packed = map_texts(docs, squeezed, {"n_bytes": "long", "whole": "binary", "media": "binary"})
+    packed = packed.join(known, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("whole") == F.col("_whole"))).drop("_doc_id", "_whole")
+
+    def keep_own(media: list[bytes], recipes: list, borrowed: list) -> list:
+        owns = []
+        for data, recipe, away in zip(media, recipes, borrowed):
+            parts, taken, raw, at = [], {bytes(x) for x in away or ()}, None, 0
+            listed = _read_recipe(recipe)
+            if not taken and len({d for d, _ in listed}) == len(listed):
+                owns.append(data)  # all chunks are its own, each once: as it is
+                continue
+            raw = zstandard.decompress(data)
+            for digest, length in listed:
+                if digest not in taken:
+                    taken.add(digest)  # a chunk that the document repeats is kept once
+                    parts.append(raw[at : at + length])
+                at += length
+            owns.append(_squeeze(b"".join(parts)))
+        return [owns]
+
+    packed = packed.withColumns({"_recipe": F.col("recipe"), "_borrowed": F.col("borrowed")})
+    done = map_texts(packed, keep_own, {"own": "binary"}, "media", ("_recipe", "_borrowed"))
     empty = F.array().cast("array<binary>")
-    done = done.select("doc_id", "n_bytes", "recipe", "own", *(F.coalesce(c, empty).alias(c) for c in ("lent", "borrowed")))
+    done = done.select("doc_id", "n_bytes", "whole", "recipe", "own", *(F.coalesce(c, empty).alias(c) for c in ("lent", "borrowed")))
     return stage(done, "chunk-store")[0]
 
 
@@ -142,8 +176,8 @@ def _own_chunks(recipe: bytes, own: bytes, borrowed: set[bytes]) -> dict[bytes,
     return found
 
 
-def _rebuild(recipe: bytes, own: bytes, borrowed: list, fetched: list) -> bytes:
-    """The media of a recipe, from own and fetched chunks; each chunk is verified."""
+def _rebuild(whole: bytes, recipe: bytes, own: bytes, borrowed: list, fetched: list) -> bytes:
+    """The medium of a recipe, from own and fetched chunks; each chunk and the whole are verified."""
     chunks = _own_chunks(recipe, own, {bytes(x) for x in borrowed})
     chunks |= {bytes(x["digest"]): bytes(x["chunk"]) for x in fetched or ()}
     parts = []
@@ -152,7 +186,10 @@ def _rebuild(recipe: bytes, own: bytes, borrowed: list, fetched: list) -> bytes:
         if len(chunk) != length or _digest(chunk) != digest:
             raise ValueError("a stored chunk is damaged")
         parts.append(chunk)
-    return wav(b"".join(parts))
+    media = b"".join(parts)
+    if _digest(media) != whole:
+        raise ValueError("a stored medium is damaged")
+    return media
 
 
 def features(samples: bytes) -> str:
@@ -182,20 +219,21 @@ def read(stored: DataFrame) -> DataFrame:
     lenders = stored.where(F.size("lent") > 0).select("own", *inputs)
     lent = map_texts(lenders, lend, {"digest": "binary", "chunk": "binary"}, "own", inputs)
     borrowers = stored.where(F.size("borrowed") > 0)
-    wanted = borrowers.select("doc_id", F.explode("borrowed").alias("digest")).distinct()
-    fetched = wanted.join(lent, "digest").groupBy("doc_id").agg(F.collect_list(F.struct("digest", "chunk")).alias("fetched"))
+    wanted = borrowers.select("doc_id", "whole", F.explode("borrowed").alias("digest")).distinct()
+    fetched = wanted.join(lent.dropDuplicates(["digest"]), "digest").groupBy("doc_id", "whole").agg(F.collect_list(F.struct("digest", "chunk")).alias("fetched"))
 
-    def describe(owns: list[bytes], recipes: list, borrowed: list, got: list) -> list:
+    def describe(owns: list[bytes], wholes: list, recipes: list, borrowed: list, got: list) -> list:
         rows = []
-        for own, recipe, away, extra in zip(owns, recipes, borrowed, got):
-            media = _rebuild(recipe, own, away, extra)
-            samples = media[44:]
+        for own, whole, recipe, away, extra in zip(owns, wholes, recipes, borrowed, got):
+            media = _rebuild(whole, recipe, own, away, extra)
+            samples = samples_of(media)
             rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-PAD:]), len(media), hashlib.sha256(media).hexdigest(), features(samples)))
         return list(zip(*rows))
 
     added = {"payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
     none = F.lit(None).cast("array<struct<digest: binary, chunk: binary>>").alias("fetched")
-    columns = ["doc_id", "n_bytes", "recipe", "own", "borrowed"]
-    alone = map_texts(stored.where(F.size("borrowed") == 0).select(*columns, none), describe, added, "own", ("recipe", "borrowed", "fetched"))
-    joined = map_texts(borrowers.select(*columns).join(fetched, "doc_id"), describe, added, "own", ("recipe", "borrowed", "fetched"))
+    columns = ["doc_id", "n_bytes", "whole", "recipe", "own", "borrowed"]
+    inputs = ("whole", "recipe", "borrowed", "fetched")
+    alone = map_texts(stored.where(F.size("borrowed") == 0).select(*columns, none), describe, added, "own", inputs)
+    joined = map_texts(borrowers.select(*columns).join(fetched, ["doc_id", "whole"]), describe, added, "own", inputs)
     return alone.unionByName(joined)
