@@ -6,32 +6,27 @@ from pyspark.sql import functions as F
 from gridclim.llm.common import scratch_dir
 
 
-def _trace(links: DataFrame) -> tuple:
-    """A count and a sum that tell whether the links have changed."""
-    return tuple(links.agg(F.count(F.lit(1)), F.sum((F.xxhash64("a", "b") % 1_000_003).cast("long"))).first())
+def _same(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tables of distinct links have the same rows: as many of them, and none that only one has."""
+    return a.count() == b.count() and a.join(b, ["a", "b"], "left_anti").isEmpty()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """links(a, b) -> node, root: each linked node with the smallest node it reaches (itself, for a root).
 
-    Every round moves links to smaller nodes; it takes about as many rounds as the logarithm of the longest chain.
-    Lineage is cut by checkpoint() each round.
+    Every round moves links to smaller nodes, until a round changes nothing; it takes about as many rounds as the logarithm of
+    the longest chain. Lineage is cut by checkpoint() each round.
     """
     scratch_dir(links.sparkSession)
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct().checkpoint()
     before = None
-    for _ in range(most_rounds):
-        trace = _trace(now)
-        if trace[0] == 0 or trace == before:
-            break
-        before = trace
+    while before is None or not _same(now, before):
+        before = now
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = small.unionByName(least.select("a", F.col("m").alias("b"))).where("a > b").distinct().checkpoint()
-    else:
-        raise RuntimeError(f"the components were not found in {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

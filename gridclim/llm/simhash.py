@@ -81,17 +81,18 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     """distinct(fp) -> a, b: links within the radius that connect what all of them connect."""
     counts = [F.bit_count(F.shiftrightunsigned("fp", 16 * k).bitwiseAND(0xFFFF)).cast("int") for k in range(PARTS)]
     placed = distinct.select("fp", F.array(*counts).alias("tile"))
-    largest = placed.groupBy("tile").count().agg(F.max("count")).first()[0] or 0
-    blocks = -(-largest // BLOCK) or 1
-    block = F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int")
-    tiles = placed.groupBy("tile", block.alias("block")).agg(F.sort_array(F.collect_list("fp")).alias("fps"))
+    sizes = placed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))  # each tile has its own
+    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    tiles = placed.join(sizes, "tile").groupBy("tile", block.alias("block")).agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     tiles, _ = stage(tiles, "tiles")
+    # pairs are made of keys alone; the fingerprints of a block are moved once for each pair that there is, and not for others
+    keys = tiles.select("tile", "block")
     away = F.array(*(F.array(*map(F.lit, v)) for v in _offsets(radius)))
-    asked = tiles.select(
-        F.col("tile").alias("own"), F.col("block").alias("own_block"), F.col("fps").alias("own_fps"),
-        F.explode(away).alias("offset"),
-    ).select("own", "own_block", "own_fps", F.zip_with("own", "offset", lambda x, y: x + y).alias("tile"))
-    pairs = asked.join(tiles, "tile").where((F.col("own") != F.col("tile")) | (F.col("own_block") <= F.col("block")))
+    asked = keys.select(F.col("tile").alias("own"), F.col("block").alias("own_block"), F.explode(away).alias("offset"))
+    asked = asked.select("own", "own_block", F.zip_with("own", "offset", lambda x, y: x + y).alias("tile"))
+    pairs = asked.join(keys, "tile").where((F.col("own") != F.col("tile")) | (F.col("own_block") <= F.col("block")))
+    own = tiles.select(F.col("tile").alias("own"), F.col("block").alias("own_block"), F.col("fps").alias("own_fps"))
+    pairs = pairs.join(tiles, ["tile", "block"]).join(own, ["own", "own_block"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,12 +111,32 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """docs without `text`, with `fingerprint` (16 hex digits) and `component_id`: the smallest doc_id reachable."""
-    rows, _ = stage(fingerprints(docs.drop("fingerprint", "component_id"), shingle, seed), "fingerprints")
+def grouped(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """docs without `text`, with `fp`, `root` (the smallest fingerprint reachable, which names the group) and `component_id`."""
+    rows, _ = stage(fingerprints(docs.drop("fp", "root", "component_id"), shingle, seed), "fingerprints")
     distinct, _ = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp, _ = stage(rooted.join(named, "root").select("fp", "component_id"), "components")
-    return rows.join(of_fp, "fp").withColumn("fingerprint", hexadecimal(F.col("fp"))).drop("fp")
+    of_fp, _ = stage(rooted.join(named, "root").select("fp", "root", "component_id"), "components")
+    return rows.join(of_fp, "fp")
+
+
+def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """docs without `text`, with `fingerprint` (16 hex digits) and `component_id`: the smallest doc_id reachable."""
+    named = {c: f"_kept_{c}" for c in docs.columns if c in ("fp", "root")}
+    found = grouped(docs.drop("fingerprint").withColumnsRenamed(named), radius, shingle, seed)
+    found = found.withColumn("fingerprint", hexadecimal(F.col("fp"))).drop("fp", "root")
+    return found.withColumnsRenamed({v: k for k, v in named.items()})
+
+
+def one_of_each(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """One row of each group of near-duplicates: the smallest doc_id (null last), of its texts the one with the smallest hash, and of
+    rows equal in both the smallest by its other columns. Two texts that share a doc_id and are no near-duplicates both stay."""
+    columns = docs.columns
+    key = F.xxhash64("text")  # a row is known by its id and its text: ids may repeat
+    found = grouped(docs.select("doc_id", "text", key.alias("_key")), radius, shingle, seed)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("_first"))
+    first = first.select(F.col("_first.doc_id").alias("_id"), F.col("_first._key").alias("_hash"))
+    held = docs.withColumn("_key", key).join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_key").eqNullSafe(F.col("_hash")), "left_semi")
+    return held.groupBy("doc_id", "_key").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
