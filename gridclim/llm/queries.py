@@ -61,8 +61,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     held_out = fold(F.col("doc_id"), 5) == 0
-    index = toxicity.fit(docs, labels.where(~held_out))
-    return toxicity.predict(docs, index).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
+    return toxicity.classify(docs, labels.where(~held_out)).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,134 +1,177 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Learning takes a bounded sample of labelled rows (PER_CLASS of each label, by hash of the id). Terms are words and word
-beginnings; every term of every example is in the index, weighed by TF-IDF, with the number of all documents that have
-the term, counted on Spark. Words that no example has are in no vector. Examples stand in blocks; a term's largest weight in each block bounds what
-the block can reach, so that blocks below the K-th best cosine are skipped and the K nearest are still exact. Their
-votes, weighted by nearness, are calibrated by a logistic curve fitted on the sample with each example left out.
+Learning takes a bounded sample of labelled rows (PER_CLASS of each label, by hash of the id). Every word of every example is a
+term, weighed by TF-IDF with the number of all documents that have it, counted on Spark, and by its relevance frequency among
+the examples; no term of an example is left out, and words that no example has are in no vector. Examples stand in blocks, alike ones side by side. Postings of rare terms are short and are added up for all examples;
+those of frequent terms are kept by block with the largest weight of each, which bounds what a block can add: blocks whose bound
+stays below the K-th best cosine are skipped, and the K nearest are still exact. Texts are split into words once, and scored a batch at a time. The votes of
+the nearest, weighted by nearness, are calibrated by a logistic curve fitted on the sample with each example left out.
 
 Defined results: texts that are null, empty or share no term with any example get the calibrated score of no votes;
 without labelled rows, or with one label only, every score is the share of that label (0 without rows); a document
-labelled twice counts as toxic if either label says so; repeated rows stay; ties go to the example first in the index;
-an empty table gives an empty table.
+labelled twice counts as toxic if either label says so; labelled rows that share a doc_id are examples each; repeated rows stay;
+ties, cosines that agree to nine decimals, go to the example first in the index; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclim.llm.common import map_texts, slices, small_batches
+from gridclim.llm.common import map_texts, small_batches, stage
 
 PER_CLASS = 2_000
 BLOCK, K, SEED_BLOCKS = 64, 10, 4
-BEGINNINGS = (4, 5, 6)
+#: A term that so large a share of the examples has is frequent: its weights are kept by block.
+FREQUENT = 1 / 16
+#: Texts that are scored at once; a batch holds a number for each of them and each example.
+BATCH = 48
 WORDS = re.compile(r"\w+")
 #: A vote of no example weighs so much against the votes of the nearest.
 DOUBT = 1.0
 
 
-def terms_of(text: str) -> Counter:
-    """Words of a text and how often they occur."""
-    return Counter(WORDS.findall(text.lower()))
+def terms_of(text: str) -> list[str]:
+    """The words of a text."""
+    return WORDS.findall(text.lower())
 
 
-def _features(words: Counter, wanted: dict | None = None) -> Counter:
-    """Counts of words and of marked word beginnings; of wanted ones only, if given."""
-    found: Counter = Counter()
-    for w, n in words.items():
-        if wanted is None or w in wanted:
-            found[w] += n
-        for k in BEGINNINGS:
-            if len(w) > k and (wanted is None or w[:k] + "*" in wanted):
-                found[w[:k] + "*"] += n
-    return found
+def count_terms(batch: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which text, which term of the vocabulary, and how often, of all texts in order."""
+    words = [terms_of(t) for t in batch]
+    of = np.repeat(np.arange(len(batch)), [len(w) for w in words])
+    term = np.fromiter(map(vocabulary.get, chain.from_iterable(words), repeat(-1)), np.int64, len(of))
+    size = max(1, len(vocabulary))
+    keys, counts = np.unique((of * size + term)[term >= 0], return_counts=True)
+    return keys // size, keys % size, counts
+
+
+def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(length)
+    return np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
 
 
 @dataclass
 class ToxicIndex:
-    """Examples in blocks, and for each term its runs of postings, one run to a block, with the run's largest weight."""
+    """Examples in blocks: postings of rare terms, and of frequent terms the weights by block with each block's largest."""
 
     vocabulary: dict[str, int] = field(default_factory=dict)
-    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    weight_of: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     share: float = 0.0
     curve: tuple[float, float] | None = None
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers, and weights of length one."""
-        found = _features(terms_of(text), self.vocabulary)
-        terms = np.fromiter((self.vocabulary[t] for t in found), np.int64, len(found))
-        weights = (1 + np.log(np.fromiter(found.values(), np.float64, len(found)))) * self.idf[terms]
-        return terms, weights / (np.linalg.norm(weights) or 1.0)
-
-    def build(self, examples: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        example = np.concatenate([np.full(len(t), i) for i, (t, _) in enumerate(examples)]).astype(np.int64)
-        term = np.concatenate([t for t, _ in examples])
-        weight = np.concatenate([w for _, w in examples])
+    def vectors(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which text, which term, and the weight, of all texts in order; a text's weights have length one."""
+        return self.weighed(len(batch), *count_terms(batch, self.vocabulary))
+
+    def weighed(self, n: int, of: np.ndarray, term: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        weight = (1 + np.log(counts)) * self.weight_of[term]
+        length = np.sqrt(np.bincount(of, weight * weight, n))
+        return of, term, weight / length[of]
+
+    def weigh_terms(self, documents: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> None:
+        """Weights of the terms: inverse document frequency (documents: how many have a term, and last how many there are) times
+        relevance frequency, which rises where more toxic examples than clean ones have the term. No term has weight zero."""
+        idf = np.log((documents[-1] + 1) / (documents[:-1] + 1)) + 1
+        self.weight_of = idf * np.log2(2 + toxic / np.maximum(1, clean))
+
+    def build(self, n: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray) -> None:
+        """From the vectors of n examples, as vectors() gives them."""
+        size = len(self.weight_of)
         order = np.lexsort((example, term))
-        self.example, self.weight, term = example[order], weight[order], term[order]
-        block = self.example // BLOCK
-        first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
-        self.run_start, self.run_end = first, np.append(first[1:], len(term))[: len(first)]
-        self.run_block = block[first]
-        self.run_max = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.term_runs = np.searchsorted(term[first], np.arange(len(self.idf) + 1))
-        self.blocks = -(-len(examples) // BLOCK)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, leave: int = -1, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest positive cosine, exactly, and the cosines."""
-        n_runs = self.term_runs[terms + 1] - self.term_runs[terms]
-        if not n_runs.sum():
-            return np.zeros(0, np.int64), np.zeros(0)
-        ends = np.cumsum(n_runs)
-        runs = np.repeat(self.term_runs[terms] - ends + n_runs, n_runs) + np.arange(ends[-1])
-        of_query = np.repeat(weights, n_runs)
-        bound = np.bincount(self.run_block[runs], of_query * self.run_max[runs], self.blocks)
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        seeds = np.argsort(-bound, kind="stable")[:SEED_BLOCKS]
-        todo = np.zeros(self.blocks, bool)
-        todo[seeds] = True
-        for last in (False, True):
-            mine = todo[self.run_block[runs]]
-            length = (self.run_end - self.run_start)[runs[mine]]
-            stop = np.cumsum(length)
-            if len(stop):
-                postings = np.repeat(self.run_start[runs[mine]] - stop + length, length) + np.arange(stop[-1])
-                cosine = np.bincount(self.example[postings], self.weight[postings] * np.repeat(of_query[mine], length))
-                if 0 <= leave < len(cosine):
-                    cosine[leave] = 0
-                at = np.flatnonzero(cosine)
-                best_ids, best = np.concatenate([best_ids, at]), np.concatenate([best, cosine[at]])
-                order = np.lexsort((best_ids, -best))[:k]
-                best_ids, best = best_ids[order], best[order]
-            if last:
-                break
-            done, todo = todo, bound >= (best[-1] if len(best) == k else 1e-12)
-            todo &= ~done
-        return best_ids, best
+        example, weight, term = example[order], weight[order], term[order]
+        count = np.bincount(term, minlength=size)
+        frequent = np.flatnonzero(count > n * FREQUENT)
+        self.row = np.full(size, -1, np.int64)  # of a frequent term, in the tables below
+        self.row[frequent] = np.arange(len(frequent))
+        held = self.row[term] >= 0
+        self.blocks = -(-n // BLOCK)
+        self.dense = np.zeros((len(frequent), self.blocks * BLOCK))
+        self.dense[self.row[term[held]], example[held]] = weight[held]
+        self.block_max = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
+        self.example, self.weight = example[~held], weight[~held]
+        self.start = np.searchsorted(term[~held], np.arange(size + 1))
+        self.size = n
+
+    def nearest(self, n: int, of: np.ndarray, term: np.ndarray, weight: np.ndarray, leave: np.ndarray | None = None, k: int = K) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of n vectors, given as vectors() gives them, the k examples with the largest positive cosine, exactly, and the
+        cosines; leave: an example that each vector doesn't meet."""
+        width = self.blocks * BLOCK
+        row = self.row[term]
+        rare = row < 0
+        length = (self.start[term + 1] - self.start[term])[rare]
+        postings = _ragged(self.start[term[rare]], length)
+        added = np.bincount(np.repeat(of[rare] * width, length) + self.example[postings], np.repeat(weight[rare], length) * self.weight[postings], n * width)
+        cosine = added.reshape(n, width)
+        queries = np.zeros((n, len(self.block_max)))
+        queries[of[~rare], row[~rare]] = weight[~rare]
+        bound = cosine.reshape(n, self.blocks, BLOCK).max(axis=2) + queries @ self.block_max
+        seeds = np.argsort(-bound, axis=1, kind="stable")[:, :SEED_BLOCKS]
+        best = np.zeros((n, seeds.shape[1], BLOCK))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def look(b: int, rows: np.ndarray) -> np.ndarray:
+            columns = slice(b * BLOCK, (b + 1) * BLOCK)
+            exact = np.round(cosine[rows, columns] + queries[rows] @ self.dense[:, columns], 9)
+            if leave is not None:
+                own = np.flatnonzero(leave[rows] // BLOCK == b)
+                exact[own, leave[rows[own]] % BLOCK] = 0
+            return exact
+
+        def keep(b: int, rows: np.ndarray, exact: np.ndarray) -> None:
+            i, j = np.nonzero(exact >= np.maximum(least[rows], 1e-9)[:, None])
+            found.append((rows[i], b * BLOCK + j, exact[i, j]))
+
+        for b in np.unique(seeds):
+            rows, place = np.nonzero(seeds == b)
+            best[rows, place] = look(b, rows)
+        flat = best.reshape(n, -1)
+        kth = min(k, flat.shape[1])
+        least = np.partition(flat, flat.shape[1] - kth, axis=1)[:, flat.shape[1] - kth]  # the k-th best so far
+        for place in range(seeds.shape[1]):
+            for b in np.unique(seeds[:, place]):
+                rows = np.flatnonzero(seeds[:, place] == b)
+                keep(b, rows, best[rows, place])
+        todo = (bound + 1e-8 >= np.maximum(least, 1e-9)[:, None])
+        np.put_along_axis(todo, seeds, False, axis=1)
+        for b in np.flatnonzero(todo.any(axis=0)):
+            rows = np.flatnonzero(todo[:, b])
+            keep(b, rows, look(b, rows))
+        of, example, exact = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((example, -exact, of))
+        of, example, exact = of[order], example[order], np.minimum(exact[order], 1.0)
+        starts = np.searchsorted(of, np.arange(n + 1))
+        return [(example[a : min(a + k, e)], exact[a : min(a + k, e)]) for a, e in zip(starts[:-1].tolist(), starts[1:].tolist())]
 
     def vote(self, ids: np.ndarray, cosine: np.ndarray) -> float:
         """Votes of the nearest for toxic, weighted by nearness, between 0 and 1."""
-        nearness = 1 / (1.05 - np.minimum(cosine, 1.0))
+        nearness = 1 / (1.05 - cosine)
         return float((nearness * self.labels[ids]).sum() / (nearness.sum() + DOUBT))
 
-    def score(self, text: str) -> tuple[float, str]:
-        """The calibrated score, and the nearest three examples as id:label:cosine."""
+    def scores(self, n: int, of: np.ndarray, term: np.ndarray, counts: np.ndarray) -> tuple[list[float], list[str]]:
+        """Of n texts, given as count_terms() gives them, the calibrated scores, and the nearest three examples as id:label:cosine."""
         if self.curve is None:
-            return self.share, ""
-        ids, cosine = self.nearest(*self.vector(text))
+            return [self.share] * n, [""] * n
         a, b = self.curve
-        evidence = ";".join(f"{self.ids[i]}:{int(self.labels[i])}:{c:.4f}" for i, c in zip(ids[:3], cosine))
-        return 1 / (1 + math.exp(-(a * self.vote(ids, cosine) + b))), evidence
+        scores, evidence = [], []
+        ends = np.searchsorted(of, np.arange(0, n + BATCH, BATCH))
+        for start, left, right in zip(range(0, n, BATCH), ends, ends[1:]):
+            size, part = min(BATCH, n - start), slice(left, right)
+            for ids, cosine in self.nearest(size, *self.weighed(size, of[part] - start, term[part], counts[part])):
+                scores.append(1 / (1 + math.exp(-(a * self.vote(ids, cosine) + b))))
+                evidence.append(";".join(f"{self.ids[i]}:{int(self.labels[i])}:{c:.4f}" for i, c in zip(ids[:3].tolist(), cosine.tolist())))
+        return scores, evidence
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
@@ -143,81 +186,121 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
     return float(beta[0]), float(beta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ToxicIndex:
-    """Learn from labels(doc_id, toxic) and the texts of docs(doc_id, text); at most 2 * per_class examples are used."""
-    spark = docs.sparkSession
+def _unpack(terms: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What count_terms() gave, from the rows of code()."""
+    of = np.repeat(np.arange(len(terms)), [len(t) // 4 for t in terms])
+    return of, np.frombuffer(b"".join(terms), "<i4").astype(np.int64), np.frombuffer(b"".join(counts), "<i4").astype(np.int64)
+
+
+def code(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """docs without `text`, with `_terms` and `_counts`: numbers of the text's terms in order and how often each occurs, as
+    little-endian 32-bit integers. A text is split into words here and nowhere else."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def make(batch: list[str]) -> list:
+        of, term, counts = count_terms(batch, shared.value)
+        ends = np.searchsorted(of, np.arange(len(batch) + 1)).tolist()
+        terms, counts = term.astype("<i4").tobytes(), counts.astype("<i4").tobytes()
+        return [[x[4 * a : 4 * b] for a, b in zip(ends, ends[1:])] for x in (terms, counts)]
+
+    return map_texts(docs, make, {"_terms": "binary", "_counts": "binary"})
+
+
+def sample_labels(labels: DataFrame, per_class: int) -> tuple[list[tuple[int, int]], float]:
+    """At most per_class ids of each label, by hash of the id, with their labels; and the share of toxic ones among all."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     count = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    index = ToxicIndex(share=count.get(1, 0) / max(1, sum(count.values())))
     chosen = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
+    return [(r["doc_id"], r["toxic"]) for c in chosen for r in c.collect()], count.get(1, 0) / max(1, sum(count.values()))
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[ToxicIndex, DataFrame]:
+    """Learn from labels(doc_id, toxic) and the texts of docs(doc_id, text, ...), with at most 2 * per_class examples; and docs as
+    code() makes it, written, as its texts have been split for the counts already."""
+    spark = docs.sparkSession
+    chosen, share = sample_labels(labels, per_class)
+    index = ToxicIndex(share=share)
     # at most 2 * per_class ids and labels: bounded, so they may be broadcast
-    rows = spark.createDataFrame([tuple(r) for c in chosen for r in c.collect()], "doc_id long, toxic int")
-    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(rows), "doc_id")
+    rows = spark.createDataFrame(chosen, "_id long, _toxic int")
+    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(rows), F.col("doc_id") == F.col("_id"))
 
     def listed(batch: list[str]) -> tuple:
-        at, names, counts = [], [], []
-        for i, text in enumerate(batch):
-            for name, n in _features(terms_of(text)).items():
-                at.append(i)
-                names.append(name)
-                counts.append(n)
-        return at, [names, counts]
-
-    listed_terms = map_texts(sample, listed, {"term": "string", "n": "int"})
-    n1, n0 = (rows.where(F.col("toxic") == y).count() for y in (1, 0))
-    if not n1 or not n0:
-        return index
-    # bounded by the examples, not by the documents
-    index.vocabulary = {r["term"]: i for i, r in enumerate(listed_terms.select("term").distinct().orderBy("term").collect())}
-    size, shared = len(index.vocabulary), spark.sparkContext.broadcast(index.vocabulary)
+        words = [sorted({*terms_of(t)}) for t in batch]
+        return np.repeat(np.arange(len(batch)), [len(w) for w in words]), [list(chain.from_iterable(words))]
+
+    own = map_texts(sample.select("_toxic", "text"), listed, {"term": "string"})
+    own = own.groupBy("term").agg(F.sum("_toxic").alias("toxic"), F.sum(1 - F.col("_toxic")).alias("clean"))
+    found = own.orderBy("term").toArrow()  # bounded by the examples, not by the documents
+    index.vocabulary = {t: i for i, t in enumerate(found["term"].to_pylist())}
+    size = len(index.vocabulary)
+    coded, _ = stage(code(docs.withColumn("_null", F.col("text").isNull()), index.vocabulary), "toxicity-terms")
 
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each term, in how many of the task's documents it occurs; at -1 the number of these."""
         held, seen = np.zeros(size, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = _features(terms_of(text), shared.value)
-                held[np.fromiter((shared.value[t] for t in found), np.int64, len(found))] += 1
+            held += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i4"), minlength=size)
             seen += batch.num_rows
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(held[at], seen))], ["term", "n"])
 
-    small_batches(spark)
-    counted = docs.where("text is not null").select("text").mapInArrow(occur, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counted = coded.where("not _null").select("_terms").mapInArrow(occur, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(size + 1)
     n[counted["term"].to_numpy()] = counted["n"].to_numpy()
-    index.idf = np.log((n[-1] + 1) / (n[:-1] + 1)) + 1
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = batch.column("text").to_pylist()
-            for s, e in slices(found):
-                made = [index.vector(t) for t in found[s:e]]
-                columns = [batch.column("doc_id")[s:e], batch.column("toxic")[s:e], pa.array([t.tolist() for t, _ in made], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in made], pa.list_(pa.float64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "terms", "weights"])
-
+    labelled = [y for _, y in chosen]
+    if 0 not in labelled or 1 not in labelled:
+        return index, coded.drop("_null")
+    index.weigh_terms(n, found["toxic"].to_numpy(), found["clean"].to_numpy())
     # a row per sampled document, with the terms of its text
-    got = sample.mapInArrow(weigh, "doc_id long, toxic int, terms array<long>, weights array<double>").collect()
-    # alike examples stand in the same blocks: by label, then by their heaviest term
-    heaviest = lambda r: r["terms"][int(np.argmax(r["weights"]))] if r["terms"] else -1
-    got = sorted(got, key=lambda r: (r["toxic"], heaviest(r), r["doc_id"]))
+    got = coded.where("not _null").join(F.broadcast(rows), F.col("doc_id") == F.col("_id")).select("doc_id", "_toxic", "_terms", "_counts").collect()
     if not got:
-        return index
-    index.ids, index.labels = np.array([r["doc_id"] for r in got]), np.array([float(r["toxic"]) for r in got])
-    vectors = [(np.array(r["terms"], np.int64), np.array(r["weights"], np.float64)) for r in got]
-    index.build(vectors)
-    votes = np.array([index.vote(*index.nearest(t, w, leave=i)) for i, (t, w) in enumerate(vectors)])
-    weight = np.where(index.labels == 1, index.share / max(1, n1), (1 - index.share) / max(1, n0)) * len(got)
-    index.curve = _logistic(votes, index.labels, weight)
-    return index
+        return index, coded.drop("_null")
+    # alike examples stand in the same blocks: by label, then by their heaviest term
+    got.sort(key=lambda r: (r["_toxic"], r["doc_id"], bytes(r["_terms"]), bytes(r["_counts"])))
+    of, term, weight = index.weighed(len(got), *_unpack([bytes(r["_terms"]) for r in got], [bytes(r["_counts"]) for r in got]))
+    heaviest = np.full(len(got), -1)
+    order = np.argsort(weight, kind="stable")
+    heaviest[of[order]] = term[order]
+    place = np.lexsort((np.arange(len(got)), heaviest, [r["_toxic"] for r in got]))
+    moved = np.argsort(place)[of]
+    order = np.lexsort((term, moved))
+    of, term, weight = moved[order], term[order], weight[order]
+    index.ids, index.labels = np.array([got[i]["doc_id"] for i in place]), np.array([float(got[i]["_toxic"]) for i in place])
+    index.build(len(got), of, term, weight)
+    votes = []
+    for start in range(0, len(got), BATCH):
+        n_part = min(BATCH, len(got) - start)
+        part = slice(*np.searchsorted(of, (start, start + n_part)))
+        votes += [index.vote(*x) for x in index.nearest(n_part, of[part] - start, term[part], weight[part], np.arange(start, start + n_part))]
+    n1 = sum(labelled)
+    balance = np.where(index.labels == 1, index.share / max(1, n1), (1 - index.share) / max(1, len(labelled) - n1)) * len(got)
+    index.curve = _logistic(np.array(votes), index.labels, balance)
+    return index, coded.drop("_null")
+
+
+def score_coded(coded: DataFrame, index: ToxicIndex) -> DataFrame:
+    """Rows of code() with score (0 to 1), predicted (1 if score >= 0.5) and evidence instead of the terms."""
+    shared = coded.sparkSession.sparkContext.broadcast(index)
+    added = {"score": "double", "predicted": "int", "evidence": "string"}
+    kept = [f for f in coded.schema if f.name not in {"_terms", "_counts", *added}]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores, evidence = shared.value.scores(batch.num_rows, *_unpack(batch.column("_terms").to_pylist(), batch.column("_counts").to_pylist()))
+            new = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(evidence, pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *new], [*(f.name for f in kept), *added])
+
+    small_batches(coded.sparkSession)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{n} {t}" for n, t in added.items())])
+    return coded.mapInArrow(apply, schema)
 
 
 def predict(docs: DataFrame, index: ToxicIndex) -> DataFrame:
-    """docs without `text`, with score (0 to 1), predicted (1 if score >= 0.5) and evidence. Only the text is looked at."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    """docs without `text`, with score, predicted and evidence. Only the text is looked at."""
+    return score_coded(code(docs, index.vocabulary), index)
 
-    def make(batch: list[str]) -> list:
-        scores, evidence = zip(*(shared.value.score(t) for t in batch))
-        return [list(scores), [int(s >= 0.5) for s in scores], list(evidence)]
 
-    return map_texts(docs, make, {"score": "double", "predicted": "int", "evidence": "string"})
+def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
+    """predict() for the documents that the words are counted in, whose texts are split once for both."""
+    index, coded = fit(docs, labels, per_class)
+    return score_coded(coded, index)
