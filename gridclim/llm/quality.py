@@ -21,7 +21,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridclim.llm.common import map_texts, segment_sums, slices, small_batches, stage
@@ -353,20 +354,30 @@ def score(docs: DataFrame, model: DataFrame, head: int = HEAD) -> DataFrame:
     return done if whole else stage(done, "quality-scored")[0]
 
 
+def _medians(rows: DataFrame, keys: list[str], value: Column, step: float, name: str) -> DataFrame:
+    """keys and the lower median of a value, exact to its step: values are counted by steps, so that no group is gathered and the
+    result does not depend on how rows are dealt out."""
+    counted = rows.where(value.isNotNull()).groupBy(*keys, F.round(value / step).cast("long").alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
+    of = W.partitionBy(*keys)
+    placed = counted.withColumns({"_up_to": F.sum("_n").over(of.orderBy("_bin")), "_all": F.sum("_n").over(of)})
+    return placed.where(2 * F.col("_up_to") >= F.col("_all")).groupBy(*keys).agg((F.min("_bin") * step).alias(name))
+
+
+#: Steps of log perplexities, and of their distances from the middle times the root of the length.
+STEP, AWAY_STEP = 1e-4, 1e-2
+
+
 def bands(scored: DataFrame) -> DataFrame:
     """_lang, middle, below, above: of each language's texts that pass the plain rules, the median log perplexity and
     the median deviations on either side, times the root of the length."""
-    passed = scored.where(~F.col("base_failed") & F.col("log_ppl").isNotNull())
-    middle = passed.groupBy("lang").agg(F.percentile_approx("log_ppl", 0.5, 2000).alias("middle")).withColumnRenamed("lang", "_lang")
+    passed = scored.where(~F.col("base_failed") & F.col("log_ppl").isNotNull()).select(F.col("lang").alias("_lang"), "log_ppl", "n_grams")
+    middle = _medians(passed, ["_lang"], F.col("log_ppl"), STEP, "middle").withColumnRenamed("_lang", "_of")
+    held = passed.join(middle, F.col("_lang").eqNullSafe(F.col("_of")))
     away = (F.col("log_ppl") - F.col("middle")) * F.sqrt("n_grams")
-    return (
-        passed.join(middle, F.col("lang").eqNullSafe(F.col("_lang")))
-        .groupBy("_lang", "middle")
-        .agg(
-            F.percentile_approx(F.when(away < 0, -away), 0.5, 2000).alias("below"),
-            F.percentile_approx(F.when(away > 0, away), 0.5, 2000).alias("above"),
-        )
-    )
+    sides = [_medians(held, ["_lang"], F.when(x > 0, x), AWAY_STEP, n).withColumnRenamed("_lang", f"_{n}") for x, n in ((-away, "below"), (away, "above"))]
+    for side, n in zip(sides, ("below", "above")):
+        middle = middle.join(side, F.col("_of").eqNullSafe(F.col(f"_{n}")), "left").drop(f"_{n}")
+    return middle.withColumnRenamed("_of", "_lang")
 
 
 def judge(docs: DataFrame) -> DataFrame:
