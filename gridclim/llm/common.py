@@ -28,11 +28,14 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; where it is unset (tests), a temporary one is set."""
+    """The shared folder that spark.checkpoint.dir names. On one machine, where it may be unset (tests), a temporary one is set;
+    on a cluster it must be set, as executors don't share a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not found:
         if sc._jsc.sc().getCheckpointDir().isEmpty():
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoints-"))
         found = sc._jsc.sc().getCheckpointDir().get()
     elif sc._jsc.sc().getCheckpointDir().isEmpty():

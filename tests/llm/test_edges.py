@@ -19,7 +19,7 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 def toxic(docs):
     labels = docs.selectExpr("doc_id", "case when doc_id % 2 = 0 then 1 else 0 end as toxic")
-    return toxicity.predict(docs, toxicity.fit(docs, labels))
+    return toxicity.classify(docs, labels)
 
 
 OPERATORS = {
@@ -63,6 +63,17 @@ def test_chats(spark):
     assert chat.format_chats(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_texts_that_share_an_id_are_not_lost(spark):
+    """Two texts under one id and rows without an id go through all stages that judge texts alone."""
+    texts = ["".join(chr(97 + (i * 7 + k * k) % 26) if k % 6 else " " for k in range(400)) for i in range(4)]
+    rows = [(1, texts[0], "en", "a", 0), (1, texts[1], "en", "a", 0), (None, texts[2], "en", "a", 0), (2, texts[3], "en", "a", 0), (2, texts[3], "en", "b", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name, step in corpus_pipeline.STAGES[:3]:
+        docs = step(spark, docs, "")
+        assert {r.text for r in docs.collect()} == set(texts), name
+    assert sorted((str(r.doc_id), r.source) for r in docs.collect()) == [("1", "a"), ("1", "a"), ("2", "a"), ("None", "a")]
+
+
 def test_stages_on_odd_rows_and_empty_tables(spark):
     for rows in (ROWS, []):
         docs = spark.createDataFrame(rows, SCHEMA)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -10,9 +11,10 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridclim.llm import bpe, chunks, langid, linededup, packing, quality, queries, simhash, suffixes, toxicity
+from gridclim.llm import bpe, chat, chunks, langid, linededup, packing, quality, queries, simhash, suffixes, toxicity
 from tests.compare import same_rows
 
 SF = "/root/testdata/sf0.001"
@@ -42,6 +44,56 @@ def test_language_of_held_out_documents(spark):
     assert got.score.between(0, 1).all()
 
 
+def plain_grams(text):
+    """Letters with their neighbours, as hashed by hand."""
+    text, mask, out = text.lower(), 0xFFFFFFFF, []
+    letter = lambda k: ord(text[k]) if 0 <= k < len(text) and text[k].isalpha() else 32
+    for k in range(len(text)):
+        if text[k].isalpha():
+            one = letter(k) * 2654435761 & mask
+            two = ((one ^ (letter(k - 1) * 2246822519 & mask)) * 3266489917) & mask
+            three = ((two ^ (letter(k + 1) * 668265263 & mask) ^ 0x5BD1E995) * 374761393) & mask
+            out += [one >> 16, two >> 16, three >> 16]
+    return out
+
+
+@pytest.mark.parametrize("most", [256, 2])
+def test_language_equals_plain_bayes(spark, docs, most):
+    """The posterior of counts made by hand, with all languages in one matrix and in several."""
+    train, test = docs[docs.doc_id % 3 != 1], docs[docs.doc_id % 3 == 1].head(40)
+    counts, seen = collections.defaultdict(collections.Counter), collections.Counter(train.lang)
+    for lang, text in zip(train.lang, train.text):
+        counts[lang].update(plain_grams(text))
+    made = lambda df: spark.createDataFrame(df[["doc_id", "lang", "text"]].values.tolist(), "doc_id long, lang string, text string")
+    model = langid.fit(made(train), most=most)
+    assert len(model) == -(-len(seen) // most)
+    texts = [*test.text, "ab", "\u00df?", "12 !", ""]
+    rows = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.predict(rows, model).collect()}
+    for i, text in enumerate(texts):
+        grams = plain_grams(text)
+        if not grams:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        logs = {x: np.log(seen[x] / len(train)) + sum(np.log((counts[x][g] + 0.5) / (sum(counts[x].values()) + 0.5 * langid.BUCKETS)) for g in grams) for x in seen}
+        best = max(sorted(logs), key=logs.get)
+        assert got[i].lang_pred == best
+        assert got[i].score == pytest.approx(1 / sum(np.exp(v - logs[best]) for v in logs.values()), abs=1e-3)
+
+
+def test_long_conversations_take_linear_time(spark):
+    """Four times the turns may take little more than four times as long; alternating and one-sided talk alike."""
+    took = {}
+    for n in (10_000, 10_000, 40_000):  # the first run warms up
+        rows = spark.range(n).select(F.lit(1).alias("conv_id"), "id", F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"), F.lit("some words").alias("text"))
+        done = chat.format_chats(rows.withColumnRenamed("id", "turn"))
+        began = time.time()
+        r = done.select(F.size(chat.read_turns(F.col("formatted"))).alias("n"), F.length(chat.loss_text(F.col("segments"))).alias("loss")).first()
+        took[n] = time.time() - began
+        assert (r.n, r.loss) == (n, 10 * sum(i % 3 != 0 for i in range(n)))
+    assert took[40_000] < 10 * took[10_000] + 2
+
+
 def brute_fingerprint(text):
     words = text.encode().lower().split()
     grams = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
@@ -134,6 +186,28 @@ def brute_lines(rows, least_chars=40, least_docs=5):
     return {i: "\n".join(x for x in t.split("\n") if not (len(held[key(x)]) >= least_docs and max(held[key(x)]) != i)) for i, t in rows}
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    line = "One line that is long enough to count as a shared one"
+    rows = [(1, line), (1, line + "\nx"), (1, line), (1, "y\n" + line), (1, line), (2, line)]
+    done = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.n_dropped == 0 for r in done) and len(done) == 6
+    rows += [(i, line) for i in (3, 4, 5)]
+    done = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in done) == sorted([*[(i, "") for i in (1, 1, 1, 2, 3, 4)], (1, "x"), (1, "y"), (5, line)])
+
+
+def test_runs_are_joined_as_they_lie(spark):
+    rows = spark.createDataFrame([(i, k, 0) for i in range(50) for k in range(i, i + 9)], "doc_id long, hi long, lo long")
+    first = linededup.Run(rows.where("doc_id < 25").groupBy("hi", "lo").agg(F.max("doc_id").alias("keeper"), F.count("*").alias("docs")), 0)
+    batch = rows.where("doc_id >= 25").distinct().groupBy("hi", "lo").agg(F.max("doc_id").alias("keeper"), F.count("*").alias("docs"))
+    joined = batch.join(first.rows().select("hi", "lo", F.lit(True).alias("held")).hint("merge"), ["hi", "lo"], "left")
+    assert joined.where("held").count() == 8
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1]
+    assert "Bucketed: true" in plan and "Exchange" not in plan[plan.rindex("Filter") if "Filter" in plan else 0 :]
+    got = {(r.hi, r.keeper, r.docs) for r in linededup.build_runs(rows).collect()}
+    assert got == {(k, min(49, k), sum(i <= k < i + 9 for i in range(50))) for k in range(58)}
+
+
 @pytest.mark.parametrize("batches", [1, 3, 7])
 def test_line_dedup_in_any_number_of_batches(spark, batches):
     rng = random.Random(batches)
@@ -170,6 +244,29 @@ def test_quality_measures_and_kept_documents(spark, docs):
     assert not got[got.base_failed].kept.any() and got[~got.base_failed].kept.mean() > 0.95
 
 
+def lower_median(values, step):
+    bins = sorted(round(v / step) for v in values)
+    return bins[(len(bins) + 1) // 2 - 1] * step if bins else None
+
+
+def test_kept_equals_plain_steps_in_any_partitioning(spark, docs):
+    """The verdict from the perplexities up: bands of each language from medians, whatever the rows' order and partitions."""
+    frame = spark.createDataFrame(docs[["doc_id", "lang", "text"]].values.tolist(), "doc_id long, lang string, text string")
+    runs = [quality.judge(frame.repartition(n)).toPandas().set_index("doc_id").sort_index() for n in (1, 13)]
+    assert (runs[0].kept == runs[1].kept).all()
+    got = runs[0]
+    lengths = {i: len(t) - quality.LENGTH + 1 for i, t in zip(docs.doc_id, docs.text)}
+    assert got.log_ppl.isna().equals(pd.Series({i: n <= 0 for i, n in lengths.items()}, name="log_ppl").reindex(got.index))
+    for lang in set(got.lang):
+        own = got[(got.lang == lang) & ~got.base_failed & got.log_ppl.notna()]
+        middle = lower_median(own.log_ppl, quality.STEP)
+        away = [(v - middle) * lengths[i] ** 0.5 for i, v in own.log_ppl.items()]
+        below, above = (lower_median([s * a for a in away if s * a > 0], quality.AWAY_STEP) for s in (-1, 1))
+        for i, v in own.log_ppl.items():
+            reach = [max(quality.LEAST_REACH, quality.REACH * (x or 0) / lengths[i] ** 0.5) for x in (below, above)]
+            assert got.kept[i] == (middle - reach[0] <= v <= middle + reach[1])
+
+
 def test_kneser_ney_adds_up_to_one():
     rng = np.random.default_rng(2)
     text = "".join(rng.choice([*"abcde "], 4000))
@@ -240,24 +337,33 @@ def test_toxicity_on_held_out_rows(spark):
 
 
 def test_nearest_examples_are_exact():
+    """Against brute force over full vectors: every term counts, frequent or rare, and ties go to the first example."""
     rng = np.random.default_rng(6)
-    index = toxicity.ToxicIndex(vocabulary={f"t{k}": k for k in range(40)}, idf=np.ones(40))
-    rows = []
-    for _ in range(400):
-        terms = np.sort(rng.choice(40, rng.integers(0, 8), replace=False))
-        w = rng.random(len(terms))
-        rows.append((terms, w / (np.linalg.norm(w) or 1)))
-    index.build(rows)
-    dense = np.zeros((400, 40))
-    for i, (t, w) in enumerate(rows):
-        dense[i, t] = w
-    for t, w in rows[:150]:
-        query = np.zeros(40)
-        query[t] = w
-        cosine = dense @ query
-        order = np.lexsort((np.arange(400), -np.round(cosine, 12)))[:10]
-        ids, got = index.nearest(t, w)
-        assert np.allclose(got, cosine[order][cosine[order] > 0][: len(got)]) and len(ids) == (cosine[order] > 0).sum()
+    words = [f"t{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 40), p=np.arange(300, 0, -1) / 45150)) for _ in range(400)]
+    texts[7] = texts[3]
+    index = toxicity.ToxicIndex(vocabulary={w: k for k, w in enumerate(words)}, weight_of=rng.uniform(1, 9, 300))
+    of, term, weight = index.vectors(texts)
+    index.build(400, of, term, weight)
+    assert 0 < len(index.block_max) < 300
+    dense = np.zeros((400, 300))
+    dense[of, term] = weight
+    plain = np.zeros((400, 300))
+    for i, t in enumerate(texts):
+        for w, n in collections.Counter(t.split()).items():
+            plain[i, int(w[1:])] = (1 + np.log(n)) * index.weight_of[int(w[1:])]
+    norm = np.linalg.norm(plain, axis=1, keepdims=True)
+    assert np.allclose(dense, plain / np.where(norm, norm, 1))
+    for leave in (None, np.arange(400)):
+        found = index.nearest(400, of, term, weight, leave)
+        for i, (ids, cosine) in enumerate(found):
+            want = np.round(dense @ dense[i], 9)
+            if leave is not None:
+                want[i] = 0
+            order = np.argsort(-want, kind="stable")[:10]
+            order = order[want[order] > 0]
+            assert len(ids) == len(order) and np.allclose(cosine, want[order], atol=2e-9)
+            assert set(ids) <= set(np.flatnonzero(want >= want[order].min() - 2e-9)) if len(order) else True
 
 
 def test_every_term_of_the_examples_is_weighed_by_all_documents(spark):
@@ -266,11 +372,16 @@ def test_every_term_of_the_examples_is_weighed_by_all_documents(spark):
     rows = [(i, " ".join(rng.sample(common, 30)) + f" mark{i // 2}" * (i < 60)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, toxic int")
-    index = toxicity.fit(docs, labels)
-    terms = {i: set(toxicity._features(toxicity.terms_of(t))) for i, t in rows}
+    index, _ = toxicity.fit(docs, labels)
+    terms = {i: set(toxicity.terms_of(t)) for i, t in rows}
     assert set(index.vocabulary) == set().union(*(terms[i] for i in range(120)))
-    for t in ("mark3", "word7", "word*"):
-        assert index.idf[index.vocabulary[t]] == pytest.approx(np.log(301 / (sum(t in x for x in terms.values()) + 1)) + 1)
+    for t in ("mark3", "word7", "word100"):
+        a, c = sum(t in terms[i] for i in range(60)), sum(t in terms[i] for i in range(60, 120))
+        idf = np.log(301 / (sum(t in x for x in terms.values()) + 1)) + 1
+        assert index.weight_of[index.vocabulary[t]] == pytest.approx(idf * np.log2(2 + a / max(1, c)))
+    assert (index.weight_of > 0).all()
+    again = {r.doc_id: (r.score, r.evidence) for r in toxicity.predict(docs, index).collect()}
+    assert {r.doc_id: (r.score, r.evidence) for r in toxicity.classify(docs, labels).collect()} == again
 
 
 def test_media_are_rebuilt(spark, docs):
@@ -293,6 +404,10 @@ def test_shared_chunks_are_stored_once(spark):
     for r in got:
         text = next(t or "" for i, t in rows if i == r.doc_id)
         assert r.payload_sha256 == hashlib.sha256(chunks.payload_of(text)).hexdigest()
+    assert all(chunks.samples_of(chunks.wav(chunks.payload_of(t or ""))) == chunks.payload_of(t or "") for _, t in rows)
+    for broken in (b"", b"RIFF", chunks.wav(b"abcd")[:-1], chunks.wav(b"abcd").replace(b"WAVE", b"WAVF")):
+        with pytest.raises(ValueError):
+            chunks.samples_of(broken)
     kept = [len(chunks.zstandard.decompress(r.own)) for r in stored.where("doc_id in (1, 2, 4)").collect()]
     assert sum(kept) < 9000 * 4
     assert all(chunks.LEAST <= n <= chunks.MOST for x in (a + b, c * 9) for n in np.diff([0, *chunks.cuts(chunks.payload_of(x))[:-1]]))
@@ -380,8 +495,21 @@ def test_repeats_of_small_texts(spark, monkeypatch, most):
     passage = [("".join(rng.choice("abcé ") for _ in range(70))) for _ in range(3)]
     texts = ["".join(rng.choice([*passage, "x" * rng.randrange(1, 50), "".join(rng.choice("mno") for _ in range(20))]) for _ in range(rng.randrange(0, 7))) for _ in range(50)]
     texts += ["ab" * 100, "", "short", texts[3]]
-    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.cut_repeats(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), length=40, k=12).collect()}
-    assert [got[i] for i in range(len(texts))] == brute_repeats([t.encode() for t in texts], 40)
+    for piece in (1 << 20, 64):  # long texts are taken in pieces
+        monkeypatch.setattr(suffixes, "PIECE", piece)
+        got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.cut_repeats(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), length=40, k=12).collect()}
+        assert [got[i] for i in range(len(texts))] == brute_repeats([t.encode() for t in texts], 40)
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    rng = random.Random(21)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    own = lambda: "".join(rng.choice("klmnopqr ") for _ in range(250))
+    rows = [(1, own() + passage), (1, passage + own()), (1, own()), (2, own()), (2, own() + passage + own()), (3, own())]
+    rows.append(rows[3])
+    got = collections.Counter((r.doc_id, r.n_removed, bytes(r.kept)) for r in suffixes.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = brute_repeats([t.encode() for _, t in rows], 200)
+    assert got == collections.Counter((i, w[0], w[2]) for (i, _), w in zip(rows, want)) and [w[0] for w in want] == [300, 300, 0, 250, 300, 0, 250]
 
 
 def test_repeats_of_documents(spark, docs):
