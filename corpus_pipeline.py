@@ -23,15 +23,13 @@ def _like(done: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language that the labelled two thirds of the documents teach stay; those without a letter, of
-    an unsure language, or without a doc_id go."""
-    docs = docs.where(F.col("doc_id").isNotNull())
-    model = langid.fit(docs.where(fold(F.col("doc_id"), 3) != 1))
-    names = {c: c for c in docs.columns if c in ("lang_pred", "score")}
-    held = docs.withColumnsRenamed({c: f"_{c}" for c in names})
-    found = langid.predict(held, model, keep_text=True)
-    sure = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).drop("lang_pred", "score")
-    return sure.withColumnsRenamed({f"_{c}": c for c in names}).select(*docs.columns)
+    """Documents of a language that the labelled two thirds of the documents teach stay, those without a doc_id too; documents go
+    that have no letter, whose language is unsure, or whose n-grams are likelier to be drawn evenly than in any language."""
+    model = langid.fit(docs.where(F.coalesce(fold(F.col("doc_id"), 3) != 1, F.lit(True))))
+    names = {c: f"_{c}" for c in ("lang_pred", "score", "fit") if c in docs.columns}
+    found = langid.predict(docs.withColumnsRenamed(names), model, keep_text=True)
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE) & (F.col("fit") > 0)
+    return found.where(known).drop("lang_pred", "score", "fit").withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +38,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays, once."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of each group of near-duplicates the document with the smallest doc_id stays, once. Different texts that share a doc_id
+    are different documents."""
+    return simhash.one_of_each(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
