@@ -371,13 +371,14 @@ def bands(scored: DataFrame) -> DataFrame:
     """_lang, middle, below, above: of each language's texts that pass the plain rules, the median log perplexity and
     the median deviations on either side, times the root of the length."""
     passed = scored.where(~F.col("base_failed") & F.col("log_ppl").isNotNull()).select(F.col("lang").alias("_lang"), "log_ppl", "n_grams")
-    middle = _medians(passed, ["_lang"], F.col("log_ppl"), STEP, "middle").withColumnRenamed("_lang", "_of")
+    # a row for each language: written, so that Spark knows its size and need not deal out all rows by language to join it
+    middle, _ = stage(_medians(passed, ["_lang"], F.col("log_ppl"), STEP, "middle").withColumnRenamed("_lang", "_of"), "quality-middles")
     held = passed.join(middle, F.col("_lang").eqNullSafe(F.col("_of")))
     away = (F.col("log_ppl") - F.col("middle")) * F.sqrt("n_grams")
     sides = [_medians(held, ["_lang"], F.when(x > 0, x), AWAY_STEP, n).withColumnRenamed("_lang", f"_{n}") for x, n in ((-away, "below"), (away, "above"))]
     for side, n in zip(sides, ("below", "above")):
         middle = middle.join(side, F.col("_of").eqNullSafe(F.col(f"_{n}")), "left").drop(f"_{n}")
-    return middle.withColumnRenamed("_of", "_lang")
+    return stage(middle.withColumnRenamed("_of", "_lang"), "quality-bands")[0]
 
 
 def judge(docs: DataFrame) -> DataFrame:
