@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import zstandard
@@ -90,17 +91,33 @@ def _digest(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
 
+@lru_cache(maxsize=1)
+def _codec() -> tuple:
+    """Compressor and decompressor that know what a WAV's header looks like."""
+    header = zstandard.ZstdCompressionDict(wav(b""), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(level=12, dict_data=header), zstandard.ZstdDecompressor(dict_data=header)
+
+
+def _mark(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def _squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=6).compress(data)
+    return _codec()[0].compress(data)
+
+
+def unpack(data: bytes) -> bytes:
+    """The bytes of a store's `own`."""
+    return _codec()[1].decompress(data)
 
 
 def _recipe(digests: list[bytes], lengths: list[int]) -> bytes:
-    """A recipe: 16 bytes of digest and 4 of length for each chunk."""
-    return b"".join(d + struct.pack("<I", n) for d, n in zip(digests, lengths))
+    """A recipe: 16 bytes of digest and 2 of length for each chunk."""
+    return b"".join(d + struct.pack("<H", n) for d, n in zip(digests, lengths))
 
 
 def _read_recipe(recipe: bytes) -> list[tuple[bytes, int]]:
-    return [(recipe[i : i + 16], struct.unpack_from("<I", recipe, i + 16)[0]) for i in range(0, len(recipe), 20)]
+    return [(recipe[i : i + 16], struct.unpack_from("<H", recipe, i + 16)[0]) for i in range(0, len(recipe), 18)]
 
 
 def store(docs: DataFrame) -> DataFrame:
@@ -109,39 +126,47 @@ def store(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
 
     def plan(batch: list[str]) -> list:
-        wholes, recipes = [], []
+        marks, wholes, recipes = [], [], []
         for text in batch:
             media = wav(payload_of(text))
             chunks = _split(media)
             wholes.append(_digest(media))
+            marks.append(_mark(wholes[-1]))
             recipes.append(_recipe([_digest(c) for c in chunks], [len(c) for c in chunks]))
-        return [wholes, recipes]
+        return [marks, wholes, recipes]
 
-    plans, _ = stage(map_texts(docs, plan, {"whole": "binary", "recipe": "binary"}), "recipes")
+    plans, _ = stage(map_texts(docs.where(F.col("doc_id").isNotNull()), plan, {"mark": "long", "whole": "binary", "recipe": "binary"}), "recipes")
 
     def digests_of(recipes: list[bytes]) -> tuple:
         listed = [_read_recipe(r) for r in recipes]
         return np.repeat(np.arange(len(listed)), [len(x) for x in listed]), [[d for x in listed for d, _ in x], [k for x in listed for k in range(len(x))]]
 
-    uses = map_texts(plans.where(F.col("doc_id").isNotNull()), digests_of, {"digest": "binary", "seq": "int"}, "recipe")
-    place = F.struct("doc_id", "whole", "seq")
+    row = ["doc_id", "mark"]  # a row is known by its id and the beginning of its medium's digest, as ids may repeat
+    uses = map_texts(plans.select(*row, "recipe"), digests_of, {"digest": "binary", "seq": "int"}, "recipe")
+    place = F.struct(*row, "seq")
     used = uses.groupBy("digest").agg(F.min(place).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
     used, _ = stage(used.select("digest", "owner"), "shared-chunks")
-    row = ["doc_id", "whole"]
-    mine = (F.col("owner.doc_id") == F.col("doc_id")) & (F.col("owner.whole") == F.col("whole"))
+    mine = (F.col("owner.doc_id") == F.col("doc_id")) & (F.col("owner.mark") == F.col("mark"))
     shared = uses.join(used, "digest").groupBy(*row).agg(
         F.collect_set(F.when(mine & (F.col("owner.seq") == F.col("seq")), F.col("digest"))).alias("lent"),
         F.collect_set(F.when(~mine, F.col("digest"))).alias("borrowed"),
     )
-    # equal rows have one recipe; a row without an id is told by its medium alone
-    known = plans.groupBy(*row).agg(F.first("recipe").alias("recipe")).join(shared, row, "left").withColumnsRenamed({c: f"_{c}" for c in row})
+    known = plans.groupBy(*row).agg(F.first(F.struct("whole", "recipe")).alias("plan")).join(shared, row, "left")  # equal rows have one plan
 
     def squeezed(batch: list[str]) -> list:
         media = [wav(payload_of(t)) for t in batch]
-        return [[len(t.encode()) for t in batch], [_digest(m) for m in media], [_squeeze(m) for m in media]]
+        return [[len(t.encode()) for t in batch], [_mark(_digest(m)) for m in media], [_squeeze(m) for m in media]]
+
+    packed = map_texts(docs.where(F.col("doc_id").isNotNull()), squeezed, {"n_bytes": "long", "mark": "long", "media": "binary"}).join(known, row)
+    packed = packed.select("doc_id", "n_bytes", "media", "plan.whole", "plan.recipe", "lent", "borrowed")
+
+    def alone(batch: list[str]) -> list:
+        """Rows without an id share nothing: they are planned and kept at once."""
+        _, wholes, recipes = plan(batch)
+        return [[len(t.encode()) for t in batch], [_squeeze(wav(payload_of(t))) for t in batch], wholes, recipes]
 
-    packed = map_texts(docs, squeezed, {"n_bytes": "long", "whole": "binary", "media": "binary"})
-    packed = packed.join(known, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("whole") == F.col("_whole"))).drop("_doc_id", "_whole")
+    none = map_texts(docs.where(F.col("doc_id").isNull()), alone, {"n_bytes": "long", "media": "binary", "whole": "binary", "recipe": "binary"})
+    packed = packed.unionByName(none, allowMissingColumns=True)
 
     def keep_own(media: list[bytes], recipes: list, borrowed: list) -> list:
         owns = []
@@ -151,7 +176,7 @@ def store(docs: DataFrame) -> DataFrame:
             if not taken and len({d for d, _ in listed}) == len(listed):
                 owns.append(data)  # all chunks are its own, each once: as it is
                 continue
-            raw = zstandard.decompress(data)
+            raw = unpack(data)
             for digest, length in listed:
                 if digest not in taken:
                     taken.add(digest)  # a chunk that the document repeats is kept once
@@ -168,7 +193,7 @@ def store(docs: DataFrame) -> DataFrame:
 
 
 def _own_chunks(recipe: bytes, own: bytes, borrowed: set[bytes]) -> dict[bytes, bytes]:
-    data, at, found = zstandard.decompress(own), 0, {}
+    data, at, found = unpack(own), 0, {}
     for digest, length in _read_recipe(recipe):
         if digest not in borrowed and digest not in found:
             found[digest] = data[at : at + length]
@@ -219,8 +244,9 @@ def read(stored: DataFrame) -> DataFrame:
     lenders = stored.where(F.size("lent") > 0).select("own", *inputs)
     lent = map_texts(lenders, lend, {"digest": "binary", "chunk": "binary"}, "own", inputs)
     borrowers = stored.where(F.size("borrowed") > 0)
-    wanted = borrowers.select("doc_id", "whole", F.explode("borrowed").alias("digest")).distinct()
-    fetched = wanted.join(lent.dropDuplicates(["digest"]), "digest").groupBy("doc_id", "whole").agg(F.collect_list(F.struct("digest", "chunk")).alias("fetched"))
+    wanted = borrowers.select("doc_id", "whole", F.explode("borrowed").alias("digest"))
+    # rows that are there twice lend twice, and are made one again here: a step before the join would keep Spark from splitting hot chunks
+    fetched = wanted.join(lent, "digest").groupBy("doc_id", "whole").agg(F.collect_set(F.struct("digest", "chunk")).alias("fetched"))
 
     def describe(owns: list[bytes], wholes: list, recipes: list, borrowed: list, got: list) -> list:
         rows = []
