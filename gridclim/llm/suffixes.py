@@ -9,7 +9,8 @@ Spark counts anchors and groups equal snippets, which match over their whole len
 anchor; for each batch of anchors a task builds the Burrows-Wheeler transform, of which it keeps the runs with the suffix positions
 at their ends, and streams through the text: the match length falls by one at each byte until the next sampled run end sets it
 anew. Windows with matches of `length` bytes or more are repeats. An anchor with more than MOST_SNIPPETS different snippets is
-never gathered, as its group grows with the corpus: its windows are counted one by one on Spark instead, with the same result.
+not gathered, as its group grows with the corpus: its snippets are cut into pieces of fewer windows, which are grouped by more of the
+bytes around the anchor, and again where a group is still too large; the groups go through the index like all others.
 
 Defined results: a null or empty text has no bytes; texts shorter than `length` stay; a row repeated as a whole is a
 repeat of itself; rows may share a doc_id, whatever their texts are; rows with a null doc_id match nothing and stay as
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from gridclim.llm.common import map_texts, stage
 
 LENGTH, KMER = 200, 48
-MOST_SNIPPETS = 2_000
+#: No more different snippets are gathered under one anchor; those of a larger group are cut into so many parts at each step.
+MOST_SNIPPETS, PARTS = 2_000, 4
 #: An index takes so many bytes of snippets, and the rest of its last anchor.
 INDEX_BYTES = 1 << 19
 #: Anchors are found in pieces of so many windows, which bounds the memory for long texts.
@@ -212,23 +214,22 @@ def repeated_windows(batch: list[bytes], length: int) -> list[np.ndarray]:
 
 
 def _snippet_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted(doc_id, _text_hash, first, windows, anchor, digest, alone) -> anchor, digest, alone, data, each once."""
-    listed = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("first", "windows", "anchor", "digest", "alone")).alias("_list"))
+    """wanted(doc_id, _text_hash, first, windows, anchor, digest) -> anchor, digest, data, each once."""
+    listed = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("first", "windows", "anchor", "digest")).alias("_list"))
 
     def make(batch: list[str], lists: list) -> tuple:
-        at, anchor, digest, alone, data = [], [], [], [], []
+        at, anchor, digest, data = [], [], [], []
         for i, (text, parts) in enumerate(zip(batch, lists)):
             raw = text.encode()
             for x in parts:
                 at.append(i)
                 anchor.append(x["anchor"])
                 digest.append(x["digest"])
-                alone.append(x["alone"])
                 data.append(raw[x["first"] : x["first"] + x["windows"] + length - 1])
-        return at, [anchor, digest, alone, data]
+        return at, [anchor, digest, data]
 
     joined = _rows(docs).select(*ROW, "text").join(listed, ROW)
-    found = map_texts(joined, make, {"anchor": "long", "digest": "long", "alone": "boolean", "data": "binary"}, "text", ("_list",)).drop(*ROW)
+    found = map_texts(joined, make, {"anchor": "long", "digest": "long", "data": "binary"}, "text", ("_list",)).drop(*ROW)
     return found.dropDuplicates(["anchor", "digest"])  # a row that is there twice gives its snippets twice
 
 
@@ -256,34 +257,65 @@ def _index_anchors(data: DataFrame, length: int) -> DataFrame:
     return placed.select("anchor", "digest", "data").mapInArrow(apply, "anchor long, digest long, bits binary")
 
 
-def _count_windows(data: DataFrame, length: int) -> DataFrame:
-    """The exact way for anchors with too many snippets: count the windows themselves."""
-
-    def make(batch: list[bytes]) -> tuple:
-        at, offset, hi, lo = [], [], [], []
-        for i, x in enumerate(batch):
-            for k in range(len(x) - length + 1):
-                key = xxhash.xxh3_128_digest(x[k : k + length])
+def _cut_pieces(left: DataFrame, width: int, length: int, k: int) -> DataFrame:
+    """left(anchor, digest, start, data) -> pieces of so many neighbouring windows at most: anchor, digest, start, windows, group, mark,
+    data. Pieces end at fixed distances from the anchor; `group` names the bytes around it that all windows of such a piece have."""
+
+    def make(batch: list[bytes], anchors: list, starts: list) -> tuple:
+        at, rows = [], []
+        for i, (data, anchor, start) in enumerate(zip(batch, anchors, starts)):
+            place = int(np.flatnonzero(kmer_hashes(np.frombuffer(data, np.uint8), k).view(np.int64) == anchor)[0])
+            least = place - (len(data) - length)  # windows start from `place` to `least` bytes before the anchor
+            for cell in range(least // width, place // width + 1):
+                near, far = cell * width, min(cell * width + width, length - k + 1) - 1
+                a, b = place - min(place, far), place - max(least, near)
+                piece = data[a : b + length]
+                group = xxhash.xxh3_64_intdigest(data[place - near : place - far + length], seed=cell)
                 at.append(i)
-                offset.append(k)
-                hi.append(int.from_bytes(key[:8], "big", signed=True))
-                lo.append(int.from_bytes(key[8:], "big", signed=True))
-        return at, [offset, hi, lo]
-
-    windows = map_texts(data.select("anchor", "digest", "data"), make, {"offset": "int", "hi": "long", "lo": "long"}, "data")
-    counted = windows.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi", "lo")
-    places = windows.join(counted, ["hi", "lo"]).groupBy("anchor", "digest").agg(F.array_sort(F.collect_list("offset")).alias("places"))
+                rows.append((start + a, b - a + 1, group, xxhash.xxh3_64_intdigest(piece), piece))
+        first, windows, group, mark, data = zip(*rows)
+        return at, [first, windows, np.array(group, np.uint64).view(np.int64), np.array(mark, np.uint64).view(np.int64), data]
+
+    copied = left.withColumns({"_anchor": F.col("anchor"), "_start": F.col("start")})
+    added = {"start": "int", "windows": "int", "group": "long", "mark": "long", "data": "binary"}
+    return map_texts(copied, make, added, "data", ("_anchor", "_start"))
+
+
+def _split_anchors(data: DataFrame, length: int, k: int) -> DataFrame:
+    """data(anchor, digest, data): snippets of anchors that have too many of them -> anchor, digest, bits. They are cut into pieces, which
+    meet only where more bytes around the anchor are equal; groups that are still too large are cut again, down to single windows."""
+    left, width, found = data.select("anchor", "digest", F.lit(0).alias("start"), "data"), length - k + 1, None
+    while width > 1:
+        width = -(-width // PARTS)
+        pieces, _ = stage(_cut_pieces(left, width, length, k), "pieces")
+        kinds = pieces.groupBy("group", "mark").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("anchor", "digest", "start")).alias("at"))
+        kinds, _ = stage(kinds, "kinds-of-pieces")
+        groups = kinds.groupBy("group").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+        groups, _ = stage(groups.select("group", (F.col("k") > MOST_SNIPPETS).alias("many")), "groups-of-pieces")
+        ours = F.struct("anchor", "digest", "start") == F.col("at")
+        chosen, _ = stage(pieces.join(kinds.join(groups, "group").select("group", "mark", "at", "many"), ["group", "mark"]).where(ours), "pieces-to-decide")
+        decided = _index_anchors(chosen.where("not many").select(F.col("group").alias("anchor"), F.col("mark").alias("digest"), "data"), length)
+        twice = kinds.where("n > 1").select("group", "mark", F.lit(True).alias("twice"))
+        verdict = twice.join(decided.withColumnsRenamed({"anchor": "group", "digest": "mark"}), ["group", "mark"], "full")
+        verdict = verdict.select("group", "mark", F.when(F.col("twice").isNull(), F.col("bits")).alias("bits"))
+        part = pieces.drop("data").join(verdict, ["group", "mark"]).select("anchor", "digest", F.struct("start", "windows", "bits").alias("piece"))
+        found = part if found is None else found.unionByName(part)
+        left = chosen.where("many").select("anchor", "digest", "start", "data")
+        if left.isEmpty():
+            break
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = []
-            for places in batch.column("places").to_pylist():
-                found = np.zeros(places[-1] + 1, bool)
-                found[places] = True
-                bits.append(np.packbits(found).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("anchor"), batch.column("digest"), pa.array(bits, pa.binary())], ["anchor", "digest", "bits"])
+            packed = []
+            for parts in batch.column("pieces").to_pylist():
+                repeated = np.zeros(max(x["start"] + x["windows"] for x in parts), bool)
+                for x in parts:  # a piece found twice has no bits: all of it repeats
+                    bits = True if x["bits"] is None else np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=x["windows"]).astype(bool)
+                    repeated[x["start"] : x["start"] + x["windows"]] |= bits
+                packed.append(np.packbits(repeated).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("anchor"), batch.column("digest"), pa.array(packed, pa.binary())], ["anchor", "digest", "bits"])
 
-    return places.mapInArrow(pack, "anchor long, digest long, bits binary")
+    return found.groupBy("anchor", "digest").agg(F.collect_list("piece").alias("pieces")).mapInArrow(pack, "anchor long, digest long, bits binary")
 
 
 def marks(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
@@ -302,10 +334,10 @@ def marks(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
     # anchors with too many snippets are few: a row for every MOST_SNIPPETS rows of mixed at most. They are written, so that Spark
     # knows their size; the snippets of a frequent anchor are not gathered for the join
     many, _ = stage(mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > MOST_SNIPPETS).select("anchor", F.lit(True).alias("many")), "frequent-anchors")
-    wanted = mixed.join(many, "anchor", "left").select("at.*", "anchor", "digest", (F.col("n") == 1).alias("alone"), F.coalesce("many", F.lit(False)).alias("many"))
+    wanted = mixed.join(many, "anchor", "left").select("at.*", "anchor", "digest", F.coalesce("many", F.lit(False)).alias("many"))
     decided = _index_anchors(_snippet_bytes(docs, wanted.where("not many").drop("many"), length), length)
     if not many.isEmpty():
-        decided = decided.unionByName(_count_windows(_snippet_bytes(docs, wanted.where("many").drop("many"), length), length))
+        decided = decided.unionByName(_split_anchors(_snippet_bytes(docs, wanted.where("many").drop("many"), length), length, k))
     # a snippet found twice repeats as a whole, whatever the index says of its windows
     twice = mixed.where("n > 1").select("anchor", "digest", F.lit(True).alias("twice"))
     verdict = twice.join(decided, ["anchor", "digest"], "full").select("anchor", "digest", F.when(F.col("twice").isNull(), F.col("bits")).alias("bits"))

@@ -487,9 +487,9 @@ def test_run_index_finds_all_repeats():
             assert got.tolist() == [seen[x[i : i + length]] > 1 for i in range(len(x) - length + 1)]
 
 
-@pytest.mark.parametrize("most", [2_000, 2])
+@pytest.mark.parametrize("most", [2_000, 2, 1])
 def test_repeats_of_small_texts(spark, monkeypatch, most):
-    """With few snippets allowed for an anchor, the windows of frequent ones are counted instead: the result is the same."""
+    """With few snippets allowed for an anchor, those of frequent ones are cut into pieces, down to single windows: the result is the same."""
     monkeypatch.setattr(suffixes, "MOST_SNIPPETS", most)
     rng = random.Random(most)
     passage = [("".join(rng.choice("abcé ") for _ in range(70))) for _ in range(3)]
