@@ -5,7 +5,8 @@ A payload is wrapped as 8-bit mono WAV; the WAV, header and all, is what is stor
 medium's own digest. Spark joins on chunk digests choose one owner for each chunk (the smallest doc_id, then medium, then place);
 the store keeps a row per document: its recipe, the digest of the whole and, compressed, the chunks that it owns. Reading back takes
 own chunks from the row and fetches the borrowed ones by digest, in recipe order; every chunk and the whole are verified by their
-digests, and the samples are found by parsing the WAV that was put together.
+digests, and the samples are found by parsing the WAV that was put together. Short media compress better with a book, a dictionary
+learnt from a bounded sample, which is kept beside the store.
 
 Defined results: a null or empty text is 64 zero bytes; equal texts give equal media; rows that share a doc_id are stored
 and read each for itself; rows with a null doc_id never lend or borrow; an empty table gives an empty table; other
@@ -30,6 +31,8 @@ PAD = 64
 SPAN = 32
 #: A cut needs so many upper bits clear: 2048 bytes apart on average, within the bounds.
 CLEAR_BITS, LEAST, MOST = 11, 512, 16_384
+#: A store's book has so many bytes, learnt from so many texts.
+BOOK_BYTES, BOOK_TEXTS, LEVEL = 112 << 10, 1_000, 14
 GEAR = np.random.Generator(np.random.PCG64(8)).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
 
@@ -91,24 +94,41 @@ def _digest(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
 
-@lru_cache(maxsize=1)
-def _codec() -> tuple:
-    """Compressor and decompressor that know what a WAV's header looks like."""
-    header = zstandard.ZstdCompressionDict(wav(b""), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return zstandard.ZstdCompressor(level=12, dict_data=header), zstandard.ZstdDecompressor(dict_data=header)
+@lru_cache(maxsize=2)
+def _codec(book: bytes) -> tuple:
+    """Compressor and decompressor that know the book; an empty one says only what a WAV's header looks like."""
+    known = zstandard.ZstdCompressionDict(book) if book else zstandard.ZstdCompressionDict(wav(b""), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    known.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=known), zstandard.ZstdDecompressor(dict_data=known)
 
 
 def _mark(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _squeeze(data: bytes) -> bytes:
-    return _codec()[0].compress(data)
+def _squeeze(data: bytes, book: bytes) -> bytes:
+    return _codec(book)[0].compress(data)
 
 
-def unpack(data: bytes) -> bytes:
+def unpack(data: bytes, book: bytes = b"") -> bytes:
     """The bytes of a store's `own`."""
-    return _codec()[1].decompress(data)
+    return _codec(book)[1].decompress(data)
+
+
+def learn_book(docs: DataFrame) -> bytes:
+    """docs(text) -> a dictionary for compressing short media, learnt from a chunk of each of the BOOK_TEXTS different texts of smallest
+    hash (at most 16 MB); empty where that is too little to learn from. Only the stored size depends on it."""
+    hashed = docs.where(F.length("text") > 0).select(F.xxhash64("text").alias("h"), "text")
+    least = [r.h for r in hashed.select("h").distinct().orderBy("h").limit(BOOK_TEXTS).collect()]
+
+    def pick(batch: list[str]) -> list:
+        return [[min(_split(wav(payload_of(t))), key=_digest) for t in batch]]
+
+    chosen = map_texts(hashed.where(F.col("h") <= max(least, default=0)), pick, {"chunk": "binary"}).groupBy("h").agg(F.first("chunk").alias("chunk"))
+    try:
+        return zstandard.train_dictionary(BOOK_BYTES, [bytes(r.chunk) for r in sorted(chosen.collect(), key=lambda r: r.h)]).as_bytes()
+    except zstandard.ZstdError:  # too few or too short chunks
+        return b""
 
 
 def _recipe(digests: list[bytes], lengths: list[int]) -> bytes:
@@ -120,9 +140,9 @@ def _read_recipe(recipe: bytes) -> list[tuple[bytes, int]]:
     return [(recipe[i : i + 16], struct.unpack_from("<H", recipe, i + 16)[0]) for i in range(0, len(recipe), 18)]
 
 
-def store(docs: DataFrame) -> DataFrame:
+def store(docs: DataFrame, book: bytes = b"") -> DataFrame:
     """docs(doc_id, text) -> the chunk store, written: doc_id, n_bytes, whole (the medium's digest), recipe, own (compressed), lent,
-    borrowed (digests of own chunks that others use, and of chunks that others own)."""
+    borrowed (digests of own chunks that others use, and of chunks that others own). What was stored by a book is read by it."""
     docs = docs.select("doc_id", "text")
 
     def plan(batch: list[str]) -> list:
@@ -155,7 +175,7 @@ def store(docs: DataFrame) -> DataFrame:
 
     def squeezed(batch: list[str]) -> list:
         media = [wav(payload_of(t)) for t in batch]
-        return [[len(t.encode()) for t in batch], [_mark(_digest(m)) for m in media], [_squeeze(m) for m in media]]
+        return [[len(t.encode()) for t in batch], [_mark(_digest(m)) for m in media], [_squeeze(m, book) for m in media]]
 
     packed = map_texts(docs.where(F.col("doc_id").isNotNull()), squeezed, {"n_bytes": "long", "mark": "long", "media": "binary"}).join(known, row)
     packed = packed.select("doc_id", "n_bytes", "media", "plan.whole", "plan.recipe", "lent", "borrowed")
@@ -163,7 +183,7 @@ def store(docs: DataFrame) -> DataFrame:
     def alone(batch: list[str]) -> list:
         """Rows without an id share nothing: they are planned and kept at once."""
         _, wholes, recipes = plan(batch)
-        return [[len(t.encode()) for t in batch], [_squeeze(wav(payload_of(t))) for t in batch], wholes, recipes]
+        return [[len(t.encode()) for t in batch], [_squeeze(wav(payload_of(t)), book) for t in batch], wholes, recipes]
 
     none = map_texts(docs.where(F.col("doc_id").isNull()), alone, {"n_bytes": "long", "media": "binary", "whole": "binary", "recipe": "binary"})
     packed = packed.unionByName(none, allowMissingColumns=True)
@@ -176,13 +196,13 @@ def store(docs: DataFrame) -> DataFrame:
             if not taken and len({d for d, _ in listed}) == len(listed):
                 owns.append(data)  # all chunks are its own, each once: as it is
                 continue
-            raw = unpack(data)
+            raw = unpack(data, book)
             for digest, length in listed:
                 if digest not in taken:
                     taken.add(digest)  # a chunk that the document repeats is kept once
                     parts.append(raw[at : at + length])
                 at += length
-            owns.append(_squeeze(b"".join(parts)))
+            owns.append(_squeeze(b"".join(parts), book))
         return [owns]
 
     packed = packed.withColumns({"_recipe": F.col("recipe"), "_borrowed": F.col("borrowed")})
@@ -192,8 +212,8 @@ def store(docs: DataFrame) -> DataFrame:
     return stage(done, "chunk-store")[0]
 
 
-def _own_chunks(recipe: bytes, own: bytes, borrowed: set[bytes]) -> dict[bytes, bytes]:
-    data, at, found = unpack(own), 0, {}
+def _own_chunks(recipe: bytes, own: bytes, borrowed: set[bytes], book: bytes) -> dict[bytes, bytes]:
+    data, at, found = unpack(own, book), 0, {}
     for digest, length in _read_recipe(recipe):
         if digest not in borrowed and digest not in found:
             found[digest] = data[at : at + length]
@@ -201,10 +221,10 @@ def _own_chunks(recipe: bytes, own: bytes, borrowed: set[bytes]) -> dict[bytes,
     return found
 
 
-def _rebuild(whole: bytes, recipe: bytes, own: bytes, borrowed: list, fetched: list) -> bytes:
+def _rebuild(whole: bytes, recipe: bytes, own: bytes, borrowed: list, fetched: list, book: bytes) -> bytes:
     """The medium of a recipe, from own and fetched chunks; each chunk and the whole are verified."""
-    chunks = _own_chunks(recipe, own, {bytes(x) for x in borrowed})
-    chunks |= {bytes(x["digest"]): bytes(x["chunk"]) for x in fetched or ()}
+    chunks = _own_chunks(recipe, own, {bytes(x) for x in borrowed}, book)
+    chunks |= {bytes(x["digest"]): unpack(bytes(x["chunk"]), book) for x in fetched or ()}
     parts = []
     for digest, length in _read_recipe(recipe):
         chunk = chunks[digest]
@@ -227,17 +247,17 @@ def features(samples: bytes) -> str:
     return f"rms={rms:.4f};crossings={np.count_nonzero(high[1:] != high[:-1])};entropy={entropy:.4f}"
 
 
-def read(stored: DataFrame) -> DataFrame:
+def read(stored: DataFrame, book: bytes = b"") -> DataFrame:
     """The stored media, verified and described: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32,
     media_bytes, media_sha256, feature."""
     def lend(owns: list[bytes], recipes: list, lents: list, borrowed: list) -> tuple:
         at, digests, chunks = [], [], []
         for i, (own, recipe, lent, away) in enumerate(zip(owns, recipes, lents, borrowed)):
-            found = _own_chunks(recipe, own, {bytes(x) for x in away})
+            found = _own_chunks(recipe, own, {bytes(x) for x in away}, book)
             for digest in {bytes(x) for x in lent} & found.keys():
                 at.append(i)
                 digests.append(digest)
-                chunks.append(found[digest])
+                chunks.append(_squeeze(found[digest], book))
         return at, [digests, chunks]
 
     inputs = ("recipe", "lent", "borrowed")
@@ -251,7 +271,7 @@ def read(stored: DataFrame) -> DataFrame:
     def describe(owns: list[bytes], wholes: list, recipes: list, borrowed: list, got: list) -> list:
         rows = []
         for own, whole, recipe, away, extra in zip(owns, wholes, recipes, borrowed, got):
-            media = _rebuild(whole, recipe, own, away, extra)
+            media = _rebuild(whole, recipe, own, away, extra, book)
             samples = samples_of(media)
             rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-PAD:]), len(media), hashlib.sha256(media).hexdigest(), features(samples)))
         return list(zip(*rows))

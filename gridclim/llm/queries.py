@@ -113,7 +113,8 @@ FROM marked GROUP BY conv_id
 
 def op8_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return chunks.read(chunks.store(docs))
+    book = chunks.learn_book(docs)
+    return chunks.read(chunks.store(docs, book), book)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

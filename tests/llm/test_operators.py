@@ -410,6 +410,13 @@ def test_shared_chunks_are_stored_once(spark):
             chunks.samples_of(broken)
     kept = [len(chunks.unpack(r.own)) for r in stored.where("doc_id in (1, 2, 4)").collect()]
     assert sum(kept) < 9000 * 4
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    plain = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(200))) for i in range(300)], "doc_id long, text string")
+    book = chunks.learn_book(plain)
+    assert 0 < len(book) <= chunks.BOOK_BYTES and book == chunks.learn_book(plain.repartition(5)) and chunks.learn_book(plain.limit(0)) == b""
+    size = lambda s: sum(len(r.own) for r in s.collect())
+    assert size(chunks.store(plain, book)) < 0.9 * size(chunks.store(plain))
+    assert sorted(chunks.read(chunks.store(plain, book), book).collect()) == sorted(chunks.read(chunks.store(plain)).collect())
     assert all(chunks.LEAST <= n <= chunks.MOST for x in (a + b, c * 9) for n in np.diff([0, *chunks.cuts(chunks.payload_of(x))[:-1]]))
 
 
