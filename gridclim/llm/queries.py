@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclim.llm import bpe, chat, chunks, langid, linededup, packing, quality, simhash, suffixes, toxicity
+from gridclim.llm import bpe, chat, chunks, collocations, jaccard, langid, linededup, packing, quality, simhash, suffixes, toxicity, whitening
 from gridclim.llm.common import fold
 
 
@@ -128,9 +128,69 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return jaccard.near_duplicates(docs, percent=85, shingle=4).select("doc_id", "n_shingles", "component_id")
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM split WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(s) AS n FROM documents LEFT JOIN sets USING (doc_id) GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, sides.y FROM reach JOIN sides ON sides.x = reach.other)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM sizes JOIN reach USING (doc_id) GROUP BY doc_id, n
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "text"))
+
+
+OP13_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+runs AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase FROM starts, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(w)),
+counts AS MATERIALIZED (SELECT lang, phrase, count(*) AS f FROM runs GROUP BY ALL),
+often AS MATERIALIZED (SELECT lang, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE f >= 30),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE NOT contains(phrase, ' ') GROUP BY lang),
+parts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : len(w)], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM often)),
+cuts AS (
+  SELECT parts.*, x.a AS l, y.a AS r, 2000000::HUGEINT * parts.a // (x.a + y.a) AS score
+  FROM parts JOIN often x ON x.lang = parts.lang AND x.phrase = head JOIN often y ON y.lang = parts.lang AND y.phrase = rest),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i : i + p - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, len(w))) AS i FROM often), (SELECT unnest([2, 3]) AS p)
+  WHERE p < len(w) AND i + p - 1 <= len(w) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM scored LEFT JOIN inside USING (lang, phrase) JOIN sizes USING (lang)
+WHERE longer IS NULL OR 100 * longer < 80 * a QUALIFY rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_simhash, op3_bpe, op4_line_dedup, op5_quality, op6_toxicity, op7_chat_format, op8_media_chunks, op9_packing, op10_suffix_dedup)}
+    made = (op1_language_id, op2_simhash, op3_bpe, op4_line_dedup, op5_quality, op6_toxicity, op7_chat_format, op8_media_chunks, op9_packing, op10_suffix_dedup)
+    return {f.__name__: f for f in (*made, op11_jaccard_join, op12_whitening, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL, "op7_chat_format": OP7_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op7_chat_format": OP7_SQL, "op11_jaccard_join": OP11_SQL, "op13_collocations": OP13_SQL}
