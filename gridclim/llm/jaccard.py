@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridclim.llm.common import map_texts, stage
@@ -39,6 +40,8 @@ SMALL = 32
 #: An index entry of more sets than this is compared block by block; a block holds about so many tokens.
 PAIRED = 64
 BLOCK_TOKENS = 100_000
+#: Ids of at most so many sets (16 bytes each) are broadcast to find their texts.
+BROADCAST = 1_000_000
 #: Tokens that a comparison of blocks spreads out at once.
 WIDTH = 8192
 
@@ -133,12 +136,14 @@ def _alive(rows: DataFrame, percent: int) -> DataFrame:
 
 def _indexed(docs: DataFrame, alive: DataFrame, percent: int, shingle: int) -> DataFrame:
     """set_id, n, tokens (those in other sets too, sorted, as bytes) and sigs of the sets that are alive."""
-    of = alive.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash"))
+    of, _ = stage(alive.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash")), "jaccard-alive")
+    if of.count() <= BROADCAST:  # else the texts are shuffled
+        of = F.broadcast(of)
     chosen = docs.join(of, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left_semi").select("text")
     whole, _ = stage(_sets(chosen, percent, shingle, True).dropDuplicates(["set_id"]), "jaccard-sets")
     each = whole.select("set_id", F.col("n_shingles").alias("n"), F.explode("tokens").alias("token"))
-    df = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = each.join(df, "token").groupBy("set_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    held = each.withColumn("df", F.count(F.lit(1)).over(W.partitionBy("token"))).where("df > 1")
+    shared = held.groupBy("set_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

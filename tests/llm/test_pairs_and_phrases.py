@@ -54,7 +54,7 @@ def brute_components(rows, percent, shingle):
 @pytest.mark.parametrize(("seed", "percent", "shingle", "small"), [(1, 85, 4, False), (2, 85, 4, True), (3, 80, 5, True), (4, 60, 2, True), (5, 100, 3, True)])
 def test_jaccard_components(spark, monkeypatch, seed, percent, shingle, small):
     if small:  # pairs, triples and blocks on a small table
-        for name, value in {"FREQUENT": (3, 6), "PAIRED": 3, "BLOCK_TOKENS": 700, "WIDTH": 64}.items():
+        for name, value in {"FREQUENT": (3, 6), "PAIRED": 3, "BLOCK_TOKENS": 700, "WIDTH": 64, "BROADCAST": 0}.items():
             monkeypatch.setattr(jaccard, name, value)
     rows = copies(seed)
     docs = spark.createDataFrame([(i, t, "k", 7, 8, 9) for i, t in rows], DOCS).repartition(5)
