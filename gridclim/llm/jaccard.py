@@ -38,7 +38,7 @@ FREQUENT = (16, 1024)
 #: Sets of fewer tokens than this are indexed by single tokens only.
 SMALL = 32
 #: An index entry of more sets than this is compared block by block; a block holds about so many tokens.
-PAIRED = 64
+PAIRED = 8
 BLOCK_TOKENS = 100_000
 #: Ids of at most so many sets (16 bytes each) are broadcast to find their texts.
 BROADCAST = 1_000_000
@@ -157,9 +157,9 @@ def _indexed(docs: DataFrame, alive: DataFrame, percent: int, shingle: int) -> D
     return stage(shared.select("set_id", "n", "shared").mapInArrow(index, "set_id long, n long, tokens binary, sigs array<long>"), "jaccard-index")[0]
 
 
-def _fit(a: Column | str, b: Column | str, percent: int) -> Column:
-    """Whether sets of such sizes can link."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _fit(a: str, b: str, percent: int) -> Column:
+    """Whether sets can link that have n tokens each, `held` of which are in other sets: they share the lesser `held` at most."""
+    return (100 + percent) * F.least(f"{a}.held", f"{b}.held") >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,17 +239,18 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links of set ids that connect what all links connect."""
-    every = sets.select("set_id", "n", F.explode("sigs").alias("sig"))
-    entries = every.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("set_id", "n")).alias("first")).where("m > 1")
-    members, _ = stage(every.join(entries, "sig").select("sig", "m", "set_id", "n", F.col("first.set_id").alias("first"), F.col("first.n").alias("first_n")), "jaccard-members")
-    stars = members.where((F.col("set_id") != F.col("first")) & _fit("n", "first_n", percent)).select(F.col("first").alias("a"), F.col("set_id").alias("b")).distinct()
+    one = F.struct("set_id", "n", (F.length("tokens") / 8).cast("long").alias("held")).alias("x")
+    every = sets.select(one, "sigs").select("x", F.explode("sigs").alias("sig"))
+    entries = every.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("first")).where("m > 1")
+    members, _ = stage(every.join(entries, "sig"), "jaccard-members")
+    stars = members.where((F.col("x.set_id") != F.col("first.set_id")) & _fit("x", "first", percent)).select(F.col("first.set_id").alias("a"), F.col("x.set_id").alias("b")).distinct()
     linked, _ = stage(_verified(stars, sets, percent), "jaccard-stars")
     of_set = components(linked).withColumnRenamed("node", "set_id")
-    labelled = members.join(of_set, "set_id", "left").withColumn("comp", F.coalesce("root", "set_id"))
+    labelled = members.withColumn("set_id", F.col("x.set_id")).join(of_set, "set_id", "left").withColumn("comp", F.coalesce("root", "set_id"))
     mixed = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-    rest, _ = stage(labelled.join(mixed, "sig", "left_semi").select("sig", "m", "set_id", "n", "comp", "first"), "jaccard-rest")
-    few = rest.where((F.col("m") <= PAIRED) & (F.col("set_id") != F.col("first")))  # the first has been compared with all
-    pairs = few.alias("x").join(few.alias("y"), "sig").where("x.set_id < y.set_id and x.comp <> y.comp").where(_fit(F.col("x.n"), F.col("y.n"), percent))
+    rest, _ = stage(labelled.join(mixed, "sig", "left_semi").select("sig", "m", "set_id", "x", "comp", "first"), "jaccard-rest")
+    few = rest.where((F.col("m") <= PAIRED) & (F.col("set_id") != F.col("first.set_id"))).select("sig", "x", "comp")  # the first has been compared with all
+    pairs = few.join(few.toDF("sig", "y", "comp_y"), "sig").where(F.col("x.set_id") < F.col("y.set_id")).where((F.col("comp") != F.col("comp_y")) & _fit("x", "y", percent))
     found = _verified(pairs.select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct(), sets, percent)
     return linked.unionByName(found).unionByName(_blocks(rest.where(F.col("m") > PAIRED).select("sig", "set_id", "comp"), sets, percent))
 
