@@ -221,12 +221,14 @@ def _own_chunks(recipe: bytes, own: bytes, borrowed: set[bytes], book: bytes) ->
     return found
 
 
-def _rebuild(whole: bytes, recipe: bytes, own: bytes, borrowed: list, fetched: list, book: bytes) -> bytes:
+def _rebuild(doc_id: object, whole: bytes, recipe: bytes, own: bytes, borrowed: list, fetched: list, book: bytes) -> bytes:
     """The medium of a recipe, from own and fetched chunks; each chunk and the whole are verified."""
     chunks = _own_chunks(recipe, own, {bytes(x) for x in borrowed}, book)
     chunks |= {bytes(x["digest"]): unpack(bytes(x["chunk"]), book) for x in fetched or ()}
     parts = []
     for digest, length in _read_recipe(recipe):
+        if digest not in chunks:
+            raise ValueError(f"the store lacks chunk {digest.hex()} of document {doc_id}")
         chunk = chunks[digest]
         if len(chunk) != length or _digest(chunk) != digest:
             raise ValueError("a stored chunk is damaged")
@@ -268,18 +270,19 @@ def read(stored: DataFrame, book: bytes = b"") -> DataFrame:
     # rows that are there twice lend twice, and are made one again here: a step before the join would keep Spark from splitting hot chunks
     fetched = wanted.join(lent, "digest").groupBy("doc_id", "whole").agg(F.collect_set(F.struct("digest", "chunk")).alias("fetched"))
 
-    def describe(owns: list[bytes], wholes: list, recipes: list, borrowed: list, got: list) -> list:
+    def describe(owns: list[bytes], ids: list, wholes: list, recipes: list, borrowed: list, got: list) -> list:
         rows = []
-        for own, whole, recipe, away, extra in zip(owns, wholes, recipes, borrowed, got):
-            media = _rebuild(whole, recipe, own, away, extra, book)
+        for own, doc_id, whole, recipe, away, extra in zip(owns, ids, wholes, recipes, borrowed, got):
+            media = _rebuild(doc_id, whole, recipe, own, away, extra, book)
             samples = samples_of(media)
             rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-PAD:]), len(media), hashlib.sha256(media).hexdigest(), features(samples)))
         return list(zip(*rows))
 
     added = {"payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
     none = F.lit(None).cast("array<struct<digest: binary, chunk: binary>>").alias("fetched")
-    columns = ["doc_id", "n_bytes", "whole", "recipe", "own", "borrowed"]
-    inputs = ("whole", "recipe", "borrowed", "fetched")
+    columns = ["doc_id", F.col("doc_id").alias("_id"), "n_bytes", "whole", "recipe", "own", "borrowed"]
+    inputs = ("_id", "whole", "recipe", "borrowed", "fetched")
     alone = map_texts(stored.where(F.size("borrowed") == 0).select(*columns, none), describe, added, "own", inputs)
-    joined = map_texts(borrowers.select(*columns).join(fetched, ["doc_id", "whole"]), describe, added, "own", inputs)
+    # a medium whose lender is lost is an error, no row less
+    joined = map_texts(borrowers.select(*columns).join(fetched, ["doc_id", "whole"], "left"), describe, added, "own", inputs)
     return alone.unionByName(joined)

@@ -222,7 +222,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
     index = ToxicIndex(share=share)
     # at most 2 * per_class ids and labels: bounded, so they may be broadcast
     rows = spark.createDataFrame(chosen, "_id long, _toxic int")
-    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(rows), F.col("doc_id") == F.col("_id"))
+    # of texts that share an id the one of smallest hash is the example, so that examples are no more than ids
+    docs = docs.withColumns({"_text_null": F.col("text").isNull(), "_text_hash": F.xxhash64("text")})
+    sample = docs.where("not _text_null").select("doc_id", "text", "_text_hash").join(F.broadcast(rows), F.col("doc_id") == F.col("_id"))
+    sample = sample.groupBy("doc_id", "_toxic").agg(F.min_by("text", "_text_hash").alias("text"))
 
     def listed(batch: list[str]) -> tuple:
         words = [sorted({*terms_of(t)}) for t in batch]
@@ -233,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
     found = own.orderBy("term").toArrow()  # bounded by the examples, not by the documents
     index.vocabulary = {t: i for i, t in enumerate(found["term"].to_pylist())}
     size = len(index.vocabulary)
-    coded, _ = stage(code(docs.withColumn("_null", F.col("text").isNull()), index.vocabulary), "toxicity-terms")
+    coded, _ = stage(code(docs, index.vocabulary), "toxicity-terms")
 
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each term, in how many of the task's documents it occurs; at -1 the number of these."""
@@ -244,17 +247,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(held[at], seen))], ["term", "n"])
 
-    counted = coded.where("not _null").select("_terms").mapInArrow(occur, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counted = coded.where("not _text_null").select("_terms").mapInArrow(occur, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(size + 1)
     n[counted["term"].to_numpy()] = counted["n"].to_numpy()
     labelled = [y for _, y in chosen]
     if 0 not in labelled or 1 not in labelled:
-        return index, coded.drop("_null")
+        return index, coded.drop("_text_null", "_text_hash")
     index.weigh_terms(n, found["toxic"].to_numpy(), found["clean"].to_numpy())
     # a row per sampled document, with the terms of its text
-    got = coded.where("not _null").join(F.broadcast(rows), F.col("doc_id") == F.col("_id")).select("doc_id", "_toxic", "_terms", "_counts").collect()
+    chosen_rows = coded.where("not _text_null").join(F.broadcast(rows), F.col("doc_id") == F.col("_id"))
+    chosen_rows = chosen_rows.groupBy("doc_id", "_toxic").agg(F.min(F.struct("_text_hash", "_terms", "_counts")).alias("_row"))
+    got = chosen_rows.select("doc_id", "_toxic", "_row._terms", "_row._counts").collect()
     if not got:
-        return index, coded.drop("_null")
+        return index, coded.drop("_text_null", "_text_hash")
     # alike examples stand in the same blocks: by label, then by their heaviest term
     got.sort(key=lambda r: (r["_toxic"], r["doc_id"], bytes(r["_terms"]), bytes(r["_counts"])))
     of, term, weight = index.weighed(len(got), *_unpack([bytes(r["_terms"]) for r in got], [bytes(r["_counts"]) for r in got]))
@@ -275,7 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
     n1 = sum(labelled)
     balance = np.where(index.labels == 1, index.share / max(1, n1), (1 - index.share) / max(1, len(labelled) - n1)) * len(got)
     index.curve = _logistic(np.array(votes), index.labels, balance)
-    return index, coded.drop("_null")
+    return index, coded.drop("_text_null", "_text_hash")
 
 
 def score_coded(coded: DataFrame, index: ToxicIndex) -> DataFrame:

@@ -530,3 +530,24 @@ def test_language_model_needs_no_labels(spark):
     empty = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     model = langid.fit(empty)
     assert [(r.lang_pred, r.score) for r in langid.predict(empty, model).collect()] == [("und", 0.0)]
+
+
+def test_a_lost_lender_is_an_error(spark):
+    text = "A chunk that two documents share, word for word. " * 3000
+    stored = chunks.store(spark.createDataFrame([(1, text), (2, text), (3, "another")], "doc_id long, text string"))
+    assert {r.doc_id for r in chunks.read(stored).collect()} == {1, 2, 3}
+    lenders = [r.doc_id for r in stored.where(F.size("lent") > 0).collect()]
+    lost = stored.where(~F.col("doc_id").isin(lenders))
+    assert lost.count() == 2
+    with pytest.raises(Exception, match="the store lacks chunk .* of document"):
+        chunks.read(lost).collect()
+
+
+def test_examples_are_bounded_by_rows(spark):
+    rows = [(1, f"some nasty words {i}") for i in range(300)] + [(2, f"a calm text {i}") for i in range(300)] + [(3, "nasty"), (4, "calm")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, toxic int")
+    index, coded = toxicity.fit(docs, labels, per_class=1)
+    assert len(index.ids) == 2 and coded.count() == len(rows)
+    again, _ = toxicity.fit(docs.repartition(7), labels, per_class=1)
+    assert list(again.ids) == list(index.ids) and again.vocabulary == index.vocabulary
