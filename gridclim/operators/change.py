@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclim.functions.labels import round_output, safe_name
-from gridclim.operators.grid import PIXEL, bilinear
+from gridclim.operators.grid import PIXEL, bilinear, keys_of
+from gridclim.operators.guards import some_rows
 from gridclim.operators.temporal import CELL
 
 
+def _known(table: DataFrame, *keys: str) -> list[str]:
+    """The keys, with the domain where the table has one."""
+    return [*(c for c in ("domain",) if c in table.columns), *keys]
+
+
 def is_baseline(scenario: str = "historical", horizon: str = "baseline") -> Column:
     return (F.col("scenario") == scenario) & F.col("horizon").startswith(horizon)
 
@@ -22,35 +28,38 @@ def round_stats(stats: DataFrame, names: tuple[str, ...] = ("min", "mean", "max"
 def change_raster(stats: DataFrame, names: tuple[str, ...] = ("min", "mean", "max"), scenario: str = "historical", horizon: str = "baseline") -> DataFrame:
     """Stored statistics less the stored baseline of the same variable, feature and cell, rounded again; cells need
     both, and the baseline itself has no row."""
-    keys = ["variable", "feature_id", *CELL]
+    keys = _known(stats, "variable", "feature_id", *CELL)
     base_rows = (F.col("scenario") == scenario) & (F.col("horizon") == horizon)
     base = stats.where(base_rows).select(*keys, *(F.col(n).alias(f"_{n}") for n in names))
     done = stats.where(~base_rows).join(base, keys)
-    return done.select("variable", "scenario", "horizon", "feature_id", *CELL, *(round_output(F.col(n) - F.col(f"_{n}"), F.col("variable")).alias(f"change_{n}") for n in names))
+    return done.select(*_known(stats, "variable", "scenario", "horizon", "feature_id", *CELL), *(round_output(F.col(n) - F.col(f"_{n}"), F.col("variable")).alias(f"change_{n}") for n in names))
 
 
 def change_points(stats: DataFrame, names: tuple[str, ...] = ("min", "mean", "max"), scenario: str = "historical", horizon: str = "baseline") -> DataFrame:
-    """Every row with its baseline and change columns: zero on the baseline itself, null where there is none."""
-    keys = ["variable", "feature_id", *CELL]
+    """Every row with its baseline and change columns: zero on the baseline itself, null where there is none. No baseline at all is an
+    error."""
+    keys = _known(stats, "variable", "feature_id", *CELL)
     once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("more than one baseline row for a cell")).cast("double"))
     base = stats.where(is_baseline(scenario, horizon)).groupBy(*keys).agg(*(F.coalesce(once, F.first(n)).alias(f"baseline_{n}") for n in names))
     change = {
         f"change_{n}": F.when(is_baseline(scenario, horizon), F.lit(0.0)).otherwise(round_output(F.col(n) - F.col(f"baseline_{n}"), F.col("variable")))
         for n in names
     }
-    return stats.join(base, keys, "left").withColumns(change)
+    lacking = f"no baseline: no row of scenario {scenario} and a horizon that begins with {horizon}"
+    return some_rows(stats.join(base, keys, "left").withColumns(change), lacking, of=base)
 
 
 def complete_groups(rasters: DataFrame, include_mean: bool = True) -> DataFrame:
-    """Combinations of rasters(variable, scenario, horizon, source_feature, stat) that have all statistics wanted."""
+    """Combinations of rasters(variable, scenario, horizon, source_feature, stat) that have all statistics wanted; none is an error."""
     wanted = ["min", "max", *(["mean"] if include_mean else [])]
-    held = rasters.groupBy("variable", "scenario", "horizon", "source_feature").agg(F.array_sort(F.collect_set("stat")).alias("stats"))
-    return held.where(reduce(lambda a, b: a & b, (F.array_contains("stats", s) for s in wanted)))
+    held = rasters.groupBy(*keys_of(rasters)).agg(F.array_sort(F.collect_set("stat")).alias("stats"))
+    whole = held.where(reduce(lambda a, b: a & b, (F.array_contains("stats", s) for s in wanted)))
+    return some_rows(whole, f"no combination of variable, scenario, horizon and source has all of {', '.join(sorted(wanted))}")
 
 
 def feature_change(summary: DataFrame, names: tuple[str, ...] = ("min", "mean", "max"), scenario: str = "historical", horizon: str = "baseline") -> DataFrame:
     """Feature summaries with baseline and change; the baseline is one row for each feature, source and variable."""
-    keys = ["variable", "feature_id", "source_feature"]
+    keys = _known(summary, "variable", "feature_id", "source_feature")
     base_rows = (F.col("scenario") == scenario) & (F.col("horizon") == horizon)
     # of several rows one is taken whole, the first by its values, null before others
     first = F.min(F.struct(*names)).alias("_base")
@@ -65,7 +74,7 @@ def spi_change(pixels: DataFrame, scenario: str = "historical") -> DataFrame:
     The baseline is brought to the future's grid bilinearly, which leaves its values as they are where both grids agree. A future
     without a baseline is left out.
     """
-    keys = ("variable", "source_feature", "stat")
+    keys = tuple(_known(pixels, "variable", "source_feature", "stat"))
     future = pixels.where(F.col("scenario") != scenario)
     base = pixels.where(F.col("scenario") == scenario)
     moved = bilinear(base, future, keys).withColumnRenamed("value", "_base").drop("source_west", "source_north", "source_res")

@@ -3,9 +3,12 @@
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridclim.operators.guards import some_rows
 from gridclim.operators.temporal import CELL, MEMBER, SERIES, mean
+from gridclim.sources import store
 
 
 def _keys(df: DataFrame, *names: str) -> list[str]:
@@ -32,16 +35,30 @@ def duplicate_periods(series: DataFrame) -> DataFrame:
 
 
 def align_members(series: DataFrame) -> DataFrame:
-    """Only periods that all members of a series have, and only cells that all have."""
-    keys = _keys(series, *SERIES)
-    member = F.struct(*MEMBER)
-    total = series.groupBy(*keys).agg(F.count_distinct(member).alias("members"))
-
-    def shared(*of: str) -> DataFrame:
-        held = series.groupBy(*keys, *of).agg(F.count_distinct(member).alias("held"))
-        return held.join(total, keys).where(F.col("held") == F.col("members")).select(*keys, *of)
+    """Only periods that all members of a series have, and only cells that all have. Nothing shared is an error that tells what periods
+    the members have.
 
-    return series.join(shared("period"), [*keys, "period"], "left_semi").join(shared(*CELL), [*keys, *CELL], "left_semi")
+    The series is written once. A member is a bit, and one aggregate joins the bits of each period, of each cell and of the whole.
+    """
+    keys = _keys(series, *SERIES)
+    series = store.settle(series, "series")
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(*MEMBER)) - 1  # members of a series are few
+    wrong = F.raise_error(F.lit("a series has more than 63 members")).cast("bigint")
+    bit = F.when(F.col("_place") > 62, wrong).otherwise(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_place")))
+    members = series.select(*keys, *MEMBER).distinct().withColumn("_place", place).select(*keys, *MEMBER, bit.alias("_bit"))
+    marked = series.join(members, [*keys, *MEMBER]).select(*keys, "period", *CELL, "_bit")
+    of = [F.col(k) for k in keys]
+    sets = marked.groupingSets([[*of, F.col("period")], [*of, *map(F.col, CELL)], of], *of, "period", *CELL)
+    held = store.settle(sets.agg(F.bit_or("_bit").alias("_bits"), F.grouping("period").alias("_no_period"), F.grouping(CELL[0]).alias("_no_cell")), "member-bits")
+    every = held.where("_no_period = 1 and _no_cell = 1").select(*keys, F.col("_bits").alias("_all"))
+    whole = held.join(every, keys).where("_bits = _all")
+    ends = series.groupBy(*MEMBER).agg(F.min("period").alias("first"), F.max("period").alias("last"))
+    range_ = F.concat_ws(" ", F.concat_ws("_", *MEMBER), F.concat("first", F.lit(" to "), "last"))
+    ranges = ends.agg(F.array_join(F.array_sort(F.collect_list(range_)), ", ").alias("ranges"))
+    message = F.concat(F.lit("the members share no period and cell; they have "), F.coalesce(F.nullif("ranges", F.lit("")), F.lit("no rows")))
+    periods, cells = whole.where("_no_period = 0").select(*keys, "period"), whole.where("_no_cell = 0").select(*keys, *CELL)
+    aligned = series.join(periods, [*keys, "period"], "left_semi").join(cells, [*keys, *CELL], "left_semi")
+    return some_rows(some_rows(aligned, message, ranges, periods), message, ranges, cells)
 
 
 def stats_by_time(series: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridclim.functions import labels
+from gridclim.operators.guards import some_rows
 from gridclim.operators.interp import curves, interpolate, value_at
 from gridclim.plans.request import flood_window_valid
 from gridclim.sources import store
@@ -21,9 +22,30 @@ DECIMALS = {
 }
 
 
-def ifd_unpivot(wide: DataFrame, keys: list[str], duration: str = "duration", rank: str | None = None) -> DataFrame:
+#: Values that are looked at to find the column of durations, and how many of them must be durations.
+SNIFFED, LEAST_DURATIONS = 20, 2
+
+
+def duration_column(wide: DataFrame, keys: list[str], order: str | None = None) -> str:
+    """The first column, besides the keys, with two durations or more among its first 20 values that are not null. One aggregate looks at
+    all columns; `order` is the column that tells what comes first, else rows count as they are read."""
+    found = [c for c in wide.columns if c not in {*keys, order}]
+    pos = F.col(f"`{order}`") if order else F.monotonically_increasing_id()
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(found)))) if found else F.lit(None)
+    values = wide.select(pos.alias("_pos"), each.alias("_e")).select("_pos", "_e.i", "_e.v").where("v is not null")
+    first = values.withColumn("_n", F.row_number().over(W.partitionBy("i").orderBy("_pos", "v"))).where(F.col("_n") <= SNIFFED)
+    durations = first.groupBy("i").agg(F.count(labels.parse_duration_hours(F.col("v"))).alias("n")).where(F.col("n") >= LEAST_DURATIONS)
+    place = durations.agg(F.min("i").alias("i")).first()["i"]
+    if place is None:
+        raise ValueError(f"no column of durations among {found}")
+    return found[place]
+
+
+def ifd_unpivot(wide: DataFrame, keys: list[str], duration: str | None = None, rank: str | None = None) -> DataFrame:
     """A wide design table -> keys, duration_hours, event_rate_per_year, rainfall_depth_mm, probability_label. Columns whose
-    names are no probability go, and so do values that are no number or negative; of equal durations and rates the one of the lowest rank stays."""
+    names are no probability go, and so do values that are no number or negative; of equal durations and rates the one of the lowest rank
+    stays. The column of durations is found by its values if it is not named."""
+    duration = duration or duration_column(wide, keys, rank)
     held = [c for c in wide.columns if c not in {*keys, duration, rank}]
     spark = wide.sparkSession
     # the headers are parsed once, not in every row: as many as the table has columns
@@ -50,7 +72,11 @@ def ifd_combine(ifd: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def ifd_for_duration(ifd: DataFrame, hours: Column | float) -> DataFrame:
-    return ifd.where(F.abs(F.col("duration_hours") - hours) < 1e-6)
+    """Rows of a duration, to a millionth of an hour; where there are none, an error tells which durations there are."""
+    there = F.array_join(F.transform(F.array_sort(F.collect_set("duration_hours")), lambda h: h.cast("string")), ", ")
+    asked = "the duration" if isinstance(hours, Column) else f"a duration of {hours:g} hours"
+    message = F.concat(F.lit(f"{asked} is not in the design table, which has "), F.coalesce(F.nullif("there", F.lit("")), F.lit("none")))
+    return some_rows(ifd.where(F.abs(F.col("duration_hours") - hours) < 1e-6), message, ifd.agg(there.alias("there")))
 
 
 def depth_at_rate(points: DataFrame, ifd: DataFrame, keys: list[str], rate: str, name: str, strict: bool = True) -> DataFrame:
@@ -62,21 +88,27 @@ def depth_at_rate(points: DataFrame, ifd: DataFrame, keys: list[str], rate: str,
     return done
 
 
-def factor_at_year(points: DataFrame, factors: DataFrame, kind: str, year: str, name: str) -> DataFrame:
-    """factors(point_id, kind, scenario, year, value) at a year, linear between years, null outside."""
+def _within(rows: DataFrame, name: str, year: str, strict: bool) -> DataFrame:
+    """rows; with strict a year without a value is an error."""
+    wrong = F.raise_error(F.concat(F.lit("the year is outside the table of factors: "), F.col(year).cast("string"))).cast("double")
+    return rows.withColumn(name, F.when(F.col(name).isNull() & F.col(year).isNotNull(), wrong).otherwise(F.col(name))) if strict else rows
+
+
+def factor_at_year(points: DataFrame, factors: DataFrame, kind: str, year: str, name: str, strict: bool = False) -> DataFrame:
+    """factors(point_id, kind, scenario, year, value) at a year, linear between years; outside null, or an error if strict."""
     curve = factors.where(F.col("kind") == kind).select("point_id", "scenario", F.col("year").cast("double").alias("_x"), F.col("value").alias("_y"))
-    return interpolate(points, curve, ["point_id", "scenario"], year, "_x", "_y", name)
+    return _within(interpolate(points, curve, ["point_id", "scenario"], year, "_x", "_y", name), name, year, strict)
 
 
-def table_rainfall_factor(points: DataFrame, table: DataFrame, keys: list[str], year: str, hours: str, name: str) -> DataFrame:
+def table_rainfall_factor(points: DataFrame, table: DataFrame, keys: list[str], year: str, hours: str, name: str, strict: bool = False) -> DataFrame:
     """table(keys, duration_hours, year, value): along the years of each duration first, then along the durations,
-    whose ends hold beyond them."""
+    whose ends hold beyond them. Outside the years null, or an error if strict."""
     durations = table.select(*keys, "duration_hours").distinct()
     each = points.select(*keys, year).distinct().join(durations, keys)
     by_year = interpolate(each, table, [*keys, "duration_hours"], year, "year", "value", "_v")
     ends = durations.groupBy(*keys).agg(F.min("duration_hours").alias("_lo"), F.max("duration_hours").alias("_hi"))
     held = points.join(ends, keys, "left").withColumn("_h", F.greatest("_lo", F.least("_hi", hours)))
-    return interpolate(held, by_year, [*keys, year], "_h", "duration_hours", "_v", name).drop("_lo", "_hi", "_h")
+    return _within(interpolate(held, by_year, [*keys, year], "_h", "duration_hours", "_v", name), name, year, strict).drop("_lo", "_hi", "_h")
 
 
 def rainfall_alpha(hours: Column) -> Column:
@@ -174,14 +206,18 @@ def future_runoff_curve(regimes: DataFrame, ifd: DataFrame, steps: int = STEPS)
 
 def match_event_rate(events: DataFrame, curve: DataFrame, keys: list[str] = REGIME) -> DataFrame:
     """events with future_event_rate_per_year and match_status: on runoff where it reaches the threshold, else on shortfall,
-    both as straight lines between logarithms."""
+    both as straight lines between logarithms. A curve may lack the column of shortfalls, which is a status of its own."""
     on_runoff = F.col("current_runoff_mm") >= RUNOFF_MATCH_MM
 
     def side(measure: str, name: str) -> DataFrame:
         logs = curve.where((F.col("event_rate_per_year") > 0) & (F.col(measure) > 0))
         return curves(logs.withColumns({"_x": F.log10(measure), "_y": F.log10("event_rate_per_year")}), keys, "_x", "_y", name)
 
-    found = events.join(side("future_runoff_mm", "_r"), keys, "left").join(side("future_rainfall_shortfall_mm", "_s"), keys, "left").withColumns({
+    short = "future_rainfall_shortfall_mm"
+    told = short in curve.columns
+    held = events.join(side("future_runoff_mm", "_r"), keys, "left")
+    held = held.join(side(short, "_s"), keys, "left") if told else held.withColumn("_s", F.lit(None).cast("array<struct<x: double, y: double>>"))
+    found = held.withColumns({
         "_at_s": F.when(~on_runoff & (F.col("current_rainfall_shortfall_mm") > 0), F.log10("current_rainfall_shortfall_mm")),
     })
     found = found.withColumns({
@@ -194,6 +230,7 @@ def match_event_rate(events: DataFrame, curve: DataFrame, keys: list[str] = REGI
         .when(on_runoff & F.col("_log_r").isNull(), "current_runoff_outside_future_curve")
         .when(on_runoff, "matched_loglog_runoff")
         .when(F.col("_at_s").isNull(), "invalid_current_rainfall_shortfall")
+        .when(F.lit(not told), "missing_future_rainfall_shortfall")
         .when(few(F.col("_s")), "insufficient_positive_future_shortfall_curve")
         .when(F.col("_log_s").isNull(), "current_shortfall_outside_future_curve").otherwise("matched_loglog_shortfall")
     )
@@ -269,11 +306,12 @@ def flood_hazard(sites: DataFrame, ifd: DataFrame, factors: DataFrame, losses: D
     ifd = store.settle(ifd, "ifd")
     events = store.settle(current_events(sites, ifd, losses, durations, aris, steps), "events")
     regimes = store.settle(future_regimes(events, factors, windows, scenarios, steps), "regimes")
-    curve = future_runoff_curve(regimes, ifd, steps)
+    curve = store.settle(future_runoff_curve(regimes, ifd, steps), "curve")
     shared = [c for c in ("context", "current_initial_loss_mm", "current_continuing_loss_mm_per_hr") if c in regimes.columns]
     asked = events.join(regimes.drop(*shared), ["point_id", "duration_hr"])
     future = match_event_rate(asked, curve).withColumns(frequency_change())
-    return round_hazard(future.unionByName(historical_rows(events, windows), allowMissingColumns=True))
+    made = round_hazard(future.unionByName(historical_rows(events, windows), allowMissingColumns=True))
+    return some_rows(made, "no flood results: no site has a design table, losses and factors for the events asked for")
 
 
 def flood_comparison(hazard: DataFrame, padding: float = 0.05) -> DataFrame:

@@ -5,13 +5,17 @@ polygon holds a point is known at the corners of tiles from the polygon's crossi
 from there on by the edges of the point's tile.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridclim.operators.grid import tiles
+from gridclim.operators.grid import dealt, tiles
+from gridclim.operators.guards import unless
+from gridclim.sources.store import settle
 
-#: Side of the tiles by which shapes and edges are matched, in degrees.
+#: Side of the tiles by which shapes and edges are matched, in degrees, where nothing is known of the shapes.
 TILE = 0.25
 #: What floor() may be wrong by where an edge runs along a tile's border; such an edge stands in both tiles.
 SLACK = 1e-9
@@ -19,6 +23,12 @@ SLACK = 1e-9
 SEARCH = (64.0, 8.0, 1.0, 0.125)
 
 
+def tile_of(size: float | None) -> float:
+    """The side of tiles for shapes of such a size: the next power of two, which is exact, at twice the size. With larger tiles each
+    shape would meet the edges of many that lie far off; with smaller ones it would stand in many tiles."""
+    return 2.0 ** math.ceil(math.log2(2 * size)) if size else TILE
+
+
 def edges(features: DataFrame) -> DataFrame:
     """features(feature_id, rings array<array<struct<x, y>>>) -> feature_id, ax, ay, bx, by; open rings are closed."""
     rings = features.select("feature_id", F.explode("rings").alias("ring"))
@@ -97,8 +107,13 @@ def holding(points: DataFrame, features: DataFrame, keys: list[str], tile: float
     cross_x = ax + (low - ay) * (bx - ax) / F.nullif(by - ay, F.lit(0.0))
     along = ((ay > low) != (by > low)) & (cross_x > left) & (cross_x <= x)
     cross_y = ay + (x - ax) * (by - ay) / F.nullif(bx - ax, F.lit(0.0))
-    upwards = ((ax > x) != (bx > x)) & (cross_y > low) & (cross_y <= y)
-    near = placed.join(edge_tiles(edge, tile), ["tx", "ty"]).where(along != upwards)  # crossed on both legs: twice, or not at all
+    # whether the edge passes x above the tile's lower side is told from where it crosses that side, as for the corner: a place on the edge
+    # itself must be on one side of it for both legs
+    spans, rising = (ay > low) != (by > low), (by - ay) * (bx - ax) > 0
+    above = F.when(spans, F.when(rising, cross_x <= x).otherwise(cross_x > x)).otherwise(ay > low)
+    upwards = ((ax > x) != (bx > x)) & above & (cross_y <= y)
+    placed = dealt(placed, "tx", "ty")
+    near = placed.join(dealt(edge_tiles(edge, tile), "tx", "ty"), ["tx", "ty"]).where(along != upwards)  # crossed on both legs: twice, or not at all
     inner = placed.join(inner_corners(edge, tile), ["tx", "ty"])
     return near.select(*keys, "feature_id").unionByName(inner.select(*keys, "feature_id")).groupBy(*keys, "feature_id").agg(F.count(F.lit(1)).alias("_n")).where("_n % 2 = 1").drop("_n")
 
@@ -117,14 +132,17 @@ def touching(shapes: DataFrame, features: DataFrame, keys: list[str], tile: floa
     for k in range(4):
         j = (k + 1) % 4
         meets = meets | segments_meet(edge, (xs[k], ys[k], xs[j], ys[j]))
-    met = placed.join(edge_tiles(edges(features), tile), ["tx", "ty"]).where(meets).select(*keys, "feature_id")
+    met = dealt(placed, "tx", "ty").join(dealt(edge_tiles(edges(features), tile), "tx", "ty"), ["tx", "ty"]).where(meets).select(*keys, "feature_id")
     held = holding(shapes.select(*keys, xs[0].alias("x"), ys[0].alias("y")), features, keys, tile)
     return met.unionByName(held).distinct()
 
 
 def cells_intersecting(quads: DataFrame, features: DataFrame) -> DataFrame:
-    """Cells of the grid that each polygon meets or touches: domain, grid_row, grid_col, feature_id."""
-    return touching(quads, features, ["domain", "grid_row", "grid_col"])
+    """Cells of the grid that each polygon meets or touches: domain, grid_row, grid_col, feature_id. Tiles are made for the cells' size."""
+    quads = settle(quads, "quads")
+    xs = [F.col(f"x{k}") for k in range(4)]
+    size = quads.where(~F.isnan(sum(xs[1:], xs[0]))).agg(F.avg(F.greatest(*xs) - F.least(*xs)).alias("size")).first()["size"]
+    return touching(quads, features, ["domain", "grid_row", "grid_col"], tile_of(size))
 
 
 def inner_points(features: DataFrame) -> DataFrame:
@@ -179,10 +197,17 @@ def nearest_cell(grid: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def extract(obs: DataFrame, cell_feature: DataFrame) -> DataFrame:
-    """obs rows of each feature's cells, with how the cells were found and how many there are."""
-    counts = cell_feature.groupBy("feature_id").agg(F.count(F.lit(1)).alias("n_cells"))
-    chosen = cell_feature.join(counts, "feature_id").select("feature_id", "grid_row", "grid_col", "method", "n_cells")
-    return obs.drop("feature_id").join(chosen, ["grid_row", "grid_col"])
+    """obs rows of each feature's cells, with how the cells were found and how many there are in the domain. A row and a column are
+    nothing without their domain; a table that has none is of the one domain that the other has."""
+    domain = ["domain"] if "domain" in cell_feature.columns else []
+    counts = cell_feature.groupBy(*domain, "feature_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    chosen = cell_feature.join(counts, [*domain, "feature_id"])
+    shared = [c for c in domain if c in obs.columns]
+    found = obs.drop("feature_id").join(chosen.select(*shared, "feature_id", "grid_row", "grid_col", "method", "n_cells"), [*shared, "grid_row", "grid_col"])
+    if domain and not shared:  # obs are of one domain
+        ends = cell_feature.agg(F.min("domain").alias("first"), F.max("domain").alias("last"))
+        found = unless(found, ends, F.col("first") != F.col("last"), "cells of several domains meet observations without a domain")
+    return found
 
 
 def select_domain(features: DataFrame, footprints: DataFrame, key: str = "auto", fine: str = "seaus_4km", coarse: str = "aus_18") -> DataFrame:

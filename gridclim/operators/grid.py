@@ -4,12 +4,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-KEYS = ("variable", "scenario", "horizon", "source_feature")
+from gridclim.operators.guards import some_rows
+from gridclim.sources.store import settle
+
+KEYS = ("variable", "scenario", "horizon", "domain", "source_feature")
 #: What makes a raster's grid, and what makes a pixel: its place is nothing without the grid.
 GRID = ("west", "north", "res")
 PIXEL = ("px", "py", *GRID)
 
 
+def keys_of(pixels: DataFrame, *more: str) -> list[str]:
+    """The keys of rasters that the table has."""
+    return [k for k in (*KEYS, *more) if k in pixels.columns]
+
+
 def cell_corners(grid: DataFrame) -> DataFrame:
     """grid(domain, grid_row, grid_col, lon, lat), rows and columns from 0 and two of each at least -> domain, corner_row,
     corner_col, lon, lat: inner corners are means of four centres, outer ones go on in a straight line."""
@@ -49,9 +57,16 @@ def tiles(low: Column, high: Column, side: float) -> Column:
     return F.sequence(F.floor(low / side), F.floor(high / side))
 
 
+def dealt(rows: DataFrame, *columns: str) -> DataFrame:
+    """rows in as many partitions as shuffles have. For joins and explosions that make many rows of each: adaptive execution would merge
+    what is small before it grows, and leave the growth to one task."""
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(n, *columns)
+
+
 def candidate_window(grid: DataFrame, boxes: DataFrame, tile: float = TILE) -> DataFrame:
     """boxes(feature_id, west, south, east, north) -> domain, feature_id, first and last row and column of the cells within the
-    box and a margin of two cell spacings (0.05 at least), one more cell on each side. Cells stand in the tiles that their own margin
+    box and a margin of two cell spacings (0.05 at least), one more cell on each side; no cell at all is an error. Cells stand in the tiles that their own margin
     meets, boxes in all of theirs; only what shares a tile is compared."""
     across, down = W.partitionBy("domain", "grid_row").orderBy("grid_col"), W.partitionBy("domain", "grid_col").orderBy("grid_row")
     steps = grid.select("domain", F.abs(F.col("lon") - F.lag("lon").over(across)).alias("dx"), F.abs(F.col("lat") - F.lag("lat").over(down)).alias("dy"))
@@ -63,22 +78,32 @@ def candidate_window(grid: DataFrame, boxes: DataFrame, tile: float = TILE) -> D
     found = near.groupBy("domain", "feature_id").agg(*(f(c).alias(n) for f, c, n in ((F.min, "grid_row", "row0"), (F.max, "grid_row", "row1"), (F.min, "grid_col", "col0"), (F.max, "grid_col", "col1"))))
     ends = grid.groupBy("domain").agg(F.max("grid_row").alias("rows"), F.max("grid_col").alias("cols"))
     zero = F.lit(0)
-    return found.join(ends, "domain").select("domain", "feature_id", F.greatest(zero, F.col("row0") - 1).alias("row0"), F.least("rows", F.col("row1") + 1).alias("row1"), F.greatest(zero, F.col("col0") - 1).alias("col0"), F.least("cols", F.col("col1") + 1).alias("col1"))
+    done = found.join(ends, "domain").select("domain", "feature_id", F.greatest(zero, F.col("row0") - 1).alias("row0"), F.least("rows", F.col("row1") + 1).alias("row1"), F.greatest(zero, F.col("col0") - 1).alias("col0"), F.least("cols", F.col("col1") + 1).alias("col1"))
+    return some_rows(done, "no cell of the grid is near any of the boxes; does its domain hold the study area?")
+
+
+def _domain(table: DataFrame, *more: str) -> list[str]:
+    """The domain, where the table has one, and more columns."""
+    return [c for c in ("domain", *more) if c == "feature_id" or c in table.columns]
 
 
 def crop_window(cells: DataFrame) -> DataFrame:
-    """The rectangle of each feature's cells, every cell of it, and whether the cell itself was selected."""
-    box = cells.groupBy("feature_id").agg(F.min("grid_row").alias("r0"), F.max("grid_row").alias("r1"), F.min("grid_col").alias("c0"), F.max("grid_col").alias("c1"))
-    full = box.select("feature_id", F.explode(F.sequence("r0", "r1")).alias("grid_row"), "c0", "c1").select("feature_id", "grid_row", F.explode(F.sequence("c0", "c1")).alias("grid_col"))
-    chosen = cells.select("feature_id", "grid_row", "grid_col").distinct().withColumn("selected", F.lit(True))
-    return full.join(chosen, ["feature_id", "grid_row", "grid_col"], "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    """The rectangle of each feature's cells in each domain, every cell of it, and whether the cell itself was selected."""
+    keys = _domain(cells, "feature_id")
+    box = cells.groupBy(*keys).agg(F.min("grid_row").alias("r0"), F.max("grid_row").alias("r1"), F.min("grid_col").alias("c0"), F.max("grid_col").alias("c1"))
+    full = box.select(*keys, F.explode(F.sequence("r0", "r1")).alias("grid_row"), "c0", "c1").select(*keys, "grid_row", F.explode(F.sequence("c0", "c1")).alias("grid_col"))
+    chosen = cells.select(*keys, "grid_row", "grid_col").distinct().withColumn("selected", F.lit(True))
+    return full.join(chosen, [*keys, "grid_row", "grid_col"], "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
 
 
 def full_grid_guard(cells: DataFrame, grid: DataFrame) -> DataFrame:
-    """feature_id, cells, grid_cells and a status that tells features which wrongly take the whole grid."""
-    total = grid.agg(F.count(F.lit(1)).alias("grid_cells"))
-    held = cells.groupBy("feature_id").agg(F.count_distinct("grid_row", "grid_col").alias("cells"))
-    return held.crossJoin(total).withColumn("status", F.when(F.col("cells") >= F.col("grid_cells"), "processing_error").otherwise("ok"))  # one row
+    """feature_id, cells, grid_cells and a status that tells features which wrongly take the whole grid; by domain where both tables
+    have it."""
+    shared = _domain(cells) if "domain" in grid.columns else []
+    held = cells.groupBy(*shared, "feature_id").agg(F.count_distinct("grid_row", "grid_col").alias("cells"))
+    total = grid.groupBy(*shared).agg(F.count(F.lit(1)).alias("grid_cells"))
+    both = held.join(total, shared) if shared else held.crossJoin(total)  # one row
+    return both.withColumn("status", F.when(F.col("cells") >= F.col("grid_cells"), "processing_error").otherwise("ok"))  # one row
 
 
 def native_resolution(grid: DataFrame, fine_domain: str = "seaus_4km") -> DataFrame:
@@ -99,12 +124,15 @@ def regular_axis(axis: DataFrame) -> DataFrame:
 
 
 def rasterise(cells: DataFrame, quad: DataFrame, res: float, keys: tuple[str, ...] = ("variable",)) -> DataFrame:
-    """cells(keys, grid_row, grid_col, value) on curved quads -> keys, px, py, value, west, north, res: every pixel that a quad
-    touches takes the value of the last touching cell in row order. The extent snaps outwards to the resolution."""
+    """cells(keys, [domain,] grid_row, grid_col, value) on curved quads -> keys, px, py, value, west, north, res: every pixel that a quad
+    touches takes the value of the last touching cell in row order. The extent snaps outwards to the resolution. Where both tables have
+    a domain, it is one of the keys, and each domain is a raster of its own."""
     xs, ys = [F.col(f"x{k}") for k in range(4)], [F.col(f"y{k}") for k in range(4)]
-    held = cells.where("value is not null").join(quad.drop("domain"), ["grid_row", "grid_col"])
+    shared = _domain(cells) if "domain" in quad.columns else []
+    keys = tuple(dict.fromkeys((*keys, *shared)))
+    held = settle(cells.where("value is not null").join(quad if shared else quad.drop("domain"), [*shared, "grid_row", "grid_col"]), "cells")
     extent = held.groupBy(*keys).agg((F.floor(F.min(F.least(*xs)) / res) * res).alias("west"), (F.ceil(F.max(F.greatest(*ys)) / res) * res).alias("north"))
-    box = held.join(extent, list(keys)).withColumns({
+    box = dealt(held, *keys, "grid_row", "grid_col").join(extent, list(keys)).withColumns({
         "px": F.explode(F.sequence(F.floor((F.least(*xs) - F.col("west")) / res), F.floor((F.greatest(*xs) - F.col("west")) / res))),
     }).withColumn("py", F.explode(F.sequence(F.floor((F.col("north") - F.greatest(*ys)) / res), F.floor((F.col("north") - F.least(*ys)) / res))))
     left, top = F.col("west") + F.col("px") * res, F.col("north") - F.col("py") * res
@@ -136,12 +164,12 @@ def pixels_to_points(pixels: DataFrame) -> DataFrame:
 def stats_to_points(pixels: DataFrame, stats: tuple[str, ...] = ("min", "mean", "max")) -> DataFrame:
     """One row for each pixel where any statistic has a value, a column for each statistic."""
     each = [F.max(F.when(F.col("stat") == s, F.col("value"))).alias(s) for s in stats]
-    return pixels.groupBy(*KEYS, "px", "py").agg(*each).where(F.coalesce(*stats).isNotNull())
+    return pixels.groupBy(*keys_of(pixels), "px", "py").agg(*each).where(F.coalesce(*stats).isNotNull())
 
 
 def alignment(rasters: DataFrame) -> DataFrame:
     """Per group, whether all rasters have one origin, resolution and size."""
-    return rasters.groupBy(*KEYS).agg((F.count_distinct("west", "north", "res", "width", "height") == 1).alias("aligned"))
+    return rasters.groupBy(*keys_of(rasters)).agg((F.count_distinct("west", "north", "res", "width", "height") == 1).alias("aligned"))
 
 
 def value_range(pixels: DataFrame, change: bool = False) -> DataFrame:

@@ -5,9 +5,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridclim.functions import labels
+from gridclim.operators.guards import some_rows
 
-SERIES = ("variable", "scenario", "horizon", "feature_id")
+#: What a series is known by. Columns that a table lacks count as equal; the domain is one where a table has several.
+SERIES = ("variable", "scenario", "horizon", "domain", "feature_id")
 MEMBER = ("gcm", "rcm")
+#: What a cell is known by within its domain.
 CELL = ("grid_row", "grid_col")
 FREQUENCIES = ("Monthly", "Seasonal", "Annual")
 
@@ -88,7 +91,7 @@ def horizon_mean(obs: DataFrame, file: str | None = None) -> DataFrame:
 
 def period_metadata(obs: DataFrame) -> DataFrame:
     """First and last year that a series has, the middle year, and the label."""
-    years = obs.groupBy(*SERIES).agg(F.min("year").alias("start_year"), F.max("year").alias("end_year"))
+    years = obs.groupBy(*(c for c in SERIES if c in obs.columns)).agg(F.min("year").alias("start_year"), F.max("year").alias("end_year"))
     start, end = F.col("start_year"), F.col("end_year")
     return years.withColumns({
         "mid_year": labels.representative_year(start, end),
@@ -105,12 +108,13 @@ def exceedance_days(daily: DataFrame, threshold: Column | float) -> DataFrame:
 
 
 def derive_mean_temp(tmax: DataFrame, tmin: DataFrame, variable: str = "tasmeanAdjust") -> DataFrame:
-    """(max + min) / 2 where both have the time and the cell; members that only one has are left out."""
+    """(max + min) / 2 where both have the time and the cell; members that only one has are left out. Nothing shared is an error."""
     keys = [c for c in (*SERIES[1:], *MEMBER, *CELL, "time", "year", "month") if c in tmax.columns and c in tmin.columns]
     low = tmin.select(*keys, F.col("value").alias("low"))
-    return tmax.drop("variable").join(low, keys).withColumns({
+    made = tmax.drop("variable").join(low, keys).withColumns({
         "value": (F.col("value") + F.col("low")) / F.lit(2), "variable": F.lit(variable)
     }).drop("low")
+    return some_rows(made, "maximum and minimum temperatures share no time step")
 
 
 def empty_subsets(plan: DataFrame, obs: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridclim.functions.labels import round_output
-from gridclim.operators.geometry import holding, touching
-from gridclim.operators.grid import GRID, KEYS, PIXEL
+from gridclim.operators.geometry import holding, tile_of, touching
+from gridclim.operators.grid import GRID, PIXEL, keys_of
 from gridclim.operators.temporal import mean
 
 
@@ -17,11 +17,13 @@ def pixel_quads(pixels: DataFrame) -> DataFrame:
 
 
 def pixels_of(pixels: DataFrame, polygons: DataFrame, all_touched: bool = True) -> DataFrame:
-    """feature_id, px, py and the pixel's grid: pixels that a polygon touches, or whose centre it holds."""
+    """feature_id, px, py and the pixel's grid: pixels that a polygon touches, or whose centre it holds. Tiles follow the finest of the
+    rasters' resolutions, so that a pixel meets the edges near it alone, whatever the resolution is."""
     quads = pixel_quads(pixels)
+    tile = tile_of(pixels.agg(F.min("res").alias("res")).first()["res"])
     if all_touched:
-        return touching(quads, polygons, list(PIXEL))
-    return holding(quads.select(*PIXEL, ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y3")) / 2).alias("y")), polygons, list(PIXEL))
+        return touching(quads, polygons, list(PIXEL), tile)
+    return holding(quads.select(*PIXEL, ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y3")) / 2).alias("y")), polygons, list(PIXEL), tile)
 
 
 def _finite(pixels: DataFrame) -> DataFrame:
@@ -31,7 +33,7 @@ def _finite(pixels: DataFrame) -> DataFrame:
 def zonal_mean(pixels: DataFrame, polygons: DataFrame, all_touched: bool = True) -> DataFrame:
     """The unweighted mean of each polygon's pixels with a value, and their number; null and 0 where there are none. The rasters
     may lie on grids of their own."""
-    keys = [k for k in (*KEYS, "stat") if k in pixels.columns]
+    keys = keys_of(pixels, "stat")
     held = _finite(pixels).join(pixels_of(pixels, polygons, all_touched), list(PIXEL)).groupBy(*keys, "feature_id").agg(mean("value").alias("value"), F.count(F.lit(1)).alias("n_pixels"))
     every = pixels.select(*keys).distinct().crossJoin(polygons.select("feature_id"))  # groups x features: the result's own rows
     return every.join(held, [*keys, "feature_id"], "left").withColumn("n_pixels", F.coalesce("n_pixels", F.lit(0)))
@@ -53,17 +55,15 @@ def sample_point(pixels: DataFrame, points: DataFrame) -> DataFrame:
     """points(feature_id, lon, lat) with the pixel's value at each point in every raster, null outside or without a value.
 
     A raster is a group of keys and statistic; its pixels bring their grid along, so that rasters may lie on different grids."""
-    keys = [k for k in (*KEYS, "stat") if k in pixels.columns]
+    keys = keys_of(pixels, "stat")
     rasters = pixels.select(*keys, *GRID).distinct()
     placed = points.crossJoin(rasters).withColumns({  # rasters x points: the result's own rows
         "px": F.floor((F.col("lon") - F.col("west")) / F.col("res")).cast("int"), "py": F.floor((F.col("north") - F.col("lat")) / F.col("res")).cast("int"),
     })
-    values = pixels.select(*keys, *PIXEL, F.when(~F.isnan("value"), F.col("value")).alias("value"))
-    if not keys:
-        return placed.join(values, list(PIXEL), "left").drop(*PIXEL)
-    same = [placed[k].eqNullSafe(values[k]) for k in keys] + [placed[k] == values[k] for k in PIXEL]
-    joined = placed.join(values, same, "left")
-    return joined.select(*(placed[c] for c in points.columns), *(placed[k] for k in keys), values["value"])
+    own = {c: f"_at_{c}" for c in (*keys, *PIXEL)}  # names of their own, as both sides come from one table
+    values = pixels.select(*keys, *PIXEL, F.when(~F.isnan("value"), F.col("value")).alias("value")).withColumnsRenamed(own)
+    same = [F.col(k).eqNullSafe(F.col(own[k])) for k in keys] + [F.col(k) == F.col(own[k]) for k in PIXEL]
+    return placed.join(values, same, "left").select(*points.columns, *keys, "value")
 
 
 def feature_summary(values: DataFrame, variable: str = "variable") -> DataFrame:
@@ -71,5 +71,5 @@ def feature_summary(values: DataFrame, variable: str = "variable") -> DataFrame:
     number of pixels, or for points 1 if any value was found."""
     pick = lambda s: F.max(F.when(F.col("stat") == s, F.col("value")))
     count = F.max("n_pixels") if "n_pixels" in values.columns else F.max(F.col("value").isNotNull().cast("int"))
-    made = values.groupBy(*KEYS, "feature_id").agg(*(pick(s).alias(s) for s in ("min", "mean", "max")), F.coalesce(count, F.lit(0)).cast("long").alias("n_pixels"))
+    made = values.groupBy(*keys_of(values), "feature_id").agg(*(pick(s).alias(s) for s in ("min", "mean", "max")), F.coalesce(count, F.lit(0)).cast("long").alias("n_pixels"))
     return made.withColumns({s: round_output(F.col(s), F.col(variable)) for s in ("min", "mean", "max")})

@@ -158,6 +158,35 @@ def e6_horizon_stats(spark, sf):
     return _stats(spark, sf).withColumns({"mean": F.round("mean", 6), "members": F.array_join("members", "|")})
 
 
+@query(f"""WITH {OBS}, both_domains AS (SELECT *, 'aus_18' AS domain FROM obs UNION ALL SELECT * REPLACE (value + 1000 AS value), 'seaus_4km' FROM obs),
+  means AS (SELECT domain, {KEYS}, gcm, rcm, grid_row, grid_col, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS value FROM both_domains GROUP BY ALL)
+  SELECT domain, {KEYS}, grid_row, grid_col, min(value) AS min, round(avg(value), 6) AS mean, max(value) AS max, count(*) AS member_count FROM means GROUP BY ALL""")
+def e6_horizon_stats_two_domains(spark, sf):
+    domain = F.explode(F.array(F.struct(F.lit("aus_18").alias("domain"), F.lit(0).alias("more")), F.struct(F.lit("seaus_4km").alias("domain"), F.lit(1000).alias("more")))).alias("_d")
+    both = proxy.obs(spark, sf).select("*", domain).withColumns({"domain": F.col("_d.domain"), "value": (F.col("value") + F.col("_d.more")).cast("decimal(18,2)")}).drop("_d")
+    done = ensemble.horizon_stats(temporal.horizon_mean(both), exact=False)
+    return done.withColumn("mean", F.round("mean", 6)).drop("members")
+
+
+@query(f"""WITH {OBS}, filed AS (SELECT *, year(time) AS file FROM obs), members AS (SELECT {KEYS}, gcm, rcm, file, grid_row, grid_col FROM filed GROUP BY ALL),
+  files AS (SELECT {KEYS}, gcm, rcm, count(DISTINCT file) AS files FROM members GROUP BY ALL),
+  shared AS (SELECT {KEYS}, gcm, rcm, grid_row, grid_col FROM members JOIN files USING ({KEYS}, gcm, rcm) GROUP BY {KEYS}, gcm, rcm, grid_row, grid_col, files HAVING count(DISTINCT file) = files),
+  total AS (SELECT {KEYS}, count(DISTINCT (gcm, rcm)) AS members FROM filed GROUP BY ALL),
+  every AS (SELECT {KEYS}, grid_row, grid_col FROM shared JOIN total USING ({KEYS}) GROUP BY {KEYS}, grid_row, grid_col, members HAVING count(*) = members),
+  kept AS (SELECT filed.* FROM filed SEMI JOIN every USING ({KEYS}, grid_row, grid_col)), {MEANS.replace("FROM obs", "FROM kept")}
+  SELECT {KEYS}, grid_row, grid_col, min(value) AS min, round(avg(value), 6) AS mean, max(value) AS max, count(*) AS member_count FROM means GROUP BY ALL""")
+def e6_horizon_stats_exact(spark, sf):
+    """Both checks are on: a member's files, one for each year, share their cells, and so do the members. Cells that some file lacks
+    are taken out first, so that the checks pass."""
+    filed = proxy.obs(spark, sf).withColumn("file", F.year("time"))
+    series = ["variable", "scenario", "horizon", "feature_id"]
+    every = filed.groupBy(*series).agg(F.count_distinct("gcm", "rcm", "file").alias("files"))
+    held = filed.groupBy(*series, "grid_row", "grid_col").agg(F.count_distinct("gcm", "rcm", "file").alias("held"))
+    kept = filed.join(held.join(every, series).where("held = files").select(*series, "grid_row", "grid_col"), [*series, "grid_row", "grid_col"], "left_semi")
+    done = ensemble.horizon_stats(temporal.horizon_mean(kept, file="file"), exact=True)
+    return done.withColumn("mean", F.round("mean", 6)).drop("members")
+
+
 @query(f"""WITH {OBS}, {MEANS}, {HORIZON}, {STORED} SELECT f.variable, f.scenario, f.horizon, f.feature_id, f.grid_row, f.grid_col,
   {", ".join(f"round_even(f.{n} - b.{n}, 1) AS change_{n}" for n in STATS)} FROM stored f JOIN stored b USING (variable, feature_id, grid_row, grid_col)
   WHERE b.scenario = 'historical' AND b.horizon = 'baseline' AND NOT (f.scenario = 'historical' AND f.horizon = 'baseline')""")

@@ -149,11 +149,12 @@ def discover_scenarios(obs: DataFrame, variables: list[str] | None = None) -> Da
 
 def discover_windows(obs: DataFrame, variables: list[str] | None = None) -> DataFrame:
     """Each horizon with its first and last year; years that differ between its scenarios or variables raise an error. Where obs has
-    requested_start_year and requested_end_year, these count, else the years that there are."""
+    requested_start_year and requested_end_year, these count, else the years that there are. obs may be a store's catalogue of units."""
+    first, last = ("first_year", "last_year") if "first_year" in obs.columns else ("year", "year")
     held = _of_variables(obs, variables)
     asked = [F.max(c).cast("int") if c in obs.columns else F.lit(None).cast("int") for c in ("requested_start_year", "requested_end_year")]
     by = ["horizon", "scenario", *(["variable"] if "variable" in obs.columns else [])]
-    each = held.groupBy(*by).agg(F.coalesce(asked[0], F.min("year")).alias("start_year"), F.coalesce(asked[1], F.max("year")).alias("end_year"))
+    each = held.groupBy(*by).agg(F.coalesce(asked[0], F.min(first)).alias("start_year"), F.coalesce(asked[1], F.max(last)).alias("end_year"))
     found = each.groupBy("horizon").agg(F.min("start_year").alias("start_year"), F.max("end_year").alias("end_year"), F.count_distinct("start_year", "end_year").alias("_n"))
     checked = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("conflicting years of "), "horizon")).cast("int")).otherwise(F.col("start_year"))
     return found.withColumn("start_year", checked).drop("_n")

@@ -233,6 +233,50 @@ def s13_idempotent_write(spark, sf):
     return found.groupBy("scenario", "gcm", "rcm").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("total"))
 
 
+@query(f"""WITH {OBS} SELECT scenario, nullif(CASE WHEN source % 5 = 0 THEN '' ELSE gcm END, '') AS gcm, rcm, count(*) AS n, sum(value)::DOUBLE AS total FROM obs GROUP BY ALL""")
+def s13_broken_run(spark, sf):
+    """A run that was killed between its files leaves half of each unit; the next one replaces them, and a third one changes nothing. Some
+    units have an empty key."""
+    path = store.scratch(spark, "store")
+    rows = proxy.obs(spark, sf).withColumn("gcm", F.when(F.col("source") % 5 == 0, "").otherwise(F.col("gcm")))
+    store.write_obs(rows.where("scenario = 'historical' and rcm = 'F'"), path)
+    layout = [k for k in store.LAYOUT if k in rows.columns]
+    half = rows.where("source % 2 = 0 and not (scenario = 'historical' and rcm = 'F')").withColumn("value", F.lit(-1).cast("decimal(18,2)"))
+    half.write.mode("append").partitionBy(*layout).parquet(path)
+    store.write_obs(rows, path)
+    store.write_obs(rows.withColumn("value", F.lit(0).cast("decimal(18,2)")), path)
+    found = store.scan_obs(spark, path)
+    return found.groupBy("scenario", "gcm", "rcm").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("total"))
+
+
+@query(f"""WITH {OBS} SELECT variable, scenario, horizon, gcm, rcm, count(*) AS n_rows, min(year) AS first_year, max(year) AS last_year FROM obs GROUP BY ALL""")
+def s13_units(spark, sf):
+    """The catalogue after the scenarios were written one after the other."""
+    path = store.scratch(spark, "store")
+    rows = proxy.obs(spark, sf)
+    for scenario in ("historical", "ssp245"):
+        store.write_obs(rows.where(F.col("scenario") == scenario), path)
+    return store.units(spark, path).select("variable", "scenario", "horizon", "gcm", "rcm", "n_rows", "first_year", "last_year")
+
+
+@query(f"WITH {OBS} SELECT horizon, min(year) AS start_year, max(year) AS end_year FROM obs GROUP BY horizon")
+def s5_windows_of_units(spark, sf):
+    """Windows from the catalogue alone."""
+    path = store.scratch(spark, "store")
+    store.write_obs(proxy.obs(spark, sf), path)
+    return request.discover_windows(store.units(spark, path))
+
+
+@query(f"""WITH {OBS}, named AS (SELECT * REPLACE (CASE source % 4 WHEN 0 THEN '007' WHEN 1 THEN '7' WHEN 2 THEN '7.0' ELSE '2050-01-01' END AS feature_id) FROM obs)
+  SELECT feature_id, scenario, count(*) AS n, sum(value)::DOUBLE AS total FROM named GROUP BY ALL""")
+def s1_keys_keep_their_meaning(spark, sf):
+    """Features whose ids look like numbers and dates stay apart in a store."""
+    path = store.scratch(spark, "store")
+    k = F.col("source") % 4
+    store.write_obs(proxy.obs(spark, sf).withColumn("feature_id", F.when(k == 0, "007").when(k == 1, "7").when(k == 2, "7.0").otherwise("2050-01-01")), path)
+    return store.scan_obs(spark, path).groupBy("feature_id", "scenario").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("total"))
+
+
 RASTERS = """rasters AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'TXge35_Mean_ssp245_2040_20' || (50 + p_size % 40)
   WHEN 1 THEN 'R20mm_min_historical_1985_2014_ID' || p_size WHEN 2 THEN 'FFDI_ssp370_long_term_ID' || p_size || '_ensemble_max' ELSE 'TXge35_Change_Min_ssp245_2040_2059' END AS name FROM part)"""
 

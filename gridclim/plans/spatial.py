@@ -175,6 +175,28 @@ def g5_extract(spark, sf):
     return found.groupBy("feature_id", "grid_row", "grid_col", "method", "n_cells").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").cast("double").alias("total"))
 
 
+def _two_domains(spark, sf):
+    """Observations of two domains in one store: the second has values of its own on the same rows and columns."""
+    domain = F.explode(F.array(F.struct(F.lit("aus_18").alias("domain"), F.lit(0).alias("more")), F.struct(F.lit("seaus_4km").alias("domain"), F.lit(1000).alias("more")))).alias("_d")
+    made = proxy.obs(spark, sf).select("*", domain).withColumns({"domain": F.col("_d.domain"), "value": (F.col("value") + F.col("_d.more")).cast("decimal(18,2)")})
+    return made.drop("_d")
+
+
+def _two_grids(spark, sf):
+    """The grid of nations, and in the second domain the same turned by a half, so that rows and columns name other places."""
+    own = cells(spark, sf)
+    return own.unionByName(own.withColumns({"domain": F.when(F.col("domain").isNotNull(), "seaus_4km"), "grid_row": 4 - F.col("grid_row"), "grid_col": (4 - F.col("grid_col")).cast("int")}))
+
+
+@query(f"""WITH {OBS}, {NEAREST}, found AS (SELECT 'aus_18' AS domain, feature_id, grid_row, grid_col, 0 AS more FROM nearest UNION ALL SELECT 'seaus_4km', feature_id, 4 - grid_row, 4 - grid_col, 1000 FROM nearest)
+  SELECT domain, f.feature_id, f.grid_row, f.grid_col, count(*) AS n_rows, sum(CAST(value + more AS DECIMAL(18,2)))::DOUBLE AS total, 1::BIGINT AS n_cells
+  FROM obs JOIN found f ON obs.grid_row = f.grid_row AND obs.grid_col = f.grid_col GROUP BY ALL""")
+def g5_extract_two_domains(spark, sf):
+    chosen = geometry.nearest_cell(_two_grids(spark, sf), points(spark, sf)).withColumn("method", F.lit("nearest"))
+    found = geometry.extract(_two_domains(spark, sf), chosen)
+    return found.groupBy("domain", "feature_id", "grid_row", "grid_col", "n_cells").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").cast("double").alias("total"))
+
+
 PICKED = "picked AS (SELECT DISTINCT 'F' || (s_suppkey % 7) AS feature_id, CAST(s_nationkey // 5 AS INT) AS grid_row, CAST(s_nationkey % 5 AS INT) AS grid_col FROM supplier)"
 
 

@@ -1,26 +1,28 @@
 """The partitioned store of observations, feature tables, sites, and the sinks."""
 
 import atexit
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from gridclim.functions.labels import safe_name
+from gridclim.operators.guards import some_rows
 
-#: Partition columns of the store, outermost first.
-LAYOUT = ("variable", "scenario", "horizon", "gcm", "rcm", "feature_id")
+#: Partition columns of the store, outermost first; a store of one domain may do without it.
+LAYOUT = ("domain", "variable", "scenario", "horizon", "gcm", "rcm", "feature_id")
 
 
-def select_obs(obs: DataFrame, variables=None, scenarios=None, gcms=None, rcms=None, feature_ids=None, rcm_prefix: str = "") -> DataFrame:
+def select_obs(obs: DataFrame, variables=None, scenarios=None, gcms=None, rcms=None, feature_ids=None, rcm_prefix: str = "", domains=None) -> DataFrame:
     """Rows of the wanted keys (None: all). rcm_prefix is what the long names of regional models begin with: long and short
     names are equal, and the result has the short ones. The filters are plain comparisons of partition columns, so that
     Spark reads only the matching partitions."""
     short = lambda names: [x.removeprefix(rcm_prefix) for x in names]
-    for column, wanted in (("variable", variables), ("scenario", scenarios), ("gcm", gcms), ("feature_id", feature_ids)):
+    for column, wanted in (("domain", domains), ("variable", variables), ("scenario", scenarios), ("gcm", gcms), ("feature_id", feature_ids)):
         if wanted is not None:
             obs = obs.where(F.col(column).isin(*wanted))
     if rcms is not None:
@@ -29,9 +31,23 @@ def select_obs(obs: DataFrame, variables=None, scenarios=None, gcms=None, rcms=N
     return obs.withColumn("rcm", F.when(F.startswith("rcm", F.lit(rcm_prefix)), cut).otherwise(F.col("rcm")))
 
 
-def scan_obs(spark: SparkSession, root: str, **wanted) -> DataFrame:
-    """The store below root, for the wanted keys."""
-    return select_obs(spark.read.parquet(root), **wanted)
+def scan_obs(spark: SparkSession, root: str, schema: StructType | None = None, complete_only: bool = True, **wanted) -> DataFrame:
+    """The store below root, for the wanted keys, without what a broken run left. Partition keys have the type of the schema, which is
+    the catalogue's if not given, else they are strings: "007", "7" and "7.0" are three features."""
+    listed = units(spark, root)
+    if schema is None and listed is not None:
+        found = listed.select("schema").first()
+        schema = StructType.fromJson(json.loads(found["schema"])) if found else None
+    if schema is None:
+        plain = spark.read.parquet(root).schema
+        schema = StructType([StructField(f.name, StringType() if f.name in LAYOUT else f.dataType) for f in plain])
+    obs = select_obs(spark.read.schema(schema).parquet(root), **wanted)
+    if listed is None or not complete_only:
+        return obs
+    keys = [k for k in LAYOUT if k in listed.columns]
+    if "rcm_prefix" in wanted:  # names are short by now
+        keys.remove("rcm")
+    return obs.join(*_same_units(obs, listed, keys), "left_semi")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -39,42 +55,101 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def written_units(spark: SparkSession, schema: StructType, root: str, keys: Sequence[str], form: str = "parquet") -> DataFrame | None:
-    """The combinations of the partition columns `keys` that root holds; None where there is no root yet."""
-    if not _exists(spark, root):
+def _same_units(rows: DataFrame, listed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """Units under names of their own, and the condition that a row is of one; keys are compared as text, nulls are equal."""
+    other = listed.select(*(F.col(k).alias(f"_unit_{k}") for k in keys)).distinct()
+    return other, [rows[k].cast("string").eqNullSafe(other[f"_unit_{k}"]) for k in keys]
+
+
+def units(spark: SparkSession, root: str) -> DataFrame | None:
+    """The catalogue of a store: its complete units, with keys as text, n_rows, first_year, last_year (null without years) and the
+    schema they were written with. It stands beside the store and is the last that a run writes, so listing units or years reads no
+    observation. None where there is no catalogue."""
+    path = f"{root.rstrip('/')}.units"
+    if not _exists(spark, path):
         return None
-    return spark.read.schema(schema).format(form).load(root).select(*keys).distinct()
+    every = spark.read.parquet(path)
+    keys = [c for c in every.columns if c not in UNIT_COLUMNS]
+    last = F.max_by(F.struct("n_rows", "first_year", "last_year", "schema"), "written").alias("u")
+    return every.groupBy(*keys).agg(last).select(*keys, "u.*")
+
+
+#: Columns of the catalogue besides the keys.
+UNIT_COLUMNS = ("n_rows", "first_year", "last_year", "schema", "written")
+
+
+def _count_units(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    years = [f("year").cast("int") if "year" in rows.columns else F.lit(None).cast("int") for f in (F.min, F.max)]
+    return rows.groupBy(*(F.col(k).cast("string").alias(k) for k in keys)).agg(F.count(F.lit(1)).alias("n_rows"), years[0].alias("first_year"), years[1].alias("last_year"))
+
+
+def _enter(counted: DataFrame, root: str, schema: StructType) -> None:
+    entry = counted.withColumns({"schema": F.lit(schema.json()), "written": F.current_timestamp()})
+    entry.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}.units")
+
+
+def damaged_units(spark: SparkSession, root: str, schema: StructType, form: str = "parquet", options: dict | None = None) -> DataFrame:
+    """Units of the catalogue whose rows are not as many as it says: keys, n_rows, found. Of Parquet only footers are read."""
+    listed = units(spark, root)
+    keys = [c for c in listed.columns if c not in UNIT_COLUMNS]
+    there = spark.read.schema(schema).format(form).options(**(options or {})).load(root)
+    found = there.groupBy(*(F.col(k).cast("string").alias(f"_unit_{k}") for k in keys)).agg(F.count(F.lit(1)).alias("found"))
+    held = listed.join(found, [listed[k].eqNullSafe(found[f"_unit_{k}"]) for k in keys], "left")
+    return held.select(*keys, "n_rows", F.coalesce("found", F.lit(0)).alias("found")).where("n_rows <> found")
+
+
+def written_units(spark: SparkSession, schema: StructType, root: str, keys: Sequence[str], form: str = "parquet", options: dict | None = None) -> DataFrame | None:
+    """The complete units that root holds; None where there is no root yet. A store from before there was a catalogue is read once, and
+    all it holds counts as complete."""
+    listed = units(spark, root)
+    if listed is None and _exists(spark, root):
+        there = spark.read.schema(schema).format(form).options(**(options or {})).load(root)
+        _enter(_count_units(there, keys), root, schema)
+        listed = units(spark, root)
+    return None if listed is None else listed.select(*keys)
 
 
 def write_units(
     rows: DataFrame, root: str, keys: Sequence[str], overwrite: bool = False, form: str = "parquet", options: dict | None = None, deal: Sequence[str] = ()
 ) -> None:
-    """Write rows, dealt out by the columns `deal`, below root, a folder for each combination of `keys`, which is the unit of output: a unit that is there
-    already stays as it is, units that are new are added; with overwrite the units of rows are replaced, one by one, and
-    others stay. A run that broke off is resumed by running it again, as a folder appears only when its job commits."""
-    writer = lambda df: (df.repartition(*deal) if deal else df).write.format(form).partitionBy(*keys).options(**(options or {}))
-    if overwrite:
-        writer(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
-        return
-    there = written_units(rows.sparkSession, rows.schema, root, keys, form)
-    if there is not None:
-        there = there.toDF(*(f"_there_{k}" for k in keys))
-        same = [rows[k].eqNullSafe(there[f"_there_{k}"]) for k in keys]
-        rows = rows.join(there, same, "left_anti")
-    writer(rows).mode("append").save(root)
+    """Write rows, dealt out by the columns `deal`, below root, a folder for each combination of `keys`, which is the unit of output: a unit
+    that is complete stays as it is, units that are new are added; with overwrite the units of rows are replaced, one by one, and others stay.
+
+    Empty strings and nulls are one key. A unit is complete when the catalogue has it, which is written last: what a run left that broke
+    off is not in it, and the next run that has the unit replaces it. One run at a time may write to a root.
+    """
+    spark, schema = rows.sparkSession, rows.schema
+    rows = rows.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in keys if isinstance(schema[k].dataType, StringType)})
+    there = written_units(spark, schema, root, keys, form, options)
+    if there is None:
+        _enter(_count_units(spark.createDataFrame([], schema), keys), root, schema)  # from now on folders without an entry are no units
+    elif not overwrite:
+        rows = rows.join(*_same_units(rows, there, keys), "left_anti")
+    seen = Observation()
+    watched = rows.observe(seen, F.collect_set(F.struct(*(F.col(k).cast("string").alias(k) for k in keys))).alias("units"))
+    dealt = watched.repartition(*deal) if deal else watched
+    dealt.write.format(form).partitionBy(*keys).options(**(options or {})).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
+    made = seen.get["units"] if seen._jo.getRow().length() else []  # of no rows at all nothing is observed
+    if made:
+        listed = spark.createDataFrame([tuple(u) for u in made], StructType([StructField(k, StringType()) for k in keys]))
+        written = spark.read.schema(schema).format(form).options(**(options or {})).load(root)
+        for k in keys:  # so that only folders of these units are read
+            values = {u[k] for u in made}
+            written = written.where(F.col(k).cast("string").isin(*(v for v in values if v is not None)) | (F.col(k).isNull() if None in values else F.lit(False)))
+        _enter(_count_units(written.join(*_same_units(written, listed, keys), "left_semi"), keys), root, schema)
 
 
 def write_obs(obs: DataFrame, root: str, overwrite: bool = False) -> None:
-    """Write the store; existing partitions stay as they are and new ones are added, or are replaced one by one with overwrite."""
-    write_units(obs, root, LAYOUT, overwrite, deal=(*LAYOUT, "year"))
+    """Write the store; existing units stay as they are and new ones are added, or are replaced one by one with overwrite."""
+    layout = [k for k in LAYOUT if k in obs.columns]
+    write_units(obs, root, layout, overwrite, deal=(*layout, "year"))
 
 
 def scan_features(features: DataFrame, id_field: str | None = None) -> DataFrame:
-    """features(pos, rings, ...) with a geometry, and feature_id: the field, or ID and the position where it is blank."""
+    """features(pos, rings, ...) with a geometry, and feature_id: the field, or ID and the position where it is blank. None is an error."""
     own = F.nullif(F.trim(F.col(id_field).cast("string")), F.lit("")) if id_field else F.lit(None).cast("string")
-    return features.where(F.col("rings").isNotNull() & (F.size("rings") > 0)).withColumn(
-        "feature_id", safe_name(F.coalesce(own, F.concat(F.lit("ID"), F.col("pos").cast("string"))))
-    )
+    shaped = some_rows(features.where(F.col("rings").isNotNull() & (F.size("rings") > 0)), "no feature has a geometry")
+    return shaped.withColumn("feature_id", safe_name(F.coalesce(own, F.concat(F.lit("ID"), F.col("pos").cast("string")))))
 
 
 def summary_features(features: DataFrame, pos: str, id_field: str | None = None) -> DataFrame:

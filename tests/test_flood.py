@@ -121,3 +121,35 @@ def test_hazard_rows_follow_from_each_other(spark):
     assert (future[future.context == "urban"].initial_loss_factor == 1).all()
     hit = future[future.match_status.str.startswith("matched")]
     assert len(hit) and (abs(hit.frequency_ratio - hit.future_event_rate_per_year / hit.current_event_rate_per_year) < 2e-3 + 1e-4 * hit.frequency_ratio).all()
+
+
+def test_the_column_of_durations_is_found(spark):
+    rows = [(i, f"site {i}", "x" if i < 3 else f"{i} hr", f"{i + 1} hr", str(10.0 - i)) for i in range(6)]
+    wide = spark.createDataFrame(rows, "pos int, name string, note string, `Storm length` string, `1 EY` string")
+    assert flood.duration_column(wide.drop("note"), ["pos"]) == "Storm length"
+    assert flood.duration_column(wide, [], "pos") == "note"  # the first column with two durations
+    plain = flood.ifd_unpivot(wide.drop("note", "name"), ["pos"]).collect()
+    moved = flood.ifd_unpivot(wide.select("pos", "1 EY", "Storm length"), ["pos"]).collect()
+    assert sorted(plain) == sorted(moved) and {r.duration_hours for r in plain} == {1.0, 2.0, 3.0, 4.0, 5.0, 6.0}
+    late = spark.createDataFrame([(i, "-" if i < 19 else f"{i} hr") for i in range(40)], "pos int, v string")
+    with pytest.raises(ValueError, match="no column of durations"):
+        flood.duration_column(late, ["pos"], "pos")  # one among the first twenty
+
+
+def test_what_is_not_there_is_an_error_if_asked_for(spark):
+    ifd = spark.createDataFrame([("P", 1.0, 0.1, 5.0), ("P", 24.0, 0.1, 9.0)], "point_id string, duration_hours double, event_rate_per_year double, rainfall_depth_mm double")
+    assert flood.ifd_for_duration(ifd, 24.0).count() == 1
+    with pytest.raises(PySparkException, match="a duration of 2 hours is not in the design table, which has 1.0, 24.0"):
+        flood.ifd_for_duration(ifd, 2.0).collect()
+    factors = spark.createDataFrame([("P", "delta_t", "ssp245", y, y / 1000.0) for y in (2030, 2050)], "point_id string, kind string, scenario string, year int, value double")
+    points = spark.createDataFrame([("P", "ssp245", y) for y in (2040.0, 2060.0)], "point_id string, scenario string, year double")
+    assert [r.v is None for r in flood.factor_at_year(points, factors, "delta_t", "year", "v").orderBy("year").collect()] == [False, True]
+    with pytest.raises(PySparkException, match="outside the table of factors: 2060"):
+        flood.factor_at_year(points, factors, "delta_t", "year", "v", strict=True).collect()
+
+
+def test_a_curve_without_shortfalls(spark):
+    curve = spark.createDataFrame([("a", 10.0**-i, 0.5 * 3.0**i) for i in range(4)], "k string, event_rate_per_year double, future_runoff_mm double")
+    events = spark.createDataFrame([(0, "a", 5.0, 1.0), (1, "a", 0.0, 1.0), (2, "a", 0.0, 0.0)], "i int, k string, current_runoff_mm double, current_rainfall_shortfall_mm double")
+    got = {r.i: r.match_status for r in flood.match_event_rate(events, curve, ["k"]).collect()}
+    assert got == {0: "matched_loglog_runoff", 1: "missing_future_rainfall_shortfall", 2: "invalid_current_rainfall_shortfall"}

@@ -200,3 +200,19 @@ def test_the_whole_raster_is_regridded(spark):
     got = {(r.px, r.py): r.value for r in spatial.g18_bilinear_regrid(spark, sf).where("scenario = 'ssp245'").collect()}
     assert got.keys() == want.keys() and max(py for _, py in got) >= 2 * source.py.max()
     assert all(got[k] == (want[k] if want[k] is None else pytest.approx(want[k], abs=1e-6)) for k in want)
+
+
+@pytest.mark.parametrize("res", [0.02, 0.002])
+def test_pairs_grow_with_the_outline(spark, res):
+    """Of a polygon a hundred pixels wide, about as many pixels meet an edge of their tile at any resolution."""
+    side = 100 * res
+    corners = [(0.0011, 0.0013), (side, 0.0013), (side * 0.7, side * 0.4), (side, side), (0.0011, side)]
+    shape = spark.createDataFrame([("f", [[{"x": 140 + x, "y": -35 + y} for x, y in corners]])], "feature_id string, rings array<array<struct<x: double, y: double>>>")
+    pixels = spark.range(120 * 120).select((F.col("id") % 120).cast("int").alias("px"), F.floor(F.col("id") / 120).cast("int").alias("py"), F.lit(140.0).alias("west"), F.lit(-35 + 120 * res).alias("north"), F.lit(res).alias("res"))
+    tile = geometry.tile_of(res)
+    quads = zonal.pixel_quads(pixels)
+    placed = quads.select(F.explode(grid.tiles(F.col("x0"), F.col("x1"), tile)).alias("tx"), "y0", "y3").select("tx", F.explode(grid.tiles(F.col("y3"), F.col("y0"), tile)).alias("ty"))
+    pairs = placed.join(geometry.edge_tiles(geometry.edges(shape), tile), ["tx", "ty"]).count()
+    assert pairs < 100 * 5 * 30  # the outline is about five sides of a hundred pixels
+    assert sorted(zonal.pixels_of(pixels, shape).select("px", "py").collect()) == sorted(geometry.touching(quads, shape, ["px", "py"], 0.25).select("px", "py").collect())
+    assert sorted(zonal.pixels_of(pixels, shape, False).select("px", "py").collect()) == sorted(geometry.holding(quads.select("px", "py", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y3")) / 2).alias("y")), shape, ["px", "py"], 0.25).select("px", "py").collect())
