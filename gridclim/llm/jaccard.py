@@ -38,7 +38,7 @@ FREQUENT = (16, 1024)
 #: Sets of fewer tokens than this are indexed by single tokens only.
 SMALL = 32
 #: An index entry of more sets than this is compared block by block; a block holds about so many tokens.
-PAIRED = 8
+PAIRED = 64
 BLOCK_TOKENS = 100_000
 #: Ids of at most so many sets (16 bytes each) are broadcast to find their texts.
 BROADCAST = 1_000_000
@@ -241,7 +241,9 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links of set ids that connect what all links connect."""
     one = F.struct("set_id", "n", (F.length("tokens") / 8).cast("long").alias("held")).alias("x")
     every = sets.select(one, "sigs").select("x", F.explode("sigs").alias("sig"))
-    entries = every.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("first")).where("m > 1")
+    who = [F.bit_xor(F.xxhash64("x.set_id", F.lit(i))).alias(f"who_{i}") for i in (0, 1)]
+    entries = every.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("first"), *who).where("m > 1")
+    entries = entries.groupBy("m", "first", "who_0", "who_1").agg(F.min("sig").alias("sig")).select("sig", "m", "first")  # one entry of those with the same sets
     members, _ = stage(every.join(entries, "sig"), "jaccard-members")
     stars = members.where((F.col("x.set_id") != F.col("first.set_id")) & _fit("x", "first", percent)).select(F.col("first.set_id").alias("a"), F.col("x.set_id").alias("b")).distinct()
     linked, _ = stage(_verified(stars, sets, percent), "jaccard-stars")
