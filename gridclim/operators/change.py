@@ -49,12 +49,14 @@ def change_points(stats: DataFrame, names: tuple[str, ...] = ("min", "mean", "ma
     return some_rows(stats.join(base, keys, "left").withColumns(change), lacking, of=base)
 
 
-def complete_groups(rasters: DataFrame, include_mean: bool = True) -> DataFrame:
-    """Combinations of rasters(variable, scenario, horizon, source_feature, stat) that have all statistics wanted; none is an error."""
+def complete_groups(rasters: DataFrame, include_mean: bool = True, required: bool = False) -> DataFrame:
+    """Combinations of rasters(variable, scenario, horizon, source_feature, stat) that have all statistics wanted; none is an
+    error if required."""
     wanted = ["min", "max", *(["mean"] if include_mean else [])]
     held = rasters.groupBy(*keys_of(rasters)).agg(F.array_sort(F.collect_set("stat")).alias("stats"))
     whole = held.where(reduce(lambda a, b: a & b, (F.array_contains("stats", s) for s in wanted)))
-    return some_rows(whole, f"no combination of variable, scenario, horizon and source has all of {', '.join(sorted(wanted))}")
+    lacking = f"no combination of variable, scenario, horizon and source has all of {', '.join(sorted(wanted))}"
+    return some_rows(whole, lacking) if required else whole
 
 
 def feature_change(summary: DataFrame, names: tuple[str, ...] = ("min", "mean", "max"), scenario: str = "historical", horizon: str = "baseline") -> DataFrame:

@@ -151,7 +151,7 @@ def test_empty_results_raise(spark):
         "no feature has a geometry": lambda: store.scan_features(shape), "no cell of the grid": lambda: grid.candidate_window(cell, box),
         "share no time step": lambda: temporal.derive_mean_temp(some, some.withColumn("year", F.col("year") + 1)),
         "g_r1 2000-01 to 2000-02, h_r1 2009-01 to 2009-02": lambda: ensemble.align_members(temporal.aggregate(some, "Monthly")),
-        "no baseline": lambda: change.change_points(stats), "has all of max, mean, min": lambda: change.complete_groups(rasters),
+        "no baseline": lambda: change.change_points(stats), "has all of max, mean, min": lambda: change.complete_groups(rasters, required=True),
         "they have no rows": lambda: ensemble.align_members(temporal.aggregate(none, "Monthly")),
     }
     silent = []
