@@ -215,11 +215,24 @@ def _forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
+def _merged(members: DataFrame) -> DataFrame:
+    """members(sig, set_id, comp, n) with entries that have the same member of smallest hash made one, where comparing all sets of
+    those at once is no more work than comparing each entry by itself: near copies share many entries of nearly the same sets."""
+    hashed = F.xxhash64("set_id")
+    entries = members.groupBy("sig").agg(F.min(hashed).alias("group"), F.pow(F.sum("n").cast("double"), 2).alias("_alone"))
+    grouped = members.join(entries, "sig")
+    alone = entries.groupBy("group").agg(F.sum("_alone").alias("_alone"))
+    together = grouped.select("group", "set_id", "n").distinct().groupBy("group").agg(F.pow(F.sum("n").cast("double"), 2).alias("_together"))
+    one = alone.join(together, "group").where("_together <= _alone").select("group", F.lit(True).alias("_one"))
+    dealt = grouped.join(one, "group", "left").withColumn("_one", F.col("_one").isNotNull())
+    return dealt.select("_one", F.when(F.col("_one"), F.col("group")).otherwise(F.col("sig")).alias("entry"), "set_id", "comp", "n").distinct().select(F.xxhash64("_one", "entry").alias("sig"), "set_id", "comp", "n")
+
+
 def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """members(sig, set_id, comp) of large entries -> links between sets of different components, by pairs of blocks."""
-    sized = members.join(sets.select("set_id", "n", "tokens"), "set_id")
-    count = sized.groupBy("sig").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
-    placed = sized.join(count, "sig").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    """members(sig, set_id, comp, n) of large entries -> links between sets of different components, by pairs of blocks."""
+    merged, _ = stage(_merged(members), "jaccard-merged")
+    count = merged.groupBy("sig").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
+    placed = merged.join(count, "sig").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")).join(sets.select("set_id", "tokens"), "set_id")
     held, _ = stage(placed.groupBy("sig", "block").agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("set_id", "comp", "n", "tokens")).alias("sets")), "jaccard-blocks")
     pairs = held.select("sig", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
     side = lambda x, name: held.select("sig", F.col("block").alias(x), F.col("sets").alias(name))
@@ -254,7 +267,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     few = rest.where((F.col("m") <= PAIRED) & (F.col("set_id") != F.col("first.set_id"))).select("sig", "x", "comp")  # the first has been compared with all
     pairs = few.join(few.toDF("sig", "y", "comp_y"), "sig").where(F.col("x.set_id") < F.col("y.set_id")).where((F.col("comp") != F.col("comp_y")) & _fit("x", "y", percent))
     found = _verified(pairs.select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct(), sets, percent)
-    return linked.unionByName(found).unionByName(_blocks(rest.where(F.col("m") > PAIRED).select("sig", "set_id", "comp"), sets, percent))
+    return linked.unionByName(found).unionByName(_blocks(rest.where(F.col("m") > PAIRED).select("sig", "set_id", "comp", F.col("x.n").alias("n")), sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -64,6 +65,24 @@ def test_jaccard_components(spark, monkeypatch, seed, percent, shingle, small):
     assert len({r.component_id for r in got}) < len(rows) - 5
 
 
+def test_merged_entries_keep_every_pair(spark):
+    rng = random.Random(5)
+    alike = [(sig, x) for sig in range(30) for x in rng.sample(range(40), 36)]
+    apart = [(100 + sig, x) for sig in range(30) for x in (5007, *range(1000 + 10 * sig, 1010 + 10 * sig))]
+    rows = [(sig, x, x, 10) for sig, x in alike + apart]
+    members = spark.createDataFrame(rows, "sig long, set_id long, comp long, n long")
+    found = [(r.sig, r.set_id, r.comp, r.n) for r in jaccard._merged(members).collect()]
+
+    def pairs(rows):
+        by = {}
+        for sig, x, *_ in rows:
+            by.setdefault(sig, set()).add(x)
+        return {p for own in by.values() for p in combinations(sorted(own), 2)}
+
+    assert pairs(rows) <= pairs(found)
+    assert len(found) < len(rows) - len(alike) // 2 and len(set(found)) == len(found)
+
+
 def test_signatures_of_linked_sets_meet(monkeypatch):
     """Sets that link share an index entry, whatever the frequencies are."""
     monkeypatch.setattr(jaccard, "FREQUENT", (4, 20))
