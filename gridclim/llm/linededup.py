@@ -1,10 +1,12 @@
 """Line dedup over levelled, sorted runs of line hashes.
 
-All lines are hashed once, into a table of (doc_id, hash). Documents are taken in batches from the largest doc_id down. The state is
-a few runs: tables bucketed and sorted by hash, so that a join with a run reads it as it lies, without moving it. Each batch's lines
-are merge-anti-joined with the runs: a line that no run holds gets its keeper (the batch's largest doc_id), any other adds only its
-count; the batch then becomes a run of level 0. Where a level has FAN_IN runs they are merged into one of the next level, bucket by
-bucket. The last run knows each line's number of documents and its keeper.
+All lines are hashed once, into a table of (doc_id, hash). Documents are taken in batches from the largest doc_id down, so that the
+first batch that has a line holds its keeper. The state is a few runs: tables bucketed and sorted by hash, so that a join with a run
+reads it as it lies, without moving it. Each batch's lines are merge-anti-joined with the runs: what no run holds are the new run's
+lines, with the batch's largest doc_id as keeper; of the others only the count is set down beside them, in a part of the run that later
+batches don't read. A line stands in one run, so runs have no line in common; merging asserts it. Where a level has FAN_IN runs they
+are merged into one of the next level, bucket by bucket, and counts meet the line they belong to. The last run knows each line's number
+of documents and its keeper. A batch has at most about BATCH_LINES lines; their number grows with the input.
 
 Defined results: a null or empty text is one empty line; rows that share a doc_id are one document; a line that occurs more than
 once in a document counts once; rows with a null doc_id don't count and stay as they are; an empty table gives an empty table; other
@@ -24,7 +26,8 @@ from gridclim.llm.common import delete, map_texts, scratch_dir, stage
 
 #: Fixed: what is stripped from both ends of a line before comparing.
 BLANKS = " \t\n\x0b\x0c\r"
-BATCHES = 4
+#: Batches that there are at least, and lines of documents that one has at most, by estimate.
+BATCHES, BATCH_LINES = 4, 100_000_000
 FAN_IN = 2
 KEY = ["hi", "lo"]
 
@@ -59,38 +62,58 @@ def _drop_at_exit(spark: SparkSession, name: str, path: str) -> None:
 
 
 class Run:
-    """A table of lines, bucketed and sorted by hash, in the scratch space: hi, lo, keeper, docs."""
+    """A table in the scratch space, bucketed and sorted by hash: hi, lo, keeper, docs. Rows without a keeper are counts of lines that an
+    older run holds, and lie in a part of their own."""
 
     def __init__(self, rows: DataFrame, level: int):
         self.spark, self.level = rows.sparkSession, level
         self.name = f"line_run_{uuid.uuid4().hex}"
         self.path = f"{scratch_dir(self.spark)}/{self.name}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # as joins deal rows out, so that each task writes whole buckets
-        rows.write.bucketBy(buckets, *KEY).sortBy(*KEY).option("path", self.path).option("compression", "zstd").saveAsTable(self.name)
+        parts = rows.withColumn("held", F.col("keeper").isNull()).write.partitionBy("held").bucketBy(buckets, *KEY).sortBy(*KEY)
+        parts.option("path", self.path).option("compression", "zstd").saveAsTable(self.name)
         atexit.register(_drop_at_exit, self.spark, self.name, self.path)
 
     def rows(self) -> DataFrame:
-        return self.spark.table(self.name)
+        """Lines and counts."""
+        return self.spark.table(self.name).drop("held")
+
+    def lines(self) -> DataFrame:
+        """hi, lo of the lines that this run holds."""
+        return self.spark.table(self.name).where("not held").select(*KEY)
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE {self.name}")
         delete(self.spark, self.path)
 
 
+def add_batch(lines: DataFrame, runs: list[Run]) -> Run:
+    """lines(hi, lo, keeper, docs) of a batch -> its run: lines that none of the runs holds, and the counts of all others."""
+    for i, run in enumerate(runs):
+        lines = lines.join(run.lines().withColumn(f"_held_{i}", F.lit(True)).hint("merge"), KEY, "left")
+    known = F.coalesce(*(F.col(f"_held_{i}") for i in range(len(runs))), F.lit(False))
+    return Run(lines.select(*KEY, F.when(~known, F.col("keeper")).alias("keeper"), "docs"), 0)
+
+
 def _merge(runs: list[Run]) -> Run:
-    """One run of the next level: runs are joined bucket by bucket."""
+    """One run of the next level: runs are joined bucket by bucket, and counts are added to the line if one of the runs holds it."""
     rows = runs[0].rows()
+    twice = F.raise_error(F.lit("two runs hold the same line")).cast("long")
     for run in runs[1:]:
         more = run.rows().withColumnsRenamed({"keeper": "_keeper", "docs": "_docs"})
-        rows = rows.join(more.hint("merge"), KEY, "full").select(*KEY, F.greatest("keeper", "_keeper").alias("keeper"), (F.coalesce("docs", F.lit(0)) + F.coalesce("_docs", F.lit(0))).alias("docs"))
+        both = F.col("keeper").isNotNull() & F.col("_keeper").isNotNull()
+        docs = F.coalesce("docs", F.lit(0)) + F.coalesce("_docs", F.lit(0))
+        rows = rows.join(more.hint("merge"), KEY, "full").select(*KEY, F.coalesce("keeper", "_keeper").alias("keeper"), F.when(both, twice).otherwise(docs).alias("docs"))
     made = Run(rows, runs[0].level + 1)
     for run in runs:
         run.drop()
     return made
 
 
-def build_runs(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
+def build_runs(lines: DataFrame, batches: int | None = None) -> DataFrame:
     """lines(doc_id, hi, lo) -> the compacted run of all documents: hi, lo, keeper (largest doc_id), docs (how many hold the line)."""
+    if batches is None:
+        batches = max(BATCHES, -(-lines.count() // BATCH_LINES))
     at = ", ".join(str(i / batches) for i in range(1, batches))
     bounds = lines.agg(F.expr(f"percentile_approx(doc_id, array({at}))")).first()[0] or [] if batches > 1 else []
     edges = [None, *sorted(set(bounds)), None]
@@ -99,20 +122,13 @@ def build_runs(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
         batch = lines if low is None else lines.where(F.col("doc_id") > low)
         batch = batch if high is None else batch.where(F.col("doc_id") <= high)
         # a document in one batch only; its rows may share lines, and a line that many documents hold is counted in parts first
-        own = batch.distinct().groupBy(*KEY).agg(F.max("doc_id").alias("keeper"), F.count(F.lit(1)).alias("docs"))
-        for i, run in enumerate(runs):  # an anti-join that still lets the known lines add their counts
-            held = run.rows().where(F.col("keeper").isNotNull()).select(*KEY, F.lit(True).alias(f"_held_{i}"))
-            own = own.join(held.hint("merge"), KEY, "left")
-        if runs:
-            known = F.coalesce(*(F.col(f"_held_{i}") for i in range(len(runs))))
-            own = own.select(*KEY, F.when(known.isNull(), F.col("keeper")).alias("keeper"), "docs")
-        runs.append(Run(own, 0))
+        runs.append(add_batch(batch.distinct().groupBy(*KEY).agg(F.max("doc_id").alias("keeper"), F.count(F.lit(1)).alias("docs")), runs))
         while len(same := [r for r in runs if r.level == runs[-1].level]) >= FAN_IN:
             runs = [r for r in runs if r.level != same[0].level] + [_merge(same)]
     return (_merge(runs) if len(runs) > 1 else runs[0]).rows()
 
 
-def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, batches: int = BATCHES) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, batches: int | None = None) -> DataFrame:
     """docs with `text` stripped of lines that at least least_docs documents hold (the largest doc_id keeps its
     lines), n_lines (before) and n_dropped."""
     lines, _ = stage(line_hashes(docs.where(F.col("doc_id").isNotNull()), least_chars), "line-hashes")

@@ -11,6 +11,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -200,7 +201,7 @@ def test_runs_are_joined_as_they_lie(spark):
     rows = spark.createDataFrame([(i, k, 0) for i in range(50) for k in range(i, i + 9)], "doc_id long, hi long, lo long")
     first = linededup.Run(rows.where("doc_id < 25").groupBy("hi", "lo").agg(F.max("doc_id").alias("keeper"), F.count("*").alias("docs")), 0)
     batch = rows.where("doc_id >= 25").distinct().groupBy("hi", "lo").agg(F.max("doc_id").alias("keeper"), F.count("*").alias("docs"))
-    joined = batch.join(first.rows().select("hi", "lo", F.lit(True).alias("held")).hint("merge"), ["hi", "lo"], "left")
+    joined = batch.join(first.lines().withColumn("held", F.lit(True)).hint("merge"), ["hi", "lo"], "left")
     assert joined.where("held").count() == 8
     plan = joined._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1]
     assert "Bucketed: true" in plan and "Exchange" not in plan[plan.rindex("Filter") if "Filter" in plan else 0 :]
@@ -208,9 +209,27 @@ def test_runs_are_joined_as_they_lie(spark):
     assert got == {(k, min(49, k), sum(i <= k < i + 9 for i in range(50))) for k in range(58)}
 
 
-@pytest.mark.parametrize("batches", [1, 3, 7])
+def test_a_line_stands_in_one_run(spark):
+    make = lambda ids, keeper: spark.createDataFrame([(k, 0, keeper, 1) for k in ids], "hi long, lo long, keeper long, docs long")
+    first = linededup.add_batch(make(range(10), 9), [])
+    second = linededup.add_batch(make(range(5, 15), 5), [first])
+    assert {r.hi for r in second.lines().collect()} == set(range(10, 15))
+    assert {(r.hi, r.docs) for r in second.rows().where("keeper is null").collect()} == {(k, 1) for k in range(5, 10)}
+    third = linededup.add_batch(make(range(20), 1), [first, second])
+    assert {r.hi for r in third.lines().collect()} == set(range(15, 20))
+    # counts wait for their line: 5 to 9 are not lines of the two runs merged first
+    late = linededup._merge([second, third])
+    assert {(r.hi, r.docs) for r in late.rows().where("keeper is null").collect()} == {(k, 1 if k < 5 else 2) for k in range(10)}
+    done = linededup._merge([first, late]).rows().collect()
+    assert sorted((r.hi, r.keeper, r.docs) for r in done) == [(k, 9 if k < 10 else 5 if k < 15 else 1, 2 if k < 5 else 3 if k < 10 else 2 if k < 15 else 1) for k in range(20)]
+    # without the anti-join two runs would hold a line
+    with pytest.raises(PySparkException, match="two runs hold the same line"):
+        linededup._merge([linededup.add_batch(make(range(3), 9), []), linededup.add_batch(make(range(2, 4), 5), [])])
+
+
+@pytest.mark.parametrize("batches", [None, 1, 3, 7])
 def test_line_dedup_in_any_number_of_batches(spark, batches):
-    rng = random.Random(batches)
+    rng = random.Random(batches or 4)
     pool = [f"A shared line number {k} that is surely long enough" for k in range(12)]
     rows = [(i, "\n".join(rng.choice([*pool, "short", f"only here {i} and long enough to be counted", "  " + pool[0].upper() + "\t"]) for _ in range(rng.randrange(1, 6)))) for i in range(60)]
     got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), batches=batches).collect()
