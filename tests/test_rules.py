@@ -22,6 +22,12 @@ def test_labels(spark):
     assert one(spark, *(labels.representative_year(lit(a), lit(b)) for a, b in ((1985, 2014), (2041, 2060), (2081, 2100)))) == (2000, 2050, 2090)
     assert one(spark, labels.safe_name(lit(" a/b c. ")), labels.safe_name(lit("..")), labels.safe_name(lit("9 x-y"), "layer"), labels.safe_name(lit(""), "layer")) == ("a_b_c", "feature", "v_9_x_y", "layer")
     assert one(spark, labels.parse_event_rate(lit("10%")), labels.parse_event_rate(lit("1/200")), labels.parse_event_rate(lit("33%")), labels.parse_duration_hours(lit("90 min"))) == (0.11, 0.005, None, 1.5)
+    hours = {"30 (min)": 0.5, "<1 hour": 1.0, "24hr": 24.0, "2 Days": 48.0, "1.5 h": None, "hours": None, "": None, "1 in 2": None, "50%": None}
+    assert one(spark, *(labels.parse_duration_hours(lit(t)) for t in hours)) == tuple(hours.values())
+    rates = {"12 EY": 12.0, "0.5ey": 0.5, "63.2% AEP": 1.0, "50%#": 0.5, "1 in  200 AEP": 0.005, "AEP 1/2000": 0.0005, "1 in 0": None, "30 min": None, "%": None, "": None}
+    assert one(spark, *(labels.parse_event_rate(lit(t)) for t in rates)) == tuple(rates.values())
+    names = (("a: b", "feature", "a__b"), ("  ._", "unnamed", "unnamed"), (None, "feature", None), ("__a--b__", "layer", "a_b"), ("1" * 80, "layer", "v_" + "1" * 58), (" a(b).c ", "file", "a_b_.c"), (" a/b:c d ", "series", "a-b-c_d"))
+    assert one(spark, *(labels.safe_name(lit(t).cast("string"), style) for t, style, _ in names)) == tuple(n for *_, n in names)
     assert one(spark, labels.parse_number(lit("1,234.5 mm")), labels.parse_number(lit("none")), labels.scenario_label(lit("ssp245"))) == (1234.5, None, "SSP2-4.5")
     assert one(spark, labels.horizon_label(lit("mid_term"), lit(None).cast("int"), lit(2060)), labels.horizon_label(lit("mid_term"), lit(2041), lit(2060))) == ("mid_term", "mid_term (2050)")
 
