@@ -56,14 +56,15 @@ def sample_point(pixels: DataFrame, points: DataFrame) -> DataFrame:
 
     A raster is a group of keys and statistic; its pixels bring their grid along, so that rasters may lie on different grids."""
     keys = keys_of(pixels, "stat")
-    rasters = pixels.select(*keys, *GRID).distinct()
+    rasters = F.broadcast(pixels.select(*keys, *GRID).distinct())  # few, and points may be many
     placed = points.crossJoin(rasters).withColumns({  # rasters x points: the result's own rows
         "px": F.floor((F.col("lon") - F.col("west")) / F.col("res")).cast("int"), "py": F.floor((F.col("north") - F.col("lat")) / F.col("res")).cast("int"),
     })
     own = {c: f"_at_{c}" for c in (*keys, *PIXEL)}  # names of their own, as both sides come from one table
     values = pixels.select(*keys, *PIXEL, F.when(~F.isnan("value"), F.col("value")).alias("value")).withColumnsRenamed(own)
     same = [F.col(k).eqNullSafe(F.col(own[k])) for k in keys] + [F.col(k) == F.col(own[k]) for k in PIXEL]
-    return placed.join(values, same, "left").select(*points.columns, *keys, "value")
+    # pixels made of few columns seem small to the planner, which would bring all of them to the driver to broadcast them
+    return placed.join(values.hint("merge"), same, "left").select(*points.columns, *keys, "value")
 
 
 def feature_summary(values: DataFrame, variable: str = "variable") -> DataFrame:

@@ -216,3 +216,10 @@ def test_pairs_grow_with_the_outline(spark, res):
     assert pairs < 100 * 5 * 30  # the outline is about five sides of a hundred pixels
     assert sorted(zonal.pixels_of(pixels, shape).select("px", "py").collect()) == sorted(geometry.touching(quads, shape, ["px", "py"], 0.25).select("px", "py").collect())
     assert sorted(zonal.pixels_of(pixels, shape, False).select("px", "py").collect()) == sorted(geometry.holding(quads.select("px", "py", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y3")) / 2).alias("y")), shape, ["px", "py"], 0.25).select("px", "py").collect())
+
+
+def test_sampled_pixels_are_not_broadcast(spark):
+    """Small as the customers' file is, its pixels don't go through the driver."""
+    frame = spatial.g17_sample_point(spark, "/root/testdata/sf0.001")
+    joins = [line for line in plan_of(frame).splitlines() if "Join" in line]
+    assert any("SortMergeJoin" in line for line in joins) and not any("BroadcastHashJoin" in line for line in joins)
