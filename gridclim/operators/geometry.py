@@ -210,6 +210,16 @@ def extract(obs: DataFrame, cell_feature: DataFrame) -> DataFrame:
     return found
 
 
+def extract_totals(obs: DataFrame, cell_feature: DataFrame, *by: str) -> DataFrame:
+    """The rows of extract() by the columns `by`: n_rows, how many there are, and total, the sum of their values, null without any.
+    Observations are counted by cell before they meet features, so that the work is one look at them and one at the features, not
+    at their product."""
+    place = [c for c in ("domain", "grid_row", "grid_col") if c in obs.columns]
+    own = [c for c in by if c in obs.columns and c not in {*place, "feature_id"}]
+    counted = obs.groupBy(*place, *own).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total"))
+    return extract(counted, cell_feature).groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), F.sum("total").alias("total"))
+
+
 def select_domain(features: DataFrame, footprints: DataFrame, key: str = "auto", fine: str = "seaus_4km", coarse: str = "aus_18") -> DataFrame:
     """features x footprints(domain, rings) -> domain, reason. An explicit key is taken; auto takes the fine domain only if
     its footprint covers all vertices of all features, its border included, and none of its edges cuts one of theirs."""

@@ -171,8 +171,8 @@ def g4_nearest_cell(spark, sf):
 @query(f"WITH {OBS}, {NEAREST} SELECT n.feature_id, n.grid_row, n.grid_col, count(*) AS n_rows, sum(value)::DOUBLE AS total, 'nearest' AS method, 1::BIGINT AS n_cells FROM obs JOIN nearest n ON obs.grid_row = n.grid_row AND obs.grid_col = n.grid_col GROUP BY ALL")
 def g5_extract(spark, sf):
     chosen = geometry.nearest_cell(cells(spark, sf), points(spark, sf)).withColumn("method", F.lit("nearest"))
-    found = geometry.extract(proxy.obs(spark, sf), chosen)
-    return found.groupBy("feature_id", "grid_row", "grid_col", "method", "n_cells").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").cast("double").alias("total"))
+    found = geometry.extract_totals(proxy.obs(spark, sf), chosen, "feature_id", "grid_row", "grid_col", "method", "n_cells")
+    return found.withColumn("total", F.col("total").cast("double"))
 
 
 def _two_domains(spark, sf):
@@ -193,8 +193,8 @@ def _two_grids(spark, sf):
   FROM obs JOIN found f ON obs.grid_row = f.grid_row AND obs.grid_col = f.grid_col GROUP BY ALL""")
 def g5_extract_two_domains(spark, sf):
     chosen = geometry.nearest_cell(_two_grids(spark, sf), points(spark, sf)).withColumn("method", F.lit("nearest"))
-    found = geometry.extract(_two_domains(spark, sf), chosen)
-    return found.groupBy("domain", "feature_id", "grid_row", "grid_col", "n_cells").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").cast("double").alias("total"))
+    found = geometry.extract_totals(_two_domains(spark, sf), chosen, "domain", "feature_id", "grid_row", "grid_col", "n_cells")
+    return found.withColumn("total", F.col("total").cast("double"))
 
 
 PICKED = "picked AS (SELECT DISTINCT 'F' || (s_suppkey % 7) AS feature_id, CAST(s_nationkey // 5 AS INT) AS grid_row, CAST(s_nationkey % 5 AS INT) AS grid_col FROM supplier)"

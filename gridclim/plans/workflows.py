@@ -20,6 +20,11 @@ def extract(raw: DataFrame, cell_feature: DataFrame, windows: DataFrame) -> Data
     return geometry.extract(request.assign_window(raw, windows), cell_feature)
 
 
+def extract_totals(raw: DataFrame, cell_feature: DataFrame, windows: DataFrame, *by: str) -> DataFrame:
+    """The rows of extract() by the columns `by`, counted and summed before cells meet features."""
+    return geometry.extract_totals(request.assign_window(raw, windows), cell_feature, *by)
+
+
 def ensemble_summary(obs: DataFrame, include_mean: bool = True, exact: bool = True, calculate_change: bool = True) -> DataFrame:
     """Horizon means of the members, their statistics per cell as they are stored, and the change against the baseline."""
     names = ("min", "mean", "max") if include_mean else ("min", "max")
@@ -84,8 +89,8 @@ def query(sql: str | None = None):
   FROM obs JOIN nearest n ON obs.grid_row = n.grid_row AND obs.grid_col = n.grid_col JOIN windows ON obs.year BETWEEN start_year AND end_year GROUP BY ALL""")
 def w1_extraction(spark, sf):
     chosen = geometry.nearest_cell(spatial.cells(spark, sf), spatial.points(spark, sf)).withColumn("method", F.lit("nearest"))
-    found = extract(proxy.obs(spark, sf).drop("horizon"), chosen, proxy.windows(spark))
-    return found.groupBy("feature_id", "horizon", "scenario").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").cast("double").alias("total"))
+    found = extract_totals(proxy.obs(spark, sf).drop("horizon"), chosen, proxy.windows(spark), "feature_id", "horizon", "scenario")
+    return found.withColumn("total", F.col("total").cast("double"))
 
 
 @query(climate.SQL["e8_change_points"])

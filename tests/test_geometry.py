@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridclim.operators import change, geometry, grid, zonal
 from gridclim.plans import spatial
+from gridclim.plans.workflows import w1_extraction
 
 
 def rotated(spark, n=8):
@@ -223,3 +224,21 @@ def test_sampled_pixels_are_not_broadcast(spark):
     frame = spatial.g17_sample_point(spark, "/root/testdata/sf0.001")
     joins = [line for line in plan_of(frame).splitlines() if "Join" in line]
     assert any("SortMergeJoin" in line for line in joins) and not any("BroadcastHashJoin" in line for line in joins)
+
+
+def test_observations_are_counted_before_they_meet_features(spark):
+    values = spark.createDataFrame([(0, k % 2, 1990 + k % 2, float(k)) for k in range(1000)], "grid_row int, grid_col int, year int, value double")
+    chosen = spark.createDataFrame([(0, k % 2, f"f{k}", "nearest") for k in range(100)], "grid_row int, grid_col int, feature_id string, method string")
+    done = geometry.extract_totals(values, chosen, "feature_id", "year", "n_cells")
+    want = geometry.extract(values, chosen).groupBy("feature_id", "year", "n_cells").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total"))
+    assert sorted(done.collect()) == sorted(want.collect()) and done.count() == 100
+    by_cell = "HashAggregate(keys=[grid_row"
+    assert by_cell in plan_of(done) and by_cell not in plan_of(want)
+
+
+def test_registered_extractions_count_first(spark):
+    sf = "/root/testdata/sf0.001"
+    for name, query in (("g5_extract", spatial.g5_extract), ("g5_extract_two_domains", spatial.g5_extract_two_domains), ("w1_extraction", w1_extraction)):
+        lines = plan_of(query(spark, sf)).splitlines()
+        cells = [line for line in lines if "HashAggregate" in line and "grid_row" in line and "feature_id" not in line and "sum(value" in line]
+        assert cells, name
