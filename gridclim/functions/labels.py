@@ -44,8 +44,13 @@ def storm_index_name(threshold_kmh: Column) -> Column:
 
 
 def round_output(value: Column, variable: Column) -> Column:
-    """Three decimals for storm days and one for all else, half to even."""
-    return F.when(variable.rlike(STORM_DAYS), F.bround(value, 3)).otherwise(F.bround(value, 1))
+    """Three decimals for storm days and one for all else, half to even; what is rounded to zero keeps its sign."""
+
+    def rounded(places: int) -> Column:
+        near = F.bround(value, places)
+        return F.when((near == 0) & F.startswith(value.cast("string"), F.lit("-")), -near).otherwise(near)
+
+    return F.when(variable.rlike(STORM_DAYS), rounded(3)).otherwise(rounded(1))
 
 
 def output_decimals(variable: Column) -> Column:

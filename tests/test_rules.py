@@ -182,3 +182,8 @@ def test_sites_are_checked(spark):
     for row in ((1, "a", 190.0, 0.0, "urban"), (1, "a", 0.0, 91.0, "urban"), (1, "a", 0.0, 0.0, "sea"), (1, "a", None, 0.0, "urban")):
         with pytest.raises(PySparkException):
             store.flood_sites(spark.createDataFrame([row], schema)).collect()
+
+
+def test_what_is_rounded_to_zero_keeps_its_sign(spark):
+    shown = lambda v, name="pr": labels.round_output(F.lit(v), F.lit(name)).cast("string")
+    assert one(spark, shown(-0.03), shown(0.03), shown(-0.0), shown(-0.06), shown(-0.0004, "StormDaysGT89")) == ("-0.0", "0.0", "-0.0", "-0.1", "-0.0")
