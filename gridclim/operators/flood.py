@@ -1,10 +1,14 @@
-"""Flood-frequency screening: design rainfall, losses, runoff, and the future rate of a present event."""
+"""Flood-frequency screening: design rainfall, losses, runoff, and the future rate of a present event.
+
+Sites, regimes and events take little room for the work they make, so that Spark reads them in a few tasks: they are dealt out before
+they are multiplied or matched."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridclim.functions import labels
+from gridclim.operators.grid import dealt
 from gridclim.operators.guards import some_rows
 from gridclim.operators.interp import curves, interpolate, value_at
 from gridclim.plans.request import flood_window_valid
@@ -55,7 +59,7 @@ def ifd_unpivot(wide: DataFrame, keys: list[str], duration: str | None = None, r
     if not rates:
         raise ValueError("no column's name is a probability")
     each = F.explode(F.array(*(F.struct(F.lit(rate).alias("rate"), F.lit(c).alias("label"), F.col(f"`{c}`").cast("string").alias("depth")) for c, rate in rates.items())))
-    long = wide.select(*keys, duration, *extra, each.alias("_e"))
+    long = dealt(wide).select(*keys, duration, *extra, each.alias("_e"))
     made = long.select(
         *keys, labels.parse_duration_hours(F.col(duration)).alias("duration_hours"), F.col("_e.rate").alias("event_rate_per_year"),
         labels.parse_number(F.col("_e.depth")).alias("rainfall_depth_mm"), F.col("_e.label").alias("probability_label"), *extra,
@@ -147,7 +151,7 @@ def rainfall_excess(events: DataFrame, steps: int = STEPS) -> DataFrame:
     full = k * rain >= il
     capacity = F.when(full, F.col("continuing_loss") * F.col("hours") / steps).otherwise(0.0)
     lost = F.least(capacity, rain - taken)
-    made = events.withColumn("timestep", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+    made = dealt(events).withColumn("timestep", F.explode(F.sequence(F.lit(1), F.lit(steps))))
     return made.withColumns({
         "time_start_hr": (k - 1) * F.col("hours") / steps, "time_end_hr": k * F.col("hours") / steps, "rainfall_mm": rain, "initial_loss_mm": taken,
         "continuing_loss_mm": lost, "runoff_mm": rain - taken - lost, "remaining_initial_loss_mm": il - filled(k),
@@ -196,7 +200,7 @@ REGIME = ["point_id", "duration_hr", "scenario", "horizon"]
 def future_runoff_curve(regimes: DataFrame, ifd: DataFrame, steps: int = STEPS) -> DataFrame:
     """A row per design rate of each regime (site, duration, scenario, horizon): made once, whatever the events are."""
     table = ifd.select(F.col("point_id").alias("_p"), "duration_hours", "event_rate_per_year", F.col("rainfall_depth_mm").alias("current_ifd_depth_mm"))
-    joined = regimes.join(table, (F.col("point_id") == F.col("_p")) & (F.abs(F.col("duration_hr") - F.col("duration_hours")) < 1e-6))
+    joined = dealt(regimes).join(table, (F.col("point_id") == F.col("_p")) & (F.abs(F.col("duration_hr") - F.col("duration_hours")) < 1e-6))
     depth = F.col("current_ifd_depth_mm") * F.col("rainfall_factor")
     runoff = total_runoff(F.col("future_rainfall_depth_mm"), F.col("duration_hr"), F.col("future_initial_loss_mm"), F.col("future_continuing_loss_mm_per_hr"), steps)
     return joined.drop("_p", "duration_hours").withColumn("future_rainfall_depth_mm", depth).withColumns({
@@ -215,7 +219,7 @@ def match_event_rate(events: DataFrame, curve: DataFrame, keys: list[str] = REGI
 
     short = "future_rainfall_shortfall_mm"
     told = short in curve.columns
-    held = events.join(side("future_runoff_mm", "_r"), keys, "left")
+    held = dealt(events).join(side("future_runoff_mm", "_r"), keys, "left")
     held = held.join(side(short, "_s"), keys, "left") if told else held.withColumn("_s", F.lit(None).cast("array<struct<x: double, y: double>>"))
     found = held.withColumns({
         "_at_s": F.when(~on_runoff & (F.col("current_rainfall_shortfall_mm") > 0), F.log10("current_rainfall_shortfall_mm")),
@@ -252,7 +256,7 @@ def round_hazard(table: DataFrame) -> DataFrame:
 def current_events(sites: DataFrame, ifd: DataFrame, losses: DataFrame, durations: DataFrame, aris: DataFrame, steps: int = STEPS) -> DataFrame:
     """sites x durations(context, duration_hr) x aris(current_ari_year) with present rate, depth, losses, runoff and shortfall."""
     il, cl = current_losses(F.col("context"), F.col("initial_loss_mm"), F.col("continuing_loss_mm_per_hr"))
-    made = sites.join(durations, "context").join(losses, "point_id", "left").crossJoin(aris)
+    made = dealt(sites.join(durations, "context").join(losses, "point_id", "left")).crossJoin(aris)
     made = made.withColumns({"current_event_rate_per_year": reference_rate(F.col("current_ari_year")), "current_initial_loss_mm": il, "current_continuing_loss_mm_per_hr": cl})
     # a table's duration and an event's are matched once, within the tolerance; the event's is the key from here on
     asked = made.select(F.col("point_id").alias("_p"), "duration_hr").distinct()
@@ -268,7 +272,7 @@ def current_events(sites: DataFrame, ifd: DataFrame, losses: DataFrame, duration
 def future_regimes(events: DataFrame, factors: DataFrame, windows: DataFrame, scenarios: DataFrame, steps: int = STEPS) -> DataFrame:
     """Site, duration, scenario and horizon with temperature, rainfall and loss factors and the future runoff threshold."""
     sites = events.select("point_id", "context", "duration_hr", "current_initial_loss_mm", "current_continuing_loss_mm_per_hr").distinct()
-    made = sites.crossJoin(windows).crossJoin(scenarios.where("scenario <> 'historical'")).where(flood_window_valid(F.col("scenario"), F.col("end_year")))
+    made = dealt(sites).crossJoin(windows).crossJoin(scenarios.where("scenario <> 'historical'")).where(flood_window_valid(F.col("scenario"), F.col("end_year")))
     made = made.withColumn("horizon_year", labels.representative_year(F.col("start_year"), F.col("end_year")))
     found = curves(factors, ["point_id", "scenario", "kind"], "year", "value", "_curve").groupBy("point_id", "scenario").agg(
         *(F.max_by("_curve", F.when(F.col("kind") == kind, 1)).alias(f"_{kind}_curve") for kind in KINDS))

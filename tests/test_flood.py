@@ -153,3 +153,11 @@ def test_a_curve_without_shortfalls(spark):
     events = spark.createDataFrame([(0, "a", 5.0, 1.0), (1, "a", 0.0, 1.0), (2, "a", 0.0, 0.0)], "i int, k string, current_runoff_mm double, current_rainfall_shortfall_mm double")
     got = {r.i: r.match_status for r in flood.match_event_rate(events, curve, ["k"]).collect()}
     assert got == {0: "matched_loglog_runoff", 1: "missing_future_rainfall_shortfall", 2: "invalid_current_rainfall_shortfall"}
+
+
+def test_few_events_are_dealt_out_before_they_become_many_rows(spark):
+    events = spark.range(64).coalesce(1).selectExpr("id", "30.0D depth", "1.0D hours", "2.0D initial_loss", "0.5D continuing_loss")
+    assert flood.rainfall_excess(events).select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    wide = spark.range(64).coalesce(1).selectExpr("id", "'60 min' duration", "'5.0' `50%`", "'9.0' `10%`")
+    long = flood.ifd_unpivot(wide, ["id"], "duration")
+    assert "RoundRobin" in long._jdf.queryExecution().executedPlan().toString() and long.count() == 128
