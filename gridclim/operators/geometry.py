@@ -112,9 +112,11 @@ def holding(points: DataFrame, features: DataFrame, keys: list[str], tile: float
     spans, rising = (ay > low) != (by > low), (by - ay) * (bx - ax) > 0
     above = F.when(spans, F.when(rising, cross_x <= x).otherwise(cross_x > x)).otherwise(ay > low)
     upwards = ((ax > x) != (bx > x)) & above & (cross_y <= y)
-    placed = dealt(placed, "tx", "ty")
-    near = placed.join(dealt(edge_tiles(edge, tile), "tx", "ty"), ["tx", "ty"]).where(along != upwards)  # crossed on both legs: twice, or not at all
-    inner = placed.join(inner_corners(edge, tile), ["tx", "ty"])
+    # merged, and with the points on the right: they may seem small to the planner, which would broadcast them through the driver, and of one
+    # tile they are few, while features lie upon one another in any number
+    placed = dealt(placed, "tx", "ty").hint("merge")
+    near = dealt(edge_tiles(edge, tile), "tx", "ty").join(placed, ["tx", "ty"]).where(along != upwards)  # crossed on both legs: twice, or not at all
+    inner = dealt(inner_corners(edge, tile), "tx", "ty").join(placed, ["tx", "ty"])
     return near.select(*keys, "feature_id").unionByName(inner.select(*keys, "feature_id")).groupBy(*keys, "feature_id").agg(F.count(F.lit(1)).alias("_n")).where("_n % 2 = 1").drop("_n")
 
 
@@ -132,7 +134,7 @@ def touching(shapes: DataFrame, features: DataFrame, keys: list[str], tile: floa
     for k in range(4):
         j = (k + 1) % 4
         meets = meets | segments_meet(edge, (xs[k], ys[k], xs[j], ys[j]))
-    met = dealt(placed, "tx", "ty").join(dealt(edge_tiles(edges(features), tile), "tx", "ty"), ["tx", "ty"]).where(meets).select(*keys, "feature_id")
+    met = dealt(edge_tiles(edges(features), tile), "tx", "ty").join(dealt(placed, "tx", "ty").hint("merge"), ["tx", "ty"]).where(meets).select(*keys, "feature_id")
     held = holding(shapes.select(*keys, xs[0].alias("x"), ys[0].alias("y")), features, keys, tile)
     return met.unionByName(held).distinct()
 

@@ -34,14 +34,14 @@ def zonal_mean(pixels: DataFrame, polygons: DataFrame, all_touched: bool = True)
     """The unweighted mean of each polygon's pixels with a value, and their number; null and 0 where there are none. The rasters
     may lie on grids of their own."""
     keys = keys_of(pixels, "stat")
-    held = _finite(pixels).join(pixels_of(pixels, polygons, all_touched), list(PIXEL)).groupBy(*keys, "feature_id").agg(mean("value").alias("value"), F.count(F.lit(1)).alias("n_pixels"))
+    held = pixels_of(pixels, polygons, all_touched).join(_finite(pixels).hint("merge"), list(PIXEL)).groupBy(*keys, "feature_id").agg(mean("value").alias("value"), F.count(F.lit(1)).alias("n_pixels"))
     every = pixels.select(*keys).distinct().crossJoin(polygons.select("feature_id"))  # groups x features: the result's own rows
     return every.join(held, [*keys, "feature_id"], "left").withColumn("n_pixels", F.coalesce("n_pixels", F.lit(0)))
 
 
 def zonal_stats(pixels: DataFrame, polygons: DataFrame) -> DataFrame:
     """Mean, smallest and largest value and number of cells of each polygon, to one decimal."""
-    valid = _finite(pixels).join(pixels_of(pixels, polygons), list(PIXEL))
+    valid = pixels_of(pixels, polygons).join(_finite(pixels).hint("merge"), list(PIXEL))
     return valid.groupBy("feature_id").agg(F.bround(mean("value"), 1).alias("mean"), F.bround(F.min("value"), 1).alias("min"), F.bround(F.max("value"), 1).alias("max"), F.count(F.lit(1)).alias("valid_cells"))
 
 

@@ -302,7 +302,7 @@ def g15_zonal_mean(spark, sf):
 def g15_centre_in_polygon(spark, sf):
     own = pixels(spark, sf).where("stat = 'mean'")
     found = zonal.pixels_of(own, polygons(spark, sf), all_touched=False)
-    return own.join(found, list(grid.PIXEL)).groupBy("feature_id", "scenario").agg(F.count(F.lit(1)).alias("n"))
+    return found.join(own.hint("merge"), list(grid.PIXEL)).groupBy("feature_id", "scenario").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {PIXELS}, {POLYGONS}, {TOUCHED} SELECT feature_id, round_even(sum(CAST(value AS DECIMAL(14,2)))::DOUBLE / count(*), 1) AS mean, round_even(min(value), 1) AS min, round_even(max(value), 1) AS max, count(*) AS valid_cells FROM touched WHERE stat = 'mean' GROUP BY feature_id")

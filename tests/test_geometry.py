@@ -242,3 +242,9 @@ def test_registered_extractions_count_first(spark):
         lines = plan_of(query(spark, sf)).splitlines()
         cells = [line for line in lines if "HashAggregate" in line and "grid_row" in line and "feature_id" not in line and "sum(value" in line]
         assert cells, name
+
+
+def test_pixels_meet_polygons_without_a_broadcast(spark):
+    own = spatial.pixels(spark, "/root/testdata/sf0.001")
+    for all_touched in (True, False):
+        assert "BroadcastHashJoin" not in plan_of(zonal.pixels_of(own, spatial.polygons(spark, "/root/testdata/sf0.001"), all_touched))
