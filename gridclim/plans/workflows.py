@@ -58,6 +58,7 @@ def spatial_summary(
     places = features.select("feature_id", *(("lon", "lat") if geometry_mode == "point" else ("rings",)))
     made = zonal.feature_summary(zonal.sample_point(held, places) if geometry_mode == "point" else zonal.zonal_mean(held, places, all_touched))
     made = made if include_mean else made.drop("mean")
+    made = store.settle(made, "feature-summary") if calculate_change else made  # the baseline and the rows beside it come from one run
     done = change.feature_change(made, names, *baseline).where(asked) if calculate_change else made
     done = done.join(features.select("feature_id", *keep_fields), "feature_id", "left") if keep_fields else done
     lacking = f"no combination of variable, scenario, horizon and source has all of {', '.join(sorted(names))}"

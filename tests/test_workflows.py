@@ -67,3 +67,9 @@ def test_nothing_left_is_an_error(spark):
             spatial_summary(rasters(spark), points(spark), "point", **choice).agg(F.sum("min")).collect()
     with pytest.raises(PySparkException, match="has all of max, mean, min"):
         spatial_summary(rasters(spark, stats=("min", "max")), squares(spark)).collect()
+
+
+def test_baseline_and_futures_come_from_one_run(spark):
+    done = spatial_summary(rasters(spark), squares(spark))
+    assert "Generate" not in done._jdf.queryExecution().executedPlan().toString()  # pixels have met the features before
+    assert done.count() == 2 * 3 * 2 * 2
