@@ -216,16 +216,20 @@ def _forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
 
 
 def _merged(members: DataFrame) -> DataFrame:
-    """members(sig, set_id, comp, n) with entries that have the same member of smallest hash made one, where comparing all sets of
-    those at once is no more work than comparing each entry by itself: near copies share many entries of nearly the same sets."""
-    hashed = F.xxhash64("set_id")
-    entries = members.groupBy("sig").agg(F.min(hashed).alias("group"), F.pow(F.sum("n").cast("double"), 2).alias("_alone"))
-    grouped = members.join(entries, "sig")
-    alone = entries.groupBy("group").agg(F.sum("_alone").alias("_alone"))
-    together = grouped.select("group", "set_id", "n").distinct().groupBy("group").agg(F.pow(F.sum("n").cast("double"), 2).alias("_together"))
-    one = alone.join(together, "group").where("_together <= _alone").select("group", F.lit(True).alias("_one"))
-    dealt = grouped.join(one, "group", "left").withColumn("_one", F.col("_one").isNotNull())
-    return dealt.select("_one", F.when(F.col("_one"), F.col("group")).otherwise(F.col("sig")).alias("entry"), "set_id", "comp", "n").distinct().select(F.xxhash64("_one", "entry").alias("sig"), "set_id", "comp", "n")
+    """members(sig, set_id, comp, n) with entries that have the same smallest member made one, where comparing all sets of those at
+    once is no more work than comparing each entry by itself: near copies share many entries of nearly the same sets. A set and a
+    group meet once however many entries they share: joins see those rows, and the members of entries that stay apart."""
+    grouped, _ = stage(members.withColumn("group", F.min("set_id").over(W.partitionBy("sig"))), "jaccard-grouped")
+    square = F.pow(F.sum("n").cast("double"), 2)
+    alone = grouped.groupBy("group", "sig").agg(square.alias("_alone")).groupBy("group").agg(F.sum("_alone").alias("_alone"))
+    once, _ = stage(grouped.select("group", "set_id", "comp", "n").distinct(), "jaccard-once")
+    together = once.groupBy("group").agg(square.alias("_together"))
+    apart, _ = stage(alone.join(together, "group").where("_together > _alone").select("group"), "jaccard-apart")
+    if apart.count() <= BROADCAST:  # else rows are shuffled by group
+        apart = F.broadcast(apart)
+    one = once.join(apart, "group", "left_anti").withColumn("sig", F.xxhash64(F.lit(True), "group"))
+    rest = grouped.join(apart, "group", "left_semi").withColumn("sig", F.xxhash64(F.lit(False), "sig"))
+    return one.unionByName(rest).select("sig", "set_id", "comp", "n")
 
 
 def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -251,19 +255,19 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links of set ids that connect what all links connect."""
-    one = F.struct("set_id", "n", (F.length("tokens") / 8).cast("long").alias("held")).alias("x")
-    every = sets.select(one, "sigs").select("x", F.explode("sigs").alias("sig"))
-    who = [F.bit_xor(F.xxhash64("x.set_id", F.lit(i))).alias(f"who_{i}") for i in (0, 1)]
-    entries = every.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("first"), *who).where("m > 1")
-    entries = entries.groupBy("m", "first", "who_0", "who_1").agg(F.min("sig").alias("sig")).select("sig", "m", "first")  # one entry of those with the same sets
-    members, _ = stage(every.join(entries, "sig"), "jaccard-members")
-    stars = members.where((F.col("x.set_id") != F.col("first.set_id")) & _fit("x", "first", percent)).select(F.col("first.set_id").alias("a"), F.col("x.set_id").alias("b")).distinct()
+    """Links of set ids that connect what all links connect. Members of entries outnumber the sets by far, so they learn by windows
+    what their entry holds; joins are by sets and pairs of sets."""
+    entry = W.partitionBy("sig")
+    one = sets.select(F.struct("set_id", "n", (F.length("tokens") / 8).cast("long").alias("held")).alias("x"), "sigs")
+    first = F.min("x").over(entry).alias("first")
+    seen = one.select("x", F.explode("sigs").alias("sig")).select("x", first).where((F.col("x.set_id") != F.col("first.set_id")) & _fit("x", "first", percent))
+    stars = seen.select(F.col("first.set_id").alias("a"), F.col("x.set_id").alias("b")).distinct()
     linked, _ = stage(_verified(stars, sets, percent), "jaccard-stars")
-    of_set = components(linked).withColumnRenamed("node", "set_id")
-    labelled = members.withColumn("set_id", F.col("x.set_id")).join(of_set, "set_id", "left").withColumn("comp", F.coalesce("root", "set_id"))
-    mixed = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-    rest, _ = stage(labelled.join(mixed, "sig", "left_semi").select("sig", "m", "set_id", "x", "comp", "first"), "jaccard-rest")
+    labelled = one.join(components(linked), F.col("x.set_id") == F.col("node"), "left").select("x", F.coalesce("root", "x.set_id").alias("comp"), F.explode("sigs").alias("sig"))
+    who = [F.bit_xor(F.xxhash64("x.set_id", F.lit(i))).over(entry).alias(f"who_{i}") for i in (0, 1)]
+    held = labelled.select("x", "comp", first, F.count(F.lit(1)).over(entry).alias("m"), F.min("comp").over(entry).alias("lo"), F.max("comp").over(entry).alias("hi"), *who)
+    same = F.xxhash64("m", "first", "who_0", "who_1").alias("sig")  # entries with the same sets are one
+    rest, _ = stage(held.where("lo < hi").select(same, "m", F.col("x.set_id").alias("set_id"), "x", "comp", "first").dropDuplicates(["sig", "set_id"]), "jaccard-rest")
     few = rest.where((F.col("m") <= PAIRED) & (F.col("set_id") != F.col("first.set_id"))).select("sig", "x", "comp")  # the first has been compared with all
     pairs = few.join(few.toDF("sig", "y", "comp_y"), "sig").where(F.col("x.set_id") < F.col("y.set_id")).where((F.col("comp") != F.col("comp_y")) & _fit("x", "y", percent))
     found = _verified(pairs.select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct(), sets, percent)

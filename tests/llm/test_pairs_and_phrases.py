@@ -83,6 +83,42 @@ def test_merged_entries_keep_every_pair(spark):
     assert len(found) < len(rows) - len(alike) // 2 and len(set(found)) == len(found)
 
 
+def test_members_of_large_entries_are_not_joined(spark, monkeypatch):
+    """Near copies that share many entries: joins make rows for sets and pairs of sets, not one for each set and entry."""
+    rnd = random.Random(7)
+    common = rnd.sample(range(10**6, 2 * 10**6), 80)
+    held = {i: np.sort(np.array(rnd.sample(common, 72) + [10 * i + j for j in range(rnd.choice((0, 8)))])) for i in range(1, 161)}
+    sigs = list(range(100))
+    rows = [(i, len(t), t.tobytes(), rnd.sample(sigs, 95)) for i, t in held.items()]
+    sets = spark.createDataFrame(rows, "set_id long, n long, tokens binary, sigs array<long>")
+    made, kind = [], type(sets)
+    join = kind.join
+
+    def counted(self, *args, **named):
+        made.append((out := join(self, *args, **named)).count())
+        return out
+
+    monkeypatch.setattr(kind, "join", counted)
+    links = [(r.a, r.b) for r in jaccard._links(sets, 85).collect()]
+    monkeypatch.undo()
+    assert sum(len(r[3]) for r in rows) == 15_200 and max(made) < 2_000
+    root = {i: i for i in held}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    def connect(pairs):
+        root.update({i: i for i in held})
+        for a, b in pairs:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in held]
+
+    linked = [(a, b) for a, b in combinations(held, 2) if 100 * (same := len(np.intersect1d(held[a], held[b]))) >= 85 * (len(held[a]) + len(held[b]) - same)]
+    assert connect(links) == connect(linked) and 1 < len(set(connect(linked))) < 120
+
+
 def test_signatures_of_linked_sets_meet(monkeypatch):
     """Sets that link share an index entry, whatever the frequencies are."""
     monkeypatch.setattr(jaccard, "FREQUENT", (4, 20))
