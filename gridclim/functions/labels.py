@@ -43,14 +43,17 @@ def storm_index_name(threshold_kmh: Column) -> Column:
     return F.concat(F.lit("StormDaysGT"), F.replace(text, F.lit("."), F.lit("p")))
 
 
-def round_output(value: Column, variable: Column) -> Column:
-    """Three decimals for storm days and one for all else, half to even; what is rounded to zero keeps its sign."""
+def round_even(value: Column, places: int) -> Column:
+    """value rounded half to even as numpy and the SQL do: what is rounded is the product with the power of ten, so that a double next to a
+    half counts as one where the product is. What is rounded to zero keeps its sign."""
+    scale = F.lit(10.0**places)
+    near = F.rint(value * scale) / scale
+    return F.when(F.abs(near) == float("inf"), value.cast("double")).otherwise(near)  # the product of a very large value has no place
 
-    def rounded(places: int) -> Column:
-        near = F.bround(value, places)
-        return F.when((near == 0) & F.startswith(value.cast("string"), F.lit("-")), -near).otherwise(near)
 
-    return F.when(variable.rlike(STORM_DAYS), rounded(3)).otherwise(rounded(1))
+def round_output(value: Column, variable: Column) -> Column:
+    """Three decimals for storm days and one for all else, half to even; what is rounded to zero keeps its sign."""
+    return F.when(variable.rlike(STORM_DAYS), round_even(value, 3)).otherwise(round_even(value, 1))
 
 
 def output_decimals(variable: Column) -> Column:

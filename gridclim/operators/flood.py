@@ -250,7 +250,7 @@ def frequency_change(rate: str = "future_event_rate_per_year", current: str = "c
 
 
 def round_hazard(table: DataFrame) -> DataFrame:
-    return table.withColumns({c: F.bround(c, n) for c, n in DECIMALS.items() if c in table.columns})
+    return table.withColumns({c: labels.round_even(F.col(c), n) for c, n in DECIMALS.items() if c in table.columns})
 
 
 def current_events(sites: DataFrame, ifd: DataFrame, losses: DataFrame, durations: DataFrame, aris: DataFrame, steps: int = STEPS) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridclim.functions.labels import round_even
 from gridclim.operators.guards import some_rows
 from gridclim.sources.store import settle
 
@@ -109,7 +110,7 @@ def full_grid_guard(cells: DataFrame, grid: DataFrame) -> DataFrame:
 def native_resolution(grid: DataFrame, fine_domain: str = "seaus_4km") -> DataFrame:
     """0.04 for the fine domain, else the absolute slope of each axis along its index, to two decimals."""
     slope = grid.groupBy("domain").agg(F.regr_slope("rlon", "grid_col").alias("x"), F.regr_slope("rlat", "grid_row").alias("y"))
-    pick = lambda c: F.when(F.col("domain") == fine_domain, 0.04).otherwise(F.bround(F.abs(c), 2))
+    pick = lambda c: F.when(F.col("domain") == fine_domain, 0.04).otherwise(round_even(F.abs(c), 2))
     return slope.select("domain", pick(F.col("x")).alias("res_x"), pick(F.col("y")).alias("res_y"))
 
 

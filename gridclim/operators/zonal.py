@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclim.functions.labels import round_output
+from gridclim.functions.labels import round_even, round_output
 from gridclim.operators.geometry import holding, tile_of, touching
 from gridclim.operators.grid import GRID, PIXEL, keys_of
 from gridclim.operators.temporal import mean
@@ -42,7 +42,7 @@ def zonal_mean(pixels: DataFrame, polygons: DataFrame, all_touched: bool = True)
 def zonal_stats(pixels: DataFrame, polygons: DataFrame) -> DataFrame:
     """Mean, smallest and largest value and number of cells of each polygon, to one decimal."""
     valid = pixels_of(pixels, polygons).join(_finite(pixels).hint("merge"), list(PIXEL))
-    return valid.groupBy("feature_id").agg(F.bround(mean("value"), 1).alias("mean"), F.bround(F.min("value"), 1).alias("min"), F.bround(F.max("value"), 1).alias("max"), F.count(F.lit(1)).alias("valid_cells"))
+    return valid.groupBy("feature_id").agg(round_even(mean("value"), 1).alias("mean"), round_even(F.min("value"), 1).alias("min"), round_even(F.max("value"), 1).alias("max"), F.count(F.lit(1)).alias("valid_cells"))
 
 
 def first_points(features: DataFrame) -> DataFrame:

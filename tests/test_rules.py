@@ -187,3 +187,12 @@ def test_sites_are_checked(spark):
 def test_what_is_rounded_to_zero_keeps_its_sign(spark):
     shown = lambda v, name="pr": labels.round_output(F.lit(v), F.lit(name)).cast("string")
     assert one(spark, shown(-0.03), shown(0.03), shown(-0.0), shown(-0.06), shown(-0.0004, "StormDaysGT89")) == ("-0.0", "0.0", "-0.0", "-0.1", "-0.0")
+
+
+def test_doubles_next_to_a_half_are_rounded_as_in_the_sql(spark):
+    import duckdb
+
+    values = [3.3499999999999996, 3.6500000000000004, 12.850000000000001, 248.14999999999998, -2043.9499999999998, 0.25, 0.35, 1e17, 1e308, float("inf")]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", labels.round_output(F.col("v"), F.lit("pr")).alias("x"), labels.round_output(F.col("v"), F.lit("StormDaysGT89")).alias("y"))
+    want = [duckdb.execute("SELECT round_even(?::DOUBLE, 1), round_even(?::DOUBLE, 3)", [v, v]).fetchall()[0] for v in values]
+    assert [(r.x, r.y) for r in got.collect()] == want and want[:4] == [(3.4, 3.35), (3.6, 3.65), (12.8, 12.85), (248.2, 248.15)]
