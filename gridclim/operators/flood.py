@@ -1,7 +1,9 @@
 """Flood-frequency screening: design rainfall, losses, runoff, and the future rate of a present event.
 
 Sites, regimes and events take little room for the work they make, so that Spark reads them in a few tasks: they are dealt out before
-they are multiplied or matched."""
+they are multiplied or matched. For the same reason the planner takes tables made of few columns for small, and would bring them to the
+driver: tables by site are merged, and the tables of windows, scenarios, durations and recurrence intervals, whose size it doesn't know, are
+broadcast."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -108,10 +110,10 @@ def table_rainfall_factor(points: DataFrame, table: DataFrame, keys: list[str],
     """table(keys, duration_hours, year, value): along the years of each duration first, then along the durations,
     whose ends hold beyond them. Outside the years null, or an error if strict."""
     durations = table.select(*keys, "duration_hours").distinct()
-    each = points.select(*keys, year).distinct().join(durations, keys)
+    each = points.select(*keys, year).distinct().join(durations.hint("merge"), keys)
     by_year = interpolate(each, table, [*keys, "duration_hours"], year, "year", "value", "_v")
     ends = durations.groupBy(*keys).agg(F.min("duration_hours").alias("_lo"), F.max("duration_hours").alias("_hi"))
-    held = points.join(ends, keys, "left").withColumn("_h", F.greatest("_lo", F.least("_hi", hours)))
+    held = points.join(ends.hint("merge"), keys, "left").withColumn("_h", F.greatest("_lo", F.least("_hi", hours)))
     return _within(interpolate(held, by_year, [*keys, year], "_h", "duration_hours", "_v", name), name, year, strict).drop("_lo", "_hi", "_h")
 
 
@@ -200,7 +202,7 @@ REGIME = ["point_id", "duration_hr", "scenario", "horizon"]
 def future_runoff_curve(regimes: DataFrame, ifd: DataFrame, steps: int = STEPS) -> DataFrame:
     """A row per design rate of each regime (site, duration, scenario, horizon): made once, whatever the events are."""
     table = ifd.select(F.col("point_id").alias("_p"), "duration_hours", "event_rate_per_year", F.col("rainfall_depth_mm").alias("current_ifd_depth_mm"))
-    joined = dealt(regimes).join(table, (F.col("point_id") == F.col("_p")) & (F.abs(F.col("duration_hr") - F.col("duration_hours")) < 1e-6))
+    joined = dealt(regimes, "point_id").join(table.hint("merge"), (F.col("point_id") == F.col("_p")) & (F.abs(F.col("duration_hr") - F.col("duration_hours")) < 1e-6))
     depth = F.col("current_ifd_depth_mm") * F.col("rainfall_factor")
     runoff = total_runoff(F.col("future_rainfall_depth_mm"), F.col("duration_hr"), F.col("future_initial_loss_mm"), F.col("future_continuing_loss_mm_per_hr"), steps)
     return joined.drop("_p", "duration_hours").withColumn("future_rainfall_depth_mm", depth).withColumns({
@@ -219,8 +221,8 @@ def match_event_rate(events: DataFrame, curve: DataFrame, keys: list[str] = REGI
 
     short = "future_rainfall_shortfall_mm"
     told = short in curve.columns
-    held = dealt(events).join(side("future_runoff_mm", "_r"), keys, "left")
-    held = held.join(side(short, "_s"), keys, "left") if told else held.withColumn("_s", F.lit(None).cast("array<struct<x: double, y: double>>"))
+    held = dealt(events, *keys).join(side("future_runoff_mm", "_r").hint("merge"), keys, "left")
+    held = held.join(side(short, "_s").hint("merge"), keys, "left") if told else held.withColumn("_s", F.lit(None).cast("array<struct<x: double, y: double>>"))
     found = held.withColumns({
         "_at_s": F.when(~on_runoff & (F.col("current_rainfall_shortfall_mm") > 0), F.log10("current_rainfall_shortfall_mm")),
     })
@@ -256,11 +258,12 @@ def round_hazard(table: DataFrame) -> DataFrame:
 def current_events(sites: DataFrame, ifd: DataFrame, losses: DataFrame, durations: DataFrame, aris: DataFrame, steps: int = STEPS) -> DataFrame:
     """sites x durations(context, duration_hr) x aris(current_ari_year) with present rate, depth, losses, runoff and shortfall."""
     il, cl = current_losses(F.col("context"), F.col("initial_loss_mm"), F.col("continuing_loss_mm_per_hr"))
-    made = dealt(sites.join(durations, "context").join(losses, "point_id", "left")).crossJoin(aris)
+    held = sites.join(F.broadcast(durations), "context").join(losses.hint("merge"), "point_id", "left")
+    made = dealt(held, "point_id", "duration_hr").crossJoin(F.broadcast(aris))
     made = made.withColumns({"current_event_rate_per_year": reference_rate(F.col("current_ari_year")), "current_initial_loss_mm": il, "current_continuing_loss_mm_per_hr": cl})
     # a table's duration and an event's are matched once, within the tolerance; the event's is the key from here on
     asked = made.select(F.col("point_id").alias("_p"), "duration_hr").distinct()
-    tables = ifd.join(asked, (F.col("point_id") == F.col("_p")) & (F.abs(F.col("duration_hours") - F.col("duration_hr")) < 1e-6)).drop("_p")
+    tables = ifd.join(asked.hint("merge"), (F.col("point_id") == F.col("_p")) & (F.abs(F.col("duration_hours") - F.col("duration_hr")) < 1e-6)).drop("_p")
     made = depth_at_rate(made, tables, ["point_id", "duration_hr"], "current_event_rate_per_year", "current_rainfall_depth_mm")
     hours, il, cl = F.col("duration_hr"), F.col("current_initial_loss_mm"), F.col("current_continuing_loss_mm_per_hr")
     return made.drop("initial_loss_mm", "continuing_loss_mm_per_hr").withColumns({
@@ -272,11 +275,12 @@ def current_events(sites: DataFrame, ifd: DataFrame, losses: DataFrame, duration
 def future_regimes(events: DataFrame, factors: DataFrame, windows: DataFrame, scenarios: DataFrame, steps: int = STEPS) -> DataFrame:
     """Site, duration, scenario and horizon with temperature, rainfall and loss factors and the future runoff threshold."""
     sites = events.select("point_id", "context", "duration_hr", "current_initial_loss_mm", "current_continuing_loss_mm_per_hr").distinct()
-    made = dealt(sites).crossJoin(windows).crossJoin(scenarios.where("scenario <> 'historical'")).where(flood_window_valid(F.col("scenario"), F.col("end_year")))
+    made = sites.crossJoin(F.broadcast(windows)).crossJoin(F.broadcast(scenarios.where("scenario <> 'historical'"))).where(flood_window_valid(F.col("scenario"), F.col("end_year")))
+    made = dealt(made, "point_id", "scenario")
     made = made.withColumn("horizon_year", labels.representative_year(F.col("start_year"), F.col("end_year")))
     found = curves(factors, ["point_id", "scenario", "kind"], "year", "value", "_curve").groupBy("point_id", "scenario").agg(
         *(F.max_by("_curve", F.when(F.col("kind") == kind, 1)).alias(f"_{kind}_curve") for kind in KINDS))
-    made = made.join(found, ["point_id", "scenario"], "left").withColumns({
+    made = made.join(found.hint("merge"), ["point_id", "scenario"], "left").withColumns({
         name: value_at(F.col(f"_{kind}_curve"), F.col("horizon_year")) for kind, name in KINDS.items()
     }).drop(*(f"_{kind}_curve" for kind in KINDS))
     urban, dt, hours = F.col("context") == "urban", F.col("delta_t_degC"), F.col("duration_hr")
@@ -293,7 +297,7 @@ def future_regimes(events: DataFrame, factors: DataFrame, windows: DataFrame, sc
 
 def historical_rows(events: DataFrame, windows: DataFrame) -> DataFrame:
     """Present events under historical windows: nothing changes, so all factors are one and the change is zero."""
-    made = events.crossJoin(windows.where(flood_window_valid(F.lit("historical"), F.col("end_year"))))
+    made = events.crossJoin(F.broadcast(windows.where(flood_window_valid(F.lit("historical"), F.col("end_year")))))
     one = dict.fromkeys(("rainfall_factor", "initial_loss_per_degree_factor", "continuing_loss_per_degree_factor", "initial_loss_factor", "continuing_loss_factor", "frequency_ratio"), F.lit(1.0))
     return made.withColumns({
         "scenario": F.lit("historical"), "horizon_year": labels.representative_year(F.col("start_year"), F.col("end_year")), "delta_t_degC": F.lit(0.0),
@@ -312,7 +316,7 @@ def flood_hazard(sites: DataFrame, ifd: DataFrame, factors: DataFrame, losses: D
     regimes = store.settle(future_regimes(events, factors, windows, scenarios, steps), "regimes")
     curve = store.settle(future_runoff_curve(regimes, ifd, steps), "curve")
     shared = [c for c in ("context", "current_initial_loss_mm", "current_continuing_loss_mm_per_hr") if c in regimes.columns]
-    asked = events.join(regimes.drop(*shared), ["point_id", "duration_hr"])
+    asked = events.join(regimes.drop(*shared).hint("merge"), ["point_id", "duration_hr"])
     future = match_event_rate(asked, curve).withColumns(frequency_change())
     made = round_hazard(future.unionByName(historical_rows(events, windows), allowMissingColumns=True))
     return some_rows(made, "no flood results: no site has a design table, losses and factors for the events asked for")
@@ -326,4 +330,4 @@ def flood_comparison(hazard: DataFrame, padding: float = 0.05) -> DataFrame:
     several = future.groupBy("context").agg((F.count_distinct("point_id") > 1).alias("_several"))
     label = F.when(F.col("_several"), F.concat_ws(" ", F.initcap("context"), F.concat(F.lit("("), "name", F.lit(")")))).otherwise(F.initcap("context"))
     # one row of ends, and a row for each context
-    return future.join(several, "context").crossJoin(ends).withColumn("label", label).drop("_several")
+    return future.join(F.broadcast(several), "context").crossJoin(F.broadcast(ends)).withColumn("label", label).drop("_several")

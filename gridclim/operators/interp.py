@@ -22,6 +22,7 @@ def value_at(curve: Column, at: Column) -> Column:
 
 
 def interpolate(points: DataFrame, rows: DataFrame, keys: list[str], at: str, x: str, y: str, name: str) -> DataFrame:
-    """points with `name`: the y at the column `at` of the curve with the same keys, null without or outside it."""
-    joined = points.join(curves(rows, keys, x, y, "_curve"), keys, "left")
+    """points with `name`: the y at the column `at` of the curve with the same keys, null without or outside it. There may be as many curves
+    as points, so they are merged, not brought to the driver to be broadcast."""
+    joined = points.join(curves(rows, keys, x, y, "_curve").hint("merge"), keys, "left")
     return joined.select(*(joined[c] for c in points.columns), value_at(F.col("_curve"), F.col(at)).alias(name))

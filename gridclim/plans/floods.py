@@ -230,7 +230,7 @@ def h7_reference_rate(spark, sf):
   round(CASE WHEN s_suppkey % 2 = 0 THEN 2.0 ELSE (s_suppkey % 30) * pow(1.05, 2) END::DOUBLE, 8) AS future_il FROM supplier""")
 def h8_h9_losses(spark, sf):
     il, cl = flood.current_losses(F.col("context"), F.col("initial_loss_mm"), F.col("continuing_loss_mm_per_hr"))
-    done = sites(spark, sf).join(losses(spark, sf), "point_id").select("point_id", "context", il.alias("il"), cl.alias("cl"))
+    done = sites(spark, sf).join(losses(spark, sf).hint("merge"), "point_id").select("point_id", "context", il.alias("il"), cl.alias("cl"))
     return done.select("point_id", "il", "cl", F.round(flood.future_loss(F.col("context"), F.col("il"), F.lit(1.05), F.lit(2.0)), 8).alias("future_il"))
 
 

@@ -161,3 +161,14 @@ def test_few_events_are_dealt_out_before_they_become_many_rows(spark):
     wide = spark.range(64).coalesce(1).selectExpr("id", "'60 min' duration", "'5.0' `50%`", "'9.0' `10%`")
     long = flood.ifd_unpivot(wide, ["id"], "duration")
     assert "RoundRobin" in long._jdf.queryExecution().executedPlan().toString() and long.count() == 128
+
+
+def test_tables_by_site_are_not_broadcast(spark):
+    from gridclim.plans import floods
+
+    sf = "/root/testdata/sf0.001"
+    for name in ("_curve", "h4_depth_at_rate", "h5_factor_at_year", "h5b_table_rainfall_factor", "_hazard"):
+        plan = getattr(floods, name)(spark, sf)._jdf.queryExecution().executedPlan().toString()
+        hashed = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+        assert "SortMergeJoin" in plan and all("context#" in line for line in hashed), name  # the durations of a context alone
+        assert name != "_curve" or "BroadcastNestedLoopJoin BuildLeft" not in plan
