@@ -172,3 +172,16 @@ def test_tables_by_site_are_not_broadcast(spark):
         hashed = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
         assert "SortMergeJoin" in plan and all("context#" in line for line in hashed), name  # the durations of a context alone
         assert name != "_curve" or "BroadcastNestedLoopJoin BuildLeft" not in plan
+
+
+def test_what_the_sinks_are_made_of_is_not_broadcast(spark):
+    from gridclim.plans import floods
+
+    sf = "/root/testdata/sf0.001"
+    windows, scenarios, durations, aris = floods._dimensions(spark)
+    events = flood.current_events(floods.sites(spark, sf), floods.ifd(spark, sf), floods.losses(spark, sf), durations, aris)
+    regimes = flood.future_regimes(events, floods.factors(spark, sf), windows, scenarios)
+    made = {"events": events, "regimes": regimes, "curve": flood.future_runoff_curve(regimes, floods.ifd(spark, sf)), "historical": flood.historical_rows(events, windows)}
+    for name, rows in made.items():
+        lines = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Broadcast" in line and "Join" in line]
+        assert lines and not [line for line in lines if "BuildLeft" in line or "HashJoin [point_id" in line], name
